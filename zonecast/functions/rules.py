@@ -48,6 +48,24 @@ def round_half_up(col, digits: int) -> Column:
     return (F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
+def _fixed(col, scale: int) -> Column:
+    return F.floor(_c(col) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("decimal(38,0)")
+
+
+def fixed_sum(col, scale: int = 6) -> Column:
+    """Order-independent sum: values quantised to 10^-scale, summed exactly as
+    DECIMAL(38,0), one division.  Every engine and every partitioning gives the
+    same bits, so rounding the result is stable."""
+    return F.sum(_fixed(col, scale)).cast("double") / F.lit(float(10 ** scale))
+
+
+def fixed_avg(col, scale: int = 6) -> Column:
+    """Order-independent mean (see ``fixed_sum``); null when no value is present."""
+    q = _fixed(col, scale)
+    n = F.count(q)
+    return F.when(n > 0, F.sum(q).cast("double") / n.cast("double") / F.lit(float(10 ** scale)))
+
+
 def safe_ratio(num, den) -> Column:
     """num / den as double; a zero or null denominator gives null (P-13)."""
     d = _c(den)

@@ -19,6 +19,12 @@ def r4(expr: str) -> str:
     return r(expr, 4)
 
 
+def favg(expr: str, scale: int = 6) -> str:
+    """Same fixed-point mean as ``rules.fixed_avg``."""
+    q = f"CAST(floor(({expr}) * 1e{scale} + 5e-1) AS DECIMAL(38,0))"
+    return f"(CAST(sum({q}) AS DOUBLE) / CAST(count({q}) AS DOUBLE) / 1e{scale})"
+
+
 def ratio(num: str, den: str) -> str:
     return f"(CAST({num} AS DOUBLE) / CAST(NULLIF({den}, 0) AS DOUBLE))"
 
@@ -138,13 +144,13 @@ FROM (
 _REC_KEYS = "city, zone_id, zone_name, hour, recommended_vehicle_type"
 DERIVED["recommendations"] = (("scores",), f"""
 SELECT {_REC_KEYS},
-       {r4('avg(mobility_opportunity_score)')} AS avg_opportunity_score,
+       {r4(favg('mobility_opportunity_score'))} AS avg_opportunity_score,
        count_if(priority_band = 'Critical') AS critical_hours,
-       {r4('avg(demand_supply_ratio)')} AS avg_demand_supply_ratio,
-       {r4('avg(avg_wait_time_min)')} AS avg_wait_time_min,
-       {r4('avg(cancellation_rate)')} AS avg_cancellation_rate,
-       {r4('avg(completed_revenue)')} AS avg_completed_revenue,
-       CASE WHEN {r('avg(mobility_opportunity_score)', 6)} > 75
+       {r4(favg('demand_supply_ratio'))} AS avg_demand_supply_ratio,
+       {r4(favg('avg_wait_time_min'))} AS avg_wait_time_min,
+       {r4(favg('cancellation_rate'))} AS avg_cancellation_rate,
+       {r4(favg('completed_revenue'))} AS avg_completed_revenue,
+       CASE WHEN {favg('mobility_opportunity_score')} > 75
             THEN 'Prioritize additional fleet or reposition vehicles into this zone-hour.'
             ELSE 'Monitor demand and reposition fleet if pressure persists.' END AS recommended_action
 FROM scores
@@ -222,6 +228,27 @@ def _closure(needs) -> list[str]:
     return out
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` is HUGEINT; Spark's is BIGINT.  Wrap each call."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def with_ctes(needs, body: str) -> str:
     parts = []
     for n in _closure(needs):
@@ -230,5 +257,8 @@ def with_ctes(needs, body: str) -> str:
         else:
             text = R.role_sql(n, R.DUCK).format(**{t: t for t in R.role_deps(n)})
         parts.append(f"{n} AS ({text.strip()})")
+    body = body.strip()
+    if parts and body[:5].upper() == "WITH ":
+        return _bigint_counts("WITH " + ",\n".join(parts) + ",\n" + body[5:])
     head = "WITH " + ",\n".join(parts) + "\n" if parts else ""
-    return head + body.strip()
+    return _bigint_counts(head + body)

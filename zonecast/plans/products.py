@@ -283,16 +283,15 @@ def fleet_recommendations(cat: Catalog, scores: DataFrame | None = None) -> Data
     s = scores if scores is not None else opportunity_scores(cat)
     keys = ["city", "zone_id", "zone_name", "hour", "recommended_vehicle_type"]
     g = _drop_null_keys(s, keys).groupBy(*keys).agg(
-        F.avg("mobility_opportunity_score").alias("_score"),
+        RU.fixed_avg("mobility_opportunity_score").alias("_score"),
         F.count_if(F.col("priority_band") == RU.TOP_BAND).alias("critical_hours"),
-        rnd(F.avg("demand_supply_ratio"), P).alias("avg_demand_supply_ratio"),
-        rnd(F.avg("avg_wait_time_min"), P).alias("avg_wait_time_min"),
-        rnd(F.avg("cancellation_rate"), P).alias("avg_cancellation_rate"),
-        rnd(F.avg("completed_revenue"), P).alias("avg_completed_revenue"),
+        rnd(RU.fixed_avg("demand_supply_ratio"), P).alias("avg_demand_supply_ratio"),
+        rnd(RU.fixed_avg("avg_wait_time_min"), P).alias("avg_wait_time_min"),
+        rnd(RU.fixed_avg("cancellation_rate"), P).alias("avg_cancellation_rate"),
+        rnd(RU.fixed_avg("completed_revenue"), P).alias("avg_completed_revenue"),
     )
     return (g.withColumn("avg_opportunity_score", rnd("_score", P))
-            # six decimals recover the exact mean of one-decimal scores
-            .withColumn("recommended_action", RU.action_text(rnd("_score", 6)))
+            .withColumn("recommended_action", RU.action_text("_score"))
             .drop("_score")
             .orderBy(F.col("avg_opportunity_score").desc_nulls_last(), F.col("critical_hours").desc(),
                      *keys))

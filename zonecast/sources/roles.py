@@ -10,6 +10,7 @@ Fixed values (labels the reference's logic depends on):
   payment variant: 'upi' canonicalised to 'UPI'
   congestion levels in order: Low, Medium, High, Severe
   weather conditions by hour of day modulo 4: Clear, Rain, Fog, Cloudy
+  (visibility follows hour modulo 5, so it is not a function of the condition)
 """
 
 from __future__ import annotations
@@ -201,7 +202,7 @@ SELECT timestamp,
        CAST(15 + h AS DOUBLE) AS temperature_c,
        rainfall_mm,
        CAST(40 + 2 * h AS DOUBLE) AS humidity_pct,
-       CAST(10 - 2 * (h % 4) AS DOUBLE) AS visibility_km,
+       CAST(10 - 2 * (h % 5) AS DOUBLE) AS visibility_km,
        CASE h % 4 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Rain' WHEN 2 THEN 'Fog' ELSE 'Cloudy' END AS weather_condition
 FROM (
   SELECT {_hour(d, 'ts')} AS timestamp,
