@@ -42,7 +42,8 @@ def value_ranks(df: DataFrame, col: str, ranges: int | None = None) -> tuple[Dat
     k = ranges or _ranges_per_measure(spark)
     probs = [i / k for i in range(1, k)]
     bounds = vc.approxQuantile("_v", probs, 1.0 / (4 * k)) if k > 1 else []
-    splits = [float("-inf")] + sorted({float(b) for b in bounds}) + [float("inf")]
+    inner = sorted({float(b) for b in bounds}) or [0.0]  # Bucketizer needs three splits
+    splits = [float("-inf")] + inner + [float("inf")]
     vcb = Bucketizer(splits=splits, inputCol="_v", outputCol="_b").transform(
         vc.withColumn("_v", F.col("_v").cast("double")))
     # Per-range totals: at most len(splits) rows, so collecting them is bounded.
