@@ -2,12 +2,12 @@
 
 ``percentile_scores`` is the distributed average-tie percentile rank:
 
-1. each measure is reduced to (value, multiplicity) with map-side combine, so
-   a value shared by a third of all rows is a single row;
-2. the distinct values are cut into value ranges from approximate quantiles
-   (a bounded list of boundaries on the driver);
+1. each measure is reduced to (range, value, multiplicity) with map-side
+   combine, so a value shared by a third of all rows is a single row;
+2. values are cut into ranges at approximate quantiles (a bounded list of
+   boundaries on the driver); one value never spans two ranges;
 3. inside each range a window over the *distinct values* accumulates the
-   multiplicities; per-range totals (bounded by the number of ranges) give each
+   multiplicities; per-range totals (bounded by measures x ranges) give each
    range its offset;
 4. the score per distinct value is joined back to the rows.
 
@@ -30,61 +30,60 @@ def _ranges_per_measure(spark) -> int:
     return max(4, min(4 * parts, 20_000))
 
 
-def value_ranks(df: DataFrame, col: str, ranges: int | None = None) -> tuple[DataFrame, int, int]:
-    """(value, score) per distinct non-null value of ``col``; also n and distinct count.
+def percentile_scores(df: DataFrame, measures: dict[str, str], ranges: int | None = None,
+                      max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Add one 0-100 average-tie percentile column per measure (W-1):
+    pandas ``rank(pct=True, method="average") * 100``; null stays null.
+
+    All measures share each step: one approximate-quantile job for the range
+    boundaries, one aggregate to (measure, range, value, multiplicity), one
+    bounded collect of per-range totals.  ``df`` is read several times, so pass
+    a materialised frame (the opportunity panel is checkpointed).
 
-    score = average 1-based rank of the value among the non-null rows / n * 100,
-    i.e. pandas ``rank(pct=True, method="average") * 100``.
+    The per-value score table of a measure is broadcast when its distinct
+    count (known exactly from the totals) is within ``max_broadcast_rows``;
+    otherwise the join back shuffles and AQE splits a hot value.
     """
     spark = df.sparkSession
-    vc = (df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull())
-          .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")))
+    srcs = list(measures)
     k = ranges or _ranges_per_measure(spark)
     probs = [i / k for i in range(1, k)]
-    bounds = vc.approxQuantile("_v", probs, 1.0 / (4 * k)) if k > 1 else []
-    inner = sorted({float(b) for b in bounds}) or [0.0]  # Bucketizer needs three splits
-    splits = [float("-inf")] + inner + [float("inf")]
-    vcb = Bucketizer(splits=splits, inputCol="_v", outputCol="_b").transform(
-        vc.withColumn("_v", F.col("_v").cast("double")))
-    # Per-range totals: at most len(splits) rows, so collecting them is bounded.
-    totals = (vcb.groupBy("_b").agg(F.sum("_c").alias("_t"), F.count(F.lit(1)).alias("_d"))
-              .orderBy("_b").collect())
-    offsets, run, n, distinct = [], 0, 0, 0
+    dbl = df.select(*[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(srcs)])
+    bounds = dbl.approxQuantile([f"_m{i}" for i in range(len(srcs))], probs, 1.0 / (4 * k)) if probs \
+        else [[] for _ in srcs]
+    splits = [[float("-inf")] + (sorted({float(b) for b in bs}) or [0.0]) + [float("inf")] for bs in bounds]
+    bucketed = Bucketizer(splitsArray=splits, inputCols=[f"_m{i}" for i in range(len(srcs))],
+                          outputCols=[f"_b{i}" for i in range(len(srcs))], handleInvalid="keep").transform(dbl)
+    long = bucketed.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"), F.col(f"_b{i}").alias("_b"), F.col(f"_m{i}").alias("_v"))
+        for i in range(len(srcs))])).alias("_x")).select("_x.*").where(F.col("_v").isNotNull())
+    # Map-side combine: a value held by a third of all rows becomes one row.
+    vc = long.groupBy("_m", "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # Per-range totals: at most measures x ranges rows, so collecting is bounded.
+    totals = vc.groupBy("_m", "_b").agg(F.sum("_c").alias("_t"), F.count(F.lit(1)).alias("_d")) \
+        .orderBy("_m", "_b").collect()
+    offsets, n, distinct, run = [], {}, {}, {}
     for row in totals:
-        offsets.append((float(row["_b"]), int(run)))
-        run += int(row["_t"])
-        distinct += int(row["_d"])
+        m = int(row["_m"])
+        offsets.append((m, float(row["_b"]), int(run.get(m, 0))))
+        run[m] = run.get(m, 0) + int(row["_t"])
+        distinct[m] = distinct.get(m, 0) + int(row["_d"])
     n = run
-    if n == 0:
-        empty = spark.createDataFrame([], "_v double, _score double")
-        return empty, 0, 0
-    off = spark.createDataFrame(offsets, "_b double, _off long")
-    w = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (vcb.join(F.broadcast(off), "_b")
+    off = spark.createDataFrame(offsets or [(0, 0.0, 0)], "_m int, _b double, _off long") \
+        .withColumn("_n", F.create_map(*[x for m, v in n.items() for x in (F.lit(m), F.lit(float(v)))])[F.col("_m")]
+                    if n else F.lit(None).cast("double"))
+    w = Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (vc.join(F.broadcast(off), ["_m", "_b"])
               .withColumn("_below", F.coalesce(F.sum("_c").over(w), F.lit(0)))
               .withColumn("_avg_rank", (F.col("_off") + F.col("_below")).cast("double")
                           + (F.col("_c") + F.lit(1)).cast("double") / F.lit(2.0))
-              .select("_v", (F.col("_avg_rank") / F.lit(float(n)) * F.lit(100.0)).alias("_score")))
-    return ranked, n, distinct
-
-
-def percentile_scores(df: DataFrame, measures: dict[str, str], ranges: int | None = None,
-                      max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Add one 0-100 average-tie percentile column per measure (W-1).
-
-    ``measures`` maps input column -> output column.  Null inputs give null.
-    The per-value score table is broadcast when its distinct count (known
-    exactly from step 3) is within ``max_broadcast_rows``; otherwise it is a
-    shuffle join that AQE splits when one value is hot.
-    """
+              .select("_m", "_v", (F.col("_avg_rank") / F.col("_n") * F.lit(100.0)).alias("_score")))
     out = df
-    for src, dst in measures.items():
-        ranked, _, distinct = value_ranks(df, src, ranges)
-        side = ranked.select(F.col("_v").alias(f"_k_{dst}"), F.col("_score").alias(dst))
-        if distinct <= max_broadcast_rows:
+    for i, (src, dst) in enumerate(measures.items()):
+        side = ranked.where(F.col("_m") == i).select(F.col("_v").alias(f"_k_{dst}"), F.col("_score").alias(dst))
+        if distinct.get(i, 0) <= max_broadcast_rows:
             side = F.broadcast(side)
-        out = (out.join(side, out[src].cast("double") == side[f"_k_{dst}"], "left")
-               .drop(f"_k_{dst}"))
+        out = out.join(side, out[src].cast("double") == side[f"_k_{dst}"], "left").drop(f"_k_{dst}")
     return out
 
 
@@ -96,8 +95,11 @@ def top1_per_group(df: DataFrame, keys: Sequence[str], count_col: str, label_col
     An aggregate (min over a struct), not a window: partial aggregation keeps
     every group's state at one row.
     """
-    best = F.min(F.struct((-F.col(count_col)).alias("_neg"), F.col(label_col).alias("_lab")))
-    out = df.where(F.col(label_col).isNotNull()).groupBy(*keys).agg(best.alias("_best"))
+    # A null label is skipped inside the aggregate (not by a filter), so the
+    # input's plan stays identical to its other consumers and can be reused.
+    best = F.min(F.when(F.col(label_col).isNotNull(),
+                        F.struct((-F.col(count_col)).alias("_neg"), F.col(label_col).alias("_lab"))))
+    out = df.groupBy(*keys).agg(best.alias("_best")).where(F.col("_best").isNotNull())
     return out.select(*keys, F.col("_best._lab").alias(out_col or label_col),
                       (-F.col("_best._neg")).alias(count_col))
 

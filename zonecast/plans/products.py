@@ -12,6 +12,7 @@ Fixed values:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,33 +236,60 @@ def vehicle_mix(trips: DataFrame) -> DataFrame:
                                   "recommended_vehicle_type")
 
 
-def zone_hour_star(cat: Catalog) -> DataFrame:
+def zone_hour_vehicle_counts(trips: DataFrame) -> DataFrame:
+    """Trips and completed revenue per (zone, request time, vehicle type).
+
+    The one pre-aggregation of the trip fact that both the zone-hour metrics
+    and the vehicle mix re-aggregate: trips are shuffled once, the second
+    consumer reuses the exchange.  Null keys stay as groups here; they never
+    match the panel's join keys.
+    """
+    return trips.groupBy(F.col("pickup_zone_id").alias("zone_id"), F.col("request_timestamp").alias("timestamp"),
+                         "vehicle_type").agg(F.count(F.lit(1)).alias("_n"), F.sum(_completed_fare()).alias("_rev"))
+
+
+def zone_hour_star(cat: Catalog, counts: DataFrame | None = None) -> DataFrame:
     """The zone-hour panel: demand with zone, traffic, weather, trip metrics
-    and vehicle mix, all left joins, grain = demand rows (J-9)."""
-    trips = timed_clean(cat)
+    and vehicle mix, all left joins, grain = demand rows (J-9, J-10)."""
+    counts = counts if counts is not None else zone_hour_vehicle_counts(timed_clean(cat))
+    metrics = counts.groupBy("zone_id", "timestamp").agg(
+        F.sum("_n").alias("observed_trips"),
+        rnd(F.coalesce(F.sum("_rev"), F.lit(0.0)), 6).alias("completed_revenue"))
+    mix = ranking.top1_per_group(
+        counts.groupBy("zone_id", RU.hour_of_day("timestamp").alias("hour"), "vehicle_type")
+        .agg(F.sum("_n").alias("vehicle_type_trips")),
+        ["zone_id", "hour"], "vehicle_type_trips", "vehicle_type", "recommended_vehicle_type")
     zones = cat["zones"].select("zone_id", "zone_name", "city")
     traffic = cat["traffic"].select("timestamp", "zone_id", "traffic_index")
     weather = cat["weather"].select("timestamp", "rainfall_mm", "weather_condition")
-    metrics = zone_hour_trip_metrics(trips, grain=None)
     panel = joins.join_dim(cat["demand_supply"], zones, "zone_id", "left")
     panel = joins.star_assemble(panel, [(traffic, ["timestamp", "zone_id"]),
                                         (weather, ["timestamp"]),
                                         (metrics, ["timestamp", "zone_id"])])
     panel = panel.withColumn("hour", RU.hour_of_day("timestamp"))
-    return panel.join(vehicle_mix(trips), ["zone_id", "hour"], "left")
+    return panel.join(mix.drop("vehicle_type_trips"), ["zone_id", "hour"], "left")
 
 
 def opportunity_panel(cat: Catalog) -> DataFrame:
     """Star plus the three row ratios, materialised in the shared checkpoint
-    folder: the five rankings each read it several times."""
-    p = (zone_hour_star(cat)
+    folder: the rankings read it several times.
+
+    The trip pre-aggregate feeds two branches of the star whose pushed-down
+    null filters differ, so Spark would not reuse its exchange; it is persisted
+    for the duration of the checkpoint job so the trips are de-duplicated and
+    shuffled once (a lost block is recomputed from lineage)."""
+    counts = zone_hour_vehicle_counts(timed_clean(cat)).persist(StorageLevel.MEMORY_AND_DISK)
+    p = (zone_hour_star(cat, counts)
          .withColumn("observed_trips", F.coalesce("observed_trips", F.lit(0)).cast("bigint"))
          .withColumn("completed_revenue", F.coalesce("completed_revenue", F.lit(0.0)))
          .withColumn("demand_supply_ratio", RU.safe_ratio("ride_requests", "available_vehicles"))
          .withColumn("cancellation_rate", RU.safe_ratio("cancelled_trips", "ride_requests"))
          .withColumn("supply_adequacy", RU.safe_ratio("available_vehicles", "ride_requests")))
     ensure_checkpoint_dir(p.sparkSession)
-    return p.checkpoint(eager=True)
+    try:
+        return p.checkpoint(eager=True)
+    finally:
+        counts.unpersist()
 
 
 def opportunity_scores(cat: Catalog) -> DataFrame:
