@@ -20,7 +20,7 @@ from zonecast.operators import cleaning, joins, quality, ranking
 from zonecast.plans import named_sql
 from zonecast.plans import products as PR
 from zonecast.plans.oracle import _CANCEL, _CF, r, r4, ratio, with_ctes
-from zonecast.session import scratch_path
+from zonecast.session import ensure_checkpoint_dir, scratch_path
 from zonecast.sources import sinks
 from zonecast.sources.catalog import Catalog, load_catalog
 from zonecast.sources.roles import BASE_TABLES, TRIP_COLUMNS
@@ -426,7 +426,9 @@ def _percentile(cat):
     """W-1: distributed average-tie percentile rank."""
     d = cat["demand_supply"].select("timestamp", "zone_id",
                                     RU.safe_ratio("ride_requests", "available_vehicles").alias("demand_supply_ratio"))
-    return ranking.percentile_scores(d, {"demand_supply_ratio": "demand_pressure_score"})
+    ensure_checkpoint_dir(cat.spark)
+    # the ranking reads its input three times: materialise the aggregate once
+    return ranking.percentile_scores(d.checkpoint(eager=True), {"demand_supply_ratio": "demand_pressure_score"})
 
 
 @entry("top1_per_group", ["mix"], "SELECT * FROM mix")
