@@ -12,6 +12,26 @@ from pyspark.sql.utils import AnalysisException
 from zonecast.sources import roles as R
 
 
+# Parquet relations per (session, path): listing files and reading footers is
+# planning time spent again by every query otherwise.  Like Spark's own file
+# status cache this assumes the folder does not change under a running
+# session; ``clear_scan_cache()`` forgets it.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
+def clear_scan_cache() -> None:
+    _SCANS.clear()
+
+
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
+
+
 class Catalog:
     """name -> DataFrame over one sf folder; base tables and role views."""
 
@@ -23,7 +43,7 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in R.BASE_TABLES:
-                self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._frames[name] = scan(self.spark, f"{self.sf_dir}/{name}.parquet")
             elif name in R.ROLES:
                 deps = {d: self.table(d) for d in R.role_deps(name)}
                 self._frames[name] = self.spark.sql(R.role_sql(name, R.SPARK), **deps)
