@@ -47,6 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage; "
+                               "a machine-local folder does not survive a lost executor")
         configured = tempfile.mkdtemp(prefix="zonecast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -81,3 +81,16 @@ def write_json(df: DataFrame, path: str) -> None:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Reorder and cast to a declared schema, failing on missing columns (S-6)."""
     return df.to(schema)
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, keys: Iterable[str], buckets: int) -> DataFrame:
+    """Write once, bucketed and sorted by ``keys``, and return the table.
+
+    Later aggregations and joins that cluster on (a superset of) ``keys`` read
+    it without a shuffle: e.g. trips bucketed by ``trip_id`` de-duplicate and
+    audit without an exchange, because exact copies share their ``trip_id``.
+    """
+    cols = list(keys)
+    (df.write.mode("overwrite").option("path", path).bucketBy(buckets, *cols).sortBy(*cols)
+     .format("parquet").saveAsTable(name))
+    return df.sparkSession.table(name)
