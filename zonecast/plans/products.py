@@ -75,11 +75,12 @@ def zone_hour_trip_metrics(trips: DataFrame, grain: str | None = "hour") -> Data
                  rnd(F.coalesce(F.sum("_cf"), F.lit(0.0)), 6).alias("completed_revenue")))
 
 
-def fleet_pressure(cat: Catalog, grain: str | None = "hour") -> DataFrame:
-    """Demand x zones, with traffic and trip metrics per zone-hour (D-4)."""
+def fleet_pressure(cat: Catalog, grain: str | None = "hour", trips: DataFrame | None = None) -> DataFrame:
+    """Demand x zones, with traffic and trip metrics per zone-hour (D-4).
+    ``trips``: cleaned trips (default: the cleaned timed trips)."""
     zones = cat["zones"].select("zone_id", "zone_name", "city")
     traffic = cat["traffic"].select("timestamp", "zone_id", "traffic_index")
-    metrics = zone_hour_trip_metrics(timed_clean(cat), grain)
+    metrics = zone_hour_trip_metrics(trips if trips is not None else timed_clean(cat), grain)
     panel = joins.join_dim(cat["demand_supply"], zones, "zone_id", "inner")
     panel = joins.star_assemble(panel, [(traffic, ["timestamp", "zone_id"]),
                                         (metrics, ["timestamp", "zone_id"])])
@@ -89,9 +90,10 @@ def fleet_pressure(cat: Catalog, grain: str | None = "hour") -> DataFrame:
             .withColumn("completed_revenue", rnd(F.coalesce("completed_revenue", F.lit(0.0)), P)))
 
 
-def vehicle_revenue(cat: Catalog) -> DataFrame:
-    """Trips, completed revenue and average fare per vehicle type (D-5)."""
-    t = trips_clean(cat)
+def vehicle_revenue(cat: Catalog, trips: DataFrame | None = None) -> DataFrame:
+    """Trips, completed revenue and average fare per vehicle type (D-5).
+    ``trips``: cleaned trips (default: the cleaned order-line trips)."""
+    t = trips if trips is not None else trips_clean(cat)
     return (t.groupBy("vehicle_type")
             .agg(F.count("trip_id").alias("trips"),
                  rnd(F.sum(_completed_fare()), 2).alias("completed_revenue"),
