@@ -12,9 +12,20 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_FITS: dict[tuple[int, int, int], bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounded size check: counts at most ``max_rows + 1`` rows.
+
+    The answer is remembered per session and plan (``semanticHash``), so a
+    dimension used by several joins is counted once; like the parquet scan
+    cache this assumes inputs do not change under a running session.
+    """
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _FITS:
+        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[key]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
