@@ -48,10 +48,18 @@ def round_half_up(col, digits: int) -> Column:
     return (F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
 
 
-def _fixed(col, scale: int) -> Column:
+def fixed_units(col, scale: int = 6) -> Column:
+    """The value in units of 10^-scale as an exact DECIMAL(38,0)."""
     return F.floor(_c(col) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("decimal(38,0)")
 
 
+_fixed = fixed_units
+
+
+def from_units(col, scale: int = 6) -> Column:
+    return _c(col).cast("double") / F.lit(float(10 ** scale))
+
+
 def fixed_sum(col, scale: int = 6) -> Column:
     """Order-independent sum: values quantised to 10^-scale, summed exactly as
     DECIMAL(38,0), one division.  Every engine and every partitioning gives the

@@ -1,25 +1,25 @@
 """Named SQL queries (S-11, D-20..D-23): a registry of name -> SQL text run
 with ``spark.sql`` over DataFrame arguments, optionally exported as CSV.
 
-The text is the reference's five business queries with three deliberate
+The text is the reference's five business queries with four deliberate
 changes: rounding is ``floor(x * 10^d + 0.5) / 10^d`` on the double (G-9),
-ties in the top-k get explicit keys (G-13), and numeric literals are typed as
-double so Spark does not switch to decimals.
+sums and means of doubles are exact fixed-point aggregates, ties in the top-k
+get explicit keys (G-13), and numeric literals are typed as double so Spark
+does not switch to decimals.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def rnd_sql(expr: str, digits: int) -> str:
-    return f"(CAST(floor(({expr}) * 1e{digits} + 5e-1) AS DOUBLE) / 1e{digits})"
+from zonecast.functions.sqltext import favg, fsum
+from zonecast.functions.sqltext import rnd as rnd_sql
 
 
 _ONE = "CAST(1 AS DOUBLE)"
 _ZERO = "CAST(0 AS DOUBLE)"
 _CANCEL_PCT = rnd_sql(f"100 * AVG(CASE WHEN t.status = 'Cancelled' THEN {_ONE} ELSE {_ZERO} END)", 2)
-_REVENUE = rnd_sql(f"SUM(CASE WHEN t.status = 'Completed' THEN t.fare ELSE {_ZERO} END)", 2)
+_REVENUE = rnd_sql(fsum(f"CASE WHEN t.status = 'Completed' THEN t.fare ELSE {_ZERO} END"), 2)
 
 NAMED_QUERIES: dict[str, str] = {
     "zone_hourly_fleet_pressure": f"""
@@ -38,7 +38,7 @@ FROM (
     "zone_experience_hotspots": f"""
 SELECT z.city, z.zone_name, COUNT(*) AS trips,
        {_CANCEL_PCT} AS cancellation_rate_pct,
-       {rnd_sql('AVG(t.wait_time_min)', 2)} AS avg_wait_time_min,
+       {rnd_sql(favg('t.wait_time_min'), 2)} AS avg_wait_time_min,
        {_REVENUE} AS completed_revenue
 FROM {{trips}} t
 JOIN {{zones}} z ON z.zone_id = t.pickup_zone_id
@@ -48,7 +48,7 @@ ORDER BY cancellation_rate_pct DESC, avg_wait_time_min DESC, trips DESC
     "vehicle_revenue_performance": f"""
 SELECT t.vehicle_type, COUNT(*) AS trips,
        {_REVENUE} AS completed_revenue,
-       {rnd_sql('AVG(t.fare)', 2)} AS avg_fare,
+       {rnd_sql(favg('t.fare'), 2)} AS avg_fare,
        {_CANCEL_PCT} AS cancellation_rate_pct
 FROM {{trips}} t
 GROUP BY t.vehicle_type
@@ -57,7 +57,7 @@ ORDER BY completed_revenue DESC
     "cross_city_corridors": f"""
 SELECT pickup.city || ' → ' || dropoff.city AS corridor,
        COUNT(*) AS trips,
-       {rnd_sql('AVG(t.wait_time_min)', 2)} AS avg_wait_time_min,
+       {rnd_sql(favg('t.wait_time_min'), 2)} AS avg_wait_time_min,
        {_REVENUE} AS completed_revenue
 FROM {{trips}} t
 JOIN {{zones}} pickup ON pickup.zone_id = t.pickup_zone_id
@@ -68,8 +68,8 @@ ORDER BY trips DESC
 """,
     "traffic_customer_experience": f"""
 SELECT tr.congestion_level, COUNT(*) AS trips,
-       {rnd_sql('AVG(t.trip_duration_min)', 2)} AS avg_trip_duration_min,
-       {rnd_sql('AVG(t.wait_time_min)', 2)} AS avg_wait_time_min,
+       {rnd_sql(favg('t.trip_duration_min'), 2)} AS avg_trip_duration_min,
+       {rnd_sql(favg('t.wait_time_min'), 2)} AS avg_wait_time_min,
        {_CANCEL_PCT} AS cancellation_rate_pct
 FROM {{timed_trips}} t
 JOIN {{traffic}} tr

@@ -6,29 +6,16 @@ role views (the inputs) and the five named business queries share text.
 
 from __future__ import annotations
 
+from zonecast.functions.sqltext import favg, fsum, ratio  # noqa: F401  (re-exported)
+from zonecast.functions.sqltext import rnd as r
 from zonecast.sources import roles as R
 from zonecast.sources.roles import TRIP_COLUMNS
 
 
-def r(expr: str, digits: int) -> str:
-    """Same rounding as ``rules.round_half_up``."""
-    return f"(CAST(floor(({expr}) * 1e{digits} + 5e-1) AS DOUBLE) / 1e{digits})"
-
-
 def r4(expr: str) -> str:
     return r(expr, 4)
 
 
-def favg(expr: str, scale: int = 6) -> str:
-    """Same fixed-point mean as ``rules.fixed_avg``."""
-    q = f"CAST(floor(({expr}) * 1e{scale} + 5e-1) AS DECIMAL(38,0))"
-    return f"(CAST(sum({q}) AS DOUBLE) / CAST(count({q}) AS DOUBLE) / 1e{scale})"
-
-
-def ratio(num: str, den: str) -> str:
-    return f"(CAST({num} AS DOUBLE) / CAST(NULLIF({den}, 0) AS DOUBLE))"
-
-
 def _clean(src: str) -> str:
     cols = []
     for c in TRIP_COLUMNS:
@@ -71,12 +58,12 @@ WHERE tr.traffic_index IS NOT NULL AND w.rainfall_mm IS NOT NULL AND w.visibilit
   AND w.weather_condition IS NOT NULL AND t.wait_time_min IS NOT NULL"""),
     "metrics_hour": (("timed_clean",), f"""
 SELECT pickup_zone_id AS zone_id, CAST(date_trunc('hour', request_timestamp) AS TIMESTAMP) AS timestamp,
-       count(*) AS observed_trips, {r('coalesce(sum(' + _CF + '), CAST(0 AS DOUBLE))', 6)} AS completed_revenue
+       count(*) AS observed_trips, coalesce({fsum(_CF)}, CAST(0 AS DOUBLE)) AS completed_revenue
 FROM timed_clean WHERE pickup_zone_id IS NOT NULL AND request_timestamp IS NOT NULL
 GROUP BY 1, 2"""),
     "metrics_exact": (("timed_clean",), f"""
 SELECT pickup_zone_id AS zone_id, request_timestamp AS timestamp,
-       count(*) AS observed_trips, {r('coalesce(sum(' + _CF + '), CAST(0 AS DOUBLE))', 6)} AS completed_revenue
+       count(*) AS observed_trips, coalesce({fsum(_CF)}, CAST(0 AS DOUBLE)) AS completed_revenue
 FROM timed_clean WHERE pickup_zone_id IS NOT NULL AND request_timestamp IS NOT NULL
 GROUP BY 1, 2"""),
     "mix": (("timed_clean",), """
@@ -160,11 +147,11 @@ GROUP BY {_REC_KEYS}""")
 
 _TRIP_MEASURES = f"""count(*) AS trips,
        {r4('avg(' + _CANCEL + ')')} AS cancellation_rate,
-       {r4('avg(wait_time_min)')} AS avg_wait_min,
-       {r4('coalesce(sum(' + _CF + '), CAST(0 AS DOUBLE))')} AS completed_revenue"""
+       {r4(favg('wait_time_min'))} AS avg_wait_min,
+       {r4('coalesce(' + fsum(_CF) + ', CAST(0 AS DOUBLE))')} AS completed_revenue"""
 
 DERIVED["eda_hourly"] = (("timed_clean",), f"""
-SELECT CAST(hour(request_timestamp) AS INTEGER) AS hour, count(*) AS trips, {r4('avg(wait_time_min)')} AS avg_wait_min
+SELECT CAST(hour(request_timestamp) AS INTEGER) AS hour, count(*) AS trips, {r4(favg('wait_time_min'))} AS avg_wait_min
 FROM timed_clean WHERE request_timestamp IS NOT NULL GROUP BY 1""")
 DERIVED["eda_city"] = (("clean_cities",), f"""
 SELECT o.pickup_city, o.position, a.trips, a.cancellation_rate, a.avg_wait_min, a.completed_revenue
@@ -173,8 +160,8 @@ LEFT JOIN (SELECT pickup_city, {_TRIP_MEASURES} FROM clean_cities WHERE pickup_c
            GROUP BY pickup_city) a ON a.pickup_city = o.pickup_city""")
 DERIVED["eda_vehicle"] = (("trips_clean",), f"""
 SELECT vehicle_type, count(*) AS trips,
-       {r4('coalesce(sum(' + _CF + '), CAST(0 AS DOUBLE))')} AS completed_revenue,
-       {r4('avg(fare)')} AS avg_fare
+       {r4('coalesce(' + fsum(_CF) + ', CAST(0 AS DOUBLE))')} AS completed_revenue,
+       {r4(favg('fare'))} AS avg_fare
 FROM trips_clean WHERE vehicle_type IS NOT NULL GROUP BY vehicle_type""")
 DERIVED["eda_zone"] = (("clean_cities",), f"""
 SELECT pickup_zone_id, pickup_zone_name, pickup_city, {_TRIP_MEASURES}
@@ -182,20 +169,20 @@ FROM clean_cities
 WHERE pickup_zone_id IS NOT NULL AND pickup_zone_name IS NOT NULL AND pickup_city IS NOT NULL
 GROUP BY pickup_zone_id, pickup_zone_name, pickup_city""")
 DERIVED["eda_corridors"] = (("clean_cities",), f"""
-SELECT pickup_city, drop_city, count(*) AS trips, {r4('avg(wait_time_min)')} AS avg_wait_min,
-       {r4('coalesce(sum(' + _CF + '), CAST(0 AS DOUBLE))')} AS completed_revenue
+SELECT pickup_city, drop_city, count(*) AS trips, {r4(favg('wait_time_min'))} AS avg_wait_min,
+       {r4('coalesce(' + fsum(_CF) + ', CAST(0 AS DOUBLE))')} AS completed_revenue
 FROM clean_cities
 WHERE is_cross_city AND pickup_city IS NOT NULL AND drop_city IS NOT NULL
 GROUP BY pickup_city, drop_city""")
 DERIVED["by_congestion"] = (("analysis",), f"""
 SELECT congestion_level, count(*) AS trips, {r('avg(cancelled)', 6)} AS cancellation_rate,
-       {r4('avg(wait_time_min)')} AS avg_wait_time_min, {r4('avg(traffic_index)')} AS avg_traffic_index,
+       {r4(favg('wait_time_min'))} AS avg_wait_time_min, {r4(favg('traffic_index'))} AS avg_traffic_index,
        CAST(CASE congestion_level WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3
                                   WHEN 'Severe' THEN 4 END AS INTEGER) AS position
 FROM analysis GROUP BY congestion_level""")
 DERIVED["by_weather"] = (("analysis",), f"""
 SELECT weather_condition, count(*) AS trips, {r('avg(cancelled)', 6)} AS cancellation_rate,
-       {r4('avg(wait_time_min)')} AS avg_wait_time_min, {r4('avg(rainfall_mm)')} AS avg_rainfall_mm
+       {r4(favg('wait_time_min'))} AS avg_wait_time_min, {r4(favg('rainfall_mm'))} AS avg_rainfall_mm
 FROM analysis GROUP BY weather_condition""")
 DERIVED["fleet_pressure"] = (("demand_supply", "zones", "traffic", "metrics_hour"), f"""
 SELECT d.timestamp, d.zone_id, d.ride_requests, d.available_vehicles, d.completed_trips, d.cancelled_trips,

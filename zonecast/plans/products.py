@@ -71,8 +71,8 @@ def zone_hour_trip_metrics(trips: DataFrame, grain: str | None = "hour") -> Data
     return (_drop_null_keys(keyed, ["zone_id", "timestamp"])
             .groupBy("zone_id", "timestamp")
             .agg(F.count(F.lit(1)).alias("observed_trips"),
-                 # money to six decimals: equal sums compare equal whatever the summation order
-                 rnd(F.coalesce(F.sum("_cf"), F.lit(0.0)), 6).alias("completed_revenue")))
+                 # exact fixed-point sum: equal in every engine and partitioning
+                 F.coalesce(RU.fixed_sum("_cf"), F.lit(0.0)).alias("completed_revenue")))
 
 
 def fleet_pressure(cat: Catalog, grain: str | None = "hour", trips: DataFrame | None = None) -> DataFrame:
@@ -96,8 +96,8 @@ def vehicle_revenue(cat: Catalog, trips: DataFrame | None = None) -> DataFrame:
     t = trips if trips is not None else trips_clean(cat)
     return (t.groupBy("vehicle_type")
             .agg(F.count("trip_id").alias("trips"),
-                 rnd(F.sum(_completed_fare()), 2).alias("completed_revenue"),
-                 rnd(F.avg("fare"), 2).alias("avg_fare"))
+                 rnd(RU.fixed_sum(_completed_fare()), 2).alias("completed_revenue"),
+                 rnd(RU.fixed_avg("fare"), 2).alias("avg_fare"))
             .orderBy(F.col("completed_revenue").desc_nulls_last(), "vehicle_type"))
 
 
@@ -175,18 +175,18 @@ def kpis(cat: Catalog) -> DataFrame:
     """Seven whole-table KPIs as (metric, value) rows (D-9, A-9)."""
     t = trips_with_cities(cat["trips"], cat["zones"])
     trip_kpis = t.agg(
-        rnd(F.avg("distance_km"), P).alias("average_distance_km"),
-        rnd(F.avg("fare"), P).alias("average_fare_inr"),
-        rnd(F.avg("wait_time_min"), P).alias("average_wait_min"),
+        rnd(RU.fixed_avg("distance_km"), P).alias("average_distance_km"),
+        rnd(RU.fixed_avg("fare"), P).alias("average_fare_inr"),
+        rnd(RU.fixed_avg("wait_time_min"), P).alias("average_wait_min"),
         rnd(F.avg(RU.is_status("status", RU.CANCELLED)), P).alias("cancellation_rate"),
-        rnd(F.coalesce(F.sum(F.when(F.col("status") == RU.COMPLETED, F.col("fare"))), F.lit(0.0)), P)
+        rnd(F.coalesce(RU.fixed_sum(F.when(F.col("status") == RU.COMPLETED, F.col("fare"))), F.lit(0.0)), P)
         .alias("completed_revenue_inr"),
         rnd(F.avg(F.col("is_cross_city").cast("int")), P).alias("cross_city_trip_share"),
     )
     names = [c for c in trip_kpis.columns]
     long = trip_kpis.unpivot([], names, "metric", "value")
     ds = cat["demand_supply"].agg(
-        rnd(F.avg(RU.safe_ratio("ride_requests", "available_vehicles")), P).alias("value")
+        rnd(RU.fixed_avg(RU.safe_ratio("ride_requests", "available_vehicles")), P).alias("value")
     ).select(F.lit("average_demand_supply_ratio").alias("metric"), "value")
     return long.unionByName(ds)
 
@@ -196,16 +196,16 @@ def raw_city_metrics(cat: Catalog) -> DataFrame:
     t = joins.join_dim(cat["trips"], cat["zones"].select(F.col("zone_id").alias("pickup_zone_id"), "city"),
                        "pickup_zone_id", "left")
     return t.groupBy("city").agg(F.count(F.lit(1)).alias("trips"),
-                                 rnd(F.avg("wait_time_min"), P).alias("avg_wait_min"),
-                                 rnd(F.avg("fare"), P).alias("avg_fare"))
+                                 rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min"),
+                                 rnd(RU.fixed_avg("fare"), P).alias("avg_fare"))
 
 
 def raw_vehicle_metrics(cat: Catalog) -> DataFrame:
     """Per vehicle type on raw trips, null type dropped (D-10, A-12)."""
     t = _drop_null_keys(cat["trips"], ["vehicle_type"])
     return t.groupBy("vehicle_type").agg(F.count(F.lit(1)).alias("trips"),
-                                         rnd(F.avg("fare"), P).alias("avg_fare"),
-                                         rnd(F.avg("wait_time_min"), P).alias("avg_wait_min"))
+                                         rnd(RU.fixed_avg("fare"), P).alias("avg_fare"),
+                                         rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min"))
 
 
 # ------------------------------------------------------ opportunity score
@@ -247,7 +247,8 @@ def zone_hour_vehicle_counts(trips: DataFrame) -> DataFrame:
     match the panel's join keys.
     """
     return trips.groupBy(F.col("pickup_zone_id").alias("zone_id"), F.col("request_timestamp").alias("timestamp"),
-                         "vehicle_type").agg(F.count(F.lit(1)).alias("_n"), F.sum(_completed_fare()).alias("_rev"))
+                         "vehicle_type").agg(F.count(F.lit(1)).alias("_n"),
+                                             F.sum(RU.fixed_units(_completed_fare())).alias("_rev"))
 
 
 def zone_hour_star(cat: Catalog, counts: DataFrame | None = None) -> DataFrame:
@@ -256,7 +257,7 @@ def zone_hour_star(cat: Catalog, counts: DataFrame | None = None) -> DataFrame:
     counts = counts if counts is not None else zone_hour_vehicle_counts(timed_clean(cat))
     metrics = counts.groupBy("zone_id", "timestamp").agg(
         F.sum("_n").alias("observed_trips"),
-        rnd(F.coalesce(F.sum("_rev"), F.lit(0.0)), 6).alias("completed_revenue"))
+        F.coalesce(RU.from_units(F.sum("_rev")), F.lit(0.0)).alias("completed_revenue"))
     mix = ranking.top1_per_group(
         counts.groupBy("zone_id", RU.hour_of_day("timestamp").alias("hour"), "vehicle_type")
         .agg(F.sum("_n").alias("vehicle_type_trips")),
@@ -344,15 +345,15 @@ def _trip_measures(prefix_rate: bool = True):
     return [
         F.count(F.lit(1)).alias("trips"),
         rnd(F.avg(RU.is_status("status", RU.CANCELLED)), P).alias("cancellation_rate"),
-        rnd(F.avg("wait_time_min"), P).alias("avg_wait_min"),
-        rnd(F.coalesce(F.sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"),
+        rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min"),
+        rnd(F.coalesce(RU.fixed_sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"),
     ]
 
 
 def eda_hourly(cat: Catalog) -> DataFrame:
     t = timed_clean(cat).withColumn("hour", RU.hour_of_day("request_timestamp"))
     return (_drop_null_keys(t, ["hour"]).groupBy("hour")
-            .agg(F.count(F.lit(1)).alias("trips"), rnd(F.avg("wait_time_min"), P).alias("avg_wait_min")))
+            .agg(F.count(F.lit(1)).alias("trips"), rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min")))
 
 
 def eda_city(cat: Catalog) -> DataFrame:
@@ -366,8 +367,8 @@ def eda_vehicle(cat: Catalog) -> DataFrame:
     t = _drop_null_keys(trips_clean(cat), ["vehicle_type"])
     return (t.groupBy("vehicle_type")
             .agg(F.count(F.lit(1)).alias("trips"),
-                 rnd(F.coalesce(F.sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"),
-                 rnd(F.avg("fare"), P).alias("avg_fare"))
+                 rnd(F.coalesce(RU.fixed_sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"),
+                 rnd(RU.fixed_avg("fare"), P).alias("avg_fare"))
             .orderBy(F.col("completed_revenue").desc(), "vehicle_type"))
 
 
@@ -381,8 +382,8 @@ def eda_corridors(cat: Catalog) -> DataFrame:
     keys = ["pickup_city", "drop_city"]
     t = _drop_null_keys(eda_trips(cat).where("is_cross_city"), keys)
     return (t.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("trips"), rnd(F.avg("wait_time_min"), P).alias("avg_wait_min"),
-                 rnd(F.coalesce(F.sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"))
+            .agg(F.count(F.lit(1)).alias("trips"), rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min"),
+                 rnd(F.coalesce(RU.fixed_sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"))
             .orderBy(F.col("trips").desc(), *keys))
 
 
@@ -441,8 +442,8 @@ def cancel_by_congestion(cat: Catalog, data: DataFrame | None = None) -> DataFra
     g = a.groupBy("congestion_level").agg(
         F.count(F.lit(1)).alias("trips"),
         rnd(F.avg("cancelled"), 6).alias("cancellation_rate"),
-        rnd(F.avg("wait_time_min"), P).alias("avg_wait_time_min"),
-        rnd(F.avg("traffic_index"), P).alias("avg_traffic_index"))
+        rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_time_min"),
+        rnd(RU.fixed_avg("traffic_index"), P).alias("avg_traffic_index"))
     return ranking.explicit_order(g, "congestion_level", CONGESTION_ORDER).orderBy(
         F.col("position").asc_nulls_last(), "congestion_level")
 
@@ -452,8 +453,8 @@ def cancel_by_weather(cat: Catalog, data: DataFrame | None = None) -> DataFrame:
     return a.groupBy("weather_condition").agg(
         F.count(F.lit(1)).alias("trips"),
         rnd(F.avg("cancelled"), 6).alias("cancellation_rate"),
-        rnd(F.avg("wait_time_min"), P).alias("avg_wait_time_min"),
-        rnd(F.avg("rainfall_mm"), P).alias("avg_rainfall_mm"),
+        rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_time_min"),
+        rnd(RU.fixed_avg("rainfall_mm"), P).alias("avg_rainfall_mm"),
     ).orderBy(F.col("cancellation_rate").desc(), "weather_condition")
 
 

@@ -19,6 +19,7 @@ from zonecast.functions.rules import round_half_up as rnd
 from zonecast.operators import cleaning, joins, quality, ranking
 from zonecast.plans import named_sql
 from zonecast.plans import products as PR
+from zonecast.functions.sqltext import favg, fsum
 from zonecast.plans.oracle import _CANCEL, _CF, r, r4, ratio, with_ctes
 from zonecast.session import ensure_checkpoint_dir, scratch_path
 from zonecast.sources import sinks
@@ -154,12 +155,12 @@ def _parse_ts(cat):
 
 
 @entry("completed_revenue_total", ["trips_clean"],
-       f"SELECT {r4('coalesce(sum(fare), CAST(0 AS DOUBLE))')} AS completed_revenue "
+       f"SELECT {r4('coalesce(' + fsum('fare') + ', CAST(0 AS DOUBLE))')} AS completed_revenue "
        "FROM trips_clean WHERE status = 'Completed'")
 def _completed_total(cat):
     """P-11: row filter on status, then a whole-table sum."""
     t = PR.trips_clean(cat).where(F.col("status") == RU.COMPLETED)
-    return t.agg(rnd(F.coalesce(F.sum("fare"), F.lit(0.0)), PR.P).alias("completed_revenue"))
+    return t.agg(rnd(F.coalesce(RU.fixed_sum("fare"), F.lit(0.0)), PR.P).alias("completed_revenue"))
 
 
 @entry("cross_group_flag", ["trip_cities"],
@@ -334,25 +335,25 @@ def _group_count_nn(cat):
 
 
 @entry("group_sum", ["trips_clean"],
-       f"SELECT vehicle_type, {r4('sum(fare)')} AS total_fare FROM trips_clean GROUP BY vehicle_type")
+       f"SELECT vehicle_type, {r4(fsum('fare'))} AS total_fare FROM trips_clean GROUP BY vehicle_type")
 def _group_sum(cat):
     """A-3."""
-    return PR.trips_clean(cat).groupBy("vehicle_type").agg(rnd(F.sum("fare"), PR.P).alias("total_fare"))
+    return PR.trips_clean(cat).groupBy("vehicle_type").agg(rnd(RU.fixed_sum("fare"), PR.P).alias("total_fare"))
 
 
 @entry("group_mean", ["trips_clean"],
-       f"SELECT vehicle_type, {r4('avg(wait_time_min)')} AS avg_wait_min FROM trips_clean GROUP BY vehicle_type")
+       f"SELECT vehicle_type, {r4(favg('wait_time_min'))} AS avg_wait_min FROM trips_clean GROUP BY vehicle_type")
 def _group_mean(cat):
     """A-4: mean skipping nulls."""
-    return PR.trips_clean(cat).groupBy("vehicle_type").agg(rnd(F.avg("wait_time_min"), PR.P).alias("avg_wait_min"))
+    return PR.trips_clean(cat).groupBy("vehicle_type").agg(rnd(RU.fixed_avg("wait_time_min"), PR.P).alias("avg_wait_min"))
 
 
 @entry("conditional_sum", ["trips_clean"],
-       f"SELECT pickup_zone_id, {r4('sum(' + _CF + ')')} AS completed_revenue FROM trips_clean "
+       f"SELECT pickup_zone_id, {r4(fsum(_CF))} AS completed_revenue FROM trips_clean "
        "GROUP BY pickup_zone_id")
 def _cond_sum(cat):
     """A-5: sum of fare where completed, else 0."""
-    return _by_zone(cat, rnd(F.sum(RU.value_if(F.col("status") == RU.COMPLETED, F.col("fare"))), PR.P)
+    return _by_zone(cat, rnd(RU.fixed_sum(RU.value_if(F.col("status") == RU.COMPLETED, F.col("fare"))), PR.P)
                     .alias("completed_revenue"))
 
 
@@ -373,12 +374,12 @@ def _cond_count(cat):
 
 
 @entry("mean_of_ratios", ["demand_supply"],
-       f"SELECT zone_id, {r4('avg(' + ratio('ride_requests', 'available_vehicles') + ')')} AS avg_demand_supply_ratio "
+       f"SELECT zone_id, {r4(favg(ratio('ride_requests', 'available_vehicles')))} AS avg_demand_supply_ratio "
        "FROM demand_supply GROUP BY zone_id")
 def _mean_ratios(cat):
     """A-8: mean of row ratios, not a ratio of sums."""
     return cat["demand_supply"].groupBy("zone_id").agg(
-        rnd(F.avg(RU.safe_ratio("ride_requests", "available_vehicles")), PR.P).alias("avg_demand_supply_ratio"))
+        rnd(RU.fixed_avg(RU.safe_ratio("ride_requests", "available_vehicles")), PR.P).alias("avg_demand_supply_ratio"))
 
 
 @entry("group_multi_key", ["trips_clean"],
@@ -563,8 +564,8 @@ def _fleet(cat):
 
 
 @entry("vehicle_revenue", ["trips_clean"], f"""
-SELECT vehicle_type, count(trip_id) AS trips, {r('sum(' + _CF + ')', 2)} AS completed_revenue,
-       {r('avg(fare)', 2)} AS avg_fare
+SELECT vehicle_type, count(trip_id) AS trips, {r(fsum(_CF), 2)} AS completed_revenue,
+       {r(favg('fare'), 2)} AS avg_fare
 FROM trips_clean GROUP BY vehicle_type""")
 def _vehicle_revenue(cat):
     """D-5."""
@@ -668,13 +669,13 @@ def _outcome(cat):
 
 
 @entry("kpis", ["trip_cities", "demand_supply"], f"""
-SELECT 'average_distance_km' AS metric, {r4('avg(distance_km)')} AS value FROM trip_cities
-UNION ALL SELECT 'average_fare_inr', {r4('avg(fare)')} FROM trip_cities
-UNION ALL SELECT 'average_wait_min', {r4('avg(wait_time_min)')} FROM trip_cities
+SELECT 'average_distance_km' AS metric, {r4(favg('distance_km'))} AS value FROM trip_cities
+UNION ALL SELECT 'average_fare_inr', {r4(favg('fare'))} FROM trip_cities
+UNION ALL SELECT 'average_wait_min', {r4(favg('wait_time_min'))} FROM trip_cities
 UNION ALL SELECT 'cancellation_rate', {r4('avg(' + _CANCEL + ')')} FROM trip_cities
-UNION ALL SELECT 'completed_revenue_inr', {r4("coalesce(sum(CASE WHEN status = 'Completed' THEN fare END), CAST(0 AS DOUBLE))")} FROM trip_cities
+UNION ALL SELECT 'completed_revenue_inr', {r4('coalesce(' + fsum("CASE WHEN status = 'Completed' THEN fare END") + ', CAST(0 AS DOUBLE))')} FROM trip_cities
 UNION ALL SELECT 'cross_city_trip_share', {r4('avg(CAST(is_cross_city AS INTEGER))')} FROM trip_cities
-UNION ALL SELECT 'average_demand_supply_ratio', {r4('avg(' + ratio('ride_requests', 'available_vehicles') + ')')}
+UNION ALL SELECT 'average_demand_supply_ratio', {r4(favg(ratio('ride_requests', 'available_vehicles')))}
           FROM demand_supply""")
 def _kpis(cat):
     """D-9: seven whole-table KPIs."""
@@ -682,7 +683,7 @@ def _kpis(cat):
 
 
 @entry("raw_city_metrics", ["trips", "zones"], f"""
-SELECT z.city, count(*) AS trips, {r4('avg(t.wait_time_min)')} AS avg_wait_min, {r4('avg(t.fare)')} AS avg_fare
+SELECT z.city, count(*) AS trips, {r4(favg('t.wait_time_min'))} AS avg_wait_min, {r4(favg('t.fare'))} AS avg_fare
 FROM trips t LEFT JOIN zones z ON z.zone_id = t.pickup_zone_id GROUP BY z.city""")
 def _raw_city(cat):
     """D-10 city metrics (null city kept)."""
@@ -690,7 +691,7 @@ def _raw_city(cat):
 
 
 @entry("raw_vehicle_metrics", ["trips"], f"""
-SELECT vehicle_type, count(*) AS trips, {r4('avg(fare)')} AS avg_fare, {r4('avg(wait_time_min)')} AS avg_wait_min
+SELECT vehicle_type, count(*) AS trips, {r4(favg('fare'))} AS avg_fare, {r4(favg('wait_time_min'))} AS avg_wait_min
 FROM trips WHERE vehicle_type IS NOT NULL GROUP BY vehicle_type""")
 def _raw_vehicle(cat):
     """D-10 vehicle metrics (null type dropped)."""
@@ -892,8 +893,8 @@ def _gates(cat):
 # ------------------------------------------------------------ sink trips
 
 @entry("sink_csv_roundtrip", ["trips_clean"], f"""
-SELECT vehicle_type, count(trip_id) AS trips, {r('sum(' + _CF + ')', 2)} AS completed_revenue,
-       {r('avg(fare)', 2)} AS avg_fare
+SELECT vehicle_type, count(trip_id) AS trips, {r(fsum(_CF), 2)} AS completed_revenue,
+       {r(favg('fare'), 2)} AS avg_fare
 FROM trips_clean GROUP BY vehicle_type""")
 def _sink_csv(cat):
     """S-7: CSV out, read back with a declared schema."""
