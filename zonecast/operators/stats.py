@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
@@ -64,50 +65,72 @@ def _term_names(model_df: DataFrame, features_col: str, factor_cols: Sequence[st
     return names
 
 
-def logit_fit(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str] = (),
-              max_iter: int = 50):
-    """Binomial GLM, logit link, no regularisation.  Factor levels are
-    treatment-coded with the alphabetically first level as the baseline (as R
-    does): ``alphabetDesc`` indexing plus the encoder's drop-last."""
+def _prepared(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str]):
     rhs = " + ".join([*numeric, *factors])
     formula = RFormula(formula=f"{label} ~ {rhs}", featuresCol="features", labelCol="_label",
                        stringIndexerOrderType="alphabetDesc")
-    cols = [label, *numeric, *factors]
-    data = df.select(*cols).withColumn(label, F.col(label).cast("double"))
+    data = df.select(label, *numeric, *factors).withColumn(label, F.col(label).cast("double"))
     for f in factors:
         if data.select(f).distinct().limit(2).count() < 2:
             raise ValueError(f"factor {f!r} needs at least two levels")
-    fitted_formula = formula.fit(data)
-    prepared = fitted_formula.transform(data)
+    prepared = formula.fit(data).transform(data).select("_label", "features")
+    return prepared, _term_names(prepared, "features", factors)
+
+
+def _fit(prepared: DataFrame, max_iter: int):
     glm = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0,
                                       maxIter=max_iter, featuresCol="features", labelCol="_label")
-    model = glm.fit(prepared)
-    return model, _term_names(prepared, "features", factors)
+    return glm.fit(prepared)
+
+
+def logit_fit(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str] = (),
+              max_iter: int = 50):
+    """Binomial GLM, logit link, no regularisation.  Factor levels are
+    treatment-coded with the alphabetically first level as the baseline (as R
+    does): ``alphabetDesc`` indexing plus the encoder's drop-last.
+
+    Returns (model, term names).  Callers that read the summary after this
+    returns recompute the input; the table functions below keep it persisted.
+    """
+    prepared, names = _prepared(df, label, numeric, factors)
+    return _fit(prepared, max_iter), names
 
 
-def logit_coefficients(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str] = ()) -> DataFrame:
+def logit_coefficients(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str] = (),
+                       max_iter: int = 50) -> DataFrame:
     """term, estimate, std_error, z_value, p_value, odds_ratio (L-3).
 
-    The coefficient table has one row per model term (bounded by the number of
-    features), built from the model summary on the driver.
+    IRLS reads the data once per iteration, so the (label, features) frame is
+    persisted for the fit and released after.  The table has one row per
+    model term (bounded by the number of features).
     """
-    model, names = logit_fit(df, label, numeric, factors)
-    s = model.summary
-    se, z, p = s.coefficientStandardErrors, s.tValues, s.pValues
-    rows = [("(Intercept)", float(model.intercept), float(se[-1]), float(z[-1]), float(p[-1]),
-             math.exp(float(model.intercept)))]
-    for i, name in enumerate(names):
-        est = float(model.coefficients[i])
-        rows.append((name, est, float(se[i]), float(z[i]), float(p[i]), math.exp(est)))
+    prepared, names = _prepared(df, label, numeric, factors)
+    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = _fit(prepared, max_iter)
+        s = model.summary
+        se, z, p = s.coefficientStandardErrors, s.tValues, s.pValues
+        rows = [("(Intercept)", float(model.intercept), float(se[-1]), float(z[-1]), float(p[-1]),
+                 math.exp(float(model.intercept)))]
+        for i, name in enumerate(names):
+            est = float(model.coefficients[i])
+            rows.append((name, est, float(se[i]), float(z[i]), float(p[i]), math.exp(est)))
+    finally:
+        prepared.unpersist()
     return df.sparkSession.createDataFrame(
         rows, "term string, estimate double, std_error double, z_value double, p_value double, odds_ratio double")
 
 
-def logit_fit_summary(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str] = ()) -> DataFrame:
+def logit_fit_summary(df: DataFrame, label: str, numeric: Sequence[str], factors: Sequence[str] = (),
+                      max_iter: int = 50) -> DataFrame:
     """Fit diagnostics: rows used, iterations, deviance, null deviance, AIC (L-2)."""
-    model, _ = logit_fit(df, label, numeric, factors)
-    s = model.summary
-    rows = [(int(s.numInstances), int(s.numIterations), float(s.deviance), float(s.nullDeviance),
-             float(s.aic), int(s.degreesOfFreedom))]
+    prepared, _ = _prepared(df, label, numeric, factors)
+    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        s = _fit(prepared, max_iter).summary
+        rows = [(int(s.numInstances), int(s.numIterations), float(s.deviance), float(s.nullDeviance),
+                 float(s.aic), int(s.degreesOfFreedom))]
+    finally:
+        prepared.unpersist()
     return df.sparkSession.createDataFrame(
         rows, "rows bigint, iterations int, deviance double, null_deviance double, aic double, residual_df bigint")
