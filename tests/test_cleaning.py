@@ -70,3 +70,16 @@ def test_unknown_policy_fails(spark):
     import pytest
     with pytest.raises(ValueError):
         cleaning.clean_trips(messy(spark), null_policy="maybe")
+
+
+def test_keep_filter_reaches_parquet(spark, capsys):
+    from zonecast.session import scratch_path
+    path = scratch_path(spark, "trips-parquet")
+    messy(spark).write.parquet(path)
+    out = cleaning.clean_trips(spark.read.parquet(path))
+    capsys.readouterr()
+    out.explain()
+    plan = capsys.readouterr().out
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
+    assert "GreaterThan(distance_km,0.0)" in pushed and "IsNull(distance_km)" in pushed
+    assert out.count() == 12

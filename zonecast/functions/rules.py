@@ -53,9 +53,6 @@ def fixed_units(col, scale: int = 6) -> Column:
     return F.floor(_c(col) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("decimal(38,0)")
 
 
-_fixed = fixed_units
-
-
 def from_units(col, scale: int = 6) -> Column:
     return _c(col).cast("double") / F.lit(float(10 ** scale))
 
@@ -64,12 +61,12 @@ def fixed_sum(col, scale: int = 6) -> Column:
     """Order-independent sum: values quantised to 10^-scale, summed exactly as
     DECIMAL(38,0), one division.  Every engine and every partitioning gives the
     same bits, so rounding the result is stable."""
-    return F.sum(_fixed(col, scale)).cast("double") / F.lit(float(10 ** scale))
+    return F.sum(fixed_units(col, scale)).cast("double") / F.lit(float(10 ** scale))
 
 
 def fixed_avg(col, scale: int = 6) -> Column:
     """Order-independent mean (see ``fixed_sum``); null when no value is present."""
-    q = _fixed(col, scale)
+    q = fixed_units(col, scale)
     n = F.count(q)
     return F.when(n > 0, F.sum(q).cast("double") / n.cast("double") / F.lit(float(10 ** scale)))
 
@@ -89,6 +86,17 @@ def non_positive_any(cols: Sequence[str]) -> Column:
     return cond
 
 
+def positive_or_null(cols: Sequence[str]) -> Column:
+    """Keep form of the pandas mask: every column is > 0 or null.  Same rows as
+    ``~non_positive_any`` (NaN sorts above every number in Spark), written so
+    parquet can push it down and skip row groups."""
+    cond = None
+    for c in cols:
+        term = (F.col(c) > 0) | F.col(c).isNull()
+        cond = term if cond is None else (cond & term)
+    return cond
+
+
 def positive_all(cols: Sequence[str]) -> Column:
     """True only when every column is > 0; a null drops the row (Spark form, G-1)."""
     cond = None

@@ -49,9 +49,10 @@ def clean_trips(trips: DataFrame, measures: Sequence[str] = ("distance_km", "far
     The duplicate removal hashes all columns (one shuffle); a row copied many
     times collapses in the map-side partial aggregate.
     """
+    keep = RU.positive_or_null(measures) if null_policy == "keep" else ~invalid_measure(measures, null_policy)
     return (
         trips.dropDuplicates()
-        .where(~invalid_measure(measures, null_policy))
+        .where(keep)
         .withColumn(payment_col, RU.canonical_label(payment_col, RU.PAYMENT_CANONICAL))
         .withColumn(discount_col, F.coalesce(F.col(discount_col), F.lit(0.0)))
         .withColumn(flag_col, RU.presence_flag(driver_col))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from zonecast.operators.joins import orphan_counts
 
 
-def _union_all(frames: Sequence[DataFrame]) -> DataFrame:
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -51,7 +51,7 @@ def table_profile(name: str, df: DataFrame) -> DataFrame:
 
 
 def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union_all([table_profile(n, df) for n, df in tables.items()])
+    return union_all([table_profile(n, df) for n, df in tables.items()])
 
 
 def missing_by_column(name: str, df: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def missing_by_column(name: str, df: DataFrame) -> DataFrame:
 
 
 def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union_all([missing_by_column(n, df) for n, df in tables.items()])
+    return union_all([missing_by_column(n, df) for n, df in tables.items()])
 
 
 def fk_integrity(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
@@ -74,7 +74,7 @@ def fk_integrity(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]
 
     ``relations``: (label, child, child_key, parent, parent_key).
     """
-    return _union_all([
+    return union_all([
         orphan_counts(child, ck, parent, pk).select(F.lit(label).alias("relationship"), "*")
         for label, child, ck, parent, pk in relations
     ])
@@ -92,7 +92,7 @@ def rule_failures(dataset: str, df: DataFrame, rules: Sequence[tuple[str, object
 
 
 def quality_checks(rule_sets: Sequence[tuple[str, DataFrame, Sequence[tuple[str, object]]]]) -> DataFrame:
-    return _union_all([rule_failures(ds, df, rules) for ds, df, rules in rule_sets])
+    return union_all([rule_failures(ds, df, rules) for ds, df, rules in rule_sets])
 
 
 def validation_outcome(integrity: DataFrame, quality: DataFrame) -> DataFrame:

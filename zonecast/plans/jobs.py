@@ -75,7 +75,7 @@ def sql_job(spark: SparkSession, data_dir: str, out_dir: str) -> dict:
     frames = {"demand_supply": cat["demand_supply"], "zones": cat["zones"], "traffic": cat["traffic"],
               "trips": PR.trips_clean(cat), "timed_trips": PR.timed_clean(cat)}
     named_sql.run_all(spark, frames, _out(out_dir, "queries"))
-    manifest = quality._union_all([
+    manifest = quality.union_all([
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
         for n, df in (("trips", frames["trips"]), ("demand_supply", frames["demand_supply"]),
                       ("traffic", frames["traffic"]))])

@@ -66,7 +66,7 @@ def _catalog_row_counts(cat):
               for n, df in base.items()]
     frames += [cat[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
                for t in _COUNTED_ROLES]
-    return quality._union_all(frames)
+    return quality.union_all(frames)
 
 
 DEMAND_SCHEMA = StructType([
@@ -107,7 +107,7 @@ _TRIPS_NOT_BAD = "NOT (coalesce(distance_km <= 0, false) OR coalesce(fare <= 0,
 @entry("filter_positive_keep_null", ["trips_messy"], f"SELECT * FROM trips_messy WHERE {_TRIPS_NOT_BAD}")
 def _filter_keep(cat):
     """P-3, pandas form: a null measure survives."""
-    return cat["trips_messy"].where(~cleaning.invalid_measure(["distance_km", "fare"], "keep"))
+    return cat["trips_messy"].where(RU.positive_or_null(["distance_km", "fare"]))
 
 
 @entry("filter_positive_drop_null", ["trips_messy"],
