@@ -341,13 +341,47 @@ def eda_trips(cat: Catalog) -> DataFrame:
     return trips_with_cities(trips_clean(cat), cat["zones"])
 
 
-def _trip_measures(prefix_rate: bool = True):
-    return [
-        F.count(F.lit(1)).alias("trips"),
-        rnd(F.avg(RU.is_status("status", RU.CANCELLED)), P).alias("cancellation_rate"),
-        rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min"),
-        rnd(F.coalesce(RU.fixed_sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"),
-    ]
+def eda_base(cat: Catalog, trips: DataFrame | None = None) -> DataFrame:
+    """One pre-aggregate of the cleaned trips that every zone, city, vehicle and
+    corridor table re-aggregates: per (pickup zone, drop zone, vehicle type)
+    the trip and cancellation counts and exact fixed-point partial sums.
+
+    Trips are shuffled once, to this grain; the zone joins then run on the
+    aggregate, not on every trip row.  Null keys stay as groups.
+    """
+    t = trips if trips is not None else trips_clean(cat)
+    return t.groupBy("pickup_zone_id", "drop_zone_id", "vehicle_type").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("status") == RU.CANCELLED).alias("_cancel"),
+        F.sum(RU.fixed_units("wait_time_min")).alias("_wait_u"), F.count("wait_time_min").alias("_wait_n"),
+        F.sum(RU.fixed_units("fare")).alias("_fare_u"), F.count("fare").alias("_fare_n"),
+        F.sum(RU.fixed_units(_completed_fare())).alias("_rev_u"))
+
+
+def _mean_units(units: str, n: str):
+    """Same arithmetic as ``rules.fixed_avg`` from summed units and counts."""
+    total_n = F.sum(n)
+    return F.when(total_n > 0, F.sum(units).cast("double") / total_n.cast("double") / F.lit(1e6))
+
+
+def _base_measures(*names: str):
+    m = {
+        "trips": F.sum("_n").alias("trips"),
+        "cancellation_rate": rnd(F.sum("_cancel").cast("double") / F.sum("_n").cast("double"), P)
+        .alias("cancellation_rate"),
+        "avg_wait_min": rnd(_mean_units("_wait_u", "_wait_n"), P).alias("avg_wait_min"),
+        "avg_fare": rnd(_mean_units("_fare_u", "_fare_n"), P).alias("avg_fare"),
+        "completed_revenue": rnd(F.coalesce(RU.from_units(F.sum("_rev_u")), F.lit(0.0)), P)
+        .alias("completed_revenue"),
+    }
+    return [m[n] for n in names]
+
+
+_TRIP_MEASURES = ("trips", "cancellation_rate", "avg_wait_min", "completed_revenue")
+
+
+def _base_with_cities(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
+    return trips_with_cities(base if base is not None else eda_base(cat), cat["zones"])
 
 
 def eda_hourly(cat: Catalog) -> DataFrame:
@@ -356,34 +390,29 @@ def eda_hourly(cat: Catalog) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("trips"), rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min")))
 
 
-def eda_city(cat: Catalog) -> DataFrame:
+def eda_city(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
     """Per pickup city, reindexed to the fixed city list (D-16, J-11, O-5)."""
-    t = _drop_null_keys(eda_trips(cat), ["pickup_city"])
-    agg = t.groupBy("pickup_city").agg(*_trip_measures())
+    t = _drop_null_keys(_base_with_cities(cat, base), ["pickup_city"])
+    agg = t.groupBy("pickup_city").agg(*_base_measures(*_TRIP_MEASURES))
     return joins.reindex_categories(agg, "pickup_city", CITY_ORDER)
 
 
-def eda_vehicle(cat: Catalog) -> DataFrame:
-    t = _drop_null_keys(trips_clean(cat), ["vehicle_type"])
-    return (t.groupBy("vehicle_type")
-            .agg(F.count(F.lit(1)).alias("trips"),
-                 rnd(F.coalesce(RU.fixed_sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"),
-                 rnd(RU.fixed_avg("fare"), P).alias("avg_fare"))
+def eda_vehicle(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
+    b = _drop_null_keys(base if base is not None else eda_base(cat), ["vehicle_type"])
+    return (b.groupBy("vehicle_type").agg(*_base_measures("trips", "completed_revenue", "avg_fare"))
             .orderBy(F.col("completed_revenue").desc(), "vehicle_type"))
 
 
-def eda_zone(cat: Catalog) -> DataFrame:
+def eda_zone(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
     keys = ["pickup_zone_id", "pickup_zone_name", "pickup_city"]
-    t = _drop_null_keys(eda_trips(cat), keys)
-    return t.groupBy(*keys).agg(*_trip_measures()).orderBy(F.col("trips").desc(), "pickup_zone_id")
+    t = _drop_null_keys(_base_with_cities(cat, base), keys)
+    return t.groupBy(*keys).agg(*_base_measures(*_TRIP_MEASURES)).orderBy(F.col("trips").desc(), "pickup_zone_id")
 
 
-def eda_corridors(cat: Catalog) -> DataFrame:
+def eda_corridors(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
     keys = ["pickup_city", "drop_city"]
-    t = _drop_null_keys(eda_trips(cat).where("is_cross_city"), keys)
-    return (t.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("trips"), rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_min"),
-                 rnd(F.coalesce(RU.fixed_sum(_completed_fare()), F.lit(0.0)), P).alias("completed_revenue"))
+    t = _drop_null_keys(_base_with_cities(cat, base).where("is_cross_city"), keys)
+    return (t.groupBy(*keys).agg(*_base_measures("trips", "avg_wait_min", "completed_revenue"))
             .orderBy(F.col("trips").desc(), *keys))
 
 
@@ -393,23 +422,31 @@ def eda_corridors_top6(cat: Catalog, k: int = 6) -> DataFrame:
 
 
 def headline_findings(cat: Catalog) -> DataFrame:
-    """EDA headline as (finding, rank, label, value) rows (D-19)."""
+    """EDA headline as (finding, rank, label, value) rows (D-19).
+
+    Six findings read the same trip pre-aggregate; it is checkpointed once
+    (it is small: zone pairs x vehicle types) instead of cleaning the trips
+    once per finding."""
     def row(df, finding, label, value, rank=None):
         return df.select(F.lit(finding).alias("finding"),
                          (F.col(rank) if rank else F.lit(1)).cast("int").alias("rank"),
                          F.col(label).cast("string").alias("label"),
                          F.col(value).cast("double").alias("value"))
 
+    ensure_checkpoint_dir(cat.spark)
+    base = eda_base(cat).checkpoint(eager=True)
     hourly = eda_hourly(cat)
     peak = row(ranking.arg_extreme(hourly, "trips", ["hour"]), "peak_hour", "hour", "trips")
-    city = eda_city(cat)
+    city = eda_city(cat, base)
     market = row(ranking.arg_extreme(city, "trips", ["position"]), "largest_market", "pickup_city", "trips")
-    veh = row(ranking.arg_extreme(eda_vehicle(cat), "completed_revenue", ["vehicle_type"]),
+    veh = row(ranking.arg_extreme(eda_vehicle(cat, base), "completed_revenue", ["vehicle_type"]),
               "top_revenue_vehicle", "vehicle_type", "completed_revenue")
-    share = eda_trips(cat).agg(rnd(F.avg(F.col("is_cross_city").cast("int")), P).alias("value")) \
+    cross = _base_with_cities(cat, base)
+    share = cross.agg(rnd(F.sum(F.when(F.col("is_cross_city"), F.col("_n")).otherwise(F.lit(0))).cast("double")
+                          / F.sum("_n").cast("double"), P).alias("value")) \
         .select(F.lit("cross_city_share").alias("finding"), F.lit(1).alias("rank"),
                 F.lit(None).cast("string").alias("label"), "value")
-    zone = eda_zone(cat)
+    zone = eda_zone(cat, base)
     top_demand = row(ranking.nlargest(zone, "trips", 5, ["pickup_zone_id"]), "top_demand_zone",
                      "pickup_zone_name", "trips", "rank")
     top_wait = row(ranking.nlargest(zone, "avg_wait_min", 5, ["pickup_zone_id"]), "longest_wait_zone",
