@@ -109,8 +109,9 @@ def study_job(spark: SparkSession, data_dir: str, out_dir: str, sample_size: int
     n = data.count()
     if n == 0:
         raise ValueError("no trip matched traffic and weather data")
-    sinks.write_csv(PR.cancel_by_congestion(cat, data), _out(out_dir, "cancellation_by_congestion"))
-    sinks.write_csv(PR.cancel_by_weather(cat, data), _out(out_dir, "cancellation_by_weather"))
+    base = PR.study_base(cat, data)
+    sinks.write_csv(PR.cancel_by_congestion(cat, base), _out(out_dir, "cancellation_by_congestion"))
+    sinks.write_csv(PR.cancel_by_weather(cat, base), _out(out_dir, "cancellation_by_weather"))
     model_data = stats.seeded_sample(data, "trip_id", sample_size) if sample_size else data
     coef = stats.logit_coefficients(model_data, "cancelled", PR.MODEL_NUMERIC, PR.MODEL_FACTORS)
     sinks.write_csv(coef, _out(out_dir, "cancellation_logistic_regression"))

@@ -474,25 +474,36 @@ def analysis_set(cat: Catalog) -> DataFrame:
                              "wait_time_min"])
 
 
-def cancel_by_congestion(cat: Catalog, data: DataFrame | None = None) -> DataFrame:
+def study_base(cat: Catalog, data: DataFrame | None = None) -> DataFrame:
+    """Pre-aggregate of the analysis set per (congestion level, weather
+    condition): both summaries re-aggregate it, so the trip-level join runs
+    once.  Partial sums are exact fixed-point units."""
     a = data if data is not None else analysis_set(cat)
-    g = a.groupBy("congestion_level").agg(
-        F.count(F.lit(1)).alias("trips"),
-        rnd(F.avg("cancelled"), 6).alias("cancellation_rate"),
-        rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_time_min"),
-        rnd(RU.fixed_avg("traffic_index"), P).alias("avg_traffic_index"))
+    return a.groupBy("congestion_level", "weather_condition").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("cancelled").alias("_cancel"),
+        F.sum(RU.fixed_units("wait_time_min")).alias("_wait_u"), F.count("wait_time_min").alias("_wait_n"),
+        F.sum(RU.fixed_units("traffic_index")).alias("_traffic_u"), F.count("traffic_index").alias("_traffic_n"),
+        F.sum(RU.fixed_units("rainfall_mm")).alias("_rain_u"), F.count("rainfall_mm").alias("_rain_n"))
+
+
+def _study_measures(extra_units: str, extra_n: str, extra_name: str):
+    return [F.sum("_n").alias("trips"),
+            rnd(F.sum("_cancel").cast("double") / F.sum("_n").cast("double"), 6).alias("cancellation_rate"),
+            rnd(_mean_units("_wait_u", "_wait_n"), P).alias("avg_wait_time_min"),
+            rnd(_mean_units(extra_units, extra_n), P).alias(extra_name)]
+
+
+def cancel_by_congestion(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
+    b = base if base is not None else study_base(cat)
+    g = b.groupBy("congestion_level").agg(*_study_measures("_traffic_u", "_traffic_n", "avg_traffic_index"))
     return ranking.explicit_order(g, "congestion_level", CONGESTION_ORDER).orderBy(
         F.col("position").asc_nulls_last(), "congestion_level")
 
 
-def cancel_by_weather(cat: Catalog, data: DataFrame | None = None) -> DataFrame:
-    a = data if data is not None else analysis_set(cat)
-    return a.groupBy("weather_condition").agg(
-        F.count(F.lit(1)).alias("trips"),
-        rnd(F.avg("cancelled"), 6).alias("cancellation_rate"),
-        rnd(RU.fixed_avg("wait_time_min"), P).alias("avg_wait_time_min"),
-        rnd(RU.fixed_avg("rainfall_mm"), P).alias("avg_rainfall_mm"),
-    ).orderBy(F.col("cancellation_rate").desc(), "weather_condition")
+def cancel_by_weather(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
+    b = base if base is not None else study_base(cat)
+    return b.groupBy("weather_condition").agg(*_study_measures("_rain_u", "_rain_n", "avg_rainfall_mm")) \
+        .orderBy(F.col("cancellation_rate").desc(), "weather_condition")
 
 
 MODEL_NUMERIC = ("traffic_index", "rainfall_mm", "visibility_km")
@@ -519,9 +530,10 @@ def study_headline(cat: Catalog) -> DataFrame:
     """Highest and lowest congestion level by cancellation, the gap in
     percentage points, and the worst weather (D-28); the odds ratio is in
     ``logit_coefficients``."""
-    a = analysis_set(cat)
-    cong = cancel_by_congestion(cat, a)
-    wea = cancel_by_weather(cat, a)
+    ensure_checkpoint_dir(cat.spark)
+    base = study_base(cat).checkpoint(eager=True)  # levels x conditions rows
+    cong = cancel_by_congestion(cat, base)
+    wea = cancel_by_weather(cat, base)
     hi = cong.orderBy(F.col("cancellation_rate").desc(), F.col("position").asc_nulls_last(), "congestion_level").limit(1)
     lo = cong.orderBy(F.col("cancellation_rate").asc(), F.col("position").asc_nulls_last(), "congestion_level").limit(1)
     w = wea.orderBy(F.col("cancellation_rate").desc(), "weather_condition").limit(1)
