@@ -58,3 +58,15 @@ def test_rule_failures_ignore_null_and_gates(spark):
     import pytest
     with pytest.raises(AssertionError):
         quality.assert_gates(quality.gate("g", df, F.col("x") < 0))
+
+
+def test_fk_integrity_one_pass_per_child_matches_per_relation(spark):
+    child = spark.createDataFrame([("1", "a"), ("2", None), (None, "z"), ("9", "a")], "p string, q string")
+    parent_p = spark.createDataFrame([("1",), ("2",)], "id string")
+    parent_q = spark.createDataFrame([("a",), (None,)], "id string")
+    rels = [("c.p -> P", child, "p", parent_p, "id"), ("c.q -> Q", child, "q", parent_q, "id")]
+    got = {r["relationship"]: tuple(r)[1:] for r in quality.fk_integrity(rels).collect()}
+    for label, c, ck, par, pk in rels:
+        one = joins.orphan_counts(c, ck, par, pk).first()
+        assert got[label] == (one["records_checked"], one["missing_foreign_keys"], one["orphan_foreign_keys"])
+    assert got == {"c.p -> P": (4, 1, 1), "c.q -> Q": (4, 1, 1)}

@@ -72,12 +72,37 @@ def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
 def fk_integrity(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """relationship, records_checked, missing_foreign_keys, orphan_foreign_keys (J-8, D-8).
 
-    ``relations``: (label, child, child_key, parent, parent_key).
+    ``relations``: (label, child, child_key, parent, parent_key).  Relations
+    that share a child DataFrame are checked in one pass over it: its key
+    columns are unpivoted to (relationship, key) and reduced to counts with
+    map-side combine; the parents' distinct keys are unioned, tagged with the
+    relationship, and met in one join.
     """
-    return union_all([
-        orphan_counts(child, ck, parent, pk).select(F.lit(label).alias("relationship"), "*")
-        for label, child, ck, parent, pk in relations
-    ])
+    by_child: dict[int, tuple[DataFrame, list]] = {}
+    for label, child, ck, parent, pk in relations:
+        by_child.setdefault(id(child), (child, []))[1].append((label, ck, parent, pk))
+    frames = []
+    for child, rels in by_child.values():
+        if len(rels) == 1:
+            label, ck, parent, pk = rels[0]
+            frames.append(orphan_counts(child, ck, parent, pk).select(F.lit(label).alias("relationship"), "*"))
+            continue
+        pairs = F.array(*[F.struct(F.lit(label).alias("relationship"), F.col(ck).cast("string").alias("_k"))
+                          for label, ck, _, _ in rels])
+        keys = (child.select(F.explode(pairs).alias("_x")).select("_x.*")
+                .groupBy("relationship", "_k").agg(F.count(F.lit(1)).alias("_n")))
+        parents = union_all([
+            parent.select(F.lit(label).alias("relationship"), F.col(pk).cast("string").alias("_k"))
+            .where(F.col("_k").isNotNull()).distinct()
+            for label, _, parent, pk in rels]).withColumn("_present", F.lit(True))
+        joined = keys.join(parents, ["relationship", "_k"], "left")
+        frames.append(joined.groupBy("relationship").agg(
+            F.sum("_n").cast("bigint").alias("records_checked"),
+            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
+            .alias("missing_foreign_keys"),
+            F.coalesce(F.sum(F.when(F.col("_k").isNotNull() & F.col("_present").isNull(), F.col("_n"))),
+                       F.lit(0)).cast("bigint").alias("orphan_foreign_keys")))
+    return union_all(frames)
 
 
 def rule_failures(dataset: str, df: DataFrame, rules: Sequence[tuple[str, object]]) -> DataFrame:
