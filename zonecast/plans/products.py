@@ -337,10 +337,6 @@ def top_recommendations(cat: Catalog, k: int = 20) -> DataFrame:
 
 # --------------------------------------------------------------------- EDA
 
-def eda_trips(cat: Catalog) -> DataFrame:
-    return trips_with_cities(trips_clean(cat), cat["zones"])
-
-
 def eda_base(cat: Catalog, trips: DataFrame | None = None) -> DataFrame:
     """One pre-aggregate of the cleaned trips that every zone, city, vehicle and
     corridor table re-aggregates: per (pickup zone, drop zone, vehicle type)
