@@ -102,11 +102,14 @@ def star_assemble(panel: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[st
 def reindex_categories(agg: DataFrame, key: str, order: Sequence[str],
                        position_col: str = "position") -> DataFrame:
     """Keep exactly the listed categories in list order; absent ones get null
-    measures, unlisted ones vanish (pandas ``reindex``, J-11)."""
+    measures, unlisted ones vanish (pandas ``reindex``, J-11).  As in pandas,
+    integer measures become double, since an absent category holds a null."""
     spark = agg.sparkSession
     order_df = spark.createDataFrame([(v, i + 1) for i, v in enumerate(order)],
                                      f"{key} string, {position_col} int")
-    return F.broadcast(order_df).join(agg, on=key, how="left")
+    measures = [F.col(c).cast("double").alias(c) if t in ("bigint", "int") else F.col(c)
+                for c, t in agg.dtypes if c != key]
+    return order_df.join(agg.select(key, *measures), on=key, how="left")
 
 
 def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -154,7 +154,8 @@ DERIVED["eda_hourly"] = (("timed_clean",), f"""
 SELECT CAST(hour(request_timestamp) AS INTEGER) AS hour, count(*) AS trips, {r4(favg('wait_time_min'))} AS avg_wait_min
 FROM timed_clean WHERE request_timestamp IS NOT NULL GROUP BY 1""")
 DERIVED["eda_city"] = (("clean_cities",), f"""
-SELECT o.pickup_city, o.position, a.trips, a.cancellation_rate, a.avg_wait_min, a.completed_revenue
+SELECT o.pickup_city, o.position, CAST(a.trips AS DOUBLE) AS trips, a.cancellation_rate, a.avg_wait_min,
+       a.completed_revenue
 FROM (VALUES ('ASIA', 1), ('EUROPE', 2), ('AMERICA', 3), ('OCEANIA', 4)) AS o(pickup_city, position)
 LEFT JOIN (SELECT pickup_city, {_TRIP_MEASURES} FROM clean_cities WHERE pickup_city IS NOT NULL
            GROUP BY pickup_city) a ON a.pickup_city = o.pickup_city""")

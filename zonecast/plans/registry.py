@@ -303,7 +303,7 @@ def _star(cat):
 
 
 @entry("reindex_categories", ["trip_cities"], """
-SELECT o.pickup_city, o.position, a.trips
+SELECT o.pickup_city, o.position, CAST(a.trips AS DOUBLE) AS trips
 FROM (VALUES ('ASIA', 1), ('EUROPE', 2), ('AMERICA', 3), ('OCEANIA', 4)) AS o(pickup_city, position)
 LEFT JOIN (SELECT pickup_city, count(*) AS trips FROM trip_cities WHERE pickup_city IS NOT NULL
            GROUP BY pickup_city) a ON a.pickup_city = o.pickup_city""")
