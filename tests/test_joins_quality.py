@@ -70,3 +70,11 @@ def test_fk_integrity_one_pass_per_child_matches_per_relation(spark):
         one = joins.orphan_counts(c, ck, par, pk).first()
         assert got[label] == (one["records_checked"], one["missing_foreign_keys"], one["orphan_foreign_keys"])
     assert got == {"c.p -> P": (4, 1, 1), "c.q -> Q": (4, 1, 1)}
+
+
+def test_join_dim_without_broadcast_gives_same_rows(spark):
+    fact = spark.createDataFrame([(i, str(i % 7)) for i in range(300)], "id int, k string")
+    dim = spark.createDataFrame([(str(i), f"n{i}") for i in range(5)], "k string, name string")
+    a = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left").collect())
+    b = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left", max_rows=1).collect())
+    assert a == b and len(a) == 300

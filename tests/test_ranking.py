@@ -76,3 +76,11 @@ def test_seeded_sample_is_exact_and_deterministic(spark):
              .orderBy("h", "key").limit(1234).collect())
     assert ka == kb == sorted(r["key"] for r in brute)
     assert stats.seeded_sample(df, "key", 10_000).count() == 5000
+
+
+def test_percentile_shuffle_join_path_matches_broadcast_path(spark):
+    vals = [float(v) for v in np.round(np.random.default_rng(3).normal(0, 1, 2000), 2)] + [None] * 5
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v double")
+    a = {r["id"]: r["s"] for r in ranking.percentile_scores(df, {"v": "s"}).collect()}
+    b = {r["id"]: r["s"] for r in ranking.percentile_scores(df, {"v": "s"}, max_broadcast_rows=0).collect()}
+    assert a == b
