@@ -431,8 +431,9 @@ def headline_findings(cat: Catalog) -> DataFrame:
 
     ensure_checkpoint_dir(cat.spark)
     base = eda_base(cat).checkpoint(eager=True)
-    hourly = eda_hourly(cat)
-    peak = row(ranking.arg_extreme(hourly, "trips", ["hour"]), "peak_hour", "hour", "trips")
+    hourly = eda_hourly(cat).withColumn("hour_label", F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"),
+                                                               F.lit(":00")))
+    peak = row(ranking.arg_extreme(hourly, "trips", ["hour"]), "peak_hour", "hour_label", "trips")
     city = eda_city(cat, base)
     market = row(ranking.arg_extreme(city, "trips", ["position"]), "largest_market", "pickup_city", "trips")
     veh = row(ranking.arg_extreme(eda_vehicle(cat, base), "completed_revenue", ["vehicle_type"]),

@@ -764,7 +764,8 @@ def _eda_top6(cat):
 
 
 _HEADLINE_SQL = f"""
-SELECT * FROM (SELECT 'peak_hour' AS finding, 1 AS rank, CAST(hour AS VARCHAR) AS label, CAST(trips AS DOUBLE) AS value
+SELECT * FROM (SELECT 'peak_hour' AS finding, 1 AS rank, lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS label,
+                      CAST(trips AS DOUBLE) AS value
                FROM eda_hourly ORDER BY trips DESC, hour LIMIT 1) a
 UNION ALL
 SELECT * FROM (SELECT 'largest_market', 1, pickup_city, CAST(trips AS DOUBLE) FROM eda_city
