@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from zonecast.operators import cleaning
 from zonecast.sources.roles import TRIP_COLUMNS

@@ -1,6 +1,5 @@
 """Joins keep their grain; integrity and profile counts on edge frames."""
 
-import datetime as dt
 
 import pandas as pd
 

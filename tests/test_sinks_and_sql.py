@@ -1,6 +1,5 @@
 """Sinks read back what they wrote; named SQL agrees with the DataFrame form."""
 
-import pyspark.sql.functions as F
 
 from conftest import SF_SMALL
 from zonecast.plans import named_sql

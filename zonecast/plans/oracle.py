@@ -6,7 +6,7 @@ role views (the inputs) and the five named business queries share text.
 
 from __future__ import annotations
 
-from zonecast.functions.sqltext import favg, fsum, ratio  # noqa: F401  (re-exported)
+from zonecast.functions.sqltext import favg, fsum, ratio
 from zonecast.functions.sqltext import rnd as r
 from zonecast.sources import roles as R
 from zonecast.sources.roles import TRIP_COLUMNS
