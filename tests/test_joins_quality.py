@@ -77,3 +77,17 @@ def test_join_dim_without_broadcast_gives_same_rows(spark):
     a = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left").collect())
     b = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left", max_rows=1).collect())
     assert a == b and len(a) == 300
+
+
+def test_profile_and_missing_in_one_pass_match_separate_reports(spark):
+    from conftest import SF_SMALL
+    from zonecast.plans import products as PR
+    from zonecast.sources.catalog import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    tables = PR.role_tables(cat)
+    profile, missing = quality.profile_and_missing(tables)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    assert key(profile.select("dataset", "rows", "columns", "duplicate_rows", "missing_cells")) == \
+        key(quality.dataset_profile(tables).select("dataset", "rows", "columns", "duplicate_rows", "missing_cells"))
+    assert key(missing) == key(quality.missing_values(tables).select("dataset", "column_name", "missing_count",
+                                                                     "missing_pct"))

@@ -54,6 +54,40 @@ def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all([table_profile(n, df) for n, df in tables.items()])
 
 
+def profile_and_missing(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Profile (D-6) and missing values (D-7) of every table from one pass each.
+
+    Each table is grouped by all columns once; rows, distinct rows and the null
+    count of every column (weighted by multiplicity) come from that one
+    aggregate.  The counts (tables x columns, bounded by the schema) are
+    collected and both reports are built from them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    longs = []
+    for name, df in tables.items():
+        cols = df.columns
+        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+        wide = g.agg(F.sum("_m").cast("bigint").alias("_rows"), F.count(F.lit(1)).cast("bigint").alias("_distinct"),
+                     *[F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_m"))), F.lit(0)).cast("bigint").alias(c)
+                       for c in cols])
+        longs.append(wide.unpivot([], ["_rows", "_distinct", *cols], "metric", "value")
+                     .select(F.lit(name).alias("dataset"), "metric", "value"))
+    counts: dict[str, dict[str, int]] = {}
+    for r in union_all(longs).collect():
+        counts.setdefault(r["dataset"], {})[r["metric"]] = int(r["value"])
+    profile_rows, missing_rows = [], []
+    for name, df in tables.items():
+        c = counts[name]
+        nulls = {col: c[col] for col in df.columns}
+        profile_rows.append((name, c["_rows"], len(df.columns), c["_rows"] - c["_distinct"], sum(nulls.values())))
+        missing_rows += [(name, col, n, n / c["_rows"]) for col, n in nulls.items() if n > 0]
+    profile = spark.createDataFrame(profile_rows, "dataset string, rows bigint, columns bigint, "
+                                                  "duplicate_rows bigint, missing_cells bigint")
+    missing = spark.createDataFrame(missing_rows, "dataset string, column_name string, missing_count bigint, "
+                                                  "missing_pct double")
+    return profile, missing
+
+
 def missing_by_column(name: str, df: DataFrame) -> DataFrame:
     """dataset, column_name, missing_count, missing_pct for columns with nulls (A-14)."""
     cols = df.columns
