@@ -5,7 +5,7 @@ Layout:
   functions/  column expressions (rules, ratios, rounding, bands)
   operators/  column-parameterised DataFrame operators
   plans/      data products composed from operators, named SQL, registry
-  streaming/  incremental (Structured Streaming) form of the cleaning job
+  streaming/  no content: the reference has no streaming (see its docstring)
 """
 
 __all__ = ["__version__"]
