@@ -242,9 +242,9 @@ def zone_hour_vehicle_counts(trips: DataFrame) -> DataFrame:
     """Trips and completed revenue per (zone, request time, vehicle type).
 
     The one pre-aggregation of the trip fact that both the zone-hour metrics
-    and the vehicle mix re-aggregate: trips are shuffled once, the second
-    consumer reuses the exchange.  Null keys stay as groups here; they never
-    match the panel's join keys.
+    and the vehicle mix re-aggregate (``opportunity_panel`` persists it so the
+    trips are de-duplicated and shuffled once).  Null keys stay as groups
+    here; they never match the panel's join keys.
     """
     return trips.groupBy(F.col("pickup_zone_id").alias("zone_id"), F.col("request_timestamp").alias("timestamp"),
                          "vehicle_type").agg(F.count(F.lit(1)).alias("_n"),
