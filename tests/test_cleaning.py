@@ -82,3 +82,12 @@ def test_keep_filter_reaches_parquet(spark, capsys):
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line][0]
     assert "GreaterThan(distance_km,0.0)" in pushed and "IsNull(distance_km)" in pushed
     assert out.count() == 12
+
+
+def test_distinct_with_multiplicity_feeds_all_three_outputs(spark):
+    df = messy(spark)
+    d = cleaning.distinct_with_multiplicity(df)
+    key = lambda x: sorted(tuple(r) for r in x.collect())
+    assert key(cleaning.clean_distinct(d)) == key(cleaning.clean_trips(df))
+    assert key(cleaning.cleaning_audit(d)) == key(cleaning.cleaning_audit(df))
+    assert key(cleaning.cleaning_summary(d)) == key(cleaning.cleaning_summary(df))

@@ -47,22 +47,41 @@ def clean_trips(trips: DataFrame, measures: Sequence[str] = ("distance_km", "far
     """Cleaned trips: dedup -> positive filter -> labels -> impute -> flag.
 
     The duplicate removal hashes all columns (one shuffle); a row copied many
-    times collapses in the map-side partial aggregate.
+    times collapses in the map-side partial aggregate.  The row filter is
+    deterministic, so Catalyst pushes it below the shuffle.
     """
+    return clean_distinct(trips.dropDuplicates(), measures, null_policy, payment_col, discount_col,
+                          driver_col, flag_col)
+
+
+MULTIPLICITY = "_m"
+
+
+def distinct_with_multiplicity(trips: DataFrame) -> DataFrame:
+    """Distinct rows plus how often each occurred (column ``_m``): the one
+    shuffle that the cleaned trips, the audit and the summary all need."""
+    return trips.groupBy(*trips.columns).agg(F.count(F.lit(1)).alias(MULTIPLICITY))
+
+
+def clean_distinct(distinct: DataFrame, measures: Sequence[str] = ("distance_km", "fare"),
+                   null_policy: str = "keep", payment_col: str = "payment_method",
+                   discount_col: str = "discount", driver_col: str = "driver_id",
+                   flag_col: str = "is_driver_linked") -> DataFrame:
+    """The cleaning rules after de-duplication, on a distinct frame (with or
+    without the ``_m`` multiplicity column)."""
+    d = distinct.drop(MULTIPLICITY) if MULTIPLICITY in distinct.columns else distinct
     keep = RU.positive_or_null(measures) if null_policy == "keep" else ~invalid_measure(measures, null_policy)
-    return (
-        trips.dropDuplicates()
-        .where(keep)
-        .withColumn(payment_col, RU.canonical_label(payment_col, RU.PAYMENT_CANONICAL))
-        .withColumn(discount_col, F.coalesce(F.col(discount_col), F.lit(0.0)))
-        .withColumn(flag_col, RU.presence_flag(driver_col))
-    )
+    return (d.where(keep)
+            .withColumn(payment_col, RU.canonical_label(payment_col, RU.PAYMENT_CANONICAL))
+            .withColumn(discount_col, F.coalesce(F.col(discount_col), F.lit(0.0)))
+            .withColumn(flag_col, RU.presence_flag(driver_col)))
 
 
 def _audit_counts(trips: DataFrame, measures, null_policy: str) -> DataFrame:
     """One pass: distinct rows with their multiplicity, then one aggregate of
-    every rule counted on the survivors of the earlier rules."""
-    distinct = trips.groupBy(*trips.columns).agg(F.count(F.lit(1)).alias("_m"))
+    every rule counted on the survivors of the earlier rules.  ``trips`` may
+    already be the output of ``distinct_with_multiplicity``."""
+    distinct = trips if MULTIPLICITY in trips.columns else distinct_with_multiplicity(trips)
     bad = invalid_measure(measures, null_policy)
     ok = ~bad
     return distinct.agg(

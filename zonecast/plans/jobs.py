@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions import rules as RU
-from zonecast.operators import quality, ranking, stats
+from zonecast.operators import cleaning, quality, ranking, stats
 from zonecast.plans import named_sql
 from zonecast.plans import products as PR
 from zonecast.sources import sinks
@@ -46,11 +46,16 @@ def validation_job(spark: SparkSession, data_dir: str, out_dir: str) -> dict:
 
 
 def cleaning_job(spark: SparkSession, data_dir: str, out_dir: str) -> dict:
-    """Cleaned trips (parquet), audit (CSV) and summary (JSON)."""
+    """Cleaned trips (parquet), audit (CSV) and summary (JSON).
+
+    The trips are de-duplicated once: distinct rows with their multiplicity
+    are written, and all three outputs are derived from that table."""
     cat = Catalog(spark, data_dir)
-    sinks.write_parquet(PR.trips_clean(cat), _out(out_dir, "trips_cleaned"))
-    sinks.write_csv(PR.cleaning_audit(cat), _out(out_dir, "cleaning_audit"))
-    sinks.write_json(PR.cleaning_summary(cat), _out(out_dir, "cleaning_summary"))
+    sinks.write_parquet(cleaning.distinct_with_multiplicity(cat["trips_messy"]), _out(out_dir, "_distinct_trips"))
+    distinct = spark.read.parquet(_out(out_dir, "_distinct_trips"))
+    sinks.write_parquet(cleaning.clean_distinct(distinct), _out(out_dir, "trips_cleaned"))
+    sinks.write_csv(cleaning.cleaning_audit(distinct), _out(out_dir, "cleaning_audit"))
+    sinks.write_json(cleaning.cleaning_summary(distinct), _out(out_dir, "cleaning_summary"))
     summary = spark.read.json(_out(out_dir, "cleaning_summary")).first().asDict()
     return {"source_rows": int(summary["source_rows"]), "cleaned_rows": int(summary["cleaned_rows"]),
             "written_rows": spark.read.parquet(_out(out_dir, "trips_cleaned")).count()}
