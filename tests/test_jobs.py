@@ -23,3 +23,12 @@ def test_all_jobs_run_and_agree(spark):
     assert sp["fleet_pressure_rows"] == 951
     nb = jobs.notebook_job(spark, SF_SMALL, f"{out}/notebook")
     assert nb["no_non_positive_fare_or_distance"] == (5729, 0)
+
+
+def test_materialize_replaces_the_role_with_its_written_copy(spark):
+    from zonecast.sources.catalog import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    path = scratch_path(spark, "materialized-trips")
+    df = cat.materialize("trips", path)
+    assert cat["trips"] is df and df.count() == 6000
+    assert "trips" in cat._overridden     # roles built on it are not shared across catalogs

@@ -412,12 +412,12 @@ def eda_corridors(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
             .orderBy(F.col("trips").desc(), *keys))
 
 
-def eda_corridors_top6(cat: Catalog, k: int = 6) -> DataFrame:
-    c = eda_corridors(cat).withColumn("corridor", RU.corridor_label("pickup_city", "drop_city"))
+def eda_corridors_top6(cat: Catalog, k: int = 6, base: DataFrame | None = None) -> DataFrame:
+    c = eda_corridors(cat, base).withColumn("corridor", RU.corridor_label("pickup_city", "drop_city"))
     return ranking.top_k(c, [F.col("trips").desc(), "pickup_city", "drop_city"], k)
 
 
-def headline_findings(cat: Catalog) -> DataFrame:
+def headline_findings(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
     """EDA headline as (finding, rank, label, value) rows (D-19).
 
     Six findings read the same trip pre-aggregate; it is checkpointed once
@@ -429,8 +429,9 @@ def headline_findings(cat: Catalog) -> DataFrame:
                          F.col(label).cast("string").alias("label"),
                          F.col(value).cast("double").alias("value"))
 
-    ensure_checkpoint_dir(cat.spark)
-    base = eda_base(cat).checkpoint(eager=True)
+    if base is None:
+        ensure_checkpoint_dir(cat.spark)
+        base = eda_base(cat).checkpoint(eager=True)
     hourly = eda_hourly(cat).withColumn("hour_label", F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"),
                                                                F.lit(":00")))
     peak = row(ranking.arg_extreme(hourly, "trips", ["hour"]), "peak_hour", "hour_label", "trips")

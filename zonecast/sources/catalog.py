@@ -71,6 +71,15 @@ class Catalog:
 
     __getitem__ = table
 
+    def materialize(self, name: str, path: str) -> DataFrame:
+        """Write ``name`` once as parquet at ``path`` (shared storage) and use
+        the written copy from now on: a table several products read is then
+        computed once, and a lost executor re-reads files, not the lineage."""
+        self.table(name).write.mode("overwrite").parquet(path)
+        df = self.spark.read.parquet(path)
+        self.register(name, df)
+        return df
+
     def register(self, name: str, df: DataFrame) -> None:
         """Override a table or role for this catalog only (tests pass hand-made
         frames this way); roles built on it are not shared."""
