@@ -516,6 +516,13 @@ def logit_coefficients(cat: Catalog, sample_size: int | None = None) -> DataFram
     return stats.logit_coefficients(a, "cancelled", MODEL_NUMERIC, MODEL_FACTORS)
 
 
+def study_model_headline(cat: Catalog) -> DataFrame:
+    """The model half of the study headline (D-28): traffic-index odds ratio
+    per one-point increase and its p-value, from the coefficient table."""
+    return logit_coefficients(cat).where(F.col("term") == "traffic_index").select(
+        F.lit("traffic_index_odds_ratio").alias("finding"), "odds_ratio", "p_value")
+
+
 def logit_fit(cat: Catalog) -> DataFrame:
     return stats.logit_fit_summary(analysis_set(cat), "cancelled", MODEL_NUMERIC, MODEL_FACTORS)
 

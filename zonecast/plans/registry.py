@@ -870,6 +870,12 @@ def _logit_fit(cat):
     return PR.logit_fit(cat)
 
 
+@entry("study_model_headline")
+def _study_model(cat):
+    """D-28, model part: traffic-index odds ratio and p-value (rows-only check)."""
+    return PR.study_model_headline(cat)
+
+
 @entry("seeded_sample")
 def _sample(cat):
     """L-1: deterministic hash sample capped at 150,000 (rows-only check)."""
