@@ -84,3 +84,11 @@ def test_percentile_shuffle_join_path_matches_broadcast_path(spark):
     a = {r["id"]: r["s"] for r in ranking.percentile_scores(df, {"v": "s"}).collect()}
     b = {r["id"]: r["s"] for r in ranking.percentile_scores(df, {"v": "s"}, max_broadcast_rows=0).collect()}
     assert a == b
+
+
+def test_seeded_sample_with_a_hot_key_is_deterministic(spark):
+    rows = [("hot", i) for i in range(3000)] + [(f"k{i}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "key string, x int")
+    a = sorted(tuple(r) for r in stats.seeded_sample(df.repartition(5), "key", 4000).collect())
+    b = sorted(tuple(r) for r in stats.seeded_sample(df.repartition(3), "key", 4000).collect())
+    assert a == b and len(a) == 4000

@@ -24,7 +24,8 @@ _BUCKET_BITS = 14  # 16,384 hash ranges for the exact threshold search
 
 
 def seeded_sample(df: DataFrame, key_col: str, n: int, seed: int = SAMPLE_SEED) -> DataFrame:
-    """The ``n`` rows with the smallest ``xxhash64(key, seed)`` (ties by key).
+    """The ``n`` rows with the smallest ``xxhash64(key, seed)`` (ties by key, then
+    by every other column).
 
     Deterministic and independent of partitioning.  Exact without a global
     sort: a histogram over hash ranges (bounded, 2^14 rows) finds the range
@@ -44,7 +45,9 @@ def seeded_sample(df: DataFrame, key_col: str, n: int, seed: int = SAMPLE_SEED)
             break
         run += int(r["_n"])
     below = hashed.where(F.col("_hb") < boundary)
-    edge = hashed.where(F.col("_hb") == boundary).orderBy("_h", key_col).limit(need)
+    # ties on the hash (a repeated key) are broken by every column: fully determined
+    others = [c for c in df.columns if c != key_col]
+    edge = hashed.where(F.col("_hb") == boundary).orderBy("_h", key_col, *others).limit(need)
     return below.unionByName(edge).drop("_h", "_hb")
 
 
