@@ -91,3 +91,12 @@ def test_profile_and_missing_in_one_pass_match_separate_reports(spark):
         key(quality.dataset_profile(tables).select("dataset", "rows", "columns", "duplicate_rows", "missing_cells"))
     assert key(missing) == key(quality.missing_values(tables).select("dataset", "column_name", "missing_count",
                                                                      "missing_pct"))
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    df = spark.createDataFrame([(str(i), float(i)) for i in range(100)], "k string, v double")
+    assert joins.row_width(df) == 8 + 32 + 8
+    assert joins.fits_broadcast(df)
+    assert not joins.fits_broadcast(df, max_rows=50)
+    assert not joins.fits_broadcast(df, max_bytes=48 * 99)      # 99 rows fit, 100 do not
+    assert joins.fits_broadcast(df, max_bytes=48 * 100)

@@ -7,24 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables up to this many rows are broadcast; bigger ones shuffle
-# (and AQE may still pick a broadcast at run time from the real size).
+# Dimension tables up to this many rows and estimated bytes are broadcast;
+# bigger ones shuffle (and AQE may still pick a broadcast at run time from the
+# real size).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
+# Estimated in-memory width per value; strings are assumed to average 32 bytes.
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+          "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 32}
 
-_FITS: dict[tuple[int, int, int], bool] = {}
+_FITS: dict[tuple[int, int, int, int], bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check: counts at most ``max_rows + 1`` rows.
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (nested and unknown types: 64)."""
+    return 8 + sum(_WIDTH.get(t, 32 if t.startswith(("varchar", "char")) else 64) for _, t in df.dtypes)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Bounded size check: counts at most ``limit + 1`` rows, where the limit is
+    the smaller of ``max_rows`` and the rows that fit ``max_bytes`` at the
+    schema's estimated row width.
 
     The answer is remembered per session and plan (``semanticHash``), so a
     dimension used by several joins is counted once; like the parquet scan
     cache this assumes inputs do not change under a running session.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    limit = min(max_rows, max_bytes // row_width(df))
+    key = (id(df.sparkSession), df.semanticHash(), limit, max_bytes)
     if key not in _FITS:
-        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+        _FITS[key] = df.limit(limit + 1).count() <= limit
     return _FITS[key]
 
 
