@@ -92,3 +92,11 @@ def test_seeded_sample_with_a_hot_key_is_deterministic(spark):
     a = sorted(tuple(r) for r in stats.seeded_sample(df.repartition(5), "key", 4000).collect())
     b = sorted(tuple(r) for r in stats.seeded_sample(df.repartition(3), "key", 4000).collect())
     assert a == b and len(a) == 4000
+
+
+def test_explicit_order_puts_unknown_levels_last(spark):
+    import pyspark.sql.functions as F
+    df = spark.createDataFrame([("Severe",), ("Gridlock",), ("Low",), ("High",)], "level string")
+    out = ranking.explicit_order(df, "level", ["Low", "Medium", "High", "Severe"]) \
+        .orderBy(F.col("position").asc_nulls_last()).collect()
+    assert [(r["level"], r["position"]) for r in out] == [("Low", 1), ("High", 3), ("Severe", 4), ("Gridlock", None)]
