@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,33 @@ from zonecast.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors once per application, so that
+    their Python workers import it (and keep its caches between tasks)."""
+    app, home = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
+    if app in _shipped or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="zonecast-src-")).resolve() / "zonecast.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def map_pandas(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.mapInPandas(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import drop_tables, with_row_ids, write_table
+from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 from zonecast.llm.components import connected_components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -173,13 +173,13 @@ def _verify(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, p: MinMax) -> t
     need, need_path = write_table(
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")
     sets, sets_path = write_table(
-        docs.join(need, "doc_id", "left_semi").select("doc_id", "text").distinct()
-        .mapInArrow(_sets(p), "doc_id bigint, shingles binary"), "sets")
+        map_arrow(docs.join(need, "doc_id", "left_semi").select("doc_id", "text").distinct(),
+                  _sets(p), "doc_id bigint, shingles binary"), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     links, links_path = write_table(
-        pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-        .mapInArrow(_confirm(p), "a bigint, b bigint").distinct(), "links")
+        map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b"),
+                  _confirm(p), "a bigint, b bigint").distinct(), "links")
     drop_tables(docs.sparkSession, [pairs_path, need_path, sets_path])
     return links, [links_path]
 
@@ -194,7 +194,7 @@ def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "d
     spark = documents.sparkSession
     docs = with_row_ids(documents, id_col, text_col).toDF("doc_id", "text")
     signed, signed_path = write_table(
-        docs.mapInArrow(_sign(p), "doc_id bigint, n_shingles bigint, print binary, bands array<bigint>"), "signed")
+        map_arrow(docs, _sign(p), "doc_id bigint, n_shingles bigint, print binary, bands array<bigint>"), "signed")
     linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes, classes_path = write_table(
         linked.groupBy("print").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n")), "classes")

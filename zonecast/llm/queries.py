@@ -5,9 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonecast.llm.common import table
+from zonecast.llm.op01_dac import read_token_files, write_token_files
+from zonecast.llm.op03_toxicity import toxicity, train
 from zonecast.llm.op07_minmax import near_duplicates
+from zonecast.session import scratch_path
+
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file; every worker has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_dac_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch_path(spark, "llm-token-files")
+    write_token_files(table(spark, sf_dir, "documents"), out, tokenizer_file(BYTE_BPE))
+    return read_token_files(spark, out)
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Rows whose labels no model may learn from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return (toxicity(docs, model)
+            .select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted"))
 
 
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +47,8 @@ def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_dac_token_files": op1_dac_token_files,
+    "op3_toxicity": op3_toxicity,
     "op7_minmax_near_dedup": op7_minmax_near_dedup,
 }
 
