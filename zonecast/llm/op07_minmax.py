@@ -9,11 +9,12 @@ the full shingle sets.
 
 Large buckets never become all pairs.  Documents with one and the same set are
 first folded into their smallest id.  In each bucket every document is then
-compared with one leader; four leader orders rotate over the bands.  Components
-of the confirmed links are formed, and only pairs of a bucket that still lie in
-different components are compared after that.  A pair inside one component
-needs no comparison, as its link cannot change any component, so no link
-between different texts is lost.
+compared with one leader, the member that meets most others over all bands.
+Components of the confirmed links are formed, and only pairs of a bucket that
+still lie in different components are compared after that: two more rounds with
+new leaders, then every such pair.  A pair inside one component needs no
+comparison, as its link cannot change any component, so no link between
+different texts is lost.
 
 Defined results: null or empty text has 0 shingles and is linked with nothing;
 a text of 1 to 4 words is one shingle; equal sets are linked; a doc_id that
@@ -39,7 +40,7 @@ from zonecast.llm.components import connected_components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xBF58476D1CE4E5B9)
-_WORD_CACHE_MAX = 500_000
+_WORD_CACHE_MAX = 150_000
 _word_cache: dict[bytes, int] = {}
 
 
@@ -51,6 +52,7 @@ class MinMax:
     bands: int = 48
     rows: int = 5
     percent: int = 75
+    star_rounds: int = 2
     seed: int = 20
 
     @property
@@ -184,6 +186,35 @@ def _verify(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, p: MinMax) -> t
     return links, [links_path]
 
 
+def _open_pairs(members: DataFrame, labels: DataFrame, tested: DataFrame, every: bool) -> tuple[DataFrame, list[str]]:
+    """Pairs to compare in the buckets that still hold several components.
+
+    A star round takes the highest-ranked member outside a bucket's largest
+    component against the members of other components; the last round takes
+    every member outside the largest one.  Pairs compared before are left out.
+    """
+    placed, placed_path = write_table(
+        members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("key", "rep", "rank", F.coalesce("comp", "rep").alias("comp")), "placed")
+    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    main, main_path = write_table(
+        parts.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1").select("key", "main"), "main")
+    within, within_path = write_table(placed.join(main, "key"), "within")
+    odd = within.where("comp <> main")
+    if every:
+        odd = odd.select("key", F.col("rep").alias("x"), F.col("comp").alias("comp_x"))
+    else:
+        odd = odd.groupBy("key").agg(F.max_by("rep", "rank").alias("x"), F.max_by("comp", "rank").alias("comp_x"))
+    odd, odd_path = write_table(odd, "odd")
+    pairs = (within.select("key", F.col("rep").alias("y"), F.col("comp").alias("comp_y"), "main").join(odd, "key")
+             .where("comp_x <> comp_y AND (comp_y = main OR x < y)" if every else "comp_x <> comp_y")
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+             .join(tested, ["a", "b"], "left_anti"))
+    pairs, pairs_path = write_table(pairs, "open-pairs")
+    return pairs, [placed_path, main_path, within_path, odd_path, pairs_path]
+
+
 def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_id, kept.
@@ -203,40 +234,40 @@ def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "d
     reps = (linked.select("print", F.col("doc_id").alias("rep"), "bands")
             .join(classes.select("print", "rep"), ["print", "rep"])
             .select("rep", F.posexplode("bands").alias("band", "key")))
-    order = F.xxhash64("rep", F.col("band") % 4)
-    buckets, buckets_path = write_table(
-        reps.groupBy("key").agg(F.count("*").alias("n"), F.min_by("rep", order).alias("leader")).where("n > 1")
-        .select("key", "leader"), "buckets")
-    members, members_path = write_table(reps.select("key", "rep").join(buckets, "key"), "members")
-    star, star_path = write_table(
-        members.where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-        .distinct(), "star")
+    buckets, buckets_path = write_table(reps.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    shared, shared_path = write_table(reps.select("key", "rep").join(buckets, "key"), "shared")
+    # a hub is met in many buckets, the original of a group of near copies more often than each copy
+    degree, degree_path = write_table(
+        shared.groupBy("rep").agg(
+            (F.sum("n").cast("double") + F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / (1 << 20)).alias("rank")), "degree")
+    members, members_path = write_table(shared.select("key", "rep").join(degree, "rep"), "members")
+    leaders, leaders_path = write_table(members.groupBy("key").agg(F.max_by("rep", "rank").alias("leader")), "leaders")
     sizes = classes.select("rep", "n")
-    links, link_paths = _verify(docs, star, sizes, p)
-    labels, labels_path = connected_components(links)
-
-    # what a bucket still holds of other components is compared across them
-    placed, placed_path = write_table(
-        members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
-    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    open_keys, open_path = write_table(
-        parts.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1").select("key", "main"), "open")
-    within = placed.join(open_keys, "key")
-    odd = within.where("comp <> main").select("key", F.col("rep").alias("x"), F.col("comp").alias("comp_x"))
-    rest = (odd.join(within.select("key", F.col("rep").alias("y"), F.col("comp").alias("comp_y"), "main"), "key")
-            .where("comp_x <> comp_y AND (comp_y = main OR x < y)")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
-    more, more_paths = _verify(docs, rest, sizes, p)
-    final, final_path = connected_components(links.unionByName(more))
+    dropped = [buckets_path, shared_path, degree_path, members_path, leaders_path]
+
+    tested, tested_path = write_table(
+        members.join(leaders, "key").where("rep <> leader")
+        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct(), "tested")
+    links, paths = _verify(docs, tested, sizes, p)
+    dropped += [tested_path, *paths]
+    for step in range(p.star_rounds + 1):
+        labels, labels_path = connected_components(links)
+        dropped.append(labels_path)
+        pairs, open_paths = _open_pairs(members, labels, tested, every=step == p.star_rounds)
+        dropped += open_paths
+        if not pairs.limit(1).count():
+            break
+        more, paths = _verify(docs, pairs, sizes, p)
+        links, tested = links.unionByName(more), tested.unionByName(pairs)
+        dropped += paths
+    else:
+        labels, labels_path = connected_components(links)
+        dropped.append(labels_path)
 
     homes, homes_path = write_table(
-        classes.join(final.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select("print", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("component_id")), "homes")
-    drop_tables(spark, [classes_path, buckets_path, members_path, star_path, labels_path, placed_path,
-                        open_path, final_path, *link_paths, *more_paths])
+    drop_tables(spark, [classes_path, *dropped])
     return (signed.select("doc_id", "n_shingles", "print").join(homes, "print", "left")
             .select("doc_id", "n_shingles",
                     F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import table
 from zonecast.llm.op01_dac import read_token_files, write_token_files
 from zonecast.llm.op03_toxicity import toxicity, train
+from zonecast.llm.op05_quality import quality
 from zonecast.llm.op07_minmax import near_duplicates
 from zonecast.session import scratch_path
 
@@ -42,6 +43,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_dac_token_files": op1_dac_token_files,
     "op3_toxicity": op3_toxicity,
+    "op5_quality_rules": op5_quality_rules,
     "op7_minmax_near_dedup": op7_minmax_near_dedup,
 }
 
