@@ -2,8 +2,9 @@
 
 Eight rules look at a text and vote good (1), bad (-1) or abstain (0).
 Expectation-maximisation over the vote patterns of all documents estimates how
-often each rule is right on good and on bad documents and the share of good ones; the posterior
-probability of "good" then decides, instead of all rules having to pass.
+often each rule fires on good documents and on each kind of bad ones, and the
+shares of these classes; the posterior probability of "good" then decides,
+instead of all rules having to pass.
 
 The text is read once with built-in functions.  The number of vote patterns is
 at most 3^8 at any input size, so the EM steps run on that table of counts.
@@ -90,49 +91,49 @@ def features(documents: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(r"[.!?](?:[\x20\x09-\x0D]|$)")).cast("long").alias("n_stops"))
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], steps: int = 200) -> tuple[float, list[float], list[float]]:
-    """EM on (votes, count) rows: share of good documents and each rule's accuracy
-    on good and on bad ones.
+def estimate(patterns: list[tuple[tuple[int, ...], int]], steps: int = 200) -> tuple[list[float], list[list[float]]]:
+    """EM on (votes, count) rows: class shares, and per class how often each rule that votes votes bad.
 
-    An abstention says nothing.  A strong prior says that a rule seldom fires on
-    a good document; without it the rules that fire together would make up the
-    bad class alone, and a kind of junk that one rule sees would pass.  The start (rules right on 995 of 1000 good and
-    on 150 of 1000 bad documents, as a bad document breaks only some rules)
-    fixes which class is "good".
+    Class 0 is good; class j is the kind of bad document that rule j is made
+    for, as kinds of junk differ and one bad class would hold only the kind that
+    most rules see.  An abstention says nothing.  The prior, worth one document
+    per hundred (the good class: one per two), says that a rule seldom fires on
+    a good document and mostly on its own kind.
     """
     width = len(RULES)
-    share, on_good, on_bad = 0.8, [0.995] * width, [0.15] * width
     total = sum(c for _, c in patterns)
+    start = [[0.005] * width] + [[0.8 if j == k else 0.1 for j in range(width)] for k in range(width)]
+    worth = [total / 2] + [total / 100] * width
+    shares, fires = [0.8] + [0.2 / width] * width, start
     for _ in range(steps):
-        prior, plus, minus = weights(share, on_good, on_bad)
-        # the prior: as many pseudo-votes on good documents as there are documents, one on a bad document
-        good, cast = 0.0, [[float(total), 1.0] for _ in range(width)]
-        hit = [[0.995 * total, 0.15] for _ in range(width)]
+        mass = [0.0] * (width + 1)
+        cast = [[w] * width for w in worth]
+        bad = [[w * f for f in row] for w, row in zip(worth, start, strict=True)]
         for votes, count in patterns:
-            z = prior + sum(u if v > 0 else w for u, w, v in zip(plus, minus, votes, strict=True) if v)
-            p = 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
-            good += count * p
-            for j, v in enumerate(votes):
-                if v:
-                    cast[j][0] += count * p
-                    cast[j][1] += count * (1 - p)
-                    hit[j][0 if v > 0 else 1] += count * (p if v > 0 else 1 - p)
-        new_good = [min(0.999, h[0] / c[0]) for h, c in zip(hit, cast, strict=True)]
-        # a bad document is never likelier than a good one to get a good vote
-        new_bad = [min(0.999, max(h[1] / c[1], 1 - g)) for h, c, g in zip(hit, cast, new_good, strict=True)]
-        new_share = (good + 0.8) / (total + 1)
-        moved = max(abs(a - b) for a, b in zip([share, *on_good, *on_bad], [new_share, *new_good, *new_bad], strict=True))
-        share, on_good, on_bad = new_share, new_good, new_bad
+            for k, p in enumerate(posterior(votes, shares, fires)):
+                mass[k] += count * p
+                for j, v in enumerate(votes):
+                    if v:
+                        cast[k][j] += count * p
+                        if v < 0:
+                            bad[k][j] += count * p
+        new_shares = [(m + 0.01) / (total + 0.01 * (width + 1)) for m in mass]
+        new_fires = [[min(0.999, max(0.001, x / c)) if c else f for x, c, f in zip(*rows, strict=True)]
+                     for rows in zip(bad, cast, start, strict=True)]
+        moved = max(abs(x - y) for x, y in zip(new_shares, shares, strict=True))
+        shares, fires = new_shares, new_fires
         if moved < 1e-9:
             break
-    return share, on_good, on_bad
+    return shares, fires
 
 
-def weights(share: float, on_good: list[float], on_bad: list[float]) -> tuple[float, list[float], list[float]]:
-    """Log odds of the prior, of a good vote and of a bad vote of each rule."""
-    return (math.log(share / (1 - share)),
-            [math.log(g / (1 - b)) for g, b in zip(on_good, on_bad, strict=True)],
-            [math.log((1 - g) / b) for g, b in zip(on_good, on_bad, strict=True)])
+def posterior(votes: tuple[int, ...], shares: list[float], fires: list[list[float]]) -> list[float]:
+    """Probability of each class given a pattern of votes."""
+    logs = [math.log(s) + sum(math.log(f if v < 0 else 1 - f) for v, f in zip(votes, row, strict=True) if v)
+            for s, row in zip(shares, fires, strict=True)]
+    top = max(logs)
+    odds = [math.exp(x - top) for x in logs]
+    return [x / sum(odds) for x in odds]
 
 
 def quality(documents: DataFrame) -> DataFrame:
@@ -141,11 +142,15 @@ def quality(documents: DataFrame) -> DataFrame:
     voted = counted.select("*", *[_vote(*VOTES[r]).alias(f"vote_{r}") for r in RULES])
     names = [f"vote_{r}" for r in RULES]
     rows = voted.groupBy(*names).count().collect()  # 3^8 rows at most
-    prior, plus, minus = weights(*estimate([(tuple(r[n] for n in names), r["count"]) for r in sorted(rows)]))
-    score = F.lit(prior)
-    for name, u, w in zip(names, plus, minus, strict=True):
-        score = score + F.when(F.col(name) > 0, u).when(F.col(name) < 0, w).otherwise(0.0)
+    shares, fires = estimate([(tuple(r[n] for n in names), r["count"]) for r in sorted(rows)])
+    logs = []
+    for share, row in zip(shares, fires, strict=True):
+        log = F.lit(math.log(share))
+        for name, f in zip(names, row, strict=True):
+            log = log + F.when(F.col(name) < 0, math.log(f)).when(F.col(name) > 0, math.log(1 - f)).otherwise(0.0)
+        logs.append(log)
+    good = 1 / sum((F.exp(x - logs[0]) for x in logs[1:]), F.lit(1.0))
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
-    return (voted.withColumn("posterior", 1 / (1 + F.exp(-score))).withColumn("base_failed", failed)
+    return (voted.withColumn("posterior", good).withColumn("base_failed", failed)
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     (~F.col("base_failed") & (F.col("posterior") >= 0.5)).alias("kept"), "posterior"))

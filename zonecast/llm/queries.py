@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import table
 from zonecast.llm.op01_dac import read_token_files, write_token_files
 from zonecast.llm.op03_toxicity import toxicity, train
+from zonecast.llm.op04_secrets import find_secrets
 from zonecast.llm.op05_quality import quality
+from zonecast.llm.op06_urlfilter import URL_FILTER_SQL, filter_urls, page_captures, page_list_events
 from zonecast.llm.op07_minmax import near_duplicates
+from zonecast.llm.op08_mixing import mix
+from zonecast.llm.op09_topk import top_k
+from zonecast.llm.op10_chat import DEFAULT_TEMPLATE, read_formatted, write_formatted
 from zonecast.session import scratch_path
 
 
@@ -47,15 +52,50 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "value_sha256", "probability", "is_secret")
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(page_captures(pages), page_list_events(pages)).withColumnRenamed("id", "page_id")
+
+
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+#: Fixed rows of the contract: a conversation whose texts are control strings.
+CONTROL_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id bigint, turn bigint, role string, text string")
+    out = scratch_path(spark, "llm-chat")
+    write_formatted(turns.unionByName(extra), out, DEFAULT_TEMPLATE)
+    return read_formatted(spark, out, DEFAULT_TEMPLATE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_dac_token_files": op1_dac_token_files,
     "op3_toxicity": op3_toxicity,
+    "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
+    "op6_url_filter": op6_url_filter,
     "op7_minmax_near_dedup": op7_minmax_near_dedup,
+    "op8_entropy_mixing": op8_entropy_mixing,
+    "op9_ball_tree_topk": op9_ball_tree_topk,
+    "op10_chat_format": op10_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_url_filter": URL_FILTER_SQL}
