@@ -87,7 +87,7 @@ def page_list_events(pages: DataFrame) -> DataFrame:
     hosts = with_row_ids(pages, "url").select(host(F.col("url")).alias("h")).where("h <> ''").distinct()
     digits = [F.conv(F.substring(F.md5("h"), at, 4), 16, 10).cast("int") for at in (1, 5)]
     base = hosts.select("h", digits[0].alias("i"), digits[1].alias("j")).where("i % 5 < 3")
-    entry = F.expr("CASE WHEN i % 3 = 0 THEN h WHEN i % 3 = 1 THEN regexp_replace(h, '^[^.]+[.]([^.]+[.])', '$1')"
+    entry = F.expr("CASE WHEN i % 3 = 0 THEN h WHEN i % 3 = 1 THEN regexp_replace(h, '^[^.]+[.]([^.]+[.][^.]+[.])', '$1')"
                    " ELSE concat(h, '/en') END")
     events = F.expr("filter(array(struct(i % 200 AS day, true AS listed),"
                     " struct(if(j % 4 > 0, i % 200 + 20 + j % 100, -1) AS day, false AS listed),"
@@ -106,7 +106,7 @@ listed AS (
   SELECT h, CAST('0x' || substr(md5(h), 1, 4) AS INTEGER) AS i, CAST('0x' || substr(md5(h), 5, 4) AS INTEGER) AS j
   FROM (SELECT DISTINCT host AS h FROM captures WHERE host <> '')),
 named AS (
-  SELECT CASE i % 3 WHEN 0 THEN h WHEN 1 THEN regexp_replace(h, '^[^.]+[.]([^.]+[.])', '\1') ELSE h || '/en' END AS entry, i, j
+  SELECT CASE i % 3 WHEN 0 THEN h WHEN 1 THEN regexp_replace(h, '^[^.]+[.]([^.]+[.][^.]+[.])', '\1') ELSE h || '/en' END AS entry, i, j
   FROM listed WHERE i % 5 < 3),
 events AS (
   SELECT entry, i % 200 AS day, true AS listed FROM named
@@ -116,7 +116,7 @@ days AS (SELECT entry, day, bool_and(listed) AS listed FROM events GROUP BY entr
 spans AS (
   SELECT entry, day AS since, coalesce(lead(day) OVER (PARTITION BY entry ORDER BY day), 2147483647) AS until, listed FROM days),
 keys AS (
-  SELECT DISTINCT page_id, url, day, array_to_string(list_slice(string_split(host, '.'), k, NULL), '.') AS key
+  SELECT DISTINCT page_id, url, day, array_to_string(list_slice(string_split(host, '.'), k, len(string_split(host, '.'))), '.') AS key
   FROM captures, range(1, greatest(len(string_split(host, '.')), 2)) r(k) WHERE host <> ''
   UNION
   SELECT page_id, url, day, host || '/' || array_to_string(list_slice(list_filter(string_split(path, '/'), lambda s: s <> ''), 1, k), '/')

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from zonecast.llm.common import table
 from zonecast.llm.op01_dac import read_token_files, write_token_files
+from zonecast.llm.op02_sentencepiece import encode_and_decode
 from zonecast.llm.op03_toxicity import toxicity, train
 from zonecast.llm.op04_secrets import find_secrets
 from zonecast.llm.op05_quality import quality
@@ -21,6 +22,7 @@ from zonecast.session import scratch_path
 
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_file(name: str) -> str:
@@ -36,6 +38,10 @@ def op1_dac_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, out)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_BPE))
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows whose labels no model may learn from."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
@@ -88,6 +94,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_dac_token_files": op1_dac_token_files,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_toxicity": op3_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
