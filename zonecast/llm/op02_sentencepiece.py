@@ -105,7 +105,8 @@ def lattice(words: DataFrame, table: PieceTable) -> DataFrame:
     pieces = spark.createDataFrame(
         [(p, i, r, float(table.scores[p])) for p, (i, r) in table.pieces.items()],
         "piece string, id int, rank int, score double")
-    subs = (words.select("word", F.length("word").alias("n"))
+    # a word grows into hundreds of substrings: deal the words out before, whatever few files they come from
+    subs = (words.repartition(4 * spark.sparkContext.defaultParallelism, "word").select("word", F.length("word").alias("n"))
             .select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
             .select("word", "start", F.explode(F.sequence(
                 F.lit(1), F.least(F.lit(table.longest), F.col("n") - F.col("start")))).alias("len"))
@@ -146,7 +147,10 @@ def viterbi_fold() -> Column:
 
 
 def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
-    """(word) -> word, kept edges (start, end, id); characters outside all of them are byte pieces."""
+    """(word) -> word, kept edges (start, end, id); characters outside all of them are byte pieces.
+
+    ``words`` must be distinct.
+    """
     fold = viterbi_fold() if table.kind == "unigram" else merge_fold()
     return lattice(words, table).select(
         "word", F.transform(fold, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["id"].alias("id"))).alias("kept"))
@@ -307,13 +311,11 @@ def _encoder(head, pieces):
             for at in range(0, batch.num_rows, 512):
                 rows = batch.slice(at, 512)
                 out = []
+                if len(rare) > _CACHE_MAX:
+                    rare.clear()
                 for text in rows.column(1):
                     words = words_of(text.as_py())
-                    for w in set(words) - known.keys() - rare.keys():
-                        if len(rare) >= _CACHE_MAX:
-                            # words of this text must stay
-                            for old in [x for x in rare if x not in words][:_CACHE_MAX // 2] or []:
-                                del rare[old]
+                    for w in {w for w in words if w not in known and w not in rare}:
                         rare[w] = np.array(encode_word(w, table), "<i4").tobytes()
                     out.append(np.frombuffer(b"".join([known[w] if w in known else rare[w] for w in words]), "<i4"))
                 flat = np.concatenate(out) if out else np.zeros(0, "<i4")
