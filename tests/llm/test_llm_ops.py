@@ -304,7 +304,9 @@ def test_open_pairs_after_star_rounds(spark):
         for copy in range(4):
             rows.append((k, " ".join(hub[:50] + own[:20] + [f"c{g}{copy}"])))
             k += 1
-    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op07_minmax.near_duplicates(docs(spark, rows)).collect()), key=str)
+    # every open pair through the bound, as in large buckets
+    p = op07_minmax.MinMax(star_rounds=0, direct=2)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op07_minmax.near_duplicates(docs(spark, rows), p).collect()), key=str)
     assert got == _near_brute(rows)
 
 

@@ -12,7 +12,8 @@ first folded into their smallest id.  In each bucket every document is then
 compared with one leader, the member that meets most others over all bands.
 Components of the confirmed links are formed, and only pairs of a bucket that
 still lie in different components are compared after that: two more rounds with
-new leaders, then every such pair.  A pair inside one component needs no
+new leaders, then every such pair that an exact bound (overlap with the leader)
+does not rule out.  A pair inside one component needs no
 comparison, as its link cannot change any component, so no link between
 different texts is lost.
 
@@ -53,6 +54,7 @@ class MinMax:
     rows: int = 5
     percent: int = 75
     star_rounds: int = 2
+    direct: int = 8  # buckets up to this size compare all their open pairs
     seed: int = 20
 
     @property
@@ -161,6 +163,13 @@ def _confirm(p: MinMax):
     return run
 
 
+def _set_table(docs: DataFrame, need: DataFrame, p: MinMax) -> tuple[DataFrame, str]:
+    """doc_id and shingle set (sorted 64-bit numbers) of the needed documents, from their whole texts."""
+    return write_table(
+        map_arrow(docs.join(need, "doc_id", "left_semi").select("doc_id", "text").distinct(),
+                  _sets(p), "doc_id bigint, shingles binary"), "sets")
+
+
 def _verify(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, p: MinMax) -> tuple[DataFrame, list[str]]:
     """The pairs whose full shingle sets are similar enough.
 
@@ -174,9 +183,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, p: MinMax) -> t
         .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * p.percent).select("a", "b").distinct(), "pairs")
     need, need_path = write_table(
         pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")
-    sets, sets_path = write_table(
-        map_arrow(docs.join(need, "doc_id", "left_semi").select("doc_id", "text").distinct(),
-                  _sets(p), "doc_id bigint, shingles binary"), "sets")
+    sets, sets_path = _set_table(docs, need, p)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     links, links_path = write_table(
@@ -186,33 +193,90 @@ def _verify(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, p: MinMax) -> t
     return links, [links_path]
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, tested: DataFrame, every: bool) -> tuple[DataFrame, list[str]]:
+def _residuals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per member: set size, shingles shared with the leader, and the shingles the leader lacks."""
+    for batch in batches:
+        size, both, rest = [], [], []
+        for x, y in zip(batch.column(3), batch.column(4), strict=True):
+            u, v = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            shared = v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u
+            size.append(len(u))
+            both.append(int(shared.sum()))
+            rest.append(u[~shared].view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(size, pa.int64()), pa.array(both, pa.int64()), pa.array(rest, pa.list_(pa.int64()))],
+            ["leader", "rep", "comp", "n", "both", "rest"])
+
+
+def _possible_pairs(docs: DataFrame, hubs: DataFrame, p: MinMax) -> tuple[DataFrame, list[str]]:
+    """Pairs of members of one leader's buckets that can still be similar enough.
+
+    Members a and b share at most min(|a & h|, |b & h|) shingles of their leader h,
+    and beyond those only what both have and h lacks.  A pair whose two numbers
+    cannot add up to the overlap it needs is no link, so only pairs that meet in
+    a shingle h lacks, or that could do without one, come out: an exact bound.
+    """
+    need, need_path = write_table(
+        hubs.select(F.explode(F.array("leader", "rep")).alias("doc_id")).distinct(), "hub-members")
+    sets, sets_path = _set_table(docs, need, p)
+    joined = (hubs.join(sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("set_m")), "rep")
+              .join(sets.select(F.col("doc_id").alias("leader"), F.col("shingles").alias("set_h")), "leader"))
+    rests, rests_path = write_table(
+        map_arrow(joined.select("leader", "rep", "comp", "set_m", "set_h"), _residuals,
+                  "leader bigint, rep bigint, comp bigint, n bigint, both bigint, rest array<bigint>"), "residuals")
+
+    def side(df: DataFrame, c: str) -> DataFrame:
+        names = {"rep": c, "comp": f"comp_{c}", "n": f"n_{c}", "both": f"both_{c}"}
+        return df.select("leader", *[F.col(k).alias(v) for k, v in names.items()], *[x for x in df.columns if x == "x"])
+
+    plain = rests.drop("rest")
+    single = rests.select("leader", "rep", "comp", "n", "both", F.explode("rest").alias("x"))
+    other = "a < b AND comp_a <> comp_b"
+    enough = f"(least(both_a, both_b) + s) * {100 + p.percent} >= {p.percent} * (n_a + n_b)"
+    meeting = (side(single, "a").join(side(single, "b"), ["leader", "x"]).where(other)
+               .groupBy("leader", "a", "b", "n_a", "n_b", "both_a", "both_b").agg(F.count("*").alias("s")).where(enough))
+    without = (side(plain, "a").join(side(plain, "b"), "leader").where(f"{other} AND {enough.replace(' + s', '')}"))
+    pairs, path = write_table(meeting.select("a", "b").unionByName(without.select("a", "b")).distinct(), "possible")
+    return pairs, [need_path, sets_path, rests_path, path]
+
+
+def _open_pairs(docs: DataFrame, members: DataFrame, leaders: DataFrame, labels: DataFrame, tested: DataFrame,
+                p: MinMax, every: bool) -> tuple[DataFrame, list[str]]:
     """Pairs to compare in the buckets that still hold several components.
 
     A star round takes the highest-ranked member outside a bucket's largest
-    component against the members of other components; the last round takes
-    every member outside the largest one.  Pairs compared before are left out.
+    component against the members of other components.  The last round takes
+    every member outside the largest one: in small buckets against all others,
+    in large ones against those that ``_possible_pairs`` leaves.  Pairs compared
+    before are left out.
     """
     placed, placed_path = write_table(
         members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         .select("key", "rep", "rank", F.coalesce("comp", "rep").alias("comp")), "placed")
     parts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main, main_path = write_table(
-        parts.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1").select("key", "main"), "main")
+        parts.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n"))
+        .where("parts > 1").select("key", "main", "n"), "main")
     within, within_path = write_table(placed.join(main, "key"), "within")
+    paths = [placed_path, main_path, within_path]
     odd = within.where("comp <> main")
     if every:
-        odd = odd.select("key", F.col("rep").alias("x"), F.col("comp").alias("comp_x"))
+        odd = odd.where(F.col("n") <= p.direct).select("key", F.col("rep").alias("x"), F.col("comp").alias("comp_x"))
     else:
         odd = odd.groupBy("key").agg(F.max_by("rep", "rank").alias("x"), F.max_by("comp", "rank").alias("comp_x"))
     odd, odd_path = write_table(odd, "odd")
     pairs = (within.select("key", F.col("rep").alias("y"), F.col("comp").alias("comp_y"), "main").join(odd, "key")
              .where("comp_x <> comp_y AND (comp_y = main OR x < y)" if every else "comp_x <> comp_y")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-             .join(tested, ["a", "b"], "left_anti"))
-    pairs, pairs_path = write_table(pairs, "open-pairs")
-    return pairs, [placed_path, main_path, within_path, odd_path, pairs_path]
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    if every:
+        hubs, hubs_path = write_table(
+            within.where(F.col("n") > p.direct).select("key", "rep", "comp").join(leaders, "key").where("rep <> leader")
+            .select("leader", "rep", "comp").distinct(), "hubs")
+        possible, possible_paths = _possible_pairs(docs, hubs, p)
+        pairs = pairs.unionByName(possible).distinct()
+        paths += [hubs_path, *possible_paths]
+    pairs, pairs_path = write_table(pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+    return pairs, [*paths, odd_path, pairs_path]
 
 
 def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "doc_id",
@@ -253,10 +317,12 @@ def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "d
     for step in range(p.star_rounds + 1):
         labels, labels_path = connected_components(links)
         dropped.append(labels_path)
-        pairs, open_paths = _open_pairs(members, labels, tested, every=step == p.star_rounds)
+        pairs, open_paths = _open_pairs(docs, members, leaders, labels, tested, p, every=step == p.star_rounds)
         dropped += open_paths
         if not pairs.limit(1).count():
-            break
+            if step == p.star_rounds:
+                break
+            continue
         more, paths = _verify(docs, pairs, sizes, p)
         links, tested = links.unionByName(more), tested.unionByName(pairs)
         dropped += paths
