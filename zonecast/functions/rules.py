@@ -31,6 +31,8 @@ SCORE_DIVISOR = 0.80
 ACTION_THRESHOLD = 75.0
 ACTION_HIGH = "Prioritize additional fleet or reposition vehicles into this zone-hour."
 ACTION_LOW = "Monitor demand and reposition fleet if pressure persists."
+WHOLE_DOUBLES = float(2 ** 53)
+DECIMAL_LIMIT = 1e37
 NO_MIX_LABEL = "Review demand mix"
 
 
@@ -45,12 +47,18 @@ def round_half_up(col, digits: int) -> Column:
     they disagree on values such as 0.145, so both sides use this form.
     """
     scale = float(10 ** digits)
-    return (F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+    x = _c(col).cast("double")
+    scaled = x * F.lit(scale)
+    # from 2^53 on a double has no fraction left, and floor() would saturate at the BIGINT range
+    return F.when(F.abs(scaled) < F.lit(WHOLE_DOUBLES), (F.floor(scaled + F.lit(0.5)) / F.lit(scale)).cast("double")).otherwise(x)
 
 
 def fixed_units(col, scale: int = 6) -> Column:
-    """The value in units of 10^-scale as an exact DECIMAL(38,0)."""
-    return F.floor(_c(col) * F.lit(float(10 ** scale)) + F.lit(0.5)).cast("decimal(38,0)")
+    """The value in units of 10^-scale as an exact DECIMAL(38,0); NaN and what
+    does not fit (infinities) give null, so they are not counted."""
+    scaled = _c(col).cast("double") * F.lit(float(10 ** scale))
+    return F.when(F.abs(scaled) < F.lit(WHOLE_DOUBLES), F.floor(scaled + F.lit(0.5)).cast("decimal(38,0)")).when(
+        F.abs(scaled) < F.lit(DECIMAL_LIMIT), scaled.cast("decimal(38,0)"))
 
 
 def from_units(col, scale: int = 6) -> Column:

@@ -21,6 +21,15 @@ from pyspark.sql import functions as F
 
 from zonecast.functions import rules as RU
 
+# The action text of each step.
+AUDIT_ACTIONS = (
+    "Dropped duplicate records after retaining the first occurrence.",
+    "Dropped records with distance_km <= 0 or fare <= 0; neither value can be inferred reliably.",
+    "Converted lowercase 'upi' to the canonical category 'UPI'.",
+    "Filled missing discount with 0.0 because discounts are monetary adjustments and no discount is the conservative default.",
+    "Retained trips with a missing driver_id for demand/customer analysis and added is_driver_linked; "
+    "exclude these rows from driver-level analysis.",
+)
 AUDIT_STEPS = (
     "Remove exact duplicate rows",
     "Remove invalid fare or distance",
@@ -126,7 +135,7 @@ def cleaning_audit(trips: DataFrame, measures=("distance_km", "fare"), null_poli
         (AUDIT_STEPS[4], F.col("missing_driver"), left_after_filter),
     ]
     rows = F.array(*[
-        F.struct(F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"),
+        F.struct(F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"), F.lit(AUDIT_ACTIONS[i]).alias("action"),
                  affected.cast("bigint").alias("affected_records"),
                  remaining.cast("bigint").alias("rows_remaining"))
         for i, (name, affected, remaining) in enumerate(steps)

@@ -17,8 +17,6 @@ BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 _WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
           "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 32}
 
-_FITS: dict[tuple[int, int, int, int], bool] = {}
-
 
 def row_width(df: DataFrame) -> int:
     """Estimated bytes per row from the schema (nested and unknown types: 64)."""
@@ -27,19 +25,10 @@ def row_width(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Bounded size check: counts at most ``limit + 1`` rows, where the limit is
-    the smaller of ``max_rows`` and the rows that fit ``max_bytes`` at the
-    schema's estimated row width.
-
-    The answer is remembered per session and plan (``semanticHash``), so a
-    dimension used by several joins is counted once; like the parquet scan
-    cache this assumes inputs do not change under a running session.
-    """
-    limit = min(max_rows, max_bytes // row_width(df))
-    key = (id(df.sparkSession), df.semanticHash(), limit, max_bytes)
-    if key not in _FITS:
-        _FITS[key] = df.limit(limit + 1).count() <= limit
-    return _FITS[key]
+    """Size check by a distributed count: no more than ``max_rows`` rows, and no
+    more than fit ``max_bytes`` at the schema's estimated row width.  Nothing is
+    remembered between calls, as the inputs may have changed."""
+    return df.count() <= min(max_rows, max_bytes // row_width(df))
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -56,32 +45,36 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return fact.join(maybe_broadcast(dim, max_rows), on=on, how=how)
 
 
-def unique_by_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                  order_by: str | None = None) -> DataFrame:
+def unique_by_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order_by: str) -> DataFrame:
     """One row per key; among duplicates the one with the largest ``order_by``
-    wins ("last match", G-11).  Partial aggregation keeps hot keys cheap."""
+    wins ("last match", G-11), ties by the payload columns.  A null order sorts
+    first but never erases a row.  Partial aggregation keeps hot keys cheap."""
     payload = [c for c in cols if c not in keys]
-    order = order_by or payload[0]
-    picked = F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(order)).alias("_last")
+    picked = F.max(F.struct(F.col(order_by).alias("_order"), *[F.col(c) for c in payload])).alias("_last")
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in payload])
 
 
 def update_join_last(left: DataFrame, right: DataFrame, on: dict[str, str],
-                     cols: Sequence[str], order_by: str | None = None) -> DataFrame:
+                     cols: Sequence[str], order_by: str) -> DataFrame:
     """Add ``cols`` from ``right`` to every row of ``left``; unmatched rows get
     nulls and the row count never changes (R keyed update-join, J-6).
 
     ``on`` maps left key -> right key.  The right side is first made unique per
-    key (last match by ``order_by``); it is an aggregate, so AQE sees its real
-    size and broadcasts it only when it is small.
+    key (last match by ``order_by``).  Keys meet as structs: the aggregate's
+    own partitioning does not serve that, so both sides get a shuffle of the join,
+    which AQE broadcasts when it is small and splits when a key is hot.  Null
+    keys match nothing.
     """
     rk = list(on.values())
-    extra = [order_by] if order_by and order_by not in cols and order_by not in rk else []
-    uniq = unique_by_key(right, rk, list(cols) + extra, order_by)
-    uniq = uniq.select(*[F.col(r).alias(f"_rk{i}") for i, r in enumerate(rk)], *cols)
-    cond = [left[lk] == uniq[f"_rk{i}"] for i, lk in enumerate(on)]
-    out = left.join(uniq, on=cond, how="left")
-    return out.select(*left.columns, *[uniq[c] for c in cols])
+    for k in rk:
+        right = right.where(F.col(k).isNotNull())
+    uniq = unique_by_key(right, rk, list(cols), order_by)
+    names = [f"k{i}" for i in range(len(rk))]
+    uniq = uniq.select(F.struct(*[F.col(r).alias(n) for r, n in zip(rk, names, strict=True)]).alias("_rk"),
+                       *[F.col(c).alias(f"_new_{c}") for c in cols])
+    key = F.struct(*[F.col(lk).alias(n) for lk, n in zip(on, names, strict=True)])
+    out = left.withColumn("_lk", key).join(uniq, F.col("_lk") == F.col("_rk"), "left")
+    return out.select(*left.columns, *[F.col(f"_new_{c}").alias(c) for c in cols])
 
 
 def role_playing_join(fact: DataFrame, dim: DataFrame, dim_key: str,
@@ -137,7 +130,7 @@ def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_ke
         .distinct().withColumn("_present", F.lit(True))
     joined = keys.join(parent_keys, on="_k", how="left")
     return joined.agg(
-        F.sum("_n").cast("bigint").alias("records_checked"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("records_checked"),
         F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
         .alias("missing_foreign_keys"),
         F.coalesce(F.sum(F.when(F.col("_k").isNotNull() & F.col("_present").isNull(), F.col("_n"))),

@@ -465,9 +465,9 @@ def analysis_set(cat: Catalog) -> DataFrame:
     t = timed_clean(cat).select("trip_id", "request_timestamp", "pickup_zone_id", "wait_time_min", "status") \
         .withColumn("cancelled", RU.is_status("status", RU.CANCELLED))
     t = joins.update_join_last(t, cat["traffic"], {"pickup_zone_id": "zone_id", "request_timestamp": "timestamp"},
-                               ["congestion_level", "avg_speed_kmph", "traffic_index"])
+                               ["congestion_level", "avg_speed_kmph", "traffic_index"], order_by="traffic_index")
     t = joins.update_join_last(t, cat["weather"], {"request_timestamp": "timestamp"},
-                               ["rainfall_mm", "visibility_km", "weather_condition"])
+                               ["rainfall_mm", "visibility_km", "weather_condition"], order_by="rainfall_mm")
     return t.na.drop(subset=["traffic_index", "rainfall_mm", "visibility_km", "weather_condition",
                              "wait_time_min"])
 

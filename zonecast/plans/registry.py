@@ -11,8 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType, TimestampNTZType)
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from zonecast.functions import rules as RU
 from zonecast.functions.rules import round_half_up as rnd
@@ -25,6 +24,7 @@ from zonecast.session import ensure_checkpoint_dir, scratch_path
 from zonecast.sources import sinks
 from zonecast.sources.catalog import Catalog, load_catalog
 from zonecast.sources.roles import BASE_TABLES, TRIP_COLUMNS
+from zonecast.sources.schemas import ROLE_SCHEMAS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,41 +69,60 @@ def _catalog_row_counts(cat):
     return quality.union_all(frames)
 
 
-DEMAND_SCHEMA = StructType([
-    StructField("timestamp", TimestampNTZType()), StructField("zone_id", StringType()),
-    StructField("ride_requests", IntegerType()), StructField("available_vehicles", IntegerType()),
-    StructField("completed_trips", IntegerType()), StructField("cancelled_trips", IntegerType()),
-    StructField("avg_wait_time_min", DoubleType()),
-])
+def _conform(role: str):
+    def fn(cat):
+        return sinks.conform(cat[role], ROLE_SCHEMAS[role])
+    fn.__doc__ = f"S-6: {role} conformed to its declared schema."
+    return fn
 
-TRIPS_MESSY_SCHEMA = StructType([
-    StructField(c, TimestampNTZType() if c.endswith("_timestamp") else
-                DoubleType() if c in ("distance_km", "fare", "wait_time_min", "trip_duration_min",
-                                      "surge_multiplier", "discount", "rating") else StringType())
-    for c in TRIP_COLUMNS
-])
 
+for _role in ROLE_SCHEMAS:
+    entry("catalog_conform" if _role == "demand_supply" else f"catalog_conform_{_role}", [_role],
+          f"SELECT * FROM {_role}")(_conform(_role))
 
-@entry("catalog_conform", ["demand_supply"], "SELECT * FROM demand_supply")
-def _catalog_conform(cat):
-    """S-6: conform a role table to its declared schema."""
-    return sinks.conform(cat["demand_supply"], DEMAND_SCHEMA)
+
+@entry("scan_csv_dates", ["drivers"], "SELECT * FROM drivers")
+def _scan_csv_dates(cat):
+    """S-2: a CSV with a date column, read back with a declared schema."""
+    path = scratch_path(cat.spark, "csv-dates")
+    sinks.write_csv(cat["drivers"], path)
+    return sinks.read_csv(cat.spark, path, ROLE_SCHEMAS["drivers"])
 
 
 @entry("scan_csv_roundtrip", ["trips_messy"], "SELECT * FROM trips_messy")
 def _scan_csv_roundtrip(cat):
     """S-1 / S-2: write as CSV with 'NA' for missing, read back with a declared schema."""
     path = scratch_path(cat.spark, "csv-scan")
-    (cat["trips_messy"].write.mode("overwrite").option("header", True).option("nullValue", "NA")
-     .option("timestampNTZFormat", sinks.TS_FORMAT).csv(path))
-    return sinks.read_csv(cat.spark, path, TRIPS_MESSY_SCHEMA)
+    sinks.write_csv(cat["trips_messy"], path, null_token="NA")
+    return sinks.read_csv(cat.spark, path, ROLE_SCHEMAS["trips_messy"])
 
 
 # ================================================================= rules
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _TRIPS_NOT_BAD = "NOT (coalesce(distance_km <= 0, false) OR coalesce(fare <= 0, false))"
 
 
+_AUDIT_SQL = f"""
+WITH d AS (SELECT DISTINCT * FROM trips_messy),
+s AS (SELECT (SELECT count(*) FROM trips_messy) AS src, count(*) AS distinct_rows,
+             count_if(NOT {_TRIPS_NOT_BAD}) AS invalid,
+             count_if({_TRIPS_NOT_BAD} AND payment_method = 'upi') AS upi,
+             count_if({_TRIPS_NOT_BAD} AND discount IS NULL) AS no_discount,
+             count_if({_TRIPS_NOT_BAD} AND driver_id IS NULL) AS no_driver
+      FROM d)
+SELECT * FROM (
+SELECT 1 AS step_no, {_lit(cleaning.AUDIT_STEPS[0])} AS step, {_lit(cleaning.AUDIT_ACTIONS[0])} AS action,
+       src - distinct_rows AS affected_records, distinct_rows AS rows_remaining FROM s
+UNION ALL SELECT 2, {_lit(cleaning.AUDIT_STEPS[1])}, {_lit(cleaning.AUDIT_ACTIONS[1])}, invalid, distinct_rows - invalid FROM s
+UNION ALL SELECT 3, {_lit(cleaning.AUDIT_STEPS[2])}, {_lit(cleaning.AUDIT_ACTIONS[2])}, upi, distinct_rows - invalid FROM s
+UNION ALL SELECT 4, {_lit(cleaning.AUDIT_STEPS[3])}, {_lit(cleaning.AUDIT_ACTIONS[3])}, no_discount, distinct_rows - invalid FROM s
+UNION ALL SELECT 5, {_lit(cleaning.AUDIT_STEPS[4])}, {_lit(cleaning.AUDIT_ACTIONS[4])}, no_driver, distinct_rows - invalid FROM s) t"""
+
+
 @entry("filter_positive_keep_null", ["trips_messy"], f"SELECT * FROM trips_messy WHERE {_TRIPS_NOT_BAD}")
 def _filter_keep(cat):
     """P-3, pandas form: a null measure survives."""
@@ -198,7 +217,8 @@ WHERE w.rainfall_mm IS NOT NULL AND w.weather_condition IS NOT NULL""")
 def _complete_cases(cat):
     """P-14: drop rows with a missing value in the listed columns."""
     t = joins.update_join_last(PR.timed_clean(cat).select("trip_id", "request_timestamp"), cat["weather"],
-                               {"request_timestamp": "timestamp"}, ["rainfall_mm", "weather_condition"])
+                               {"request_timestamp": "timestamp"}, ["rainfall_mm", "weather_condition"],
+                               order_by="rainfall_mm")
     return t.na.drop(subset=["rainfall_mm", "weather_condition"]).select("trip_id", "rainfall_mm",
                                                                          "weather_condition")
 
@@ -278,10 +298,35 @@ def _update_join(cat):
     """J-6: keyed update-join, right side made unique first; row count kept."""
     t = PR.timed_clean(cat).select("trip_id", "pickup_zone_id", "request_timestamp")
     return joins.update_join_last(t, cat["traffic"], {"pickup_zone_id": "zone_id", "request_timestamp": "timestamp"},
-                                  ["congestion_level", "traffic_index"]).select(
+                                  ["congestion_level", "traffic_index"], order_by="traffic_index").select(
         "trip_id", "congestion_level", "traffic_index")
 
 
+@entry("update_join_duplicates", ["timed_clean"], """
+WITH seen AS (
+  SELECT CAST(user_id % 25 AS STRING) AS zone_id, date_trunc('hour', ts) AS hour_start,
+         CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS last_type,
+         CASE WHEN user_id % 7 = 0 THEN NULL ELSE event_id END AS last_id
+  FROM events),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY zone_id, hour_start
+                               ORDER BY last_id DESC NULLS LAST, last_type DESC NULLS LAST) AS place
+  FROM seen)
+SELECT t.trip_id, n.last_type, n.last_id
+FROM timed_clean t LEFT JOIN numbered n
+  ON n.place = 1 AND n.zone_id = t.pickup_zone_id AND n.hour_start = t.request_timestamp""")
+def _update_join_duplicates(cat):
+    """J-6 with many rows per key on the right, null orders and null levels."""
+    t = PR.timed_clean(cat).select("trip_id", "pickup_zone_id", "request_timestamp")
+    seen = cat["events"].select(
+        F.expr("CAST(user_id % 25 AS STRING)").alias("zone_id"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start"),
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("last_type"),
+        F.when(F.col("user_id") % 7 != 0, F.col("event_id")).alias("last_id"))
+    return joins.update_join_last(t, seen, {"pickup_zone_id": "zone_id", "request_timestamp": "hour_start"},
+                                  ["last_type", "last_id"], order_by="last_id").select("trip_id", "last_type", "last_id")
+
+
 @entry("join_hourly_dim", ["demand_supply", "weather"], """
 SELECT d.timestamp, d.zone_id, w.rainfall_mm, w.weather_condition
 FROM demand_supply d LEFT JOIN weather w ON w.timestamp = d.timestamp""")
@@ -508,20 +553,7 @@ def _clean(cat):
     return PR.trips_clean(cat)
 
 
-@entry("cleaning_audit", ["trips_messy"], f"""
-WITH d AS (SELECT DISTINCT * FROM trips_messy),
-s AS (SELECT (SELECT count(*) FROM trips_messy) AS src, count(*) AS distinct_rows,
-             count_if(NOT {_TRIPS_NOT_BAD}) AS invalid,
-             count_if({_TRIPS_NOT_BAD} AND payment_method = 'upi') AS upi,
-             count_if({_TRIPS_NOT_BAD} AND discount IS NULL) AS no_discount,
-             count_if({_TRIPS_NOT_BAD} AND driver_id IS NULL) AS no_driver
-      FROM d)
-SELECT 1 AS step_no, 'Remove exact duplicate rows' AS step, src - distinct_rows AS affected_records,
-       distinct_rows AS rows_remaining FROM s
-UNION ALL SELECT 2, 'Remove invalid fare or distance', invalid, distinct_rows - invalid FROM s
-UNION ALL SELECT 3, 'Standardize payment method labels', upi, distinct_rows - invalid FROM s
-UNION ALL SELECT 4, 'Impute missing discounts', no_discount, distinct_rows - invalid FROM s
-UNION ALL SELECT 5, 'Flag unknown drivers', no_driver, distinct_rows - invalid FROM s""")
+@entry("cleaning_audit", ["trips_messy"], _AUDIT_SQL)
 def _audit(cat):
     """D-2: per step affected rows and rows left, one pass."""
     return PR.cleaning_audit(cat)
@@ -807,17 +839,53 @@ def _named(name: str):
     return fn
 
 
-for _q, _needs in (("zone_hourly_fleet_pressure", ["demand_supply", "zones"]),
-                   ("zone_experience_hotspots", ["trips_clean", "zones"]),
-                   ("vehicle_revenue_performance", ["trips_clean"]),
-                   ("cross_city_corridors", ["trips_clean", "zones"]),
-                   ("traffic_customer_experience", ["timed_clean", "traffic"])):
-    entry({"zone_hourly_fleet_pressure": "sql_fleet_pressure",
-           "zone_experience_hotspots": "sql_zone_hotspots",
-           "vehicle_revenue_performance": "sql_vehicle_performance",
-           "cross_city_corridors": "sql_corridors",
-           "traffic_customer_experience": "sql_traffic_experience"}[_q], _needs,
-          named_sql.duck_text(_q))(_named(_q))
+_CANCELLED_PCT = r("100e0 * CAST(count(*) FILTER (WHERE status = 'Cancelled') AS DOUBLE) / count(*)", 2)
+
+# the oracle side is written for itself: one flat aggregate over the joined rows, then ranks
+for _entry, _name, _needs, _sql in (
+    ("sql_fleet_pressure", "zone_hourly_fleet_pressure", ["demand_supply", "zones"], f"""
+        SELECT * FROM (
+          SELECT city, zone_name, timestamp, ride_requests, available_vehicles, demand_supply_ratio, cancelled_trips,
+                 avg_wait_time_min, CAST(row_number() OVER (ORDER BY demand_supply_ratio DESC NULLS LAST, cancelled_trips DESC,
+                                                            city, zone_name, timestamp) AS INTEGER) AS rank
+          FROM (SELECT *, {r("CAST(ride_requests AS DOUBLE) / NULLIF(available_vehicles, 0)", 2)} AS demand_supply_ratio
+                FROM demand_supply) p JOIN zones USING (zone_id)) ranked
+        WHERE rank <= 100"""),
+    ("sql_zone_hotspots", "zone_experience_hotspots", ["trips_clean", "zones"], f"""
+        SELECT *, CAST(row_number() OVER (ORDER BY cancellation_rate_pct DESC, avg_wait_time_min DESC NULLS LAST, trips DESC,
+                                          city, zone_name) AS INTEGER) AS rank
+        FROM (SELECT city, zone_name, count(*) AS trips, {_CANCELLED_PCT} AS cancellation_rate_pct,
+                     {r(favg("wait_time_min"), 2)} AS avg_wait_time_min, {r(fsum(_CF), 2)} AS completed_revenue
+              FROM trips_clean JOIN zones ON pickup_zone_id = zone_id GROUP BY ALL) g"""),
+    ("sql_vehicle_performance", "vehicle_revenue_performance", ["trips_clean"], f"""
+        SELECT *, CAST(row_number() OVER (ORDER BY completed_revenue DESC, vehicle_type) AS INTEGER) AS rank
+        FROM (SELECT vehicle_type, count(*) AS trips, {r(fsum(_CF), 2)} AS completed_revenue,
+                     {r(favg("fare"), 2)} AS avg_fare, {_CANCELLED_PCT} AS cancellation_rate_pct
+              FROM trips_clean GROUP BY ALL) g"""),
+    ("sql_corridors", "cross_city_corridors", ["trips_clean", "zones"], f"""
+        SELECT *, CAST(row_number() OVER (ORDER BY trips DESC, corridor) AS INTEGER) AS rank
+        FROM (SELECT concat(a.city, ' → ', b.city) AS corridor, count(*) AS trips,
+                     {r(favg("wait_time_min"), 2)} AS avg_wait_time_min, {r(fsum(_CF), 2)} AS completed_revenue
+              FROM trips_clean, zones a, zones b
+              WHERE a.zone_id = pickup_zone_id AND b.zone_id = drop_zone_id AND a.city <> b.city GROUP BY ALL) g"""),
+    ("sql_traffic_experience", "traffic_customer_experience", ["timed_clean", "traffic"], f"""
+        SELECT *, CAST(row_number() OVER (ORDER BY avg_trip_duration_min DESC NULLS LAST, congestion_level) AS INTEGER) AS rank
+        FROM (SELECT congestion_level, count(*) AS trips, {r(favg("trip_duration_min"), 2)} AS avg_trip_duration_min,
+                     {r(favg("wait_time_min"), 2)} AS avg_wait_time_min, {_CANCELLED_PCT} AS cancellation_rate_pct
+              FROM timed_clean JOIN traffic ON traffic.zone_id = pickup_zone_id AND timestamp = request_timestamp
+              GROUP BY ALL) g"""),
+):
+    entry(_entry, _needs, _sql)(_named(_name))
+
+
+@entry("large_sum", ["trips_clean"], f"""
+SELECT vehicle_type, {r(fsum("fare * 1e9"), 4)} AS total, {r(favg("fare * 1e9"), 4)} AS mean
+FROM trips_clean GROUP BY vehicle_type""")
+def _large_sum(cat):
+    """P-22 / A-3 beyond the BIGINT range: sums of fares a billion times as large."""
+    big = PR.trips_clean(cat).select("vehicle_type", (F.col("fare") * F.lit(1e9)).alias("x"))
+    return big.groupBy("vehicle_type").agg(RU.round_half_up(RU.fixed_sum("x"), 4).alias("total"),
+                                           RU.round_half_up(RU.fixed_avg("x"), 4).alias("mean"))
 
 
 # ---------------------------------------------------------------- study
@@ -920,19 +988,11 @@ def _sink_parquet(cat):
     return cat.spark.read.parquet(path)
 
 
-@entry("sink_table_roundtrip", ["trips_messy"], "SELECT * FROM (" + """
-WITH d AS (SELECT DISTINCT * FROM trips_messy),
-s AS (SELECT (SELECT count(*) FROM trips_messy) AS src, count(*) AS distinct_rows,
-             count_if(NOT (coalesce(distance_km <= 0, false) OR coalesce(fare <= 0, false))) AS ok
-      FROM d)
-SELECT 1 AS step_no, 'Remove exact duplicate rows' AS step, src - distinct_rows AS affected_records,
-       distinct_rows AS rows_remaining FROM s
-UNION ALL SELECT 2, 'Remove invalid fare or distance', distinct_rows - ok, ok FROM s""" + ") t")
+@entry("sink_table_roundtrip", ["trips_messy"], _AUDIT_SQL)
 def _sink_table(cat):
     """S-9: table with a prefix plus a folder, format parameter (parquet)."""
     path = scratch_path(cat.spark, "table-sink")
-    audit = PR.cleaning_audit(cat).where(F.col("step_no") <= 2)
-    return sinks.save_table(audit, "zonecast_cleaning_audit", path, fmt="parquet")
+    return sinks.save_table(PR.cleaning_audit(cat), "zonecast_cleaning_audit", path, fmt="parquet")
 
 
 @entry("cleaning_summary_json", ["trips_messy"], _SUMMARY_SQL)

@@ -12,59 +12,25 @@ from pyspark.sql.utils import AnalysisException
 from zonecast.sources import roles as R
 
 
-# Parquet relations per (session, path): listing files and reading footers is
-# planning time spent again by every query otherwise.  Like Spark's own file
-# status cache this assumes the folder does not change under a running
-# session; ``clear_scan_cache()`` forgets it.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
-def clear_scan_cache() -> None:
-    _SCANS.clear()
-    _ROLES.clear()
-
-
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
-
-
-# Analysed role views per (session, folder, role), same assumption as above.
-_ROLES: dict[tuple[int, str, str], DataFrame] = {}
-
-
 class Catalog:
-    """name -> DataFrame over one sf folder; base tables and role views."""
+    """name -> DataFrame over one sf folder; base tables and role views.
+
+    Frames are kept per catalog only: a new catalog lists the files anew, so it
+    sees what was added to a table meanwhile.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
-        self._overridden: set[str] = set()
-
-    def _depends_on_override(self, name: str) -> bool:
-        if name in self._overridden:
-            return True
-        return name in R.ROLES and any(self._depends_on_override(d) for d in R.role_deps(name))
 
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in R.BASE_TABLES:
-                self._frames[name] = scan(self.spark, f"{self.sf_dir}/{name}.parquet")
+                self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             elif name in R.ROLES:
-                key = (id(self.spark), self.sf_dir, name)
-                shared = not self._depends_on_override(name)
-                df = _ROLES.get(key) if shared else None
-                if df is None or df.sparkSession is not self.spark:
-                    deps = {d: self.table(d) for d in R.role_deps(name)}
-                    df = self.spark.sql(R.role_sql(name, R.SPARK), **deps)
-                    if shared:
-                        _ROLES[key] = df
-                self._frames[name] = df
+                deps = {d: self.table(d) for d in R.role_deps(name)}
+                self._frames[name] = self.spark.sql(R.role_sql(name, R.SPARK), **deps)
             else:
                 raise KeyError(f"unknown table or role: {name}")
         return self._frames[name]
@@ -82,9 +48,8 @@ class Catalog:
 
     def register(self, name: str, df: DataFrame) -> None:
         """Override a table or role for this catalog only (tests pass hand-made
-        frames this way); roles built on it are not shared."""
+        frames this way)."""
         self._frames[name] = df
-        self._overridden.add(name)
 
 
 def load_catalog(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:

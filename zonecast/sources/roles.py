@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from zonecast.functions.sqltext import rnd
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -44,7 +46,7 @@ DUCK = Dialect("duckdb")
 
 def _r6(expr: str) -> str:
     # Averages feed rankings; six decimals make both engines agree on ties.
-    return f"(floor(({expr}) * 1000000 + 0.5) / 1000000)"
+    return rnd(expr, 6)
 
 
 def _hour(d: Dialect, col: str) -> str:
@@ -75,7 +77,8 @@ SELECT CAST(p_partkey AS STRING) AS vehicle_id,
        CAST(p_size % 4 + 1 AS INTEGER) AS capacity,
        CAST(p_size AS DOUBLE) / 10 AS vehicle_age_years,
        CAST(p_size % 30 AS STRING) AS home_zone_id,
-       CASE WHEN p_size % 5 = 0 THEN 'Inactive' ELSE 'Active' END AS status
+       CASE WHEN p_size % 5 = 0 THEN 'Inactive' ELSE 'Active' END AS status,
+       DATE '2015-01-01' + CAST(p_partkey % 2000 AS INTEGER) AS join_date
 FROM {part}
 """
 
@@ -87,7 +90,8 @@ SELECT CAST(s_suppkey AS STRING) AS driver_id,
        CAST(s_nationkey AS STRING) AS home_zone_id,
        CAST(s_suppkey % 15 AS DOUBLE) AS experience_years,
        CAST(s_suppkey % 5 AS DOUBLE) + 0.5 AS driver_rating,
-       CASE WHEN s_acctbal < 0 THEN 'Suspended' ELSE 'Active' END AS driver_status
+       CASE WHEN s_acctbal < 0 THEN 'Suspended' ELSE 'Active' END AS driver_status,
+       DATE '2016-01-01' + CAST(s_suppkey % 1500 AS INTEGER) AS join_date
 FROM {supplier}
 """
 
@@ -214,7 +218,6 @@ FROM (
          CAST(hour(ts) AS INTEGER) AS h,
          {_r6('avg(value)')} AS rainfall_mm
   FROM {{events}}
-  WHERE hour(ts) <> 3
   GROUP BY {_hour(d, 'ts')}, CAST(hour(ts) AS INTEGER)
 ) w
 """

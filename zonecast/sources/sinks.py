@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Text tokens pandas and R read as missing.
-NA_TOKENS = ("NA", "N/A", "NaN", "null", "")
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+             "NULL", "NaN", "None", "n/a", "nan", "null")
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV, one file per task, timestamps in one fixed text form (S-7)."""
-    (df.write.mode("overwrite").option("header", True)
+def write_csv(df: DataFrame, path: str, null_token: str = "") -> None:
+    """Header CSV, one file per task, timestamps in one fixed text form, quotes doubled (S-7)."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"').option("nullValue", null_token)
      .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
      .csv(path))
 
@@ -33,7 +34,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     text first and every missing-value token is normalised before the typed
     cast; text that does not parse becomes null (G-15, G-17).
     """
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"').option("multiLine", True)
            .schema(StructType([StructField(f.name, StringType(), True) for f in schema.fields]))
            .csv(path))
     tokens = list(na_tokens)
@@ -46,7 +47,11 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
         elif t == "timestamp":
             c = F.try_to_timestamp(c, F.lit(TS_FORMAT))
         elif t == "boolean":
-            c = F.lower(c).isin("true", "1")
+            low = F.lower(F.trim(c))
+            c = F.when(low.isin("true", "1"), True).when(low.isin("false", "0"), False)
+        elif t in ("double", "float"):
+            c = c.try_cast(f.dataType)
+            c = F.when(~F.isnan(c), c)
         elif t != "string":
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
