@@ -424,9 +424,11 @@ def headline_findings(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
     (it is small: zone pairs x vehicle types) instead of cleaning the trips
     once per finding."""
     def row(df, finding, label, value, rank=None):
+        # the three zone tables say which city a zone is in
         return df.select(F.lit(finding).alias("finding"),
                          (F.col(rank) if rank else F.lit(1)).cast("int").alias("rank"),
                          F.col(label).cast("string").alias("label"),
+                         (F.col("pickup_city") if rank else F.lit(None)).cast("string").alias("pickup_city"),
                          F.col(value).cast("double").alias("value"))
 
     if base is None:
@@ -443,7 +445,7 @@ def headline_findings(cat: Catalog, base: DataFrame | None = None) -> DataFrame:
     share = cross.agg(rnd(F.sum(F.when(F.col("is_cross_city"), F.col("_n")).otherwise(F.lit(0))).cast("double")
                           / F.sum("_n").cast("double"), P).alias("value")) \
         .select(F.lit("cross_city_share").alias("finding"), F.lit(1).alias("rank"),
-                F.lit(None).cast("string").alias("label"), "value")
+                F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("pickup_city"), "value")
     zone = eda_zone(cat, base)
     top_demand = row(ranking.nlargest(zone, "trips", 5, ["pickup_zone_id"]), "top_demand_zone",
                      "pickup_zone_name", "trips", "rank")

@@ -797,27 +797,27 @@ def _eda_top6(cat):
 
 _HEADLINE_SQL = f"""
 SELECT * FROM (SELECT 'peak_hour' AS finding, 1 AS rank, lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS label,
-                      CAST(trips AS DOUBLE) AS value
+                      CAST(NULL AS VARCHAR) AS pickup_city, CAST(trips AS DOUBLE) AS value
                FROM eda_hourly ORDER BY trips DESC, hour LIMIT 1) a
 UNION ALL
-SELECT * FROM (SELECT 'largest_market', 1, pickup_city, CAST(trips AS DOUBLE) FROM eda_city
+SELECT * FROM (SELECT 'largest_market', 1, pickup_city, CAST(NULL AS VARCHAR), CAST(trips AS DOUBLE) FROM eda_city
                WHERE trips IS NOT NULL ORDER BY trips DESC, position LIMIT 1) b
 UNION ALL
-SELECT * FROM (SELECT 'top_revenue_vehicle', 1, vehicle_type, completed_revenue FROM eda_vehicle
+SELECT * FROM (SELECT 'top_revenue_vehicle', 1, vehicle_type, CAST(NULL AS VARCHAR), completed_revenue FROM eda_vehicle
                ORDER BY completed_revenue DESC, vehicle_type LIMIT 1) c
 UNION ALL
-SELECT 'cross_city_share', 1, CAST(NULL AS VARCHAR), {r4('avg(CAST(is_cross_city AS INTEGER))')} FROM clean_cities
+SELECT 'cross_city_share', 1, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), {r4('avg(CAST(is_cross_city AS INTEGER))')} FROM clean_cities
 UNION ALL
 SELECT 'top_demand_zone', CAST(row_number() OVER (ORDER BY trips DESC, pickup_zone_id) AS INTEGER), pickup_zone_name,
-       CAST(trips AS DOUBLE)
+       pickup_city, CAST(trips AS DOUBLE)
 FROM (SELECT * FROM eda_zone ORDER BY trips DESC, pickup_zone_id LIMIT 5) d
 UNION ALL
 SELECT 'longest_wait_zone', CAST(row_number() OVER (ORDER BY avg_wait_min DESC NULLS LAST, pickup_zone_id) AS INTEGER),
-       pickup_zone_name, avg_wait_min
+       pickup_zone_name, pickup_city, avg_wait_min
 FROM (SELECT * FROM eda_zone ORDER BY avg_wait_min DESC NULLS LAST, pickup_zone_id LIMIT 5) e
 UNION ALL
 SELECT 'highest_cancel_zone', CAST(row_number() OVER (ORDER BY pct DESC NULLS LAST, pickup_zone_id) AS INTEGER),
-       pickup_zone_name, pct
+       pickup_zone_name, pickup_city, pct
 FROM (SELECT *, {r4('cancellation_rate * 100')} AS pct FROM eda_zone
       ORDER BY pct DESC NULLS LAST, pickup_zone_id LIMIT 5) f"""
 
