@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id.
 
-    Of rows that repeat an id, one stays (the smallest row); rows without an id stay.
+    Of rows that repeat an id, one stays; rows without an id stay.
     """
     kept = op07_minmax.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     chosen, _ = write_table(kept, "kept-ids")
@@ -40,10 +40,20 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document appears as often as the mix takes it (none, once or twice)."""
-    mixed, _ = write_table(op08_mixing.mix(docs).where("copies > 0").select("doc_id", "size", "source", "copies").distinct(), "pipeline-mix")
-    once = docs.join(mixed.select("doc_id", "copies"), "doc_id")
-    return once.select(*docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).select(*docs.columns)
+    """A document appears as often as the mix takes it (none, once or twice).
+
+    Documents without words take no room and stay once, as do rows without an
+    id.  Rows that agree in id, source and size appear as often as the one taken most.
+    """
+    taken = op08_mixing.mix(docs).where("size > 0 AND doc_id IS NOT NULL").groupBy("doc_id", "source", "size").agg(
+        F.max("copies").alias("copies"))
+    taken, _ = write_table(taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
+                                        F.col("size").alias("_size"), "copies"), "pipeline-mix")
+    size = op08_mixing.words_in("text")
+    some = docs.where((size > 0) & F.col("doc_id").isNotNull()).join(
+        taken, (F.col("doc_id") == F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (size == F.col("_size")))
+    mixed = some.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return mixed.unionByName(docs.where((size == 0) | F.col("doc_id").isNull()))
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -140,16 +140,20 @@ def _copies(cells: DataFrame) -> DataFrame:
     return state
 
 
+def words_in(text: str) -> Column:
+    """Number of words of a text, 0 for null."""
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, f"{SPACE}+"))).cast("long")
+
+
 def mix(documents: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies and taken of every document.
 
     Broadcast tables have one row per source (a corpus has few next to its documents).
     """
     spark = documents.sparkSession
-    trimmed = F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\f\r"))
-    size = F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, f"{SPACE}+"))).cast("long")
     sized, sized_path = write_table(
-        with_row_ids(documents, "doc_id", "source", "text").select("doc_id", "source", size.alias("size"))
+        with_row_ids(documents, "doc_id", "source", "text").select("doc_id", "source", words_in("text").alias("size"))
         .withColumn("h", F.xxhash64("doc_id", F.lit("mix"))), "sized")
     cells, cells_path = write_table(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs"))
