@@ -40,7 +40,7 @@ SEGMENT_TOKENS = 1 << 16
 SEGMENT_DOCS = 4096
 _SEGMENT = ("part int, seq int, inside bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, "
             "chunks array<binary>, bitmaps array<binary>, ranks array<binary>")
-_CACHE_MAX = 600_000
+_CACHE_MAX = 900_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -156,8 +156,8 @@ class ChunkedTokenizer:
             for line in lines:
                 first.add(line[0])
                 inner.update(line[1:])
-        self._learn(self.inner, inner - self.inner.keys(), " ")
-        self._learn(self.first, first - self.first.keys(), "")
+        self._learn(self.inner, {s for s in inner if s not in self.inner}, " ")
+        self._learn(self.first, {s for s in first if s not in self.first}, "")
         out: list[bytes | None] = []
         for lines in split:
             parts = []
