@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -123,6 +124,7 @@ class ToxicModel:
     allowed: frozenset[str] = frozenset()
     coef: list[float] = field(default_factory=lambda: [0.0] * 7)
     base: float | None = None  # one score for all, without both classes
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         if self.base is not None:
@@ -186,6 +188,17 @@ class Matcher:
                 float(misspelled > 0), quoted / hits]
 
 
+_matchers: dict[str, Matcher] = {}
+
+
+def _matcher(model: ToxicModel) -> Matcher:
+    """One matcher per worker and model, so that judged words are remembered between tasks."""
+    if model.key not in _matchers:
+        _matchers.clear()
+        _matchers[model.key] = Matcher(Trie(model.terms, model.allowed))
+    return _matchers[model.key]
+
+
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         pos, neg = Counter(), Counter()
@@ -298,7 +311,7 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 10_000, min_w
 
 def _feature_rows(model: ToxicModel):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(Trie(model.terms, model.allowed))
+        matcher = _matcher(model)
         for pdf in batches:
             yield pd.DataFrame({"toxic": pdf["toxic"], "f": [matcher.features(t) for t in pdf["text"]]})
     return run
@@ -309,7 +322,7 @@ def toxicity(documents: DataFrame, model: ToxicModel, keep: tuple[str, ...] = ("
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(Trie(model.terms, model.allowed))
+        matcher = _matcher(model)
         for batch in batches:
             found = [matcher.features(t.as_py()) for t in batch.column(len(names))]
             score = model.score(np.array(found, float).reshape(batch.num_rows, 6))
