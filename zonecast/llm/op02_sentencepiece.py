@@ -59,10 +59,10 @@ class PieceTable:
     kind: str  # "bpe" or "unigram"
     unknown: int = 0
     texts: dict[int, str] = field(default_factory=dict)
+    longest: int = 1
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces), default=1)
+    def __post_init__(self):
+        self.longest = max(map(len, self.pieces), default=1)
 
 
 def load_pieces(path: str) -> PieceTable:
