@@ -15,8 +15,8 @@ not give its segmentation; there the fold goes over the edges by rank and takes
 an edge when it joins exactly two symbols.  Both folds give what the library gives.
 
 The head (at most ``HEAD_WORDS`` words of ``HEAD_CHARS`` characters) is broadcast;
-its bound does not grow with the data.  The other words of a text go through the
-same lattice and fold inside the worker (any length, exact), so texts are never
+its bound does not grow with the data.  The other words of a text take the same
+merges (or Viterbi steps) inside the worker, at any length, so texts are never
 shuffled.
 
 Defined results: null or empty text has no pieces; characters without a piece
@@ -42,10 +42,10 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 
 SPACE_MARK = "▁"
-HEAD_WORDS = 1 << 18
+HEAD_WORDS = 1 << 19
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
-_CACHE_MAX = 200_000
+_CACHE_MAX = 500_000
 _FLUSH = 200_000
 
 
@@ -156,7 +156,7 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
         "word", F.transform(fold, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["id"].alias("id"))).alias("kept"))
 
 
-# --- the same lattice in a worker, for words outside the head -----------------------------
+# --- the same segmentation in a worker, for words outside the head -----------------------------
 
 def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> list[int]:
     """Ids in order; what no edge covers becomes byte pieces (or the unknown id)."""
@@ -171,26 +171,30 @@ def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> lis
 
 
 def encode_word(word: str, table: PieceTable) -> list[int]:
-    n, longest = len(word), table.longest
+    n = len(word)
     if table.kind == "unigram":
         return _viterbi(word, table)
     if n > 62:
         return _merge_long(word, table)
-    edges = []
-    for s in range(n):
-        for e in range(s + 1, min(n, s + longest) + 1):
-            p = table.pieces.get(word[s:e])
-            if p is not None:
-                edges.append((p[1], s, e, p[0]))
-    edges.sort()
-    mask = (1 << (n + 1)) - 1
-    for _, s, e, _ in edges:
-        inner = mask & ((1 << e) - (1 << (s + 1)))
-        if mask >> s & 1 and mask >> e & 1 and inner and not inner & (inner - 1):
-            mask ^= inner
-    kept = [(s, e, i) for _, s, e, i in edges
-            if mask >> s & 1 and mask >> e & 1 and not mask & ((1 << e) - (1 << (s + 1)))]
-    return _fill(word, kept, table)
+    # the merge fold, with only the edges that join two symbols looked up
+    find, worst = table.pieces.get, (0, 1 << 30)
+    parts = list(word)
+    ranks = [find(x + y, worst)[1] for x, y in zip(parts, parts[1:])]
+    while ranks and (best := min(ranks)) < 1 << 30:
+        k = ranks.index(best)
+        parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        del ranks[k]
+        if k:
+            ranks[k - 1] = find(parts[k - 1] + parts[k], worst)[1]
+        if k < len(ranks):
+            ranks[k] = find(parts[k] + parts[k + 1], worst)[1]
+    ids: list[int] = []
+    for x in parts:
+        if (p := find(x)) is not None:
+            ids.append(p[0])
+        else:
+            ids += _fill(x, [], table)
+    return ids
 
 
 def _merge_long(word: str, table: PieceTable) -> list[int]:
