@@ -287,11 +287,10 @@ def head_vocabulary(texts: DataFrame) -> tuple[DataFrame, str]:
 class _Head:
     """Broadcast form of the head: words, and their ids in one array."""
 
-    def __init__(self, words: list[str], ids: list[list[int]]):
+    def __init__(self, words: list[str], ids: np.ndarray, sizes: np.ndarray):
         self.key = uuid.uuid4().hex
         self.words = "\n".join(words)
-        self.ids = np.array([i for x in ids for i in x], "<i4")
-        self.sizes = np.array([len(x) for x in ids], np.int32)
+        self.ids, self.sizes = ids.astype("<i4"), sizes
 
     def table(self) -> dict[str, bytes]:
         raw, ends = self.ids.tobytes(), 4 * np.cumsum(self.sizes)
@@ -335,13 +334,16 @@ def encode(documents: DataFrame, model_path: str) -> DataFrame:
     docs = with_row_ids(documents, "doc_id", "text")
     table = load_pieces(model_path)
     head, path = head_vocabulary(docs)
-    coded = encode_words(head, table).toArrow()
-    words = coded.column("word").to_pylist()
-    kept = coded.column("kept").to_pylist()
-    ids = [_fill(w, [(e["start"], e["end"], e["id"]) for e in k], table) for w, k in zip(words, kept, strict=True)]
+    # words with a character outside all pieces (byte pieces) are left to the workers
+    whole = F.aggregate("kept", F.lit(0), lambda n, e: n + e["end"] - e["start"]) == F.length("word")
+    coded = encode_words(head, table).where(whole).select(
+        "word", F.transform(F.array_sort("kept"), lambda e: e["id"]).alias("ids")).toArrow()
+    lists = coded.column("ids").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int32)
+    held = _Head(coded.column("word").to_pylist(), lists.flatten().to_numpy(), sizes)
     drop_tables(spark, [path])
     sc = spark.sparkContext
-    return map_arrow(docs, _encoder(sc.broadcast(_Head(words, ids)), sc.broadcast(table)),
+    return map_arrow(docs, _encoder(sc.broadcast(held), sc.broadcast(table)),
                      "doc_id bigint, text string, ids array<int>")
 
 
