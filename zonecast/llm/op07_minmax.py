@@ -11,7 +11,7 @@ Large buckets never become all pairs.  Documents with one and the same set are
 first folded into their smallest id.  In each bucket every document is then
 compared with one leader, the member that meets most others over all bands.
 Components of the confirmed links are formed, and only pairs of a bucket that
-still lie in different components are compared after that: two more rounds with
+still lie in different components are compared after that: one more round with
 new leaders, then every such pair that an exact bound (overlap with the leader)
 does not rule out.  A pair inside one component needs no
 comparison, as its link cannot change any component, so no link between
@@ -53,7 +53,7 @@ class MinMax:
     bands: int = 48
     rows: int = 5
     percent: int = 75
-    star_rounds: int = 2
+    star_rounds: int = 1
     direct: int = 8  # buckets up to this size compare all their open pairs
     seed: int = 20
 
