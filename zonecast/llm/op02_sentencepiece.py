@@ -45,7 +45,7 @@ SPACE_MARK = "▁"
 HEAD_WORDS = 1 << 19
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
-_CACHE_MAX = 500_000
+_CACHE_MAX = 250_000
 _FLUSH = 200_000
 
 
