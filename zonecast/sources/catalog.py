@@ -23,6 +23,7 @@ class Catalog:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._overridden: set[str] = set()  # names whose frames were put in by hand
 
     def table(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -50,6 +51,7 @@ class Catalog:
         """Override a table or role for this catalog only (tests pass hand-made
         frames this way)."""
         self._frames[name] = df
+        self._overridden.add(name)
 
 
 def load_catalog(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
