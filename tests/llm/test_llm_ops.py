@@ -193,6 +193,16 @@ def test_secrets_found_and_redacted(spark):
     assert op04_secrets.find_secrets(docs(spark, [])).count() == 0
 
 
+def test_dictionary_counts_all_documents(spark):
+    # 2,000 words in three documents each: more documents than any sample of a fixed size holds
+    word = ["".join(chr(97 + k // 26**j % 26) for j in range(3)) + "word" for k in range(2000)]
+    rows = [(k, f"{word[k % 2000]} {word[k % 2000]} the once{chr(97 + k // 676 % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}") for k in range(6000)]
+    counts = collections.Counter(w for _, t in rows for w in set(t.split()))
+    want = sorted((-n, w) for w, n in counts.items() if n > 1)
+    assert op04_secrets.dictionary_of(docs(spark, rows)) == {w for _, w in want}
+    assert op04_secrets.dictionary_of(docs(spark, rows), size=500) == {w for _, w in want[:500]}
+
+
 # ---------------------------------------------------------------- 5
 
 def _counts(t):

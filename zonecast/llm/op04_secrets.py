@@ -10,8 +10,8 @@ such findings from a corpus without labels: a random-looking value assigned to a
 secret's name is one, other candidates are not, and each true context is written
 again with values of either kind (other random codes; placeholders, joined words,
 repeated characters, paths), so that the forest learns value and context.
-The training sample is bounded (``max_rows``, chosen by hash); scanning covers
-every text as a whole.
+The training sample is bounded (``max_rows``, chosen by hash); the dictionary is
+counted over all documents and scanning covers every text as a whole.
 
 Defined results: null or empty text has no findings; repeated rows give their
 findings each; without findings of both classes a finding gets the share of
@@ -170,12 +170,9 @@ def train(findings: DataFrame, max_rows: int = 20_000, trees: int = 30, depth: i
     return model
 
 
-def dictionary_of(documents: DataFrame, max_docs: int = 2000, size: int = 4000) -> frozenset[str]:
-    """Frequent words of three to twelve letters, from a bounded sample of documents chosen by hash (part of the model)."""
-    docs = with_row_ids(documents, "doc_id", "text")
-    n = docs.count()
-    cut = int(min(1.0, max_docs / max(1, n)) * 1_000_000)
-    words = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("dictionary")), F.lit(1_000_000)) < cut).select(
+def dictionary_of(documents: DataFrame, size: int = 4000) -> frozenset[str]:
+    """The ``size`` words of three to twelve letters that most documents have, counted over all of them (part of the model)."""
+    words = with_row_ids(documents, "text").select(
         F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(?<![a-z])[a-z]{3,12}(?![a-z])"), F.lit(0)))).alias("w"))
     top = words.groupBy("w").count().where("count > 1").orderBy(F.desc("count"), "w").limit(size).collect()
     return frozenset(r["w"] for r in top)
