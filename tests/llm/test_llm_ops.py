@@ -203,6 +203,43 @@ def test_dictionary_counts_all_documents(spark):
     assert op04_secrets.dictionary_of(docs(spark, rows), size=500) == {w for _, w in want[:500]}
 
 
+@pytest.mark.parametrize("text, value", [
+    ('password = "Tr0ub4dor&3"', "Tr0ub4dor&3"), ("pwd: hunter2x9", "hunter2x9"), ("see user:pw12!34@host.example", "pw12!34"),
+    ("http://bob:p@ss!w0rd@host/x", "p@ss!w0rd"), ('{"password":"abc,def1","u":"x"}', "abc,def1"),
+    ("Authorization: Bearer ab$12!xyz", "ab$12!xyz"), ("Authorization: Basic dXNlcjpw", "dXNlcjpw"),
+    ("Server=x;Password=Tr0ub4dor&3;User=bob", "Tr0ub4dor&3"), ("a?token=abc123&key=def456&x=1", "def456"),
+    ('{"key":12345678,"password":"abc!def1"}', "abc!def1"), ("dbPassword => 'x y z 1'", "x y z 1")])
+def test_values_of_secret_names_are_candidates(text, value):
+    found = list(op04_secrets.candidates(text))
+    assert value in [v for _, v, _, _ in found]
+    assert all(text[s:s + len(v)] == v for s, v, _, _ in found)
+    before, after = next((b, a) for _, v, b, a in found if v == value)
+    f = dict(zip(op04_secrets.FEATURES, op04_secrets.describe(value, before, after, frozenset())))
+    assert f["assigned"] and f["name_before"]
+
+
+def test_short_secrets_redacted(spark):
+    def code(k):
+        h = hashlib.sha1(str(k).encode()).hexdigest()
+        return f"{h[:4].upper()}&x{h[5:8]}!Q{k % 10}"
+    forms = ('password = "{}" and more', "then pwd: {} follows", "Authorization: Bearer {} sent", "get http://bob:{}@db.internal now")
+    rows = [(k, forms[k % 4].format(code(k))) for k in range(80)]
+    rows += [(100 + k, f"password: required for page {k}, token = get_token({k}) and the key: opened door {k}") for k in range(60)]
+    found = op04_secrets.find_secrets(docs(spark, rows))
+    texts = {r["doc_id"]: r["text"] for r in op04_secrets.redact(docs(spark, rows), found).collect()}
+    # the verdict is learned: a code without letters to speak of can fall below one half
+    assert sum(texts[k] == forms[k % 4].format("[SECRET]") for k in range(80)) >= 76
+    assert all(texts[k] == t for k, t in rows if k >= 100)
+
+
+def test_overlapping_secrets_give_one_mark(spark):
+    frame = docs(spark, [(1, "ab0123456789cd")])
+    spans = frame.select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(True).alias("is_secret"),
+                         F.expr("inline(array(named_struct('start', 2L, 'length', 8L), named_struct('start', 4L, 'length', 2L),"
+                                " named_struct('start', 6L, 'length', 6L)))"))
+    assert [r["text"] for r in op04_secrets.redact(frame, spans).collect()] == ["ab[SECRET]cd"]
+
+
 # ---------------------------------------------------------------- 5
 
 def _counts(t):

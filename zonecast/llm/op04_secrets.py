@@ -1,9 +1,11 @@
 """Secret scan: broad candidates, then a random forest that removes false positives.
 
 Candidates are runs of 16 and more characters of tokens that hold a digit, or
-that stand quoted behind an assignment.  The forest looks at length, changes of
-character class, entropy, how much of the candidate dictionary words cover, its
-path-like parts, and the words around it.
+that stand quoted behind an assignment, and whatever their characters the values
+of 6 and more that are assigned to a secret's name, follow Bearer, or stand as
+password before the @ of an address.  Candidates can overlap.  The forest looks
+at length, changes of character class, entropy, how much of the candidate
+dictionary words cover, its path-like parts, and the words around it.
 
 It is trained from labelled findings (features, label).  ``weak_findings`` derives
 such findings from a corpus without labels: a random-looking value assigned to a
@@ -24,8 +26,10 @@ import base64
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -42,17 +46,40 @@ EXAMPLE_WORDS = frozenset("example sample dummy placeholder your here fake chang
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-=.~]{16,}")
 _BEFORE = re.compile(r"([A-Za-z_][\w\-]*)\W*$")
-_ASSIGN = re.compile(r"[=:]\s*[\"'`]?$")
+_ASSIGN = re.compile(r"(?:[=:]=?>?\s*(?:(?:bearer|basic|digest|token)\s+)?|\bbearer\s+)(?:[rbfu]{0,2}[\"'`]{1,3})?"
+                     r"(?:(?:bearer|basic|digest|token)\s+)?$", re.I)
+# names are read once each (possessive), so the scan stays linear in the text
+_NAMED = re.compile(r"(?<![\w\-])([\w\-]++)[\"'`\])]*+\s*+[=:]=?>?")
+_QUOTED = re.compile(r"\s*+[rbfuRBFU]{0,2}(\"\"\"|\'\'\'|[\"'`])((?:\\.|(?!\1)[^\\\n])++)\1")
+_PLAIN = re.compile(r"[^\S\n]*+[rbfuRBFU]{0,2}[\"'`]{1,3}(\S++)|[^\S\n]*+(\S++)")
+_BLANK = re.compile(r"[^\S\n]*+")
+_SCHEME = re.compile(r"(?:bearer|basic|digest|token)\s+", re.I)
+_BEARER = re.compile(r"\bbearer\s++[\"'`]?([^\s\"'`<>]{6,}+)", re.I)
+_NEXT_FIELD = re.compile(r"[;&,](?=[\"'`]?[\w.\-]++[\"'`]?[=:])")
+_URL_LOGIN = re.compile(r"://[^\s/:@\"'<>]*+:([^\s/\"'<>]{6,})@")
+_LOGIN = re.compile(r"(?<![\w./:@+\-])(?!mailto:|e-?mail:)[\w.+\-]{1,64}+:([^\s/:@]{6,}+)@(?=\w)", re.I)
+_LOGIN_BEFORE = re.compile(r"(?:://[^\s/:@\"'<>]*|(?<![\w./:@+\-])[\w.+\-]+):$")
+# a value that refers to a secret kept elsewhere: ${NAME}, <name>, {{ name }}, call(...), table[...]
+_REFERENCE = re.compile(r"\$\w+|\$[{(].*|<[^>]*>?|\{\{.*|%\w+%|[A-Za-z_][\w.]*[(\[].*", re.S)
+_WORD_IN_NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _PART = re.compile(r"[A-Za-z]{3,}")
 FEATURES = ("log_length", "class_changes", "digit_share", "upper_share", "distinct_share", "entropy", "hex_only",
-            "dictionary_share", "path_parts", "web_before", "assigned", "quoted", "name_before", "name_near", "example_near")
+            "dictionary_share", "path_parts", "web_before", "assigned", "quoted", "name_before", "name_near", "example_near", "reference")
 _CONTEXT = 60
+_LEAST = 6
 
 
 def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
 
+def is_secret_name(name: str) -> bool:
+    """A name of SECRET_NAMES, alone or as a part of ``name`` (db_password, api-key, accessToken)."""
+    low = name.lower().strip("_-")
+    return low in SECRET_NAMES or any(p in SECRET_NAMES for p in re.split(r"[_\-]", low)) or any(
+        p.lower() in SECRET_NAMES for p in _WORD_IN_NAME.findall(name))
+
+
 def describe(value: str, before: str, after: str, dictionary: frozenset[str]) -> list[float]:
     """Numbers that the forest splits on."""
     n = len(value)
@@ -71,8 +98,9 @@ def describe(value: str, before: str, after: str, dictionary: frozenset[str]) ->
             else:
                 i += 1
     near = {w.lower() for w in re.findall(r"[A-Za-z_]+", before[-40:])}
-    last = _BEFORE.search(before)
-    name = last.group(1).lower() if last else ""
+    # the name stands before an authentication scheme (Authorization: Basic ...)
+    last = _BEFORE.search(re.sub(r"\b(?:basic|digest)\s+$", "", before, flags=re.I))
+    login = after[:1] == "@" and _LOGIN_BEFORE.search(before) is not None
     words = set(re.split(r"[^a-z]+", value.lower())) | near | set(re.findall(r"[a-z]+", after[:20].lower()))
     return [math.log(n), sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
             sum(k == 0 for k in kinds) / n, sum(k == 2 for k in kinds) / n, len(counts) / n,
@@ -80,22 +108,81 @@ def describe(value: str, before: str, after: str, dictionary: frozenset[str]) ->
             float(re.fullmatch(r"[0-9a-fA-F]+", value) is not None), covered / n,
             float(value.count("/") + value.count(".")), float("://" in before[-12:] or before.endswith("/")),
             float(_ASSIGN.search(before) is not None), float(before[-1:] in "\"'`" and after[:1] in "\"'`" and after != ""),
-            float(name in SECRET_NAMES or any(p in SECRET_NAMES for p in re.split(r"[_\-]", name))),
-            float(bool(near & SECRET_NAMES)), float(bool(words & EXAMPLE_WORDS))]
+            float(login or (last is not None and is_secret_name(last.group(1)))),
+            float(bool(near & SECRET_NAMES)), float(bool(words & EXAMPLE_WORDS)),
+            float(_REFERENCE.fullmatch(value) is not None)]
+
+
+def _trimmed(value: str, opened: str) -> str:
+    """An unquoted value without the marks that end it; ``opened`` is the quote around the whole assignment, if any."""
+    if opened:
+        value = value.split(opened, 1)[0]
+    return value.rstrip("\"'`,;" + "".join(c for o, c in ("()", "[]", "{}", "<>") if o not in value))
+
+
+def named_values(text: str) -> set[tuple[int, int]]:
+    """(start, end) of the values that a secret's name, Bearer or a login marks, whatever their characters."""
+    found: set[tuple[int, int]] = set()
+    at = done = stop = field = 0
+    while (m := _NAMED.search(text, at)) is not None:
+        at = m.end()
+        if not is_secret_name(m.group(1)):
+            continue
+        if (v := _QUOTED.match(text, m.end())) is not None:
+            start, end = v.span(2)
+            if (scheme := _SCHEME.match(text, start, end)) is not None:
+                start = scheme.end()
+            found.add((start, end))
+            continue
+        start = _BLANK.match(text, m.end()).end()
+        if (scheme := _SCHEME.match(text, start)) is not None:
+            start = scheme.end()
+        # a run of several fields counts as a whole, and each field up to the next (read once: no field starts in another)
+        if start >= done:
+            if (v := _PLAIN.match(text, start)) is None:
+                continue
+            start, done = v.span(v.lastindex)
+            before = text[m.start() - 1:m.start()] if m.start() else ""
+            stop = start + len(_trimmed(text[start:done], before if before and before in "\"'`" else ""))
+            found.add((start, stop))
+            field = start
+        if start >= field:
+            cut = _NEXT_FIELD.search(text, start, stop)
+            field = cut.start() if cut is not None else stop
+            found.add((start, field))
+    for pattern in (_BEARER, _URL_LOGIN, _LOGIN):
+        for m in pattern.finditer(text):
+            start, value = m.start(1), m.group(1)
+            found.add((start, start + len(_trimmed(value, "") if pattern is _BEARER else value)))
+    return {(a, b) for a, b in found if b - a >= _LEAST}
 
 
 def candidates(text: str | None) -> Iterator[tuple[int, str, str, str]]:
     """(start, value, before, after) of everything that could be a secret."""
+    for start, value, before, after, _ in _marked(text):
+        yield start, value, before, after
+
+
+def _marked(text: str | None) -> Iterator[tuple[int, str, str, str, bool]]:
+    """Candidates, each with whether it holds, or lies in, another value that a name marks: its own label is open."""
     text = text or ""
+    named = sorted(named_values(text))
+    reach = list(accumulate((b for _, b in named), max))
+    spans = {span: True for span in named}
     for m in _CANDIDATE.finditer(text):
         value = m.group().strip("=.-") if not m.group().endswith("==") else m.group().lstrip("=.-")
         start = m.start() + m.group().find(value) if value else m.start()
-        if len(value) < 16:
-            continue
+        if len(value) >= 16:
+            spans.setdefault((start, start + len(value)), False)
+    for (start, end), marked in sorted(spans.items()):
+        value = text[start:end]
         before = text[max(0, start - _CONTEXT):start]
-        after = text[start + len(value):start + len(value) + _CONTEXT]
-        if any(c.isdigit() for c in value) or (_ASSIGN.search(before) and before[-1:] in "\"'`"):
-            yield start, value, before, after
+        after = text[end:end + _CONTEXT]
+        if not (marked or any(c.isdigit() for c in value) or (_ASSIGN.search(before) and before[-1:] in "\"'`")):
+            continue
+        i = bisect_left(named, (start, 0))
+        inner = [x for x in named[i:i + 2] if x != (start, end) and x[0] < end and (not marked or x[1] <= end)]
+        yield start, value, before, after, bool(inner) or (not marked and i > 0 and reach[i - 1] > start)
 
 
 def _scan(dictionary: frozenset[str]):
@@ -103,19 +190,20 @@ def _scan(dictionary: frozenset[str]):
         for batch in batches:
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(1)):
-                rows += [(i, start, value, before, after) for start, value, before, after in candidates(text.as_py())]
+                rows += [(i, *found) for found in _marked(text.as_py())]
             at = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(2).take(at),
                  pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64()),
                  *[pa.array([r[k] for r in rows], pa.string()) for k in (2, 3, 4)],
-                 pa.array([describe(*r[2:], dictionary) for r in rows], pa.list_(pa.float64()))],
-                ["doc_id", "text_key", "start", "length", "value", "before", "after", "f"])
+                 pa.array([r[5] for r in rows], pa.bool_()),
+                 pa.array([describe(*r[2:5], dictionary) for r in rows], pa.list_(pa.float64()))],
+                ["doc_id", "text_key", "start", "length", "value", "before", "after", "overlaps", "f"])
     return run
 
 
 _FOUND = ("doc_id bigint, text_key bigint, start bigint, length bigint, value string, before string, after string, "
-          "f array<double>")
+          "overlaps boolean, f array<double>")
 
 
 def weak_findings(found: DataFrame, dictionary: frozenset[str]) -> DataFrame:
@@ -126,8 +214,8 @@ def weak_findings(found: DataFrame, dictionary: frozenset[str]) -> DataFrame:
             rows, labels = [], []
             for r in batch.to_pylist():
                 f = r["f"]
-                true = (f[index["name_before"]] and f[index["assigned"]] and f[index["entropy"]] >= 3
-                        and f[index["class_changes"]] >= 0.2 and not f[index["example_near"]]
+                true = (f[index["name_before"]] and f[index["assigned"]] and f[index["entropy"]] >= min(3, 0.8 * math.log2(len(r["value"])))
+                        and not f[index["reference"]] and f[index["class_changes"]] >= 0.2 and not f[index["example_near"]]
                         and f[index["dictionary_share"]] < 0.4)
                 rows.append(f)
                 labels.append(float(bool(true)))
@@ -138,6 +226,9 @@ def weak_findings(found: DataFrame, dictionary: frozenset[str]) -> DataFrame:
                 words = sorted(dictionary) or ["value"]
                 joined = "_".join(words[b % len(words)] for b in digest[:4]) + "_1"
                 for value, label in ((code, 1.0), (digest.hex()[:32], 1.0), (code[:20].upper() + code[20:24], 1.0),
+                                     (code[:6] + "!" + code[6:9] + "$", 1.0), (code[9:15] + "&" + code[15:17], 1.0),
+                                     (words[digest[4] % len(words)], 0.0), ("${" + words[digest[5] % len(words)].upper() + "}", 0.0),
+                                     ("get_" + words[digest[6] % len(words)] + "()", 0.0),
                                      (joined, 0.0), ("your_" + joined, 0.0), (chr(97 + digest[0] % 26) * 24, 0.0),
                                      ("1234567890" * 2, 0.0), (joined.replace("_", "/") + ".txt", 0.0)):
                     rows.append(describe(value, r["before"], r["after"], dictionary))
@@ -188,7 +279,7 @@ def find_secrets(documents: DataFrame, model: RandomForestClassificationModel |
     words = dictionary_of(documents) if dictionary is None else dictionary
     found, _ = write_table(map_arrow(docs, _scan(words), _FOUND), "secret-candidates")
     if model is None:
-        model = train(weak_findings(found, words))
+        model = train(weak_findings(found.where("NOT overlaps"), words))
     if isinstance(model, float):
         scored = found.withColumn("p", F.lit(model))
     else:
@@ -207,9 +298,11 @@ def redact(documents: DataFrame, findings: DataFrame, mark: str = "[SECRET]") ->
     joined = documents.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key")), "left")
     cut = F.aggregate(
         "_spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct((s["start"] + s["length"]).alias("at"),
-                              F.concat(a["out"], F.substring("text", (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
-                                       F.lit(mark)).alias("out")),
+        # spans that overlap give one mark
+        lambda a, s: F.struct(F.greatest(a["at"], s["start"] + s["length"]).alias("at"),
+                              F.when(s["start"] < a["at"], a["out"]).otherwise(
+                                  F.concat(a["out"], F.substring("text", (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
+                                           F.lit(mark))).alias("out")),
         lambda a: F.concat(a["out"], F.substring("text", (a["at"] + 1).cast("int"), F.length("text"))))
     return joined.withColumn("text", F.when(F.col("_spans").isNotNull(), cut).otherwise(F.col("text"))).select(
         *[F.col(f"`{c}`") for c in documents.columns])
