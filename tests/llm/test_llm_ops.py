@@ -142,6 +142,24 @@ def test_levenshtein_walk_equals_brute_force():
             assert trie.match(w) == (near, False)
 
 
+def test_misspelled_beginnings_equal_brute_force():
+    terms = {("moron", True): 3.0, ("achlich", False): 2.0, ("reeux", False): 4.0, ("scum", False): 1.0, ("trash", False): 2.5}
+    trie = op03_toxicity.Trie(terms)
+    random.seed(1)
+    words = {"".join(random.choice("achlireuxmon") for _ in range(random.randint(3, 10))) for _ in range(2000)}
+    words |= {t[:i] + c + t[i + k:] + end for (t, _) in terms for i in range(len(t) + 1) for c in ("", "x", "e") for k in (0, 1)
+              for end in ("", "s", "keiten")}
+    for w in words:
+        near = max([v for (t, whole), v in terms.items() if len(t) >= 5 and (
+            _distance(w, t) <= 1 if whole else any(_distance(w[:j], t) <= 1 for j in range(len(w))))], default=0.0)
+        assert trie.near(w) == near
+        if near:
+            assert trie._maybe(w)
+            assert trie.match(w) == (near, False) or trie.match(w)[1]
+    assert trie.match("achlihkeit") == (2.0, False) and trie.match("achlichkeit") == (2.0, True)
+    assert op03_toxicity.Trie(terms, frozenset({"achlihkeit"})).match("achlihkeit") is None
+
+
 def test_quotation_counts_less():
     m = op03_toxicity.Matcher(op03_toxicity.Trie({("moron", True): 3.0}))
     plain, quoted = m.features("you are a moron today"), m.features('she wrote "moron" on it')

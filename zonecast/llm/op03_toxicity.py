@@ -5,7 +5,8 @@ small logistic model on what the lexicon finds.  Scoring walks a trie of the
 lexicon with each different word of a text.  The walk carries the states of the
 word's Levenshtein automaton (one bit set per number of edits), so a misspelled
 term (one edit, terms of five letters and more) is met in the same walk as an
-exact one.  The window around each hit then separates quotation (inside quote
+exact one.  Word beginnings are in the same trie: one is met when some beginning
+of the word is within an edit of it, and the rest of the word is free.  The window around each hit then separates quotation (inside quote
 marks, or after a reporting word) from abuse (an address near by); quoted hits
 count a third.
 
@@ -47,6 +48,7 @@ WINDOW = 5
 MIN_SURPRISE = 16.0
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE_MAX = 400_000
+PREFIX = "*"  # end of a beginning in the trie; no letter
 
 
 class Trie:
@@ -60,20 +62,39 @@ class Trie:
         self.begin_lengths = sorted({len(t) for t in self.begin})
         self.heads, self.tails = set(), set()
         self.lengths = set()
-        for t, w in self.exact.items():
+        # beginnings: first halves, and second halves with the places they can have in a word
+        self.begin_heads: set[str] = set()
+        self.begin_tails: set[tuple[int, str]] = set()
+        for (t, whole), w in terms.items():
             if len(t) < fuzzy_from:
                 continue
             node = self.root
             for c in t:
                 node = node.setdefault(c, {})
-            node[""] = w
+            node["" if whole else PREFIX] = w
             # one edit leaves the first or the last half of a term untouched
             half = len(t) // 2
-            self.heads.add(t[:half])
-            self.tails.add(t[half:])
-            self.lengths.update((len(t) - 1, len(t), len(t) + 1))
+            if whole:
+                self.heads.add(t[:half])
+                self.tails.add(t[half:])
+                self.lengths.update((len(t) - 1, len(t), len(t) + 1))
+            else:
+                self.begin_heads.add(t[:half])
+                self.begin_tails.update((half + shift, t[half:]) for shift in (-1, 0, 1))
         self.head_lengths = sorted({len(h) for h in self.heads})
         self.tail_lengths = sorted({len(h) for h in self.tails})
+        self.begin_head_lengths = sorted({len(h) for h in self.begin_heads})
+        self.begin_tail_places = sorted({(at, len(h)) for at, h in self.begin_tails})
+        self.shortest_begin = min((len(t) for t in self.begin if len(t) >= fuzzy_from), default=0)
+
+    def _maybe(self, word: str) -> bool:
+        """False only where no term can be within one edit."""
+        if len(word) in self.lengths and (any(word[:k] in self.heads for k in self.head_lengths)
+                                          or any(word[-k:] in self.tails for k in self.tail_lengths)):
+            return True
+        return 0 < self.shortest_begin <= len(word) + 1 and (
+            any(word[:k] in self.begin_heads for k in self.begin_head_lengths)
+            or any((at, word[at:at + k]) in self.begin_tails for at, k in self.begin_tail_places))
 
     def near(self, word: str) -> float:
         """Largest weight of a term within one edit: automaton states and trie nodes walked together."""
@@ -92,6 +113,11 @@ class Trie:
                     if (none | one) & accept and child > best:
                         best = child
                     continue
+                if c == PREFIX:
+                    # the stem is consumed before the word ends: the rest is free
+                    if (none | one) & (accept - 1) and child > best:
+                        best = child
+                    continue
                 m = masks.get(c, 0)
                 none2 = none << 1 & m
                 one2 = (one << 1 & m | none | none << 1 | none2 << 1) & full
@@ -109,9 +135,7 @@ class Trie:
                     w = b
         if w:
             return w, True
-        if len(word) in self.lengths and word not in self.allowed and (
-                any(word[:k] in self.heads for k in self.head_lengths)
-                or any(word[-k:] in self.tails for k in self.tail_lengths)):
+        if word not in self.allowed and self._maybe(word):
             w = self.near(word)
             if w:
                 return w, False
@@ -258,6 +282,14 @@ def _lexicon(found: dict[tuple[str, bool], tuple[int, float]]) -> dict[tuple[str
     return kept
 
 
+def _close_words(terms: dict[tuple[str, bool], float]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trie = Trie(terms)
+        for pdf in batches:
+            yield pd.DataFrame({"term": [t for t in pdf["term"] if trie._maybe(t) and trie.near(t)]}, dtype=object)
+    return run
+
+
 def train(documents: DataFrame, labels: DataFrame, max_rows: int = 10_000, min_weight: float = 2.0) -> ToxicModel:
     """Learn lexicon and model from labelled rows (doc_id, toxic).
 
@@ -293,13 +325,12 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = 10_000, min_w
     found = (counts.where("pos > 1 AND neg <= pos").withColumn("w", weight)
              .where((F.col("w") >= min_weight) & (surprise >= MIN_SURPRISE)).collect())
     kept = _lexicon({(r["term"], r["whole"]): (r["pos"], float(r["w"])) for r in found})
-    fuzzy = [t for t, whole in kept if whole and len(t) >= 5]
     allowed: frozenset[str] = frozenset()
-    if fuzzy:
-        close = F.exists(F.array(*[F.lit(t) for t in fuzzy]), lambda t: F.levenshtein(F.col("term"), t, 1) >= 0)
+    if any(len(t) >= 5 for t, _ in kept):
         # words of clean texts that happen to lie one edit from a term
-        allowed = frozenset(r["term"] for r in counts.where("whole AND neg > 0 AND neg >= pos").where(
-            F.length("term") >= 4).where(close).select("term").collect())
+        allowed = frozenset(r["term"] for r in map_pandas(
+            counts.where("whole AND neg > 0 AND neg >= pos").where(F.length("term") >= 4).select("term"),
+            _close_words(kept), "term string").collect())
     model = ToxicModel(terms=kept, allowed=allowed)
     rows = (sample.where("NOT lexicon") if sample.where("NOT lexicon AND toxic = 1").limit(1).count() else sample)
     fitted = map_pandas(rows.select("text", "toxic"), _feature_rows(model), "toxic int, f array<double>").toPandas()
