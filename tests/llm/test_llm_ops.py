@@ -445,6 +445,25 @@ def test_top_k_equals_brute_force(spark):
     assert got == want
 
 
+def test_top_k_of_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(op09_topk, "SHARD_ROWS", 16)  # several shards, so that kth scores are shared
+    rng = np.random.default_rng(9)
+    rows = [(int(i), rng.integers(-4, 5, 4).astype(float).tolist()) for i in range(300)]
+    # the same row again, another vector under the id, and repeated candidates
+    rows += [rows[50], rows[50], (100, [2.0, -1.0, 3.0, 0.5]), (150, [9.0] * 4), (150, [9.0] * 4), rows[7], (7, [5.0] * 4)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = collections.defaultdict(list)
+    for r in op09_topk.top_k(frame).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    ints = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    want = collections.defaultdict(list)
+    for a, (q, v) in enumerate(ints):
+        if q % 50 == 0:
+            scored = sorted((-int(v @ u), i) for b, (i, u) in enumerate(ints) if a != b)[:5]
+            want[q] += [(k + 1, i, -s) for k, (s, i) in enumerate(scored)]
+    assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
+
+
 def test_top_k_of_empty_table(spark):
     assert op09_topk.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 

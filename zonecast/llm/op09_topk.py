@@ -1,6 +1,7 @@
 """Exact inner-product search: a ball tree per shard, branch and bound.
 
-Vectors are dealt to shards of a bounded number of rows by a hash of their id.
+Every usable row gets a key of its own; vectors are dealt to shards of a bounded
+number of rows by a hash of it.
 Each shard builds a ball tree: a node keeps the centre, the radius and the
 smallest id of its vectors, and no vector of the node can score more than
 q.centre + |q| * radius.  A block of queries walks the tree together; the child
@@ -14,8 +15,10 @@ Queries go out in blocks of at most ``BLOCK`` vectors, the only thing broadcast.
 Defined results: components become floor(256 * x); vectors that are null, or
 hold null or non-finite components, take no part; vectors of another length
 than the query's are no candidates; ties go to the smaller vec_id; a vec_id that
-occurs in several rows is a candidate in each; a null vec_id takes no part; an
-empty table gives an empty result.
+occurs in several rows is a candidate in each, also for a query of that vec_id,
+and each of its rows is a query with k places of its own; only the query's own
+row is no candidate; a null vec_id takes no part; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -40,13 +43,13 @@ FIRST_WAVE = 8
 class BallTree:
     """Nodes in arrays; the vectors of a node are a range of the reordered rows."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.order = np.arange(len(ids))
         self.nodes: list[tuple[int, int, np.ndarray, float, int, int, int]] = []
         if len(ids):
             self._build(0, len(ids))
-        self.ids, self.vectors = ids[self.order], vectors[self.order]
+        self.keys, self.ids, self.vectors = keys[self.order], ids[self.order], vectors[self.order]
 
     def _build(self, a: int, b: int) -> int:
         rows = self.vectors[self.order[a:b]]
@@ -67,7 +70,7 @@ class BallTree:
             self.nodes[at] = (*self.nodes[at][:5], left, right)
         return at
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray
+    def search(self, query_keys: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray
                ) -> tuple[np.ndarray, np.ndarray]:
         """Best k (score, id) of every query, at least ``least`` in score; absent places keep the lowest score."""
         n = len(queries)
@@ -104,7 +107,7 @@ class BallTree:
             if left < 0:
                 got = (left_q[active] @ rows[a:b].T).astype(np.int64)
                 ids = np.broadcast_to(self.ids[a:b], got.shape)
-                out = ids == query_ids[active][:, None]
+                out = self.keys[a:b] == query_keys[active][:, None]
                 got = np.where(out, np.iinfo(np.int64).min, got)
                 ids = np.where(out, np.iinfo(np.int64).max, ids)
                 all_s = np.concatenate([scores[active], got], axis=1)
@@ -118,40 +121,41 @@ class BallTree:
         return scores, found
 
 
-_RESULT = "query_id bigint, vec_id bigint, score bigint"
+_RESULT = "row bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def _searcher(block, k: int):
     """Build the shard's tree from all batches of its rows, then search the block's queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        shards: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             shard = batch.column(0).to_numpy()
             dims = batch.column(1).to_numpy()
             ids = batch.column(2).to_numpy()
+            keys = batch.column(4).to_numpy()
             flat, offsets = batch.column(3).flatten().to_numpy(), np.concatenate([[0], np.cumsum(dims)])
             for s in np.unique(shard):
                 for d in np.unique(dims[shard == s]):
                     at = np.flatnonzero((shard == s) & (dims == d))
                     rows = flat[(offsets[at][:, None] + np.arange(d)).ravel()].reshape(len(at), d)
-                    shards.setdefault((int(s), int(d)), []).append((ids[at], rows))
+                    shards.setdefault((int(s), int(d)), []).append((keys[at], ids[at], rows))
         for (_, d), parts in shards.items():
             mine = block.value.get(d)
             if mine is None:
                 continue
-            tree = BallTree(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-            query_ids, queries, least = mine
-            scores, found = tree.search(query_ids, queries, k, least)
-            q = np.repeat(query_ids, k)
+            tree = BallTree(*(np.concatenate([p[j] for p in parts]) for j in range(3)))
+            query_keys, query_ids, queries, least = mine
+            scores, found = tree.search(query_keys, queries, k, least)
+            row, q = np.repeat(query_keys, k), np.repeat(query_ids, k)
             ok = scores.ravel() > np.iinfo(np.int64).min
             yield pa.RecordBatch.from_arrays(
-                [pa.array(q[ok]), pa.array(found.ravel()[ok]), pa.array(scores.ravel()[ok])],
-                ["query_id", "vec_id", "score"])
+                [pa.array(row[ok]), pa.array(q[ok]), pa.array(found.ravel()[ok]), pa.array(scores.ravel()[ok])],
+                ["row", "query_id", "vec_id", "score"])
     return run
 
 
 def _best(rows: DataFrame, k: int) -> DataFrame:
-    w = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -163,35 +167,37 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = 256)
     ints, ints_path = write_table(
         with_row_ids(embeddings, "vec_id", "embedding").where(usable).select(
             "vec_id", F.expr(f"transform(embedding, x -> cast(floor({scale} * double(x)) AS bigint))").alias("v"),
-            F.size("embedding").alias("dim")), "vectors")
+            F.size("embedding").alias("dim"),
+            F.monotonically_increasing_id().alias("row")), "vectors")
     rows = ints.count()
     shards = max(1, math.ceil(rows / SHARD_ROWS))
-    # the hash of a repeated id would gather its rows: the components take part in the deal
-    deal = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")
+    # the hash of a repeated id or vector would gather its rows
+    deal = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     dealt, dealt_path = write_table(
-        ints.select(deal.alias("shard"), "dim", "vec_id", "v"), "shards")
+        ints.select(deal.alias("shard"), "dim", "vec_id", "v", "row"), "shards")
     first = max(1, shards // FIRST_WAVE)
 
+    asked = ints.where(F.col("vec_id") % every == 0)
     queries, queries_path = write_table(
-        ints.where(F.col("vec_id") % every == 0)
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, math.ceil(rows / every / BLOCK))))), "queries")
+        asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(max(1, math.ceil(asked.count() / BLOCK))))), "queries")
     blocks = [r["block"] for r in queries.select("block").distinct().orderBy("block").collect()]
     found, paths = None, []
     for b in blocks:
-        held = queries.where(F.col("block") == b).orderBy("vec_id").toLocalIterator()
-        by_dim: dict[int, tuple[list, list]] = {}
+        held = queries.where(F.col("block") == b).orderBy("vec_id", "row").toLocalIterator()
+        by_dim: dict[int, tuple[list, list, list]] = {}
         for r in held:
-            ids, vectors = by_dim.setdefault(r["dim"], ([], []))
+            keys, ids, vectors = by_dim.setdefault(r["dim"], ([], [], []))
+            keys.append(r["row"])
             ids.append(r["vec_id"])
             vectors.append(r["v"])
         best = None
         for wave in (F.col("shard") < first, F.col("shard") >= first):
             kth: dict[int, int] = {}
             if best is not None:
-                kth = {r["query_id"]: r["score"] for r in best.where(F.col("rank") == k).select("query_id", "score").collect()}
-            sent = {d: (np.array(i, np.int64), np.array(v, np.int64).reshape(len(i), d),
-                        np.array([kth.get(x, np.iinfo(np.int64).min) for x in i], np.int64))
-                    for d, (i, v) in by_dim.items()}
+                kth = {r["row"]: r["score"] for r in best.where(F.col("rank") == k).select("row", "score").collect()}
+            sent = {d: (np.array(r, np.int64), np.array(i, np.int64), np.array(v, np.int64).reshape(len(i), d),
+                        np.array([kth.get(x, np.iinfo(np.int64).min) for x in r], np.int64))
+                    for d, (r, i, v) in by_dim.items()}
             block = spark.sparkContext.broadcast(sent)
             part = dealt.where(wave).repartition(shards, "shard")
             got = _best(map_arrow(part, _searcher(block, k), _RESULT), k)
