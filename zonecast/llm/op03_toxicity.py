@@ -62,9 +62,8 @@ class Trie:
         self.begin_lengths = sorted({len(t) for t in self.begin})
         self.heads, self.tails = set(), set()
         self.lengths = set()
-        # beginnings: first halves, and second halves with the places they can have in a word
-        self.begin_heads: set[str] = set()
-        self.begin_tails: set[tuple[int, str]] = set()
+        # beginnings, whole and with one letter left out: within one edit, word and stem share one of these
+        self.begin_marks: set[str] = set()
         for (t, whole), w in terms.items():
             if len(t) < fuzzy_from:
                 continue
@@ -79,22 +78,28 @@ class Trie:
                 self.tails.add(t[half:])
                 self.lengths.update((len(t) - 1, len(t), len(t) + 1))
             else:
-                self.begin_heads.add(t[:half])
-                self.begin_tails.update((half + shift, t[half:]) for shift in (-1, 0, 1))
+                self.begin_marks.add(t)
+                self.begin_marks.update(t[:i] + t[i + 1:] for i in range(len(t)))
         self.head_lengths = sorted({len(h) for h in self.heads})
         self.tail_lengths = sorted({len(h) for h in self.tails})
-        self.begin_head_lengths = sorted({len(h) for h in self.begin_heads})
-        self.begin_tail_places = sorted({(at, len(h)) for at, h in self.begin_tails})
-        self.shortest_begin = min((len(t) for t in self.begin if len(t) >= fuzzy_from), default=0)
+        self.mark_lengths = sorted({len(m) for m in self.begin_marks})
 
     def _maybe(self, word: str) -> bool:
         """False only where no term can be within one edit."""
         if len(word) in self.lengths and (any(word[:k] in self.heads for k in self.head_lengths)
                                           or any(word[-k:] in self.tails for k in self.tail_lengths)):
             return True
-        return 0 < self.shortest_begin <= len(word) + 1 and (
-            any(word[:k] in self.begin_heads for k in self.begin_head_lengths)
-            or any((at, word[at:at + k]) in self.begin_tails for at, k in self.begin_tail_places))
+        marks = self.begin_marks
+        for k in self.mark_lengths:
+            if k > len(word):
+                break
+            if word[:k] in marks:
+                return True
+            part = word[:k + 1]
+            for i in range(k):
+                if part[:i] + part[i + 1:] in marks:
+                    return True
+        return False
 
     def near(self, word: str) -> float:
         """Largest weight of a term within one edit: automaton states and trie nodes walked together."""
