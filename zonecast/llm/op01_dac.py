@@ -11,12 +11,12 @@ whole documents in ascending doc_id order (about 2^16 ids, or one longer
 document): ``part, seq, inside, n_tokens, doc_ids, lengths, chunks, bitmaps, ranks``
 (``inside``: ids before it in its part).
 ``index`` has ``part, seq, first_token, n_tokens, first_doc, last_doc``.  Both
-are written by Spark, so a lost executor's files are written again.  The broadcast
-table has one row per write task.
+are written by Spark, so a lost executor's files are written again.
 
 Defined results: null text is empty and gives the end id alone; null doc_id
-comes first; rows of one doc_id follow each other in the order of their texts;
-text that looks like a special token is ordinary text; an empty table gives empty files.
+comes first; rows of one doc_id follow each other in the order of their texts'
+hashes; the string of a special token becomes its id, as the library does; an
+empty table gives empty files.
 """
 
 from __future__ import annotations
@@ -27,11 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from zonecast.llm.chunks import PLAIN_WORD, StretchCoder, in_byte_letters, model_ids, replace_rows, slices
 from zonecast.llm.common import map_arrow, with_row_ids
 
 CHUNK_BITS = 8
@@ -40,17 +42,6 @@ SEGMENT_TOKENS = 1 << 16
 SEGMENT_DOCS = 4096
 _SEGMENT = ("part int, seq int, inside bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, "
             "chunks array<binary>, bitmaps array<binary>, ranks array<binary>")
-_CACHE_MAX = 900_000
-
-
-def _byte_letters() -> dict[int, str]:
-    """Byte-level alphabet: a printable byte is its own character, the others follow from 256 up."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + k) for k, b in enumerate(hidden)}
-
-
-_BYTE_LETTERS = _byte_letters()
 
 
 class DacArray:
@@ -101,76 +92,68 @@ class DacArray:
 
 
 class ChunkedTokenizer:
-    """Ids of whole texts from the tokenizers library, with a cache per worker.
+    """Ids of whole texts from the tokenizers library, by their distinct stretches.
 
     In the byte-level pre-tokenizer a single space or line feed between two
-    other characters always starts a new piece, so the text between such breaks
-    encodes the same alone as inside its document.  Each different stretch is
-    given to the library once; a document with any other white-space edge (runs,
-    leading or trailing space) is given to it whole.
+    other characters always starts a new piece, and so does one mark between a
+    letter and such a break; what lies between encodes the same alone as inside
+    its document.  Each different stretch is given to the library once; a text
+    with any other white-space edge (runs, leading or trailing space) or with the
+    string of a special token is given to it whole.
+
+    A stretch that starts with a line feed stands at the start of a line, one
+    that starts with ``GLUED`` follows without a space, any other follows a space.
     """
 
+    GLUED = "\x01"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line_feed = self._whole(["\n"])[0]
-        self.marks = dict(zip(",.", self._whole([",", "."]), strict=True))
-        self.inner: dict[str, bytes | None] = {}  # stretch after a space
-        self.first: dict[str, bytes | None] = {}  # stretch at the start of a line
+        self.coder = StretchCoder(self._learn)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
-
-    def _piece(self, s: str, lead: str) -> bytes:
-        """Ids of letters alone, which the pre-tokenizer keeps in one piece (with the space before)."""
-        text = lead + s
-        if lead or not s.isascii():
-            text = text.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
-
-    def _learn(self, cache: dict[str, bytes | None], new: set[str], lead: str) -> None:
-        other = []
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> list[bytes | None]:
+        done: dict[str, bytes | None] = {}
+        other: list[tuple[str, str, bytes]] = []
         for s in new:
-            if s.isalpha():
-                cache[s] = self._piece(s, lead)
-            elif s[:-1].isalpha() and s[-1] in self.marks:
-                word = cache.get(s[:-1]) or self._piece(s[:-1], lead)
-                cache[s[:-1]] = word
-                cache[s] = word + self.marks[s[-1]]
-            elif s and not s[0].isspace() and not s[-1].isspace():
-                other.append(s)
+            lead, body, before = " ", s, b""
+            if s[:1] == "\n":
+                lead, body, before = "", s[1:], self.line_feed
+            elif s[:1] == self.GLUED:
+                lead, body = "", s[1:]
+            if not body or body[0].isspace() or body[-1].isspace():
+                done[s] = None
+            elif PLAIN_WORD.fullmatch(body):
+                done[s] = before + model_ids(self.tokenizer.model, in_byte_letters(lead + body))
             else:
-                cache[s] = None
-        cache.update(zip(other, self._whole([lead + s for s in other]), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.inner) + len(self.first) > _CACHE_MAX:
-            self.inner.clear()
-            self.first.clear()
-        split = [[line.split(" ") for line in t.split("\n")] if t else [] for t in texts]
-        inner, first = set(), set()
-        for lines in split:
-            for line in lines:
-                first.add(line[0])
-                inner.update(line[1:])
-        self._learn(self.inner, {s for s in inner if s not in self.inner}, " ")
-        self._learn(self.first, {s for s in first if s not in self.first}, "")
-        out: list[bytes | None] = []
-        for lines in split:
-            parts = []
-            for k, line in enumerate(lines):
-                if k:
-                    parts.append(self.line_feed)
-                parts.append(self.first[line[0]])
-                parts.extend(map(self.inner.__getitem__, line[1:]))
-            out.append(None if None in parts else b"".join(parts))
-        whole = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
-            out[k] = ids
-        return out
+                other.append((s, lead + body, before))
+        for (s, _, before), ids in zip(other, self._whole([x for _, x, _ in other]), strict=True):
+            done[s] = before + ids
+        return [done[s] for s in new]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the texts and ids per text."""
+        texts = pc.fill_null(texts, "")
+        whole = np.zeros(len(texts), bool)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        cut = texts
+        if not pc.any(pc.match_substring(texts, self.GLUED)).as_py():
+            cut = pc.replace_substring_regex(cut, "([A-Za-z])([.,;:!?])( |\n|$)", rf"\1 {self.GLUED}\2\3")
+        # every text starts a line here; the line feed's id is taken off again
+        cut = pc.binary_join_element_wise("\n", pc.replace_substring(cut, "\n", " \n"), "")
+        ids, sizes, wrong = self.coder.encode(pc.split_pattern(cut, " "))
+        keep = np.ones(len(ids), bool)
+        keep[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+        ids, sizes = ids[keep], np.maximum(sizes - 1, 0)
+        rows = np.flatnonzero(whole | wrong)
+        return replace_rows(ids, sizes, rows, [np.frombuffer(x, "<u4") for x in self._whole(texts.take(pa.array(rows)).to_pylist())])
 
 
 _tokenizers: dict[str, ChunkedTokenizer] = {}
@@ -182,35 +165,41 @@ def tokenizer(path: str) -> ChunkedTokenizer:
     return _tokenizers[path]
 
 
-def _segment(part: int, seq: int, inside: int, docs: list, ids: list[bytes]) -> pa.RecordBatch:
-    codes = DacArray.encode(np.frombuffer(b"".join(ids), "<u4"))
-    lengths = [len(x) // 4 for x in ids]
+def _segment(part: int, seq: int, inside: int, docs: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    codes = DacArray.encode(ids)
+    one = np.array([0, len(docs)], np.int32)
     return pa.RecordBatch.from_arrays(
         [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([inside], pa.int64()),
-         pa.array([sum(lengths)], pa.int64()),
-         pa.array([docs], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
+         pa.array([len(ids)], pa.int64()),
+         pa.ListArray.from_arrays(pa.array(one), docs), pa.ListArray.from_arrays(pa.array(one), pa.array(lengths)),
          *(pa.array([x], pa.list_(pa.binary())) for x in codes)],
         ["part", "seq", "inside", "n_tokens", "doc_ids", "lengths", "chunks", "bitmaps", "ranks"])
 
 
+def _with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's ids with the end id after them."""
+    ends = np.cumsum(sizes + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint32)
+    inner = np.ones(len(out), bool)
+    inner[ends - 1] = False
+    out[inner] = ids
+    return out, sizes + 1
+
+
 def _write_segments(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, inside = TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], "<u4").tobytes()
-        docs, ids, tokens = [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for d, x in zip(rows.column(0).to_pylist(), tokenizer(path).encode(texts), strict=True):
-                    docs.append(d)
-                    ids.append(x + end)
-                    tokens += len(x) // 4 + 1
-                    if tokens >= SEGMENT_TOKENS or len(docs) >= SEGMENT_DOCS:
-                        yield _segment(part, seq, inside, docs, ids)
-                        docs, ids, tokens, seq, inside = [], [], 0, seq + 1, inside + tokens
-        if docs:
-            yield _segment(part, seq, inside, docs, ids)
+            for a, b in slices(batch.column(1)):
+                docs = batch.column(0).slice(a, b - a)
+                ids, sizes = _with_end(*tokenizer(path).encode(batch.column(1).slice(a, b - a)), end_id)
+                ends = np.cumsum(sizes)
+                at = 0
+                while at < len(sizes):
+                    before = int(ends[at] - sizes[at])
+                    stop = min(max(at + 1, int(np.searchsorted(ends, before + SEGMENT_TOKENS, "right"))), at + SEGMENT_DOCS)
+                    yield _segment(part, seq, inside, docs.slice(at, stop - at), sizes[at:stop], ids[before:int(ends[stop - 1])])
+                    at, seq, inside = stop, seq + 1, inside + int(ends[stop - 1]) - before
     return run
 
 
@@ -218,8 +207,10 @@ def write_token_files(documents: DataFrame, out: str, tokenizer_path: str, end_i
     """Encode every text, append ``end_id`` and write the token files to folder ``out``."""
     spark = documents.sparkSession
     docs = with_row_ids(documents, "doc_id", "text")
-    (map_arrow(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"),
-               _write_segments(tokenizer_path, end_id), _SEGMENT)
+    # a repeated id is spread by its texts
+    docs = docs.withColumn("print", F.xxhash64("text"))
+    docs = docs.repartitionByRange("doc_id", "print").sortWithinPartitions("doc_id", "print", "text").drop("print")
+    (map_arrow(docs, _write_segments(tokenizer_path, end_id), _SEGMENT)
      .write.mode("error").option("compression", "none").parquet(f"{out}/segments"))
     head = spark.read.parquet(f"{out}/segments").select(
         "part", "seq", "inside", "n_tokens", F.col("doc_ids")[0].alias("first_doc"),
@@ -228,7 +219,7 @@ def write_token_files(documents: DataFrame, out: str, tokenizer_path: str, end_i
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = head.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    (head.join(F.broadcast(parts), "part")
+    (head.join(parts, "part")
      .select("part", "seq", (F.col("offset") + F.col("inside")).alias("first_token"), "n_tokens", "first_doc", "last_doc")
      .write.mode("error").parquet(f"{out}/index"))
 
@@ -250,7 +241,7 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def read_token_files(spark: SparkSession, out: str) -> DataFrame:
     """Per document of the files: doc_id, start, n_tokens, ids_crc32 (from the decoded ids)."""
     parts = spark.read.parquet(f"{out}/index").groupBy("part").agg(F.min("first_token").alias("offset"))
-    rows = spark.read.parquet(f"{out}/segments").join(F.broadcast(parts), "part").select(
+    rows = spark.read.parquet(f"{out}/segments").join(parts, "part").select(
         "n_tokens", (F.col("offset") + F.col("inside")).alias("first_token"), "doc_ids", "lengths",
         "chunks", "bitmaps", "ranks")
     return map_arrow(rows, _read_documents, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -18,11 +18,15 @@ from zonecast.llm.op07_minmax import near_duplicates
 from zonecast.llm.op08_mixing import mix
 from zonecast.llm.op09_topk import top_k
 from zonecast.llm.op10_chat import DEFAULT_TEMPLATE, read_formatted, write_formatted
+from zonecast.llm.op11_whitening import whiten
+from zonecast.llm.op12_divergence import DIVERGENCE_SQL, audit
+from zonecast.llm import op13_bpe
 from zonecast.session import scratch_path
 
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def tokenizer_file(name: str) -> str:
@@ -92,6 +96,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_formatted(spark, out, DEFAULT_TEMPLATE)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), keep=4)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file(WORD_BPE)
+    return op13_bpe.digest(op13_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_dac_token_files": op1_dac_token_files,
     "op2_sentencepiece": op2_sentencepiece,
@@ -103,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_entropy_mixing": op8_entropy_mixing,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_chat_format": op10_chat_format,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_tree_bpe": op13_tree_bpe,
 }
 
-ORACLES: dict[str, str] = {"op6_url_filter": URL_FILTER_SQL}
+ORACLES: dict[str, str] = {"op6_url_filter": URL_FILTER_SQL, "op12_source_divergence": DIVERGENCE_SQL}
