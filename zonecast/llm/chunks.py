@@ -16,8 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once, and stretches that a worker remembers.
-SLICE_BYTES = 8 << 20
-CACHE_MAX = 400_000
+SLICE_BYTES = 4 << 20
+CACHE_MAX = 800_000
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES):
@@ -43,6 +43,8 @@ def byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = byte_letters()
 #: Letters that keep their form under composition and have one lower-case letter each.
 PLAIN_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: ASCII marks (no apostrophe) between such a letter and a break: one piece to either pre-tokenizer.
+LAST_MARKS = "([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\\[-`{-~]+)( |\n|$)"
 
 
 def in_byte_letters(text: str) -> str:
@@ -64,22 +66,28 @@ def gather(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: np.nd
 
 
 class StretchCoder:
-    """Ids of stretches as 32-bit numbers, remembered up to a bound; ``learn`` gives those of new
-    stretches (None: not encodable alone)."""
+    """Ids of stretches as 32-bit numbers; ``learn`` gives those of new stretches (None: not encodable alone).
+
+    Two generations of at most half of ``cache_max`` are remembered: what was asked for
+    since the younger one began, and what was before.  So frequent stretches stay.
+    """
 
     def __init__(self, learn: Callable[[list[str]], list[bytes | None]], cache_max: int = CACHE_MAX):
         self.learn, self.cache_max = learn, cache_max
-        self.known: dict[str, bytes | None] = {}
+        self.young: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
 
     def ids_of(self, values: list[str]) -> list[bytes | None]:
-        known = self.known
-        new = [v for v in values if v not in known]
-        fresh = dict(zip(new, self.learn(new), strict=True)) if new else {}
-        out = [known[v] if v in known else fresh[v] for v in values]
-        if len(known) + len(fresh) > self.cache_max:
-            known.clear()
-        if len(fresh) <= self.cache_max:
-            known.update(fresh)
+        young, old = self.young, self.old
+        new = [v for v in values if v not in young]
+        asked = [v for v in new if v not in old]
+        fresh = dict(zip(asked, self.learn(asked), strict=True)) if asked else {}
+        now = {v: fresh[v] if v in fresh else old[v] for v in new}
+        out = [now[v] if v in now else young[v] for v in values]
+        if len(young) + len(now) > self.cache_max // 2:
+            self.old, self.young = young, now if len(now) <= self.cache_max // 2 else {}
+        else:
+            young.update(now)
         return out
 
     def encode(self, stretches: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

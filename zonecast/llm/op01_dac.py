@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zonecast.llm.chunks import PLAIN_WORD, StretchCoder, in_byte_letters, model_ids, replace_rows, slices
+from zonecast.llm.chunks import LAST_MARKS, PLAIN_WORD, StretchCoder, in_byte_letters, model_ids, replace_rows, slices
 from zonecast.llm.common import map_arrow, with_row_ids
 
 CHUNK_BITS = 8
@@ -95,11 +95,11 @@ class ChunkedTokenizer:
     """Ids of whole texts from the tokenizers library, by their distinct stretches.
 
     In the byte-level pre-tokenizer a single space or line feed between two
-    other characters always starts a new piece, and so does one mark between a
+    other characters always starts a new piece, and so do the marks between a
     letter and such a break; what lies between encodes the same alone as inside
     its document.  Each different stretch is given to the library once; a text
-    with any other white-space edge (runs, leading or trailing space) or with the
-    string of a special token is given to it whole.
+    with any other white-space edge (runs, leading or trailing space), with the
+    string of a special token or with ``GLUED`` in it is given to it whole.
 
     A stretch that starts with a line feed stands at the start of a line, one
     that starts with ``GLUED`` follows without a space, any other follows a space.
@@ -141,11 +141,9 @@ class ChunkedTokenizer:
         """Flat ids of the texts and ids per text."""
         texts = pc.fill_null(texts, "")
         whole = np.zeros(len(texts), bool)
-        for s in self.special:
+        for s in (*self.special, self.GLUED):
             whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-        cut = texts
-        if not pc.any(pc.match_substring(texts, self.GLUED)).as_py():
-            cut = pc.replace_substring_regex(cut, "([A-Za-z])([.,;:!?])( |\n|$)", rf"\1 {self.GLUED}\2\3")
+        cut = pc.replace_substring_regex(texts, LAST_MARKS, rf"\1 {self.GLUED}\2\3")
         # every text starts a line here; the line feed's id is taken off again
         cut = pc.binary_join_element_wise("\n", pc.replace_substring(cut, "\n", " \n"), "")
         ids, sizes, wrong = self.coder.encode(pc.split_pattern(cut, " "))

@@ -38,7 +38,7 @@ LEAST_DOCS = 30
 SMOOTH = 5
 UNIT = 1_000_000_000
 TOP_TERMS = 50
-BLOCK_CELLS = 1 << 20
+BLOCK_CELLS = 1 << 16
 _WIDTHS = (32, 64, 128, 256)
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.chunks import PLAIN_WORD, StretchCoder, in_byte_letters, model_ids, slices
+from zonecast.llm.chunks import LAST_MARKS, PLAIN_WORD, StretchCoder, in_byte_letters, model_ids, slices
 from zonecast.llm.common import map_arrow, with_row_ids, write_table
 
 LEAF = 64
@@ -144,8 +144,8 @@ class TreeBpe:
         plain = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         low = pc.ascii_lower(plain)
         if not any(pc.any(pc.match_substring(low, s.lower())).as_py() for s in self.special):
-            # fewer different stretches: one case, and the mark after a word on its own
-            plain = pc.replace_substring_regex(low, "([a-z])([.,;:!?])( |$)", r"\1 \2\3")
+            # fewer different stretches: one case, and the marks after a word on their own
+            plain = pc.replace_substring_regex(low, LAST_MARKS, r"\1 \2\3")
         ids, sizes, _ = self.coder.encode(pc.split_pattern(plain, " "))
         return ids, sizes
 
@@ -269,13 +269,40 @@ def encode(documents: DataFrame, tokenizer_path: str, leaf: int = LEAF, spread:
                             .select("doc_id", F.coalesce("ids", F.expr("cast(array() as array<int>)")).alias("ids")))
 
 
+def _token_slices(ids: pa.ListArray, limit: int = 1 << 20) -> Iterator[pa.ListArray]:
+    """Runs of rows with about ``limit`` ids."""
+    ends = np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ids):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield ids.slice(at, stop - at)
+        at = stop
+
+
+def _joined(ids: pa.ListArray, names: pa.Array) -> pa.Array:
+    """Every row's names with one space between."""
+    offsets = ids.offsets.to_numpy().astype(np.int64)
+    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), names.take(ids.flatten())), " ")
+
+
+def _names(path: str) -> tuple[pa.Array, pa.Array]:
+    """Token strings and decimal numbers by id."""
+    names = model(path).names
+    return (pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string()),
+            pa.array([str(i) for i in range(max(names) + 1)], pa.large_string()))
+
+
 def _decode(path: str):
     """The text of ids: the tokens' strings with one space between, since the tokenizer names no decoder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = model(path).names
+        names, _ = _names(path)
         for batch in batches:
-            texts = [" ".join([names[i] for i in x]) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+            at = 0
+            for ids in _token_slices(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids, _joined(ids, names).cast(pa.string())],
+                                                 ["doc_id", "ids", "decoded"])
+                at += len(ids)
     return run
 
 
@@ -285,16 +312,16 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def _digest(path: str):
-    """Digests of ids and decoded text by document, without the ids and texts leaving the worker."""
-    decoded = _decode(path)
-
+    """Digests of ids and decoded text by document, without the texts leaving the worker."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in decoded(batches):
-            numbers = [hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in batch.column(1).to_pylist()]
-            texts = [hashlib.sha256(t.as_buffer()).hexdigest() for t in batch.column(2)]
-            sizes = pc.list_value_length(batch.column(1)).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(numbers), pa.array(texts)],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        names, numbers = _names(path)
+        for batch in batches:
+            at = 0
+            for ids in _token_slices(batch.column(1)):
+                sums = [pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in _joined(ids, x)], pa.string()) for x in (numbers, names)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), pc.list_value_length(ids).cast(pa.int64()), *sums],
+                                                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                at += len(ids)
     return run
 
 
