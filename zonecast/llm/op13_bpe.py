@@ -282,15 +282,15 @@ def _token_slices(ids: pa.ListArray, limit: int = 1 << 20) -> Iterator[pa.ListAr
 
 def _joined(ids: pa.ListArray, names: pa.Array) -> pa.Array:
     """Every row's names with one space between."""
-    offsets = ids.offsets.to_numpy().astype(np.int64)
-    return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), names.take(ids.flatten())), " ")
+    offsets = ids.offsets.to_numpy()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), names.take(ids.flatten())), " ")
 
 
 def _names(path: str) -> tuple[pa.Array, pa.Array]:
     """Token strings and decimal numbers by id."""
     names = model(path).names
-    return (pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string()),
-            pa.array([str(i) for i in range(max(names) + 1)], pa.large_string()))
+    return (pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string()),
+            pa.array([str(i) for i in range(max(names) + 1)], pa.string()))
 
 
 def _decode(path: str):
@@ -300,7 +300,7 @@ def _decode(path: str):
         for batch in batches:
             at = 0
             for ids in _token_slices(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids, _joined(ids, names).cast(pa.string())],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids, _joined(ids, names)],
                                                  ["doc_id", "ids", "decoded"])
                 at += len(ids)
     return run
