@@ -249,5 +249,7 @@ def test_encode_and_decode(spark):
         assert got == want
     sums = {(r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in b13.digest(b13.encode(frame, path), path).collect()}
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    fused = b13.encode_and_digest(frame, path, leaf=32, spread=300).collect()
+    assert len(fused) == len(rows) and {tuple(r) for r in fused} == sums
     assert sums == {(d, len(i), sha(" ".join(map(str, i))), sha(s)) for d, i, s in want}
     assert b13.encode(frame.where("false"), path).count() == 0

@@ -29,6 +29,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,11 +56,11 @@ class TreeBpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         inner = json.loads(self.tokenizer.to_str())
+        self.suffix = len(inner["model"]["end_of_word_suffix"] or "")
         inner["model"]["end_of_word_suffix"] = None
         # the same merges for symbols that do not end their word
         self.inner = Tokenizer.from_str(json.dumps(inner)).model
         self.last = self.tokenizer.model
-        self.suffix = len(json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"] or "")
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = {t.content: i for i, t in added.items()}
         names = sorted(self.special, key=len, reverse=True)
@@ -254,19 +255,25 @@ def _assemble(path: str, leaf: int):
     return run
 
 
-def encode(documents: DataFrame, tokenizer_path: str, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
-    """doc_id and ids of every row of ``documents``."""
+def _whole(documents: DataFrame, tokenizer_path: str, leaf: int, spread: int, finish, schema: str) -> DataFrame:
+    """Ids of every row, each batch of (doc_id, ids) given to ``finish`` in the worker that made it."""
     docs = with_row_ids(documents, "doc_id", "text")
-    near = map_arrow(docs.where(F.coalesce(F.length("text") <= spread, F.lit(True))),
-                     _encode(tokenizer_path, leaf), "doc_id bigint, ids array<int>")
+    coder = _encode(tokenizer_path, leaf)
+    near = map_arrow(docs.where(F.coalesce(F.length("text") <= spread, F.lit(True))), lambda batches: finish(coder(batches)), schema)
     far, _ = write_table(docs.where(F.length("text") > spread).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
                          "long-texts")
     parts = map_arrow(far.select("row", "text"), _cut(tokenizer_path, leaf, spread), _PART)
     coded = map_arrow(parts.repartition("row", "part"), _encode_parts(tokenizer_path, leaf),
                       "row bigint, part int, kind int, last boolean, ids array<int>")
-    whole = coded.groupBy("row").applyInArrow(_assemble(tokenizer_path, leaf), "row bigint, ids array<int>")
-    return near.unionByName(far.select("row", "doc_id").join(whole, "row", "left")
-                            .select("doc_id", F.coalesce("ids", F.expr("cast(array() as array<int>)")).alias("ids")))
+    met = coded.groupBy("row").applyInArrow(_assemble(tokenizer_path, leaf), "row bigint, ids array<int>")
+    met = (far.select("row", "doc_id").join(met, "row", "left")
+           .select("doc_id", F.coalesce("ids", F.expr("cast(array() as array<int>)")).alias("ids")))
+    return near.unionByName(map_arrow(met, finish, schema))
+
+
+def encode(documents: DataFrame, tokenizer_path: str, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
+    """doc_id and ids of every row of ``documents``."""
+    return _whole(documents, tokenizer_path, leaf, spread, iter, "doc_id bigint, ids array<int>")
 
 
 def _token_slices(ids: pa.ListArray, limit: int = 1 << 20) -> Iterator[pa.ListArray]:
@@ -286,9 +293,12 @@ def _joined(ids: pa.ListArray, names: pa.Array) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), names.take(ids.flatten())), " ")
 
 
+@lru_cache(maxsize=2)
 def _names(path: str) -> tuple[pa.Array, pa.Array]:
     """Token strings and decimal numbers by id."""
-    names = model(path).names
+    from tokenizers import Tokenizer
+
+    names = {i: s for s, i in Tokenizer.from_file(path).get_vocab(with_added_tokens=True).items()}
     return (pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.string()),
             pa.array([str(i) for i in range(max(names) + 1)], pa.string()))
 
@@ -325,7 +335,14 @@ def _digest(path: str):
     return run
 
 
+_DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
 def digest(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids, one space between), decoded_sha256."""
-    return map_arrow(encoded.select("doc_id", "ids"), _digest(tokenizer_path),
-                     "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(encoded.select("doc_id", "ids"), _digest(tokenizer_path), _DIGEST)
+
+
+def encode_and_digest(documents: DataFrame, tokenizer_path: str, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
+    """``digest`` of ``encode``, with the ids handed on inside the worker."""
+    return _whole(documents, tokenizer_path, leaf, spread, _digest(tokenizer_path), _DIGEST)

@@ -105,8 +105,7 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_file(WORD_BPE)
-    return op13_bpe.digest(op13_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return op13_bpe.encode_and_digest(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
