@@ -273,7 +273,7 @@ def _whole(documents: DataFrame, tokenizer_path: str, leaf: int, spread: int, fi
 
 def encode(documents: DataFrame, tokenizer_path: str, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
     """doc_id and ids of every row of ``documents``."""
-    return _whole(documents, tokenizer_path, leaf, spread, iter, "doc_id bigint, ids array<int>")
+    return _whole(documents, tokenizer_path, leaf, spread, lambda batches: batches, "doc_id bigint, ids array<int>")
 
 
 def _token_slices(ids: pa.ListArray, limit: int = 1 << 20) -> Iterator[pa.ListArray]:
