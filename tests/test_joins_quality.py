@@ -2,6 +2,7 @@
 
 
 import pandas as pd
+import pyspark.sql.functions as F
 
 from zonecast.operators import joins, quality
 
@@ -39,7 +40,7 @@ def test_orphan_counts_null_child_orphan_and_null_parent(spark):
 def test_profile_and_missing_match_pandas(spark):
     pdf = pd.DataFrame({"a": [1, 1, 2, None], "b": ["x", "x", None, None]})
     df = spark.createDataFrame([(1.0, "x"), (1.0, "x"), (2.0, None), (None, None)], "a double, b string")
-    p = quality.table_profile("t", df).first()
+    p = quality.dataset_profile({"t": df}).first()
     assert p["rows"] == len(pdf) and p["columns"] == 2
     assert p["duplicate_rows"] == int(pdf.duplicated().sum())
     assert p["missing_cells"] == int(pdf.isna().sum().sum())
@@ -49,7 +50,6 @@ def test_profile_and_missing_match_pandas(spark):
 
 def test_rule_failures_ignore_null_and_gates(spark):
     df = spark.createDataFrame([(1.0,), (-1.0,), (None,)], "x double")
-    import pyspark.sql.functions as F
     r = quality.rule_failures("t", df, [("neg", F.col("x") < 0)]).first()
     assert r["failed_records"] == 1
     g = quality.gate("g", df, F.col("x") < 0, allow=F.col("x") == -1.0).first()
@@ -75,7 +75,7 @@ def test_join_dim_without_broadcast_gives_same_rows(spark):
     fact = spark.createDataFrame([(i, str(i % 7)) for i in range(300)], "id int, k string")
     dim = spark.createDataFrame([(str(i), f"n{i}") for i in range(5)], "k string, name string")
     a = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left").collect())
-    b = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left", max_rows=1).collect())
+    b = sorted(tuple(r) for r in joins.join_dim(fact, dim, "k", "left", max_bytes=1).collect())
     assert a == b and len(a) == 300
 
 
@@ -93,10 +93,38 @@ def test_profile_and_missing_in_one_pass_match_separate_reports(spark):
                                                                      "missing_pct"))
 
 
-def test_broadcast_check_bounds_rows_and_bytes(spark):
-    df = spark.createDataFrame([(str(i), float(i)) for i in range(100)], "k string, v double")
-    assert joins.row_width(df) == 8 + 32 + 8
-    assert joins.fits_broadcast(df)
-    assert not joins.fits_broadcast(df, max_rows=50)
-    assert not joins.fits_broadcast(df, max_bytes=48 * 99)      # 99 rows fit, 100 do not
-    assert joins.fits_broadcast(df, max_bytes=48 * 100)
+def test_broadcast_check_reads_plan_statistics(spark):
+    from conftest import SF_SMALL
+    nation = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    size = joins.estimated_bytes(nation)
+    assert 0 < joins.estimated_bytes(nation.select("n_nationkey")) < size     # scaled to the columns read
+    assert joins.fits_broadcast(nation, max_bytes=size) and not joins.fits_broadcast(nation, max_bytes=size - 1)
+
+
+def test_prints_tell_rows_apart(spark):
+    rows = [(None, 1, "a"), (1, None, "a"), (1, 1, None), (None, None, None), (None, None, None), (1, 1, "a"), (1, 1, "a"), (1, 1, "a")]
+    df = spark.createDataFrame(rows, "x int, y int, s string")
+    assert tuple(quality.duplicate_rows(df).first()) == (8, 5, 3)
+    wide = df.select(*[F.lit(i).alias(f"c{i}") for i in range(70)], F.col("s").alias("last"), F.col("x").alias("a.b"))
+    f = quality.table_facts({"w": wide, "e": df.where("false")})
+    assert (f["w"].rows, f["w"].distinct_rows, f["w"].nulls["last"], f["w"].nulls["a.b"], f["w"].nulls["c3"]) == (8, 4, 3, 3, 0)
+    assert (f["e"].rows, f["e"].distinct_rows) == (0, 0)
+
+
+def test_rows_under_one_print_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_row_print", lambda df: [F.lit(1).alias("_h1"), F.lit(2).alias("_h2")])
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "c")], "x int, s string")
+    assert tuple(quality.duplicate_rows(df).first()) == (4, 3, 1)
+
+
+def test_split_join_with_a_hot_key(spark):
+    left = spark.createDataFrame([("hot" if i % 3 == 0 else None if i % 50 == 1 else f"k{i}", i) for i in range(3000)], "k string, v int")
+    right = spark.createDataFrame([("hot", 1.0)] + [(f"k{i}", float(i)) for i in range(0, 3000, 2)], "k string, w double")
+    want = sorted(map(str, left.join(right, "k", "left").collect()))
+    assert sorted(map(str, joins.split_join(left, right, ["k"], share=0.01).select("k", "v", "w").collect())) == want
+    star = joins.star_assemble(left, [(right, ["k"])], check_grain=True, hot=True)
+    assert sorted(map(str, star.select("k", "v", "w").collect())) == want
+    assert [r["k"] for r in joins.frequent_keys(left, ["k"], 0.1).collect()] == ["hot"]
+    # the hot key's rows reach no shuffle: its part of the plan joins by broadcast on the left
+    plan = joins.split_join(left, right, ["k"], share=0.01)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan

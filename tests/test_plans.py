@@ -2,9 +2,12 @@
 
 import re
 
+import pyspark.sql.functions as F
+
 from conftest import SF_SMALL
 from zonecast.operators import ranking
 from zonecast.plans import products as PR
+from zonecast.session import written
 from zonecast.sources.catalog import Catalog
 
 
@@ -14,13 +17,33 @@ def _plan(df, capsys):
     return capsys.readouterr().out
 
 
-def test_percentile_has_no_global_window(spark, capsys):
-    df = spark.createDataFrame([(i, float(i % 97)) for i in range(5000)], "id int, v double")
-    plan = _plan(ranking.percentile_scores(df.checkpoint(), {"v": "s"}), capsys)
-    assert "SinglePartition" not in plan
-    windows = re.findall(r"\(\d+\) Window\n.*?Arguments: (.*?)\n", plan, flags=re.S)
-    # partition spec (second argument list) is the (measure, range) pair, never empty
-    assert windows and all(re.search(r"\], \[_m#\d+, [^\]]*_b#\d+", w) for w in windows)
+def test_percentile_reads_the_panel_once(spark, capsys):
+    panel = written(spark.createDataFrame([(i, float(i % 97), float(i)) for i in range(5000)], "id int, v double, w double"), "panel")
+    plan = _plan(ranking.percentile_scores(panel, {"v": "s", "w": "t"}), capsys)
+    assert "Window" not in plan and "SinglePartition" not in plan and "Exchange hash" not in plan
+    files = re.findall(r"Location: \w+ \[(.*?)\]", plan)
+    assert sum("panel" in f for f in files) == 1 and sum("rank-index" in f for f in files) == 2
+
+
+def test_rank_index_windows_over_ranges(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ranking, "written", lambda df, name: seen.append(df._jdf.queryExecution().executedPlan().toString()) or written(df, name))
+    ranking.rank_index(spark.range(5000).selectExpr("double(id % 97) AS v", "double(id) AS w"), ["v", "w"])
+    windows = re.findall(r"Window \[.*?\], \[(_m#\d+, _b#\d+)\]", seen[1])
+    assert len(windows) == 1 and "SinglePartition" not in seen[1]
+
+
+def test_global_rank_sorts_by_ranges(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ranking, "written", lambda df, name: seen.append(df._jdf.queryExecution().executedPlan().toString()) or written(df, name))
+    rows = [(i * 7919 % 4001, None if i % 11 == 0 else i % 13) for i in range(4001)]
+    df = spark.createDataFrame(rows, "id int, v int").repartition(5)
+    got = ranking.global_rank(df, [F.col("v").desc_nulls_last(), F.col("id").asc()]).collect()
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert [(r["id"], r["v"]) for r in sorted(got, key=lambda r: r["rank"])] == want
+    assert sorted(r["rank"] for r in got) == list(range(1, 4002))
+    assert "rangepartitioning" in seen[0] and "SinglePartition" not in seen[0]
+    assert ranking.global_rank(df.where("false"), [F.col("id").asc()]).count() == 0
 
 
 def test_star_joins_dimensions_by_broadcast(spark, capsys):

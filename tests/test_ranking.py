@@ -100,3 +100,17 @@ def test_explicit_order_puts_unknown_levels_last(spark):
     out = ranking.explicit_order(df, "level", ["Low", "Medium", "High", "Severe"]) \
         .orderBy(F.col("position").asc_nulls_last()).collect()
     assert [(r["level"], r["position"]) for r in out] == [("Low", 1), ("High", 3), ("Severe", 4), ("Gridlock", None)]
+
+
+def test_percentile_of_many_values_comes_back_by_row(spark):
+    rng = np.random.default_rng(4)
+    a = [None if k % 17 == 0 else 5.0 if k % 3 == 0 else float(v) for k, v in enumerate(rng.normal(size=2000))]
+    b = [float(v) for v in rng.integers(0, 900, 2000)]
+    df = spark.createDataFrame(list(zip(range(2000), a, b)), "id int, a double, b double")
+    # no broadcast: hot values by broadcast, the rest by shuffle, one wide step back
+    out = {r["id"]: r for r in ranking.percentile_scores(df, {"a": "sa", "b": "sb"}, max_broadcast_rows=0).collect()}
+    assert len(out) == 2000 and set(out[0].asDict()) == {"id", "a", "b", "sa", "sb"}
+    for col, vals in (("sa", a), ("sb", b)):
+        for k, w in enumerate(_pandas_scores(vals)):
+            g = out[k][col]
+            assert (g is None and np.isnan(w)) or abs(g - w) < 1e-9

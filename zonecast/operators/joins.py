@@ -1,4 +1,4 @@
-"""Join operators (J-*).  Small sides are broadcast only behind a row-count check."""
+"""Join operators (J-*).  Small sides are broadcast only behind a size check."""
 
 from __future__ import annotations
 
@@ -7,42 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables up to this many rows and estimated bytes are broadcast;
-# bigger ones shuffle (and AQE may still pick a broadcast at run time from the
-# real size).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+from zonecast.session import written
 
-# Estimated in-memory width per value; strings are assumed to average 32 bytes.
-_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
-          "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 32}
+# Relations up to this many bytes, by the optimizer's estimate, are broadcast; bigger ones
+# shuffle (and AQE may still pick a broadcast at run time from the real size).  For
+# files the estimate is their size on disk, scaled to the columns read, so it is
+# held far below what a task can keep in memory; a join's estimate is the
+# product of its sides and errs to the large side.
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
+# Rows of a table whose exact count is known (score tables of a ranking).
+BROADCAST_MAX_ROWS = 2_000_000
 
 
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (nested and unknown types: 64)."""
-    return 8 + sum(_WIDTH.get(t, 32 if t.startswith(("varchar", "char")) else 64) for _, t in df.dtypes)
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of ``df`` by plan statistics: no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Size check by a distributed count: no more than ``max_rows`` rows, and no
-    more than fit ``max_bytes`` at the schema's estimated row width.  Nothing is
-    remembered between calls, as the inputs may have changed."""
-    return df.count() <= min(max_rows, max_bytes // row_width(df))
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Size check of a broadcast side.  Nothing is remembered between calls, as the inputs may have changed."""
+    return estimated_bytes(df) <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Fact x dimension equi-join (J-1 inner, J-2 left, J-7 hourly).
 
     The dimension is broadcast when its checked size allows, so the fact side
     is never shuffled for it.
     """
-    return fact.join(maybe_broadcast(dim, max_rows), on=on, how=how)
+    return fact.join(maybe_broadcast(dim, max_bytes), on=on, how=how)
 
 
 def unique_by_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order_by: str) -> DataFrame:
@@ -93,12 +91,14 @@ def role_playing_join(fact: DataFrame, dim: DataFrame, dim_key: str,
 
 
 def star_assemble(panel: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str]]],
-                  check_grain: bool = False) -> DataFrame:
+                  check_grain: bool = False, hot: bool = False) -> DataFrame:
     """Chain of left joins around a panel (J-9).  Every side must be unique on
-    its keys; with ``check_grain`` the row count is verified (one extra job)."""
+    its keys; with ``check_grain`` the row count is verified (one extra job).
+    ``hot``: a key of the panel may hold a large share of its rows, so that every
+    join is split by ``split_join``."""
     out = panel
     for side, keys in sides:
-        out = out.join(side, on=list(keys), how="left")
+        out = split_join(out, side, keys) if hot else out.join(side, on=list(keys), how="left")
     if check_grain:
         before, after = panel.count(), out.count()
         if before != after:
@@ -106,6 +106,41 @@ def star_assemble(panel: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[st
     return out
 
 
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """Keys that hold more than ``share`` of the rows, so fewer than 1 / share of them (written once).
+
+    Partial aggregation reduces a hot key to a row per task before the shuffle.
+    """
+    counts = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.where(F.col("_n") > share * total).drop("_n")
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], share: float | None = None) -> DataFrame:
+    """Left equi-join with a right side that is unique on ``keys``, split by how frequent a key is (J-9).
+
+    Keys with more than ``share`` of the left rows (default: a quarter of a shuffle
+    partition's even share) are fewer than 1 / share; their right rows are broadcast, so a hot key's left
+    rows stay where they are.  The rest are shuffled, and no key among them is hot.  Null keys match nothing
+    and are not shuffled either.
+    """
+    keys = list(keys)
+    if share is None:
+        share = 0.25 / max(1, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    some = [F.col(k).isNotNull() for k in keys]
+    present = some[0]
+    for c in some[1:]:
+        present = present & c
+    heavy = F.broadcast(frequent_keys(left.where(present), keys, share))  # fewer than 1 / share rows
+    heavy_right = right.join(heavy, keys, "left_semi")
+    hot = left.join(heavy, keys, "left_semi").join(F.broadcast(heavy_right), keys, "left")
+    rest = left.where(present).join(heavy, keys, "left_anti").join(right.join(heavy, keys, "left_anti"), keys, "left")
+    names = hot.columns
+    none = left.where(~present).select(*[F.col(c) if c in left.columns else F.lit(None).cast(hot.schema[c].dataType).alias(c)
+                                         for c in names])
+    return hot.unionByName(rest).unionByName(none)
+
+
 def reindex_categories(agg: DataFrame, key: str, order: Sequence[str],
                        position_col: str = "position") -> DataFrame:
     """Keep exactly the listed categories in list order; absent ones get null
@@ -122,13 +157,17 @@ def reindex_categories(agg: DataFrame, key: str, order: Sequence[str],
 def orphan_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """records_checked, missing_foreign_keys, orphan_foreign_keys for one relation (J-8).
 
-    The child is first reduced to (key, count) with map-side combine, so a hot
+    Parent keys that fit a broadcast are looked up where the child rows are, so no child
+    row is shuffled.  Otherwise the child is first reduced to (key, count) with map-side combine, so a hot
     key costs one row; then distinct child keys meet distinct parent keys.
     """
-    keys = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    parent_keys = parent.select(F.col(parent_key).alias("_k")).where(F.col("_k").isNotNull()) \
-        .distinct().withColumn("_present", F.lit(True))
-    joined = keys.join(parent_keys, on="_k", how="left")
+    parent_keys = parent.select(F.col(parent_key).alias("_k")).where(F.col("_k").isNotNull())
+    if fits_broadcast(parent_keys):
+        keys = child.select(F.col(child_key).alias("_k"), F.lit(1).alias("_n"))
+        joined = keys.join(F.broadcast(parent_keys.distinct().withColumn("_present", F.lit(True))), on="_k", how="left")
+    else:
+        keys = child.groupBy(F.col(child_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        joined = keys.join(parent_keys.distinct().withColumn("_present", F.lit(True)), on="_k", how="left")
     return joined.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("records_checked"),
         F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")

@@ -8,11 +8,13 @@ Each table is read once per report: one aggregate computes every count, and
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from zonecast.operators.joins import orphan_counts
+from zonecast.operators.joins import fits_broadcast, maybe_broadcast, orphan_counts
+from zonecast.session import written
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -22,70 +24,100 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """rows, distinct_rows and duplicate_rows (count minus distinct count, A-13)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_m"))
-    return g.agg(F.sum("_m").cast("bigint").alias("rows"),
-                 F.count(F.lit(1)).cast("bigint").alias("distinct_rows")) \
-        .withColumn("duplicate_rows", F.col("rows") - F.col("distinct_rows"))
+_MASK_BITS = 62
 
 
-def table_profile(name: str, df: DataFrame) -> DataFrame:
-    """dataset, rows, columns, duplicate_rows, missing_cells for one table (D-6).
+def _null_masks(df: DataFrame, width: int) -> list:
+    """Which columns are null, as ``width`` longs of 62 bits."""
+    out = []
+    for k in range(width):
+        bits = [F.when(F.col(f"`{c}`").isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+                for i, c in enumerate(df.columns[k * _MASK_BITS:(k + 1) * _MASK_BITS])]
+        total = F.lit(0).cast("bigint")
+        for b in bits:
+            total = total + b
+        out.append(total.alias(f"_z{k}"))
+    return out
 
-    Rows are grouped by all columns first (the duplicate count needs that
-    shuffle anyway); null cells are then summed weighted by multiplicity.
-    """
-    cols = df.columns
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    missing = None
-    for c in cols:
-        term = F.when(F.col(c).isNull(), F.col("_m")).otherwise(F.lit(0))
-        missing = term if missing is None else missing + term
-    return g.agg(
-        F.sum("_m").cast("bigint").alias("rows"),
-        (F.sum("_m") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
-        F.coalesce(F.sum(missing), F.lit(0)).cast("bigint").alias("missing_cells"),
-    ).select(F.lit(name).alias("dataset"), "rows", F.lit(len(cols)).cast("bigint").alias("columns"),
-             "duplicate_rows", "missing_cells")
 
+def _row_print(df: DataFrame) -> list:
+    """128 bits per row: two 64-bit hashes of all columns and of which are null (a null alone leaves a hash as it is)."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    parts = [*cols, *[c.isNull() for c in cols]]
+    return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit("second"), *parts[::-1]).alias("_h2")]
 
-def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([table_profile(n, df) for n, df in tables.items()])
 
+@dataclass(frozen=True)
+class TableFacts:
+    """What the reports need to know of one table."""
 
-def profile_and_missing(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Profile (D-6) and missing values (D-7) of every table from one pass each.
+    rows: int
+    distinct_rows: int
+    nulls: dict[str, int]
+
+
+def table_facts(tables: dict[str, DataFrame]) -> dict[str, TableFacts]:
+    """Rows, distinct rows and nulls per column of every table, from one scan each (A-13, A-14, A-15).
 
-    Each table is grouped by all columns once; rows, distinct rows and the null
-    count of every column (weighted by multiplicity) come from that one
-    aggregate.  The counts (tables x columns, bounded by the schema) are
-    collected and both reports are built from them.
+    Rows meet by a 128-bit print, so the exchange carries 24 bytes a row, not
+    the columns.  Counts are observed in the result stage of the job that writes the prints that repeat, where every
+    task counts once.  Only rows whose print repeats are then compared in full: equal rows collapse
+    before that exchange, and what is left over are rows that differ under one print.
     """
     spark = next(iter(tables.values())).sparkSession
-    longs = []
-    for name, df in tables.items():
-        cols = df.columns
-        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-        wide = g.agg(F.sum("_m").cast("bigint").alias("_rows"), F.count(F.lit(1)).cast("bigint").alias("_distinct"),
-                     *[F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_m"))), F.lit(0)).cast("bigint").alias(c)
-                       for c in cols])
-        longs.append(wide.unpivot([], ["_rows", "_distinct", *cols], "metric", "value")
-                     .select(F.lit(name).alias("dataset"), "metric", "value"))
-    counts: dict[str, dict[str, int]] = {}
-    for r in union_all(longs).collect():
-        counts.setdefault(r["dataset"], {})[r["metric"]] = int(r["value"])
-    profile_rows, missing_rows = [], []
-    for name, df in tables.items():
-        c = counts[name]
-        nulls = {col: c[col] for col in df.columns}
-        profile_rows.append((name, c["_rows"], len(df.columns), c["_rows"] - c["_distinct"], sum(nulls.values())))
-        missing_rows += [(name, col, n, n / c["_rows"]) for col, n in nulls.items() if n > 0]
-    profile = spark.createDataFrame(profile_rows, "dataset string, rows bigint, columns bigint, "
-                                                  "duplicate_rows bigint, missing_cells bigint")
-    missing = spark.createDataFrame(missing_rows, "dataset string, column_name string, missing_count bigint, "
-                                                  "missing_pct double")
-    return profile, missing
+    width = max(-(-len(df.columns) // _MASK_BITS) for df in tables.values())
+    masks = [f"_z{k}" for k in range(width)]
+    prints = union_all([df.select(F.lit(i).alias("_t"), *_row_print(df), *_null_masks(df, width))
+                        for i, df in enumerate(tables.values())])
+    prints = prints.groupBy("_t", "_h1", "_h2", *masks).agg(F.count(F.lit(1)).alias("_m"))
+    counts = []
+    for i, df in enumerate(tables.values()):
+        mine = F.col("_t") == i
+        counts += [F.sum(F.when(mine, F.col("_m"))).alias(f"rows_{i}"), F.count_if(mine).alias(f"prints_{i}"),
+                   F.count_if(mine & (F.col("_m") > 1)).alias(f"twice_{i}")]
+        for j in range(len(df.columns)):
+            bit = F.getbit(F.col(f"_z{j // _MASK_BITS}"), F.lit(j % _MASK_BITS))
+            counts.append(F.sum(F.when(mine & (bit == 1), F.col("_m"))).alias(f"null_{i}_{j}"))
+    seen = Observation()
+    twice = written(prints.observe(seen, *counts).where(F.col("_m") > 1).select("_t", "_h1", "_h2"), "repeating-prints")
+    got = seen.get
+    again = [_distinct_among(i, df, twice.where(F.col("_t") == i)) for i, df in enumerate(tables.values()) if got[f"twice_{i}"]]
+    exact = {r["_t"]: int(r["_d"]) for r in union_all(again).collect()} if again else {}
+    return {name: TableFacts(int(got[f"rows_{i}"] or 0), int(got[f"prints_{i}"] - got[f"twice_{i}"]) + exact.get(i, 0),
+                             {c: int(got[f"null_{i}_{j}"] or 0) for j, c in enumerate(df.columns)})
+            for i, (name, df) in enumerate(tables.items())}
+
+
+def _distinct_among(i: int, df: DataFrame, prints: DataFrame) -> DataFrame:
+    """Distinct rows of ``df`` among those whose print is listed (one row: _t, _d)."""
+    rows = df.select("*", *_row_print(df)).join(maybe_broadcast(prints.drop("_t")), ["_h1", "_h2"], "left_semi")
+    return (rows.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.lit(1).alias("_one"))
+            .agg(F.count(F.lit(1)).alias("_d")).select(F.lit(i).alias("_t"), "_d"))
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """rows, distinct_rows and duplicate_rows (count minus distinct count, A-13), one row."""
+    f = table_facts({"table": df})["table"]
+    return df.sparkSession.createDataFrame([(f.rows, f.distinct_rows, f.rows - f.distinct_rows)],
+                                           "rows bigint, distinct_rows bigint, duplicate_rows bigint")
+
+
+_PROFILE = "dataset string, rows bigint, columns bigint, duplicate_rows bigint, missing_cells bigint"
+_MISSING = "dataset string, column_name string, missing_count bigint, missing_pct double"
+
+
+def profile_and_missing(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Profile (D-6) and missing values (D-7) of every table from one scan each."""
+    spark = next(iter(tables.values())).sparkSession
+    facts = table_facts(tables)
+    profile = [(n, f.rows, len(f.nulls), f.rows - f.distinct_rows, sum(f.nulls.values())) for n, f in facts.items()]
+    missing = [(n, c, k, k / f.rows) for n, f in facts.items() for c, k in f.nulls.items() if k]
+    return spark.createDataFrame(profile, _PROFILE), spark.createDataFrame(missing, _MISSING)
+
+
+def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """dataset, rows, columns, duplicate_rows, missing_cells per table (D-6)."""
+    return profile_and_missing(tables)[0]
 
 
 def missing_by_column(name: str, df: DataFrame) -> DataFrame:
@@ -123,8 +155,11 @@ def fk_integrity(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]
             continue
         pairs = F.array(*[F.struct(F.lit(label).alias("relationship"), F.col(ck).cast("string").alias("_k"))
                           for label, ck, _, _ in rels])
-        keys = (child.select(F.explode(pairs).alias("_x")).select("_x.*")
-                .groupBy("relationship", "_k").agg(F.count(F.lit(1)).alias("_n")))
+        keys = child.select(F.explode(pairs).alias("_x")).select("_x.*")
+        # parents that fit a broadcast are looked up where the child rows are; otherwise keys are counted first
+        small = all(fits_broadcast(parent.select(pk)) for _, _, parent, pk in rels)
+        keys = (keys.withColumn("_n", F.lit(1).cast("bigint")) if small
+                else keys.groupBy("relationship", "_k").agg(F.count(F.lit(1)).alias("_n")))
         parents = union_all([
             parent.select(F.lit(label).alias("relationship"), F.col(pk).cast("string").alias("_k"))
             .where(F.col("_k").isNotNull()).distinct()
@@ -132,7 +167,7 @@ def fk_integrity(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]
         # a relation of an empty child is checked too: it starts with a row of weight zero
         keys = keys.unionByName(child.sparkSession.createDataFrame(
             [(label, "", 0) for label, _, _, _ in rels], "relationship string, _k string, _n bigint"))
-        joined = keys.join(parents, ["relationship", "_k"], "left")
+        joined = keys.join(F.broadcast(parents) if small else parents, ["relationship", "_k"], "left")
         frames.append(joined.groupBy("relationship").agg(
             F.sum("_n").cast("bigint").alias("records_checked"),
             F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")

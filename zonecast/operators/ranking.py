@@ -1,90 +1,112 @@
 """Ranking operators (W-*, O-*).
 
-``percentile_scores`` is the distributed average-tie percentile rank:
-
-1. each measure is reduced to (range, value, multiplicity) with map-side
-   combine, so a value shared by a third of all rows is a single row;
-2. values are cut into ranges at approximate quantiles (a bounded list of
-   boundaries on the driver); one value never spans two ranges;
-3. inside each range a window over the *distinct values* accumulates the
-   multiplicities; per-range totals (bounded by measures x ranges) give each
+``percentile_scores`` is the distributed average-tie percentile rank.  Its
+centre is a rank index, written once:
+
+1. one explode takes every measure to (measure, value) and a map-side combine
+   to (measure, value, multiplicity), so a value shared by a third of all rows is a single row;
+2. a range shuffle sorts the distinct values; a value never spans two ranges;
+3. inside each range a window over the distinct values accumulates the
+   multiplicities, and per-range totals (bounded by measures x ranges) give each
    range its offset;
 4. the score per distinct value is joined back to the rows.
 
-No step puts all rows, or one hot value's rows, into a single task.
+``global_rank`` numbers rows of a total order the same way, without a window
+over one partition.  No step puts all rows, or one hot value's rows, into a single task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.operators.joins import BROADCAST_MAX_ROWS
+from zonecast.session import written
 
 
-def _ranges_per_measure(spark) -> int:
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(4, min(4 * parts, 20_000))
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def percentile_scores(df: DataFrame, measures: dict[str, str], ranges: int | None = None,
-                      max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Add one 0-100 average-tie percentile column per measure (W-1):
-    pandas ``rank(pct=True, method="average") * 100``; null stays null.
+def _long(df: DataFrame, measures: Sequence[str], *keys: str) -> DataFrame:
+    """(keys, _m, _v): one row per row and measure that is not null."""
+    return df.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
+                                               for i, c in enumerate(measures)])).alias("_x")) \
+        .select(*keys, "_x.*").where(F.col("_v").isNotNull())
 
-    All measures share each step: one approximate-quantile job for the range
-    boundaries, one aggregate to (measure, range, value, multiplicity), one
-    bounded collect of per-range totals.  ``df`` is read several times, so pass
-    a materialised frame (the opportunity panel is checkpointed).
 
-    The per-value score table of a measure is broadcast when its distinct
-    count (known exactly from the totals) is within ``max_broadcast_rows``;
-    otherwise the join back shuffles and AQE splits a hot value.
-    """
+def rank_index(df: DataFrame, measures: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """_m, _v, _c, _score: average-tie percentile score of every distinct value of every measure, written once."""
     spark = df.sparkSession
-    srcs = list(measures)
-    k = ranges or _ranges_per_measure(spark)
-    probs = [i / k for i in range(1, k)]
-    dbl = df.select(*[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(srcs)])
-    bounds = dbl.approxQuantile([f"_m{i}" for i in range(len(srcs))], probs, 1.0 / (4 * k)) if probs \
-        else [[] for _ in srcs]
-    splits = [[float("-inf")] + (sorted({float(b) for b in bs}) or [0.0]) + [float("inf")] for bs in bounds]
-    bucketed = Bucketizer(splitsArray=splits, inputCols=[f"_m{i}" for i in range(len(srcs))],
-                          outputCols=[f"_b{i}" for i in range(len(srcs))], handleInvalid="keep").transform(dbl)
-    long = bucketed.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_m"), F.col(f"_b{i}").alias("_b"), F.col(f"_m{i}").alias("_v"))
-        for i in range(len(srcs))])).alias("_x")).select("_x.*").where(F.col("_v").isNotNull())
-    # Map-side combine: a value held by a third of all rows becomes one row.
-    vc = long.groupBy("_m", "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # Per-range totals: at most measures x ranges rows, so collecting is bounded.
-    totals = vc.groupBy("_m", "_b").agg(F.sum("_c").alias("_t"), F.count(F.lit(1)).alias("_d")) \
-        .orderBy("_m", "_b").collect()
-    offsets, n, distinct, run = [], {}, {}, {}
-    for row in totals:
-        m = int(row["_m"])
-        offsets.append((m, float(row["_b"]), int(run.get(m, 0))))
-        run[m] = run.get(m, 0) + int(row["_t"])
-        distinct[m] = distinct.get(m, 0) + int(row["_d"])
-    n = run
-    off = spark.createDataFrame(offsets or [(0, 0.0, 0)], "_m int, _b double, _off long") \
-        .withColumn("_n", F.create_map(*[x for m, v in n.items() for x in (F.lit(m), F.lit(float(v)))])[F.col("_m")]
-                    if n else F.lit(None).cast("double"))
+    counted = _long(df, measures).groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    placed = written(counted.repartitionByRange(ranges or _partitions(df), "_m", "_v").withColumn("_b", F.spark_partition_id()),
+                     "rank-values")
+    # per-range totals: at most measures x ranges rows, so collecting them is bounded
+    offsets, before = [], {}
+    for r in placed.groupBy("_m", "_b").agg(F.sum("_c").alias("_t")).orderBy("_m", "_b").collect():
+        offsets.append((r["_m"], r["_b"], before.get(r["_m"], 0)))
+        before[r["_m"]] = before.get(r["_m"], 0) + r["_t"]
+    bounded = spark.createDataFrame([(m, b, o, before[m]) for m, b, o in offsets], "_m int, _b int, _off long, _n long")
     w = Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (vc.join(F.broadcast(off), ["_m", "_b"])
+    ranked = (placed.join(F.broadcast(bounded), ["_m", "_b"])
               .withColumn("_below", F.coalesce(F.sum("_c").over(w), F.lit(0)))
               .withColumn("_avg_rank", (F.col("_off") + F.col("_below")).cast("double")
-                          + (F.col("_c") + F.lit(1)).cast("double") / F.lit(2.0))
-              .select("_m", "_v", (F.col("_avg_rank") / F.col("_n") * F.lit(100.0)).alias("_score")))
-    out = df
-    for i, (src, dst) in enumerate(measures.items()):
-        side = ranked.where(F.col("_m") == i).select(F.col("_v").alias(f"_k_{dst}"), F.col("_score").alias(dst))
-        if distinct.get(i, 0) <= max_broadcast_rows:
-            side = F.broadcast(side)
-        out = out.join(side, out[src].cast("double") == side[f"_k_{dst}"], "left").drop(f"_k_{dst}")
-    return out
+                          + (F.col("_c") + F.lit(1)).cast("double") / F.lit(2.0)))
+    return written(ranked.select("_m", "_v", "_c", (F.col("_avg_rank") / F.col("_n") * F.lit(100.0)).alias("_score")), "rank-index")
+
+
+def percentile_scores(df: DataFrame, measures: dict[str, str], ranges: int | None = None,
+                      max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Add one 0-100 average-tie percentile column per measure (W-1):
+    pandas ``rank(pct=True, method="average") * 100``; null stays null.
+
+    ``df`` is read once for the index and once for the result, so pass a written
+    frame.  An index of at most ``max_broadcast_rows`` rows (counted exactly) is broadcast, one measure
+    at a time, and no row moves.  A larger one is joined once in long form: values
+    with a large share of the rows by broadcast (they are few), the rest by shuffle, and the scores
+    come back to their rows by a row key in one wide step.
+    """
+    srcs, names = list(measures), list(measures.values())
+    index = rank_index(df, srcs, ranges)
+    if index.count() <= max_broadcast_rows:
+        out = df
+        for i, (src, dst) in enumerate(measures.items()):
+            side = index.where(F.col("_m") == i).select(F.col("_v").alias(f"_k_{dst}"), F.col("_score").alias(dst))
+            out = out.join(F.broadcast(side), out[src].cast("double") == side[f"_k_{dst}"], "left").drop(f"_k_{dst}")
+        return out
+    # the key is written with the row, so that every later scan sees the same one
+    keyed = written(df.withColumn("_row", F.monotonically_increasing_id()), "rank-rows")
+    long = _long(keyed, srcs, "_row")
+    total = index.groupBy("_m").agg(F.sum("_c").alias("_t"))
+    share = index.join(F.broadcast(total), "_m").withColumn("_hot", F.col("_c") * (4 * _partitions(df)) > F.col("_t"))
+    share = written(share.select("_m", "_v", "_score", "_hot"), "rank-shares")
+    # fewer than four times the partitions per measure
+    hot = F.broadcast(share.where("_hot").select("_m", "_v", "_score"))
+    met = (long.join(hot, ["_m", "_v"]).select("_row", "_m", "_score")
+           .unionByName(long.join(hot, ["_m", "_v"], "left_anti")
+                        .join(share.where("NOT _hot").select("_m", "_v", "_score"), ["_m", "_v"]).select("_row", "_m", "_score")))
+    wide = met.groupBy("_row").agg(*[F.max(F.when(F.col("_m") == i, F.col("_score"))).alias(d) for i, d in enumerate(names)])
+    return keyed.join(wide, "_row", "left").drop("_row")
+
+
+def global_rank(df: DataFrame, order: Sequence, rank_col: str = "rank") -> DataFrame:
+    """Number the rows 1, 2, ... in the given order (O-1, O-6).
+
+    The rows are range-partitioned and sorted, written once with their place in
+    the partition, and each partition's offset (a row per partition) is added.
+    ``order`` should be total: rows that agree in it are numbered in no defined order, and stay in one partition.
+    """
+    parts = written(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_id", F.monotonically_increasing_id()), "global-order")
+    parts = parts.withColumn("_p", F.shiftright("_id", 33))
+    sizes = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return (parts.join(F.broadcast(offsets), "_p").withColumn(rank_col, (F.col("_off") + place + 1).cast("bigint"))
+            .drop("_id", "_p", "_off"))
 
 
 def top1_per_group(df: DataFrame, keys: Sequence[str], count_col: str, label_col: str,

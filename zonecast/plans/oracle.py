@@ -1,7 +1,7 @@
 """DuckDB oracle texts: the role views as CTEs plus hand-written SQL per entry.
 
 The SQL is written independently of the DataFrame code it checks; only the
-role views (the inputs) and the five named business queries share text.
+role views (the inputs) share text.
 """
 
 from __future__ import annotations
@@ -129,8 +129,8 @@ FROM (
         FROM star) a) b) c) d""")
 
 _REC_KEYS = "city, zone_id, zone_name, hour, recommended_vehicle_type"
-DERIVED["recommendations"] = (("scores",), f"""
-SELECT {_REC_KEYS},
+DERIVED["recommendations_exact"] = (("scores",), f"""
+SELECT {_REC_KEYS}, {favg('mobility_opportunity_score')} AS _score,
        {r4(favg('mobility_opportunity_score'))} AS avg_opportunity_score,
        count_if(priority_band = 'Critical') AS critical_hours,
        {r4(favg('demand_supply_ratio'))} AS avg_demand_supply_ratio,
@@ -144,6 +144,7 @@ FROM scores
 WHERE city IS NOT NULL AND zone_id IS NOT NULL AND zone_name IS NOT NULL AND hour IS NOT NULL
   AND recommended_vehicle_type IS NOT NULL
 GROUP BY {_REC_KEYS}""")
+DERIVED["recommendations"] = (("recommendations_exact",), "SELECT * EXCLUDE (_score) FROM recommendations_exact")
 
 _TRIP_MEASURES = f"""count(*) AS trips,
        {r4('avg(' + _CANCEL + ')')} AS cancellation_rate,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from zonecast.functions import rules as RU
 from zonecast.functions.rules import round_half_up as rnd
 from zonecast.operators import cleaning, joins, quality, ranking, stats
-from zonecast.session import ensure_checkpoint_dir
+from zonecast.session import ensure_checkpoint_dir, written
 from zonecast.sources.catalog import Catalog
 
 CITY_ORDER = ("ASIA", "EUROPE", "AMERICA", "OCEANIA")
@@ -45,8 +45,8 @@ def trips_clean(cat: Catalog, null_policy: str = "keep") -> DataFrame:
     return cleaning.clean_trips(cat["trips_messy"], null_policy=null_policy)
 
 
-def timed_clean(cat: Catalog) -> DataFrame:
-    return cleaning.clean_trips(cat["trips_timed"])
+def timed_clean(cat: Catalog, null_policy: str = "keep") -> DataFrame:
+    return cleaning.clean_trips(cat["trips_timed"], null_policy=null_policy)
 
 
 def cleaning_audit(cat: Catalog) -> DataFrame:
@@ -59,33 +59,38 @@ def cleaning_summary(cat: Catalog) -> DataFrame:
 
 # ------------------------------------------------------- zone-hour panels
 
-def zone_hour_trip_metrics(trips: DataFrame, grain: str | None = "hour") -> DataFrame:
+def zone_hour_trip_metrics(trips: DataFrame, grain: str | None = "hour", count_ids: bool = False) -> DataFrame:
     """Observed trips (rows) and completed revenue per (zone, hour) (D-3).
 
     ``grain="hour"`` truncates the request time (Spark scripts); ``None`` keeps
-    the exact timestamp (pandas, SQL and R join on equality), G-2.
+    the exact timestamp (pandas, SQL and R join on equality), G-2.  ``count_ids``
+    counts trips that have an id instead of rows (Spark scripts).
     """
     ts = RU.hour_start("request_timestamp") if grain == "hour" else F.col("request_timestamp")
     keyed = trips.select(F.col("pickup_zone_id").alias("zone_id"), ts.alias("timestamp"),
-                         _completed_fare().alias("_cf"))
+                         (F.col("trip_id") if count_ids else F.lit(1)).alias("_id"), _completed_fare().alias("_cf"))
     return (_drop_null_keys(keyed, ["zone_id", "timestamp"])
             .groupBy("zone_id", "timestamp")
-            .agg(F.count(F.lit(1)).alias("observed_trips"),
+            .agg(F.count("_id").alias("observed_trips"),
                  # exact fixed-point sum: equal in every engine and partitioning
                  F.coalesce(RU.fixed_sum("_cf"), F.lit(0.0)).alias("completed_revenue")))
 
 
-def fleet_pressure(cat: Catalog, grain: str | None = "hour", trips: DataFrame | None = None) -> DataFrame:
+def fleet_pressure(cat: Catalog, grain: str | None = "hour", trips: DataFrame | None = None,
+                   script: bool = False) -> DataFrame:
     """Demand x zones, with traffic and trip metrics per zone-hour (D-4).
-    ``trips``: cleaned trips (default: the cleaned timed trips)."""
+    ``trips``: cleaned trips (default: the cleaned timed trips).  ``script``: the form of the
+    Spark scripts, which count trip ids and divide only by a positive number of vehicles."""
     zones = cat["zones"].select("zone_id", "zone_name", "city")
     traffic = cat["traffic"].select("timestamp", "zone_id", "traffic_index")
-    metrics = zone_hour_trip_metrics(trips if trips is not None else timed_clean(cat), grain)
+    metrics = zone_hour_trip_metrics(trips if trips is not None else timed_clean(cat), grain, count_ids=script)
+    supply = F.when(F.col("available_vehicles") > 0, F.col("available_vehicles")) if script else F.col("available_vehicles")
     panel = joins.join_dim(cat["demand_supply"], zones, "zone_id", "inner")
     panel = joins.star_assemble(panel, [(traffic, ["timestamp", "zone_id"]),
                                         (metrics, ["timestamp", "zone_id"])])
     return (panel
-            .withColumn("demand_supply_ratio", rnd(RU.safe_ratio("ride_requests", "available_vehicles"), 2))
+            .withColumn("_supply", supply)
+            .withColumn("demand_supply_ratio", rnd(RU.safe_ratio("ride_requests", "_supply"), 2)).drop("_supply")
             .withColumn("observed_trips", F.coalesce("observed_trips", F.lit(0)).cast("bigint"))
             .withColumn("completed_revenue", rnd(F.coalesce("completed_revenue", F.lit(0.0)), P)))
 
@@ -101,6 +106,12 @@ def vehicle_revenue(cat: Catalog, trips: DataFrame | None = None) -> DataFrame:
             .orderBy(F.col("completed_revenue").desc_nulls_last(), "vehicle_type"))
 
 
+def ranked_vehicle_revenue(cat: Catalog, trips: DataFrame | None = None) -> DataFrame:
+    """D-5 with its order as a column (O-6)."""
+    return ranking.global_rank(vehicle_revenue(cat, trips),
+                               [F.col("completed_revenue").desc_nulls_last(), F.col("vehicle_type").asc_nulls_first()])
+
+
 # ---------------------------------------------------------------- quality
 
 def role_tables(cat: Catalog) -> dict[str, DataFrame]:
@@ -274,12 +285,12 @@ def zone_hour_star(cat: Catalog, counts: DataFrame | None = None) -> DataFrame:
 
 
 def opportunity_panel(cat: Catalog) -> DataFrame:
-    """Star plus the three row ratios, materialised in the shared checkpoint
-    folder: the rankings read it several times.
+    """Star plus the three row ratios, written to the shared folder: the rank
+    index reads its five measures, the result the rest.
 
     The trip pre-aggregate feeds two branches of the star whose pushed-down
     null filters differ, so Spark would not reuse its exchange; it is persisted
-    for the duration of the checkpoint job so the trips are de-duplicated and
+    for the duration of the write so the trips are de-duplicated and
     shuffled once (a lost block is recomputed from lineage)."""
     counts = zone_hour_vehicle_counts(timed_clean(cat)).persist(StorageLevel.MEMORY_AND_DISK)
     p = (zone_hour_star(cat, counts)
@@ -288,9 +299,8 @@ def opportunity_panel(cat: Catalog) -> DataFrame:
          .withColumn("demand_supply_ratio", RU.safe_ratio("ride_requests", "available_vehicles"))
          .withColumn("cancellation_rate", RU.safe_ratio("cancelled_trips", "ride_requests"))
          .withColumn("supply_adequacy", RU.safe_ratio("available_vehicles", "ride_requests")))
-    ensure_checkpoint_dir(p.sparkSession)
     try:
-        return p.checkpoint(eager=True)
+        return written(p, "opportunity-panel")
     finally:
         counts.unpersist()
 
@@ -308,9 +318,9 @@ def opportunity_scores(cat: Catalog) -> DataFrame:
     return scored.select(*OPPORTUNITY_COLUMNS)
 
 
-def fleet_recommendations(cat: Catalog, scores: DataFrame | None = None) -> DataFrame:
+def fleet_recommendations(cat: Catalog, scores: DataFrame | None = None, exact: bool = False) -> DataFrame:
     """Per (city, zone, hour of day, vehicle type): average score, critical
-    hours and average pressures, with an action text (D-13)."""
+    hours and average pressures, with an action text (D-13).  ``exact`` keeps the unrounded score in ``_score``."""
     s = scores if scores is not None else opportunity_scores(cat)
     keys = ["city", "zone_id", "zone_name", "hour", "recommended_vehicle_type"]
     g = _drop_null_keys(s, keys).groupBy(*keys).agg(
@@ -323,16 +333,19 @@ def fleet_recommendations(cat: Catalog, scores: DataFrame | None = None) -> Data
     )
     return (g.withColumn("avg_opportunity_score", rnd("_score", P))
             .withColumn("recommended_action", RU.action_text("_score"))
-            .drop("_score")
-            .orderBy(F.col("avg_opportunity_score").desc_nulls_last(), F.col("critical_hours").desc(),
-                     *keys))
+            .orderBy(*recommendation_order()).drop(*([] if exact else ["_score"])))
+
+
+def recommendation_order() -> list:
+    """Best score first, by its exact value; ties by critical hours, then by the keys."""
+    return [F.col("_score").desc_nulls_last(), F.col("critical_hours").desc(), "city", "zone_id", "zone_name", "hour",
+            "recommended_vehicle_type"]
 
 
-def top_recommendations(cat: Catalog, k: int = 20) -> DataFrame:
-    rec = fleet_recommendations(cat)
-    order = [F.col("avg_opportunity_score").desc_nulls_last(), F.col("critical_hours").desc(),
-             "city", "zone_id", "hour", "recommended_vehicle_type"]
-    return ranking.top_k(rec, order, k)
+def top_recommendations(cat: Catalog, k: int = 20, recommendations: DataFrame | None = None) -> DataFrame:
+    """The best ``k`` recommendations (D-14), ranked on unrounded scores."""
+    rec = recommendations if recommendations is not None else fleet_recommendations(cat, exact=True)
+    return ranking.top_k(rec, recommendation_order(), k).drop("_score")
 
 
 # --------------------------------------------------------------------- EDA

@@ -483,11 +483,13 @@ def _top1(cat):
     return PR.vehicle_mix(PR.timed_clean(cat))
 
 
-@entry("sort_multi_key", ["trips_clean"], "SELECT trip_id, vehicle_type, fare FROM trips_clean")
+@entry("sort_multi_key", ["trips_clean"], """
+SELECT trip_id, vehicle_type, fare,
+       row_number() OVER (ORDER BY vehicle_type ASC NULLS LAST, fare DESC NULLS LAST, trip_id) AS rank FROM trips_clean""")
 def _sort(cat):
-    """O-1: range-partitioned global sort, mixed directions, nulls last."""
-    return PR.trips_clean(cat).select("trip_id", "vehicle_type", "fare").orderBy(
-        F.col("vehicle_type").asc_nulls_last(), F.col("fare").desc_nulls_last(), "trip_id")
+    """O-1: range-partitioned global sort, mixed directions, nulls last, its order as a column."""
+    return ranking.global_rank(PR.trips_clean(cat).select("trip_id", "vehicle_type", "fare"), [
+        F.col("vehicle_type").asc_nulls_last(), F.col("fare").desc_nulls_last(), F.col("trip_id").asc_nulls_last()])
 
 
 @entry("topk_pressure", ["fleet_pressure"], """
@@ -597,27 +599,18 @@ def _fleet(cat):
 
 @entry("vehicle_revenue", ["trips_clean"], f"""
 SELECT vehicle_type, count(trip_id) AS trips, {r(fsum(_CF), 2)} AS completed_revenue,
-       {r(favg('fare'), 2)} AS avg_fare
+       {r(favg('fare'), 2)} AS avg_fare,
+       row_number() OVER (ORDER BY {r(fsum(_CF), 2)} DESC NULLS LAST, vehicle_type) AS rank
 FROM trips_clean GROUP BY vehicle_type""")
 def _vehicle_revenue(cat):
-    """D-5."""
-    return PR.vehicle_revenue(cat)
-
-
-_ROLE_COLUMNS = {
-    "zones": ["zone_id", "zone_name", "city", "zone_type", "population_density_score", "commercial_density_score",
-              "residential_density_score", "metro_access", "airport_proximity"],
-    "vehicles": ["vehicle_id", "vehicle_type", "fuel_type", "capacity", "vehicle_age_years", "home_zone_id",
-                 "status"],
-    "drivers": ["driver_id", "vehicle_id", "home_zone_id", "experience_years", "driver_rating", "driver_status"],
-    "weather": ["timestamp", "temperature_c", "rainfall_mm", "humidity_pct", "visibility_km", "weather_condition"],
-    "city_events": ["event_id", "event_date", "zone_id", "event_type", "expected_impact"],
-    "traffic": ["timestamp", "zone_id", "congestion_level", "avg_speed_kmph", "traffic_index"],
-    "demand_supply": ["timestamp", "zone_id", "ride_requests", "available_vehicles", "completed_trips",
-                      "cancelled_trips", "avg_wait_time_min"],
-    "trips": TRIP_COLUMNS + ["is_driver_linked"],
-    "trips_messy": TRIP_COLUMNS,
-}
+    """D-5, its order as a column (O-6)."""
+    return PR.ranked_vehicle_revenue(cat)
+
+
+#: Tables of the profile and their columns, from the declared schemas.
+_ROLE_COLUMNS = {t: ROLE_SCHEMAS[t].names for t in
+                 ("zones", "vehicles", "drivers", "weather", "city_events", "traffic", "demand_supply")}
+_ROLE_COLUMNS |= {"trips": [*ROLE_SCHEMAS["trips_messy"].names, "is_driver_linked"], "trips_messy": ROLE_SCHEMAS["trips_messy"].names}
 
 
 def _profile_sql() -> str:
@@ -745,11 +738,12 @@ def _recs(cat):
     return PR.fleet_recommendations(cat)
 
 
-@entry("top_recommendations", ["recommendations"], """
-SELECT *, CAST(row_number() OVER (ORDER BY avg_opportunity_score DESC NULLS LAST, critical_hours DESC, city, zone_id,
-                                  hour, recommended_vehicle_type) AS INTEGER) AS rank
-FROM (SELECT * FROM recommendations
-      ORDER BY avg_opportunity_score DESC NULLS LAST, critical_hours DESC, city, zone_id, hour,
+@entry("top_recommendations", ["recommendations_exact"], """
+SELECT * EXCLUDE (_score),
+       CAST(row_number() OVER (ORDER BY _score DESC NULLS LAST, critical_hours DESC, city, zone_id, zone_name,
+                               hour, recommended_vehicle_type) AS INTEGER) AS rank
+FROM (SELECT * FROM recommendations_exact
+      ORDER BY _score DESC NULLS LAST, critical_hours DESC, city, zone_id, zone_name, hour,
                recommended_vehicle_type LIMIT 20) t""")
 def _top_recs(cat):
     """D-14: top 20 recommendations."""
