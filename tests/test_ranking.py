@@ -72,7 +72,7 @@ def test_seeded_sample_is_exact_and_deterministic(spark):
     b = stats.seeded_sample(df.repartition(3), "key", 1234)
     ka = sorted(r["key"] for r in a.collect())
     kb = sorted(r["key"] for r in b.collect())
-    brute = (df.withColumn("h", F.xxhash64(F.col("key").cast("string"), F.lit(stats.SAMPLE_SEED)))
+    brute = (df.withColumn("h", F.md5(F.concat(F.col("key").cast("string"), F.lit(f"|{stats.SAMPLE_SEED}")).cast("binary")))
              .orderBy("h", "key").limit(1234).collect())
     assert ka == kb == sorted(r["key"] for r in brute)
     assert stats.seeded_sample(df, "key", 10_000).count() == 5000

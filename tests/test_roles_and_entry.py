@@ -45,4 +45,4 @@ def test_entry_and_registry(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {n for n in q if n != "pipeline" and not (n.startswith("op") and n[2:3].isdigit())}
-    assert own - set(o) == {"logit_coefficients", "logit_fit", "seeded_sample", "study_model_headline"}
+    assert own <= set(o)

@@ -48,3 +48,28 @@ def test_constant_factor_fails_clearly(spark):
     df = spark.createDataFrame([(1.0, "A", 0), (2.0, "A", 1), (3.0, "A", 1)], "x double, cond string, y int")
     with pytest.raises(ValueError, match="at least two levels"):
         stats.logit_coefficients(df, "y", ["x"], ["cond"])
+
+
+def test_fit_reads_patterns_not_rows(spark):
+    x1, x2, lv, y = _data(400)
+    rows = [(float(round(a)), str(c), int(d)) for a, c, d in zip(x1, lv, y)]
+    df = spark.createDataFrame(rows * 5 + [(None, "Fog", 1), (1.0, None, 0), (1.0, "Fog", None)], "x double, cond string, y int")
+    patterns = stats.covariate_patterns(df, "y", ["x"], ["cond"]).collect()
+    assert len(patterns) == len({(a, c) for a, c, _ in rows}) and sum(p["_n"] for p in patterns) == 2000
+    m = stats.logit_fit(df, "y", ["x"], ["cond"])
+    X = np.column_stack([np.ones(400), [a for a, _, _ in rows], [c == "Fog" for _, c, _ in rows], [c == "Rain" for _, c, _ in rows]]).astype(float)
+    b, se = _newton(X, y)
+    assert np.allclose(m.estimates, b, atol=1e-8) and np.allclose(m.errors, se / np.sqrt(5), atol=1e-8)
+    p = 1 / (1 + np.exp(-X @ b))
+    assert abs(m.deviance + 10 * np.sum(np.where(y == 1, np.log(p), np.log(1 - p)))) < 1e-6
+    assert m.rows == 2000 and m.residual_df == 1996 and abs(m.aic - m.deviance - 8) < 1e-12
+
+
+def test_sample_below_every_prefix(spark):
+    df = spark.createDataFrame([(f"k{i % 900}", i % 40) for i in range(4000)], "key string, x int")
+    brute = sorted((__import__("hashlib").md5(f"{r['key']}|{stats.SAMPLE_SEED}".encode()).hexdigest(), r["key"]) for r in df.collect())
+    for n in (0, 1, 17, 2999, 3999, 4000, 9000):
+        got = stats.seeded_sample(df, "key", n).collect()
+        assert sorted(r["key"] for r in got) == sorted(k for _, k in brute[:n])
+    same = spark.createDataFrame([("a", 1)] * 3000, "key string, x int")
+    assert stats.seeded_sample(same, "key", 1200).count() == 1200

@@ -198,6 +198,80 @@ LEFT JOIN traffic tr ON tr.timestamp = d.timestamp AND tr.zone_id = d.zone_id
 LEFT JOIN metrics_hour m ON m.timestamp = d.timestamp AND m.zone_id = d.zone_id""")
 
 
+# --- the logistic model, unrolled ---------------------------------------------------------
+# Terms of the model: intercept, three measures, and the levels of weather after the first ('Clear').
+LOGIT_TERMS = (("(Intercept)", "1e0"), ("traffic_index", "traffic_index"), ("rainfall_mm", "rainfall_mm"),
+               ("visibility_km", "visibility_km"), *((f"factor(weather_condition){v}", f"CAST(weather_condition = '{v}' AS DOUBLE)")
+                                                     for v in ("Cloudy", "Fog", "Rain")))
+LOGIT_STEPS = 25  # as many as R takes at most
+
+
+def _solve_ctes(step: int, k: int) -> list[str]:
+    """Gauss-Jordan on one row that holds the matrix, the right side and an identity (for the inverse)."""
+    cols = [*range(k), "g", *(f"e{j}" for j in range(k))]
+    out, src = [], f"sums{step}"
+    for p in range(k):
+        new = []
+        for i in range(k):
+            for c in cols:
+                a = f"m{i}_{c}"
+                new.append(f"m{p}_{c} / m{p}_{p} AS {a}" if i == p else f"{a} - m{i}_{p} * m{p}_{c} / m{p}_{p} AS {a}")
+        out.append(f"elim{step}_{p} AS MATERIALIZED (SELECT dev, {', '.join(new)} FROM {src})")
+        src = f"elim{step}_{p}"
+    return out
+
+
+def logit_ctes(source: str) -> str:
+    """CTEs of ``LOGIT_STEPS`` Newton steps from zero; ``path`` has a row per step with its coefficients, deviance and errors."""
+    k = len(LOGIT_TERMS)
+    xs = ", ".join(f"{x} AS x{i}" for i, (_, x) in enumerate(LOGIT_TERMS))
+    ctes = [f"pat AS MATERIALIZED (SELECT {xs}, count(*) AS n, CAST(sum(cancelled) AS BIGINT) AS y FROM {source} GROUP BY ALL)",
+            "b0 AS MATERIALIZED (SELECT " + ", ".join(f"0e0 AS b{i}" for i in range(k)) + ")"]
+    path = []
+    for step in range(LOGIT_STEPS + 1):
+        eta = " + ".join(f"b{i} * x{i}" for i in range(k))
+        ctes.append(f"mu{step} AS MATERIALIZED (SELECT pat.*, 1e0 / (1e0 + exp(-({eta}))) AS mu FROM pat, b{step})")
+        sums = [f"sum(n * mu * (1 - mu) * x{i} * x{j}) AS m{i}_{j}" for i in range(k) for j in range(k)]
+        sums += [f"sum((y - n * mu) * x{i}) AS m{i}_g" for i in range(k)]
+        sums += [f"{int(i == j)}e0 AS m{i}_e{j}" for i in range(k) for j in range(k)]
+        dev = "-2 * sum(CASE WHEN y > 0 THEN y * ln(mu) ELSE 0e0 END + CASE WHEN n > y THEN (n - y) * ln(1 - mu) ELSE 0e0 END)"
+        ctes.append(f"sums{step} AS MATERIALIZED (SELECT {dev} AS dev, {', '.join(sums)} FROM mu{step})")
+        ctes += _solve_ctes(step, k)
+        last = f"elim{step}_{k - 1}"
+        ctes.append(f"b{step + 1} AS MATERIALIZED (SELECT " + ", ".join(f"b{i} + m{i}_g AS b{i}" for i in range(k)) + f" FROM b{step}, {last})")
+        path.append(f"SELECT {step} AS step, dev, " + ", ".join(f"b{i}, sqrt(m{i}_e{i}) AS s{i}" for i in range(k)) + f" FROM b{step}, {last}")
+    ctes.append("path AS MATERIALIZED (" + " UNION ALL ".join(path) + ")")
+    ctes.append("fit AS MATERIALIZED (SELECT * FROM (SELECT *, lag(dev) OVER (ORDER BY step) AS before FROM path) t"
+                " WHERE abs(dev - before) / (abs(dev) + 0.1) < 1e-8 ORDER BY step LIMIT 1)")
+    return "WITH " + ",\n".join(ctes)
+
+
+def normal_tail(z: str) -> str:
+    """Two-sided tail of the normal distribution: 1 - erf(|z| / sqrt 2) by the series with positive terms."""
+    x = f"(abs({z}) / sqrt(2e0))"
+    term = f"exp(k * ln(2e0) + (2 * k + 1) * ln({x}) - ((k + 1) * ln(2e0) + lgamma(k + 1.5e0) - 0.5e0 * ln(pi())))"
+    series = f"list_sum([{term} for k in range(0, 300)])"
+    return (f"CASE WHEN {x} = 0 THEN 1e0 WHEN {x} > 8 THEN 0e0"
+            f" ELSE greatest(0e0, 1e0 - 2e0 / sqrt(pi()) * exp(-{x} * {x}) * {series}) END")
+
+
+_LONG = logit_ctes("analysis") + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS term, b{i} AS b, s{i} AS s FROM fit" for i, (t, _) in enumerate(LOGIT_TERMS)) + ")"
+COEFFICIENTS_SQL = _LONG + f"""
+SELECT term, {r('b', 6)} AS estimate, {r('s', 6)} AS std_error, {r('b / s', 6)} AS z_value,
+       {r(normal_tail('b / s'), 6)} AS p_value, {r('exp(b)', 6)} AS odds_ratio FROM long"""
+
+MODEL_HEADLINE_SQL = _LONG + f"""
+SELECT 'traffic_index_odds_ratio' AS finding, {r('exp(b)', 6)} AS odds_ratio, {r(normal_tail('b / s'), 6)} AS p_value
+FROM long WHERE term = 'traffic_index'"""
+
+FIT_SQL = logit_ctes("analysis") + f""",
+total AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS y FROM pat)
+SELECT n AS rows, CAST(step AS INTEGER) AS iterations, {r('dev', 6)} AS deviance,
+       {r('-2 * (y * ln(y / CAST(n AS DOUBLE)) + (n - y) * ln((n - y) / CAST(n AS DOUBLE)))', 6)} AS null_deviance,
+       {r(f'dev + 2 * {len(LOGIT_TERMS)}', 6)} AS aic, n - {len(LOGIT_TERMS)} AS residual_df FROM fit, total"""
+
+
 def _closure(needs) -> list[str]:
     out: list[str] = []
 

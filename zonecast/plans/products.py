@@ -543,7 +543,8 @@ def logit_fit(cat: Catalog) -> DataFrame:
 
 
 def seeded_sample(cat: Catalog, n: int = stats.SAMPLE_CAP) -> DataFrame:
-    return stats.seeded_sample(analysis_set(cat), "trip_id", n)
+    """The analysis set is written once: the sample reads it several times."""
+    return stats.seeded_sample(written(analysis_set(cat), "analysis-set"), "trip_id", n)
 
 
 def study_headline(cat: Catalog) -> DataFrame:

@@ -1,8 +1,7 @@
 """Registry of every implemented entry: Spark callable + DuckDB oracle SQL.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLES[name]`` is the SQL
-DuckDB runs on the same parquet tables.  Entries without an oracle are
-checked rows-only (model fits and the hash-based sample).
+DuckDB runs on the same parquet tables.
 """
 
 from __future__ import annotations
@@ -15,11 +14,11 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from zonecast.functions import rules as RU
 from zonecast.functions.rules import round_half_up as rnd
-from zonecast.operators import cleaning, joins, quality, ranking
+from zonecast.operators import cleaning, joins, quality, ranking, stats
 from zonecast.plans import named_sql
 from zonecast.plans import products as PR
 from zonecast.functions.sqltext import favg, fsum
-from zonecast.plans.oracle import _CANCEL, _CF, r, r4, ratio, with_ctes
+from zonecast.plans.oracle import _CANCEL, _CF, COEFFICIENTS_SQL, FIT_SQL, MODEL_HEADLINE_SQL, r, r4, ratio, with_ctes
 from zonecast.session import ensure_checkpoint_dir, scratch_path
 from zonecast.sources import sinks
 from zonecast.sources.catalog import Catalog, load_catalog
@@ -920,28 +919,32 @@ def _study_headline(cat):
     return PR.study_headline(cat)
 
 
-@entry("logit_coefficients")
+@entry("logit_coefficients", ["analysis"], COEFFICIENTS_SQL)
 def _logit(cat):
-    """D-27 / L-3: coefficient table (rows-only check)."""
+    """D-27 / L-3 / P-25: coefficient table."""
     return PR.logit_coefficients(cat)
 
 
-@entry("logit_fit")
+@entry("logit_fit", ["analysis"], FIT_SQL)
 def _logit_fit(cat):
-    """L-2: fit diagnostics (rows-only check)."""
+    """L-2: fit diagnostics."""
     return PR.logit_fit(cat)
 
 
-@entry("study_model_headline")
+@entry("study_model_headline", ["analysis"], MODEL_HEADLINE_SQL)
 def _study_model(cat):
-    """D-28, model part: traffic-index odds ratio and p-value (rows-only check)."""
+    """D-28, model part: traffic-index odds ratio and p-value."""
     return PR.study_model_headline(cat)
 
 
-@entry("seeded_sample")
+SAMPLE_ROWS = 1_000  # of the entry: below its number of rows, so that the sample leaves rows out
+
+
+@entry("seeded_sample", ["analysis"], f"""
+SELECT * FROM analysis ORDER BY md5(trip_id || '|{stats.SAMPLE_SEED}') LIMIT {SAMPLE_ROWS}""")
 def _sample(cat):
-    """L-1: deterministic hash sample capped at 150,000 (rows-only check)."""
-    return PR.seeded_sample(cat)
+    """L-1: the rows that come first by md5 of trip id and seed."""
+    return PR.seeded_sample(cat, SAMPLE_ROWS)
 
 
 @entry("data_gates", ["trips_clean", "fleet_pressure", "analysis"], """
