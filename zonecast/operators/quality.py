@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.operators.joins import fits_broadcast, maybe_broadcast, orphan_counts
+from zonecast.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, orphan_counts
 from zonecast.session import written
 
 
@@ -43,8 +43,8 @@ def _null_masks(df: DataFrame, width: int) -> list:
 def _row_print(df: DataFrame) -> list:
     """128 bits per row: two 64-bit hashes of all columns and of which are null (a null alone leaves a hash as it is)."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    parts = [*cols, *[c.isNull() for c in cols]]
-    return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit("second"), *parts[::-1]).alias("_h2")]
+    masks = _null_masks(df, -(-len(cols) // _MASK_BITS))
+    return [F.xxhash64(*masks, *cols).alias("_h1"), F.xxhash64(F.lit("second"), *cols[::-1], *masks).alias("_h2")]
 
 
 @dataclass(frozen=True)
@@ -59,9 +59,9 @@ class TableFacts:
 def table_facts(tables: dict[str, DataFrame]) -> dict[str, TableFacts]:
     """Rows, distinct rows and nulls per column of every table, from one scan each (A-13, A-14, A-15).
 
-    Rows meet by a 128-bit print, so the exchange carries 24 bytes a row, not
-    the columns.  Counts are observed in the result stage of the job that writes the prints that repeat, where every
-    task counts once.  Only rows whose print repeats are then compared in full: equal rows collapse
+    Rows meet by a 128-bit print, so the exchange carries a few longs a row, not
+    the columns; the prints are written with their multiplicity and null masks, and every count comes
+    from them.  Only rows whose print repeats are then read again and compared in full: equal rows collapse
     before that exchange, and what is left over are rows that differ under one print.
     """
     spark = next(iter(tables.values())).sparkSession
@@ -70,27 +70,28 @@ def table_facts(tables: dict[str, DataFrame]) -> dict[str, TableFacts]:
     prints = union_all([df.select(F.lit(i).alias("_t"), *_row_print(df), *_null_masks(df, width))
                         for i, df in enumerate(tables.values())])
     prints = prints.groupBy("_t", "_h1", "_h2", *masks).agg(F.count(F.lit(1)).alias("_m"))
-    counts = []
-    for i, df in enumerate(tables.values()):
-        mine = F.col("_t") == i
-        counts += [F.sum(F.when(mine, F.col("_m"))).alias(f"rows_{i}"), F.count_if(mine).alias(f"prints_{i}"),
-                   F.count_if(mine & (F.col("_m") > 1)).alias(f"twice_{i}")]
-        for j in range(len(df.columns)):
-            bit = F.getbit(F.col(f"_z{j // _MASK_BITS}"), F.lit(j % _MASK_BITS))
-            counts.append(F.sum(F.when(mine & (bit == 1), F.col("_m"))).alias(f"null_{i}_{j}"))
-    seen = Observation()
-    twice = written(prints.observe(seen, *counts).where(F.col("_m") > 1).select("_t", "_h1", "_h2"), "repeating-prints")
-    got = seen.get
-    again = [_distinct_among(i, df, twice.where(F.col("_t") == i)) for i, df in enumerate(tables.values()) if got[f"twice_{i}"]]
+    prints = written(prints, "row-prints")
+    most = max(len(df.columns) for df in tables.values())
+    nulls = [F.sum(F.when(F.getbit(F.col(f"_z{j // _MASK_BITS}"), F.lit(j % _MASK_BITS)) == 1, F.col("_m")).otherwise(F.lit(0)))
+             .alias(f"null_{j}") for j in range(most)]
+    got = {r["_t"]: r for r in prints.groupBy("_t").agg(
+        F.sum("_m").alias("rows"), F.count(F.lit(1)).alias("prints"), F.count_if(F.col("_m") > 1).alias("twice"), *nulls).collect()}
+    twice = prints.where(F.col("_m") > 1)
+    again = [_distinct_among(i, df, twice.where(F.col("_t") == i).select("_h1", "_h2"), got[i]["twice"])
+             for i, df in enumerate(tables.values()) if i in got and got[i]["twice"]]
     exact = {r["_t"]: int(r["_d"]) for r in union_all(again).collect()} if again else {}
-    return {name: TableFacts(int(got[f"rows_{i}"] or 0), int(got[f"prints_{i}"] - got[f"twice_{i}"]) + exact.get(i, 0),
-                             {c: int(got[f"null_{i}_{j}"] or 0) for j, c in enumerate(df.columns)})
-            for i, (name, df) in enumerate(tables.items())}
-
-
-def _distinct_among(i: int, df: DataFrame, prints: DataFrame) -> DataFrame:
-    """Distinct rows of ``df`` among those whose print is listed (one row: _t, _d)."""
-    rows = df.select("*", *_row_print(df)).join(maybe_broadcast(prints.drop("_t")), ["_h1", "_h2"], "left_semi")
+    facts = {}
+    for i, (name, df) in enumerate(tables.items()):
+        r = got.get(i)  # an empty table has no print
+        facts[name] = TableFacts(int(r["rows"]) if r else 0, int(r["prints"] - r["twice"]) + exact.get(i, 0) if r else 0,
+                                 {c: int(r[f"null_{j}"]) if r else 0 for j, c in enumerate(df.columns)})
+    return facts
+
+
+def _distinct_among(i: int, df: DataFrame, prints: DataFrame, n: int) -> DataFrame:
+    """Distinct rows of ``df`` among those whose print is listed (one row: _t, _d); ``n`` prints, counted before."""
+    listed = F.broadcast(prints) if n <= BROADCAST_MAX_ROWS else prints
+    rows = df.select("*", *_row_print(df)).join(listed, ["_h1", "_h2"], "left_semi")
     return (rows.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.lit(1).alias("_one"))
             .agg(F.count(F.lit(1)).alias("_d")).select(F.lit(i).alias("_t"), "_d"))
 
@@ -138,45 +139,38 @@ def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
 def fk_integrity(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """relationship, records_checked, missing_foreign_keys, orphan_foreign_keys (J-8, D-8).
 
-    ``relations``: (label, child, child_key, parent, parent_key).  Relations
-    that share a child DataFrame are checked in one pass over it: its key
-    columns are unpivoted to (relationship, key) and reduced to counts with
-    map-side combine; the parents' distinct keys are unioned, tagged with the
-    relationship, and met in one join.
+    ``relations``: (label, child, child_key, parent, parent_key).  Relations that share a child
+    DataFrame are checked in one pass over it when their parents' keys fit a broadcast; a relation
+    with a larger parent reduces the child to (key, count) before it meets the parent.
     """
     by_child: dict[int, tuple[DataFrame, list]] = {}
     for label, child, ck, parent, pk in relations:
         by_child.setdefault(id(child), (child, []))[1].append((label, ck, parent, pk))
     frames = []
     for child, rels in by_child.values():
-        if len(rels) == 1:
-            label, ck, parent, pk = rels[0]
-            frames.append(orphan_counts(child, ck, parent, pk).select(F.lit(label).alias("relationship"), "*"))
-            continue
-        pairs = F.array(*[F.struct(F.lit(label).alias("relationship"), F.col(ck).cast("string").alias("_k"))
-                          for label, ck, _, _ in rels])
-        keys = child.select(F.explode(pairs).alias("_x")).select("_x.*")
-        # parents that fit a broadcast are looked up where the child rows are; otherwise keys are counted first
-        small = all(fits_broadcast(parent.select(pk)) for _, _, parent, pk in rels)
-        keys = (keys.withColumn("_n", F.lit(1).cast("bigint")) if small
-                else keys.groupBy("relationship", "_k").agg(F.count(F.lit(1)).alias("_n")))
-        parents = union_all([
-            parent.select(F.lit(label).alias("relationship"), F.col(pk).cast("string").alias("_k"))
-            .where(F.col("_k").isNotNull()).distinct()
-            for label, _, parent, pk in rels]).withColumn("_present", F.lit(True))
-        # a relation of an empty child is checked too: it starts with a row of weight zero
-        keys = keys.unionByName(child.sparkSession.createDataFrame(
-            [(label, "", 0) for label, _, _, _ in rels], "relationship string, _k string, _n bigint"))
-        joined = keys.join(F.broadcast(parents) if small else parents, ["relationship", "_k"], "left")
-        frames.append(joined.groupBy("relationship").agg(
-            F.sum("_n").cast("bigint").alias("records_checked"),
-            F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
-            .alias("missing_foreign_keys"),
-            F.coalesce(F.sum(F.when(F.col("_k").isNotNull() & F.col("_present").isNull(), F.col("_n"))),
-                       F.lit(0)).cast("bigint").alias("orphan_foreign_keys")))
+        if len(rels) > 1 and all(fits_broadcast(parent.select(pk)) for _, _, parent, pk in rels):
+            frames.append(_keys_looked_up(child, rels))
+        else:
+            frames += [orphan_counts(child, ck, parent, pk).select(F.lit(label).alias("relationship"), "*")
+                       for label, ck, parent, pk in rels]
     return union_all(frames)
 
 
+def _keys_looked_up(child: DataFrame, rels: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """All relations of one child in one pass: every key is looked up in its broadcast parent, no child row is shuffled."""
+    out = child.select(*[F.col(ck).alias(f"_c{i}") for i, (_, ck, _, _) in enumerate(rels)])
+    for i, (_, _, parent, pk) in enumerate(rels):
+        keys = parent.select(F.col(pk).alias(f"_p{i}")).where(F.col(pk).isNotNull()).distinct()
+        out = out.join(F.broadcast(keys), F.col(f"_c{i}") == F.col(f"_p{i}"), "left")
+    counts = out.agg(F.count(F.lit(1)).alias("n"), *[c for i in range(len(rels)) for c in (
+        F.count_if(F.col(f"_c{i}").isNull()).alias(f"missing{i}"),
+        F.count_if(F.col(f"_c{i}").isNotNull() & F.col(f"_p{i}").isNull()).alias(f"orphan{i}"))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("relationship"), F.col("n").alias("records_checked"),
+                 F.col(f"missing{i}").alias("missing_foreign_keys"), F.col(f"orphan{i}").alias("orphan_foreign_keys"))
+        for i, (label, _, _, _) in enumerate(rels)])))
+
+
 def rule_failures(dataset: str, df: DataFrame, rules: Sequence[tuple[str, object]]) -> DataFrame:
     """dataset, check, failed_records: one aggregate of ``count_if`` per rule (A-16).
 
@@ -202,6 +196,11 @@ def validation_outcome(integrity: DataFrame, quality: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def gate_counts(failing) -> dict:
+    """Aggregates of a gate, to be observed on the write of the table that it checks (G-16)."""
+    return {"checked": F.count(F.lit(1)), "failed": F.count_if(failing)}
+
+
 def gate(name: str, df: DataFrame, failing, allow=None) -> DataFrame:
     """One-row gate: gate, checked, failed, passed.  ``allow`` exempts rows whose
     failure is expected by design (G-16)."""

@@ -12,9 +12,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions import rules as RU
-from zonecast.operators import cleaning, quality, ranking, stats
+from zonecast.operators import cleaning, quality, stats
 from zonecast.plans import named_sql
 from zonecast.plans import products as PR
+from zonecast.session import written
 from zonecast.sources import sinks
 from zonecast.sources.catalog import Catalog
 
@@ -39,9 +40,8 @@ def validation_job(spark: SparkSession, data_dir: str, out_dir: str) -> dict:
     for name, df in outputs.items():
         sinks.write_csv(df, _out(out_dir, name))
     sinks.write_json(PR.kpis(cat), _out(out_dir, "kpis"))
-    back_integrity = spark.read.option("header", True).option("inferSchema", True).csv(
-        _out(out_dir, "referential_integrity"))
-    back_quality = spark.read.option("header", True).option("inferSchema", True).csv(_out(out_dir, "quality_checks"))
+    back_integrity = sinks.read_csv(spark, _out(out_dir, "referential_integrity"), outputs["referential_integrity"].schema)
+    back_quality = sinks.read_csv(spark, _out(out_dir, "quality_checks"), outputs["quality_checks"].schema)
     outcome = {r["outcome"]: int(r["value"]) for r in quality.validation_outcome(back_integrity, back_quality).collect()}
     return outcome
 
@@ -101,15 +101,11 @@ def opportunity_job(spark: SparkSession, data_dir: str, out_dir: str) -> dict:
     cat = Catalog(spark, data_dir)
     sinks.write_parquet(PR.opportunity_scores(cat), _out(out_dir, "zone_hour_opportunity_scores"))
     scores = spark.read.parquet(_out(out_dir, "zone_hour_opportunity_scores"))
-    recs = PR.fleet_recommendations(cat, scores)
-    sinks.write_csv(recs, _out(out_dir, "zone_hour_fleet_recommendations"))
-    top = spark.read.option("header", True).option("inferSchema", True).csv(
-        _out(out_dir, "zone_hour_fleet_recommendations"))
-    order = [F.col("avg_opportunity_score").desc_nulls_last(), F.col("critical_hours").desc(),
-             "city", "zone_id", "hour", "recommended_vehicle_type"]
-    sinks.write_csv(ranking.top_k(top, order, 20), _out(out_dir, "top_recommendations"))
-    first = spark.read.option("header", True).option("inferSchema", True).csv(
-        _out(out_dir, "top_recommendations")).where(F.col("rank") == 1).first()
+    exact = written(PR.fleet_recommendations(cat, scores, exact=True), "recommendations")
+    sinks.write_csv(exact.drop("_score"), _out(out_dir, "zone_hour_fleet_recommendations"))
+    top = PR.top_recommendations(cat, recommendations=exact)
+    sinks.write_csv(top, _out(out_dir, "top_recommendations"))
+    first = sinks.read_csv(spark, _out(out_dir, "top_recommendations"), top.schema).where(F.col("rank") == 1).first()
     return {"scored_zone_hours": scores.count(),
             "top_zone": None if first is None else first["zone_name"],
             "top_hour": None if first is None else int(first["hour"])}
@@ -137,9 +133,10 @@ def spark_scripts_job(spark: SparkSession, data_dir: str, out_dir: str) -> dict:
     """The two spark-submit scripts: cleaned trips to parquet, then fleet
     pressure and vehicle revenue read from it."""
     cat = Catalog(spark, data_dir)
-    sinks.write_parquet(PR.timed_clean(cat), _out(out_dir, "trips_cleaned"))
+    # the scripts keep only rows with both measures positive, count trip ids and divide by positive numbers only
+    sinks.write_parquet(PR.timed_clean(cat, null_policy="drop"), _out(out_dir, "trips_cleaned"))
     cleaned = spark.read.parquet(_out(out_dir, "trips_cleaned"))
-    sinks.write_parquet(PR.fleet_pressure(cat, trips=cleaned), _out(out_dir, "fleet_pressure"))
+    sinks.write_parquet(PR.fleet_pressure(cat, trips=cleaned, script=True), _out(out_dir, "fleet_pressure"))
     sinks.write_parquet(PR.vehicle_revenue(cat, trips=cleaned), _out(out_dir, "vehicle_revenue"))
     return {"cleaned_rows": cleaned.count(),
             "fleet_pressure_rows": spark.read.parquet(_out(out_dir, "fleet_pressure")).count()}
@@ -149,14 +146,16 @@ def notebook_job(spark: SparkSession, data_dir: str, out_dir: str, table_prefix:
                  fmt: str = "parquet") -> dict:
     """Tables with a prefix plus folder copies, then the data gates (raise on failure)."""
     cat = Catalog(spark, data_dir)
-    trips = sinks.save_table(PR.trips_clean(cat), f"{table_prefix}_trips_cleaned",
-                             _out(out_dir, "trips_cleaned"), fmt)
-    fp = sinks.save_table(PR.fleet_pressure(cat), f"{table_prefix}_fleet_pressure",
-                          _out(out_dir, "fleet_pressure"), fmt)
-    gates = (quality.gate("no_non_positive_fare_or_distance", trips,
-                          RU.non_positive_any(["distance_km", "fare"]))
-             .unionByName(quality.gate("demand_supply_ratio_present", fp, F.col("demand_supply_ratio").isNull(),
-                                       allow=F.col("available_vehicles") == 0)))
-    rows = {r["gate"]: (int(r["checked"]), int(r["failed"])) for r in gates.collect()}
-    quality.assert_gates(gates)
+    bad_measure = RU.non_positive_any(["distance_km", "fare"])
+    no_ratio = F.col("demand_supply_ratio").isNull() & ~F.coalesce(F.col("available_vehicles") == 0, F.lit(False))
+    rows: dict[str, tuple[int, int]] = {}
+    for name, df, gate, failing in (
+            ("trips_cleaned", PR.trips_clean(cat), "no_non_positive_fare_or_distance", bad_measure),
+            ("fleet_pressure", PR.fleet_pressure(cat), "demand_supply_ratio_present", no_ratio)):
+        # the gate's counts ride on the write of the table that it checks
+        _, _, seen = sinks.save_table(df, f"{table_prefix}_{name}", _out(out_dir, name), fmt, quality.gate_counts(failing))
+        rows[gate] = (seen["checked"], seen["failed"])
+    failed = [g for g, (_, n) in rows.items() if n]
+    if failed:
+        raise AssertionError(f"data gates failed: {', '.join(failed)}")
     return rows

@@ -20,7 +20,7 @@ from zonecast.plans import products as PR
 from zonecast.functions.sqltext import favg, fsum
 from zonecast.plans.oracle import _CANCEL, _CF, COEFFICIENTS_SQL, FIT_SQL, MODEL_HEADLINE_SQL, r, r4, ratio, with_ctes
 from zonecast.session import ensure_checkpoint_dir, scratch_path
-from zonecast.sources import sinks
+from zonecast.sources import load, sinks
 from zonecast.sources.catalog import Catalog, load_catalog
 from zonecast.sources.roles import BASE_TABLES, TRIP_COLUMNS
 from zonecast.sources.schemas import ROLE_SCHEMAS
@@ -985,11 +985,38 @@ def _sink_parquet(cat):
     return cat.spark.read.parquet(path)
 
 
-@entry("sink_table_roundtrip", ["trips_messy"], _AUDIT_SQL)
+@entry("sink_table_roundtrip", ["fleet_pressure"], "SELECT *, CAST(2 AS BIGINT) AS places FROM fleet_pressure")
 def _sink_table(cat):
-    """S-9: table with a prefix plus a folder, format parameter (parquet)."""
-    path = scratch_path(cat.spark, "table-sink")
-    return sinks.save_table(PR.cleaning_audit(cat), "zonecast_cleaning_audit", path, fmt="parquet")
+    """S-9: table with a prefix plus a folder; every row is read back from both places."""
+    table, folder, _ = sinks.save_table(PR.fleet_pressure(cat), "zonecast_fleet_pressure", scratch_path(cat.spark, "table-sink"))
+    both = table.unionByName(folder)
+    return both.groupBy(*table.columns).agg(F.count(F.lit(1)).alias("places"))
+
+
+@entry("catalog_append_load", ["demand_supply"], "SELECT * FROM demand_supply")
+def _append_load(cat):
+    """S-6: files loaded as they come; loading again adds nothing."""
+    folder, out = scratch_path(cat.spark, "load-source"), scratch_path(cat.spark, "load-table")
+    schema = ROLE_SCHEMAS["demand_supply"]
+    hour = F.hour("timestamp") % 3
+    for k in range(3):
+        sinks.write_csv(cat["demand_supply"].where(hour == k), f"{folder}/day={k}")
+        load.append_load(cat.spark, folder, out, schema)
+        load.append_load(cat.spark, folder, out, schema)
+    return load.read_table(cat.spark, out, schema)
+
+
+_LOADED = ("zones", "vehicles", "drivers", "traffic", "demand_supply")
+
+
+@entry("catalog_load_counts", list(_LOADED),
+       " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _LOADED))
+def _load_counts(cat):
+    """S-6 / S-12: append load of several tables from their folders, then what the tables hold."""
+    folder, out = scratch_path(cat.spark, "load-sources"), scratch_path(cat.spark, "load-catalog")
+    for t in _LOADED:
+        sinks.write_csv(cat[t], f"{folder}/{t}")
+    return load.load_catalog_tables(cat.spark, folder, out, {t: ROLE_SCHEMAS[t] for t in _LOADED})
 
 
 @entry("cleaning_summary_json", ["trips_messy"], _SUMMARY_SQL)

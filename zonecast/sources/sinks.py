@@ -7,9 +7,10 @@ Nothing is funnelled through one task: no ``coalesce(1)`` on output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -26,7 +27,7 @@ def write_csv(df: DataFrame, path: str, null_token: str = "") -> None:
      .csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType,
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType,
              na_tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """Header CSV with a declared schema instead of inference (S-1, S-2).
 
@@ -67,15 +68,55 @@ def write_parquet(df: DataFrame, path: str, partition_by: Iterable[str] = ()) ->
     w.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Managed-style table plus a folder copy, as the notebook does (S-9).
+def _commit_file(path: str) -> str:
+    return f"{path.rstrip('/')}/COMMITTED"
 
-    The table is registered with its files at ``path`` (external location on
-    shared storage); ``fmt`` is a parameter (parquet by default; delta needs its
-    jar on the classpath).
+
+def save_table(df: DataFrame, name: str, path: str, fmt: str = "parquet",
+               checks: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """A table and a folder copy of the same rows, as the notebook writes them (S-9).
+
+    Returns the table, the folder copy and the values of ``checks``: aggregates that
+    ride on the folder's write, so that checking costs no scan.  ``fmt`` is a parameter
+    (parquet by default; delta needs its jar on the classpath).
+
+    Both places are written under a new version first: ``<path>/folder/v=<id>`` and
+    ``<path>/table/v=<id>``.  One marker file then names the version, and the table is pointed
+    at it.  A job that fails before the marker leaves the old pair; one that fails after it is
+    finished by ``open_table``, which points the table where the marker says.
     """
-    df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
+    folder, table = f"{path}/folder/v={version}", f"{path}/table/v={version}"
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(k) for k, c in checks.items()]) if checks else df
+    watched.write.format(fmt).mode("error").save(folder)
+    # the second place is a copy of the first, so the two cannot differ
+    spark.read.format(fmt).schema(df.schema).load(folder).write.format(fmt).mode("error").save(table)
+    _write_marker(spark, _commit_file(path), f"{version} {fmt}")
+    return (*open_table(spark, name, path), {k: int(v or 0) for k, v in seen.get.items()} if checks else {})
+
+
+def _write_marker(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: written aside, then renamed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    aside, at = jvm.org.apache.hadoop.fs.Path(f"{path}.new"), jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), conf).rename(aside, at, options)
+
+
+def open_table(spark: SparkSession, name: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The committed pair: table ``name`` and its folder copy; the table is pointed at the committed version."""
+    version, fmt = spark.read.text(_commit_file(path)).first()[0].split(" ")
+    folder, table = f"{path}/folder/v={version}", f"{path}/table/v={version}"
+    schema = spark.read.format(fmt).load(table).schema
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
+    spark.catalog.createTable(name, path=table, source=fmt, schema=schema)
+    return spark.table(name), spark.read.format(fmt).schema(schema).load(folder)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -86,16 +127,3 @@ def write_json(df: DataFrame, path: str) -> None:
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Reorder and cast to a declared schema, failing on missing columns (S-6)."""
     return df.to(schema)
-
-
-def save_bucketed(df: DataFrame, name: str, path: str, keys: Iterable[str], buckets: int) -> DataFrame:
-    """Write once, bucketed and sorted by ``keys``, and return the table.
-
-    Later aggregations and joins that cluster on (a superset of) ``keys`` read
-    it without a shuffle: e.g. trips bucketed by ``trip_id`` de-duplicate and
-    audit without an exchange, because exact copies share their ``trip_id``.
-    """
-    cols = list(keys)
-    (df.write.mode("overwrite").option("path", path).bucketBy(buckets, *cols).sortBy(*cols)
-     .format("parquet").saveAsTable(name))
-    return df.sparkSession.table(name)
