@@ -91,7 +91,7 @@ def test_sentencepiece_equals_library(spark):
     import sentencepiece
     path = tokenizer_file(PIECE_BPE)
     lib = sentencepiece.SentencePieceProcessor(model_file=path)
-    rows = AWKWARD + [(50, "the the the cat sat on the mat, the end.\nThe end"), (51, "the cat  sat \t on"), (52, "a▁b")]
+    rows = AWKWARD + [(50, "the the the cat sat on the mat, the end.\nThe end"), (51, "the cat  sat \t on"), (52, "a▁b"), (53, "line\nnext line\n\nafter two\n"), (54, "▁ x"), (55, "end "), (56, "\n start")]
     got = collections.Counter((r["doc_id"], tuple(r["ids"])) for r in op02_sentencepiece.encode(docs(spark, rows), path).collect())
     assert got == collections.Counter((d, tuple(lib.encode(t or ""))) for d, t in rows)
     back = op02_sentencepiece.encode_and_decode(docs(spark, rows), path).collect()
@@ -104,7 +104,12 @@ def test_lattice_folds(spark):
     words = ["▁hello", "▁▁▁x", "aaaa", "中国", "\u0007", "▁internationalisation", "▁", "ab" * 30]
     got = op02_sentencepiece.check_words(spark, words, table)
     assert got == {w: op02_sentencepiece.encode_word(w, table) for w in words}
-    assert op02_sentencepiece._merge_long("ab" * 40, table) == op02_sentencepiece.encode_word("ab" * 40, table)
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file(PIECE_BPE))
+    random.seed(4)
+    for n in (1, 5, 40, 70, 3000):  # the fold of a task, at any length
+        w = "".join(random.choice("thenationalé-1") for _ in range(n))
+        assert op02_sentencepiece.encode_word("▁" + w, table) == lib.encode(w)
     pieces = "a b c ab bc abc ca".split()
     uni = op02_sentencepiece.PieceTable({p: (k, k) for k, p in enumerate(pieces)},
                                         dict(zip(pieces, [-1.0, -2.0, -1.5, -2.5, -1.0, -5.0, -2.2])), [], "unigram", unknown=99)

@@ -3,21 +3,21 @@
 The text is written as SentencePiece writes it: a dummy space in front, spaces
 as U+2581.  No piece of such a model goes on after a space mark behind another
 character or over a line feed, so words (space marks and what follows) encode
-alone.  All words of the corpus are counted with Spark; the frequent ones, a
-bounded number, form the head vocabulary.  For these the lattice is built
-relationally: substrings of bounded length are exploded, joined with the piece
-table on equality, grouped by word as edges, and folded with Spark's
-``aggregate``.
+alone.  A word's lattice holds every substring of bounded length that is a piece:
+substrings are exploded, joined with the piece table on equality, grouped by word
+as edges, and folded.
 
 Which fold depends on the model.  A unigram model takes the Viterbi fold (best
 sum of scores).  A BPE model has scores that order merges, and the best sum does
 not give its segmentation; there the fold goes over the edges by rank and takes
 an edge when it joins exactly two symbols.  Both folds give what the library gives.
 
-The head (at most ``HEAD_WORDS`` words of ``HEAD_CHARS`` characters) is broadcast;
-its bound does not grow with the data.  The other words of a text take the same
-merges (or Viterbi steps) inside the worker, at any length, so texts are never
-shuffled.
+The lattice of the frequent words (whole frequency classes, at most ``HEAD_WORDS`` of
+``HEAD_CHARS`` characters) is built and folded in Spark, with its ``aggregate``; their ids are
+broadcast, and the bound does not grow with the data.  The other words' ids would have to be
+joined back to texts that hold most of them once, which shuffles more than the texts' own size, so
+their lattices are built and folded by the same steps in the task that reads the text, at any length; texts
+are never shuffled.
 
 Defined results: null or empty text has no pieces; characters without a piece
 become byte pieces; a U+2581 in a text is read as a space, so decoding gives the
@@ -26,7 +26,6 @@ space back; repeated rows are encoded each; an empty table gives an empty result
 
 from __future__ import annotations
 
-import heapq
 import re
 import uuid
 import zlib
@@ -36,16 +35,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.llm.chunks import StretchCoder, replace_rows, slices
 from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 
 SPACE_MARK = "▁"
-HEAD_WORDS = 1 << 19
+HEAD_WORDS = 1 << 17
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
-_CACHE_MAX = 250_000
 _FLUSH = 200_000
 
 
@@ -156,7 +156,7 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
         "word", F.transform(fold, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["id"].alias("id"))).alias("kept"))
 
 
-# --- the same segmentation in a worker, for words outside the head -----------------------------
+# --- the same lattice in a task, for words outside the head -----------------------------
 
 def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> list[int]:
     """Ids in order; what no edge covers becomes byte pieces (or the unknown id)."""
@@ -170,68 +170,34 @@ def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> lis
     return ids
 
 
+def edges_of(word: str, table: PieceTable) -> list[tuple[int, int, int, int]]:
+    """The word's lattice: (rank, start, end, id) of every substring that is a piece, by rank."""
+    find, n, out = table.pieces.get, len(word), []
+    for a in range(n):
+        for b in range(a + 1, min(n, a + table.longest) + 1):
+            if (p := find(word[a:b])) is not None:
+                out.append((p[1], a, b, p[0]))
+    out.sort()
+    return out
+
+
+def merged(edges: list[tuple[int, int, int, int]], n: int) -> list[tuple[int, int, int]]:
+    """The merge fold over edges by rank: an edge is taken when it joins exactly two symbols.
+
+    The state links every symbol border to the next one (0 ahead of it: no border any more).
+    """
+    after = list(range(1, n + 1))
+    for _, a, b, _ in edges:
+        mid = after[a]
+        if mid and mid < b and after[mid] == b:
+            after[a], after[mid] = b, 0
+    return [(a, b, i) for _, a, b, i in edges if after[a] == b]
+
+
 def encode_word(word: str, table: PieceTable) -> list[int]:
-    n = len(word)
     if table.kind == "unigram":
         return _viterbi(word, table)
-    if n > 62:
-        return _merge_long(word, table)
-    # the merge fold, with only the edges that join two symbols looked up
-    find, worst = table.pieces.get, (0, 1 << 30)
-    parts = list(word)
-    ranks = [find(x + y, worst)[1] for x, y in zip(parts, parts[1:])]
-    while ranks and (best := min(ranks)) < 1 << 30:
-        k = ranks.index(best)
-        parts[k:k + 2] = [parts[k] + parts[k + 1]]
-        del ranks[k]
-        if k:
-            ranks[k - 1] = find(parts[k - 1] + parts[k], worst)[1]
-        if k < len(ranks):
-            ranks[k] = find(parts[k] + parts[k + 1], worst)[1]
-    ids: list[int] = []
-    for x in parts:
-        if (p := find(x)) is not None:
-            ids.append(p[0])
-        else:
-            ids += _fill(x, [], table)
-    return ids
-
-
-def _merge_long(word: str, table: PieceTable) -> list[int]:
-    """Merges by rank from a heap, for words of any length."""
-    n, pieces = len(word), table.pieces
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    size = [1] * n
-    heap: list[tuple[int, int, int, int]] = []
-
-    def offer(a: int) -> None:
-        b = after[a]
-        if b < n:
-            p = pieces.get(word[a:b + size[b]])
-            if p is not None:
-                heapq.heappush(heap, (p[1], a, size[a], size[b]))
-
-    for a in range(n - 1):
-        offer(a)
-    while heap:
-        _, a, x, y = heapq.heappop(heap)
-        b = after[a]
-        if size[a] != x or b >= n or size[b] != y:
-            continue
-        size[a], size[b] = x + y, 0
-        after[a] = after[b]
-        if after[a] < n:
-            before[after[a]] = a
-        if before[a] >= 0:
-            offer(before[a])
-        offer(a)
-    kept, a = [], 0
-    while a < n:
-        p = pieces.get(word[a:a + size[a]])
-        if p is not None:
-            kept.append((a, a + size[a], p[0]))
-        a = after[a]
-    return _fill(word, kept, table)
+    return _fill(word, merged(edges_of(word, table), len(word)), table)
 
 
 def _viterbi(word: str, table: PieceTable) -> list[int]:
@@ -299,42 +265,70 @@ class _Head:
         return {w: raw[a:b] for w, a, b in zip(words, starts.tolist(), ends.tolist(), strict=True)}
 
 
-_known: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+class TextCoder:
+    """Ids of whole texts from the head's ids and the other words' lattices.
+
+    A batch is cut at its spaces and its different stretches are looked up once.  A
+    stretch stands for its words behind one space mark, or behind none after a line feed; a
+    text with runs of spaces or line feeds, or with a space mark of its own, is cut into words by itself.
+    """
+
+    def __init__(self, head: _Head, table: PieceTable):
+        self.head, self.table = head.table(), table
+        self.coder = StretchCoder(self._learn, 300_000)
+
+    def _ids(self, words: list[str]) -> bytes:
+        head = self.head
+        return b"".join([head[w] if w in head else np.array(encode_word(w, self.table), "<i4").tobytes() for w in words])
+
+    def _learn(self, new: list[str]) -> list[bytes | None]:
+        out: list[bytes | None] = []
+        for s in new:
+            body = s.lstrip("\n")
+            if not body or len(s) - len(body) > 1 or SPACE_MARK in s:
+                out.append(None)
+            else:
+                out.append(self._ids(["\n", body] if s[0] == "\n" else [SPACE_MARK + body]))
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the texts and ids per text."""
+        texts = pc.fill_null(texts, "")
+        ids, sizes, wrong = self.coder.encode(pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " "))
+        rows = np.flatnonzero(wrong)
+        return replace_rows(ids, sizes, rows, [np.frombuffer(self._ids(words_of(t)), "<u4") for t in texts.take(pa.array(rows)).to_pylist()])
+
+
+_coders: dict[str, TextCoder] = {}
+
+
+def _coder(head, pieces) -> TextCoder:
+    key = head.value.key
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = TextCoder(head.value, pieces.value)
+    return _coders[key]
 
 
 def _encoder(head, pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = head.value.key
-        if key not in _known:
-            _known.clear()
-            _known[key] = (head.value.table(), {})
-        known, rare = _known[key]
-        table = pieces.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                out = []
-                if len(rare) > _CACHE_MAX:
-                    rare.clear()
-                for text in rows.column(1):
-                    words = words_of(text.as_py())
-                    for w in {w for w in words if w not in known and w not in rare}:
-                        rare[w] = np.array(encode_word(w, table), "<i4").tobytes()
-                    out.append(np.frombuffer(b"".join([known[w] if w in known else rare[w] for w in words]), "<i4"))
-                flat = np.concatenate(out) if out else np.zeros(0, "<i4")
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+            for a, b in slices(batch.column(1), 2 << 20):
+                rows = batch.slice(a, b - a)
+                flat, sizes = _coder(head, pieces).encode(rows.column(1))
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), ids], ["doc_id", "text", "ids"])
     return run
 
 
-def encode(documents: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, text and the ids of every row of ``documents``."""
+def _prepared(documents: DataFrame, model_path: str):
+    """Rows, and the broadcast head and piece table, both of bounded size."""
     spark = documents.sparkSession
     docs = with_row_ids(documents, "doc_id", "text")
     table = load_pieces(model_path)
     head, path = head_vocabulary(docs)
-    # words with a character outside all pieces (byte pieces) are left to the workers
+    # words with a character outside all pieces (byte pieces) are left to the tasks
     whole = F.aggregate("kept", F.lit(0), lambda n, e: n + e["end"] - e["start"]) == F.length("word")
     coded = encode_words(head, table).where(whole).select(
         "word", F.transform(F.array_sort("kept"), lambda e: e["id"]).alias("ids")).toArrow()
@@ -343,8 +337,13 @@ def encode(documents: DataFrame, model_path: str) -> DataFrame:
     held = _Head(coded.column("word").to_pylist(), lists.flatten().to_numpy(), sizes)
     drop_tables(spark, [path])
     sc = spark.sparkContext
-    return map_arrow(docs, _encoder(sc.broadcast(held), sc.broadcast(table)),
-                     "doc_id bigint, text string, ids array<int>")
+    return docs, sc.broadcast(held), sc.broadcast(table)
+
+
+def encode(documents: DataFrame, model_path: str) -> DataFrame:
+    """doc_id, text and the ids of every row of ``documents``."""
+    docs, head, pieces = _prepared(documents, model_path)
+    return map_arrow(docs, _encoder(head, pieces), "doc_id bigint, text string, ids array<int>")
 
 
 def decode_ids(ids, table: PieceTable) -> str:
@@ -354,43 +353,66 @@ def decode_ids(ids, table: PieceTable) -> str:
     return text.removeprefix(" ")
 
 
+def _piece_bytes(table: PieceTable) -> pa.Array:
+    """What every id stands for, by id."""
+    back = {i: p.encode("utf-8", "surrogatepass") for i, p in table.texts.items()} | {i: bytes([b]) for b, i in enumerate(table.bytes_)}
+    return pa.array([back.get(i, b"") for i in range(max(back, default=0) + 1)], pa.binary())
+
+
+def _texts(ids: pa.ListArray, names: pa.Array) -> list[str]:
+    offsets = ids.offsets.to_numpy()
+    flat = ids.flatten()
+    known = pc.if_else(pc.less(flat, len(names)), flat, pa.scalar(None, flat.type))
+    lists = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pc.fill_null(names.take(known), b""))
+    return [x.as_buffer().to_pybytes().decode("utf-8", "replace").replace(SPACE_MARK, " ").removeprefix(" ")
+            for x in pc.binary_join(lists, b"")]
+
+
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids -> with ``decoded``, the text that the ids stand for."""
     table = encoded.sparkSession.sparkContext.broadcast(load_pieces(model_path))
     names = encoded.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = table.value
-        back = {i: p.encode("utf-8", "surrogatepass") for i, p in t.texts.items()} | {i: bytes([b]) for b, i in enumerate(t.bytes_)}
+        pieces = _piece_bytes(table.value)
         for batch in batches:
             k = batch.schema.get_field_index("ids")
-            texts = []
-            for x in batch.column(k):
-                raw = b"".join([back.get(i, b"") for i in x.values.to_numpy(zero_copy_only=False).tolist()])
-                texts.append(raw.decode("utf-8", "replace").replace(SPACE_MARK, " ").removeprefix(" "))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_texts(batch.column(k), pieces), pa.string())], [*names, "decoded"])
 
     return map_arrow(encoded, run, ", ".join([*(f"`{c}` {t}" for c, t in encoded.dtypes), "decoded string"]))
 
 
-def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(1)
-        sums = [zlib.crc32(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) for x in ids]
-        same = [(a.as_py() or "").replace(SPACE_MARK, " ") == b.as_py() for a, b in zip(batch.column(2), batch.column(3), strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sums, pa.int64()), pa.array(same)],
-            ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
+_DIGEST = "doc_id bigint, n_pieces bigint, ids_crc32 bigint, round_trip boolean"
+
+
+def _digests(rows: pa.RecordBatch, decoded: list[str]) -> pa.RecordBatch:
+    """Of doc_id, text, ids and the decoded texts."""
+    ids = rows.column(2)
+    sums = [zlib.crc32(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) for x in ids]
+    same = [(a.as_py() or "").replace(SPACE_MARK, " ") == b for a, b in zip(rows.column(1), decoded, strict=True)]
+    return pa.RecordBatch.from_arrays([rows.column(0), pc.list_value_length(ids).cast(pa.int64()), pa.array(sums, pa.int64()),
+                                       pa.array(same, pa.bool_())], ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
 
 
 def digest(decoded: DataFrame) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (ids as little-endian 32-bit numbers), round_trip."""
-    return map_arrow(decoded.select("doc_id", "ids", "text", "decoded"), _crc,
-                     "doc_id bigint, n_pieces bigint, ids_crc32 bigint, round_trip boolean")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _digests(batch, batch.column(3).to_pylist())
+    return map_arrow(decoded.select("doc_id", "text", "ids", "decoded"), run, _DIGEST)
 
 
 def encode_and_decode(documents: DataFrame, model_path: str) -> DataFrame:
-    return digest(decode(encode(documents, model_path), model_path))
+    """``digest`` of ``decode`` of ``encode``; ids and texts stay in the worker that made them."""
+    docs, head, pieces = _prepared(documents, model_path)
+    coded = _encoder(head, pieces)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = _piece_bytes(pieces.value)
+        for rows in coded(batches):
+            yield _digests(rows, _texts(rows.column(2), names))
+
+    return map_arrow(docs, run, _DIGEST)
 
 
 def check_words(spark: SparkSession, words: list[str], table: PieceTable) -> dict[str, list[int]]:
