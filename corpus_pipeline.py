@@ -16,48 +16,57 @@ from zonecast.llm.queries import PIECE_BPE, held_out, tokenizer_file
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model calls toxic go; the model learns from the labelled rows of these documents."""
+    """Documents that the model calls toxic go; the model learns from the labelled rows of these documents.
+
+    Rows without text or id are scored as any other; repeated rows are judged each; an empty
+    table, or one without labels, stays as it is.
+    """
     model = op03_toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out()))
     scored = op03_toxicity.toxicity(docs, model, keep=tuple(docs.columns))
     return scored.where("predicted = 0").drop("score", "predicted").select(*docs.columns)
 
 
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a key of their own (``_key``), written once so that every reader sees the same keys."""
+    return write_table(docs.withColumn("_key", F.monotonically_increasing_id()), name)[0]
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id.
+    """One row of each group of near copies stays: the one with the smallest id (rows without an id come last).
 
-    Of rows that repeat an id, one stays; rows without an id stay.
+    Every row is a document of its own, whatever id it repeats or lacks; rows without words stay.  An empty table
+    stays empty.
     """
-    kept = op07_minmax.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    chosen, _ = write_table(kept, "kept-ids")
-    once = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    keyed = _keyed(docs, "dedup-rows")
+    groups = op07_minmax.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_key"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key"))["_key"]
+    stays = groups.join(keyed.select("_key", "doc_id"), "_key").groupBy("component_id").agg(first.alias("_key")).select("_key")
+    stays, _ = write_table(stays, "kept-rows")
+    return keyed.join(stays, "_key", "left_semi").select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, its secrets replaced by a mark."""
+    """Every row stays, its secrets replaced by a mark; null text stays null, and an empty table empty."""
     found, _ = write_table(op04_secrets.find_secrets(docs), "pipeline-secrets")
     return op04_secrets.redact(docs, found).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document appears as often as the mix takes it (none, once or twice).
+    """Every row appears as often as the mix takes it (none, once or twice).
 
-    Documents without words take no room and stay once, as do rows without an
-    id.  Rows that agree in id, source and size appear as often as the one taken most.
+    Every row is a document of its own, whatever id it repeats or lacks.  Rows without words take
+    no room and stay once.  An empty table stays empty.
     """
-    taken = op08_mixing.mix(docs).where("size > 0 AND doc_id IS NOT NULL").groupBy("doc_id", "source", "size").agg(
-        F.max("copies").alias("copies"))
-    taken, _ = write_table(taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-                                        F.col("size").alias("_size"), "copies"), "pipeline-mix")
-    size = op08_mixing.words_in("text")
-    some = docs.where((size > 0) & F.col("doc_id").isNotNull()).join(
-        taken, (F.col("doc_id") == F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (size == F.col("_size")))
-    mixed = some.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
-    return mixed.unionByName(docs.where((size == 0) | F.col("doc_id").isNull()))
+    keyed = _keyed(docs, "mix-rows")
+    taken, _ = write_table(op08_mixing.mix(keyed.select(F.col("_key").alias("doc_id"), "text", "source")).select(
+        F.col("doc_id").alias("_key"), F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1)).alias("_copies")), "pipeline-mix")
+    mixed = keyed.join(taken.where("_copies > 0"), "_key")
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per row: doc_id, n_pieces, ids_crc32 and whether decoding gives the text back."""
+    """Per row: doc_id, n_pieces, ids_crc32 and whether decoding gives the text back; null text has no pieces."""
     return op02_sentencepiece.encode_and_decode(docs, tokenizer_file(PIECE_BPE))
 
 
