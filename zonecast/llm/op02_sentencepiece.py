@@ -43,7 +43,7 @@ from zonecast.llm.chunks import StretchCoder, replace_rows, slices
 from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 
 SPACE_MARK = "▁"
-HEAD_WORDS = 1 << 17
+HEAD_WORDS = 1 << 19
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
 _FLUSH = 200_000
@@ -60,9 +60,15 @@ class PieceTable:
     unknown: int = 0
     texts: dict[int, str] = field(default_factory=dict)
     longest: int = 1
+    #: every beginning of a piece, with the piece's rank and id where it is one itself
+    beginnings: dict[str, tuple[int, int] | None] = field(default_factory=dict)
 
     def __post_init__(self):
         self.longest = max(map(len, self.pieces), default=1)
+        for p in self.pieces:
+            for n in range(1, len(p)):
+                self.beginnings.setdefault(p[:n], None)
+        self.beginnings.update({p: (rank, i) for p, (i, rank) in self.pieces.items()})
 
 
 def load_pieces(path: str) -> PieceTable:
@@ -160,6 +166,8 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
 
 def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> list[int]:
     """Ids in order; what no edge covers becomes byte pieces (or the unknown id)."""
+    if sum([b - a for a, b, _ in kept]) == len(word):
+        return [i for _, _, i in sorted(kept)]
     ids, at = [], 0
     for start, end, i in [*sorted(kept), (len(word), len(word), -1)]:
         for c in word[at:start]:
@@ -172,11 +180,14 @@ def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> lis
 
 def edges_of(word: str, table: PieceTable) -> list[tuple[int, int, int, int]]:
     """The word's lattice: (rank, start, end, id) of every substring that is a piece, by rank."""
-    find, n, out = table.pieces.get, len(word), []
+    begins, n, out = table.beginnings, len(word), []
     for a in range(n):
-        for b in range(a + 1, min(n, a + table.longest) + 1):
-            if (p := find(word[a:b])) is not None:
-                out.append((p[1], a, b, p[0]))
+        b = a + 1
+        # a substring that begins no piece ends the search from here
+        while b <= n and (s := word[a:b]) in begins:
+            if (p := begins[s]) is not None:
+                out.append((p[0], a, b, p[1]))
+            b += 1
     out.sort()
     return out
 
@@ -275,7 +286,7 @@ class TextCoder:
 
     def __init__(self, head: _Head, table: PieceTable):
         self.head, self.table = head.table(), table
-        self.coder = StretchCoder(self._learn, 300_000)
+        self.coder = StretchCoder(self._learn, 400_000)
 
     def _ids(self, words: list[str]) -> bytes:
         head = self.head
