@@ -364,11 +364,18 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == _near_brute(rows)
 
 
+def test_repeated_ids_join_their_classes(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (9, b), (7, c), (7, "other words altogether in here"), (8, c)]
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in op07_minmax.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {(3, 3, True), (5, 3, False), (9, 3, False), (7, 7, True), (8, 7, False)}
+
+
 def test_near_duplicates_of_empty_table(spark):
     assert op07_minmax.near_duplicates(docs(spark, [])).count() == 0
 
 
-def test_open_pairs_after_star_rounds(spark):
+def test_pairs_that_no_leader_links(spark):
     """A hub that is linked to nobody: members reach each other in the later rounds only."""
     random.seed(8)
     hub = [f"h{k}" for k in range(60)]
@@ -378,9 +385,7 @@ def test_open_pairs_after_star_rounds(spark):
         for copy in range(4):
             rows.append((k, " ".join(hub[:50] + own[:20] + [f"c{g}{copy}"])))
             k += 1
-    # every open pair through the bound, as in large buckets
-    p = op07_minmax.MinMax(star_rounds=0, direct=2)
-    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op07_minmax.near_duplicates(docs(spark, rows), p).collect()), key=str)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in op07_minmax.near_duplicates(docs(spark, rows)).collect()), key=str)
     assert got == _near_brute(rows)
 
 

@@ -8,13 +8,12 @@ candidates (a pair of similarity 0.75 is missed with probability
 the full shingle sets.
 
 Large buckets never become all pairs.  Documents with one and the same set are
-first folded into their smallest id.  In each bucket every document is then
-compared with one leader, the member that meets most others over all bands.
-Components of the confirmed links are formed, and only pairs of a bucket that
-still lie in different components are compared after that: one more round with
-new leaders, then every such pair that an exact bound (overlap with the leader)
-does not rule out.  A pair inside one component needs no
-comparison, as its link cannot change any component, so no link between
+first folded into their smallest id.  Each bucket has a leader, the member that meets most
+others over all bands.  Candidates are compared in three rounds, and the components found are folded
+between them: every document with the first of its leaders, then with those leaders that
+still lie in another component, and last the members of one bucket that still lie in different
+components, as far as an exact bound (their overlaps with the leader) does not rule them out.  A pair
+inside one component needs no comparison, as its link cannot change any component, so no link between
 different texts is lost.
 
 Defined results: null or empty text has 0 shingles and is linked with nothing;
@@ -53,8 +52,6 @@ class MinMax:
     bands: int = 48
     rows: int = 5
     percent: int = 75
-    star_rounds: int = 1
-    direct: int = 8  # buckets up to this size compare all their open pairs
     seed: int = 20
 
     @property
@@ -240,43 +237,24 @@ def _possible_pairs(docs: DataFrame, hubs: DataFrame, p: MinMax) -> tuple[DataFr
     return pairs, [need_path, sets_path, rests_path, path]
 
 
-def _open_pairs(docs: DataFrame, members: DataFrame, leaders: DataFrame, labels: DataFrame, tested: DataFrame,
-                p: MinMax, every: bool) -> tuple[DataFrame, list[str]]:
-    """Pairs to compare in the buckets that still hold several components.
+def _placed(rows: DataFrame, labels: DataFrame, *cols: str) -> DataFrame:
+    """Add ``comp_<c>``, the component of each named column; a node without a label is its own."""
+    for c in cols:
+        rows = (rows.join(labels.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")), c, "left")
+                .withColumn(f"comp_{c}", F.coalesce(f"comp_{c}", c)))
+    return rows
 
-    A star round takes the highest-ranked member outside a bucket's largest
-    component against the members of other components.  The last round takes
-    every member outside the largest one: in small buckets against all others,
-    in large ones against those that ``_possible_pairs`` leaves.  Pairs compared
-    before are left out.
-    """
-    placed, placed_path = write_table(
-        members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", "rank", F.coalesce("comp", "rep").alias("comp")), "placed")
-    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    main, main_path = write_table(
-        parts.groupBy("key").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n"))
-        .where("parts > 1").select("key", "main", "n"), "main")
-    within, within_path = write_table(placed.join(main, "key"), "within")
-    paths = [placed_path, main_path, within_path]
-    odd = within.where("comp <> main")
-    if every:
-        odd = odd.where(F.col("n") <= p.direct).select("key", F.col("rep").alias("x"), F.col("comp").alias("comp_x"))
-    else:
-        odd = odd.groupBy("key").agg(F.max_by("rep", "rank").alias("x"), F.max_by("comp", "rank").alias("comp_x"))
-    odd, odd_path = write_table(odd, "odd")
-    pairs = (within.select("key", F.col("rep").alias("y"), F.col("comp").alias("comp_y"), "main").join(odd, "key")
-             .where("comp_x <> comp_y AND (comp_y = main OR x < y)" if every else "comp_x <> comp_y")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    if every:
-        hubs, hubs_path = write_table(
-            within.where(F.col("n") > p.direct).select("key", "rep", "comp").join(leaders, "key").where("rep <> leader")
-            .select("leader", "rep", "comp").distinct(), "hubs")
-        possible, possible_paths = _possible_pairs(docs, hubs, p)
-        pairs = pairs.unionByName(possible).distinct()
-        paths += [hubs_path, *possible_paths]
-    pairs, pairs_path = write_table(pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
-    return pairs, [*paths, odd_path, pairs_path]
+
+def _fold(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Labels after more links: only the components that the links join are formed anew."""
+    met = _placed(links, labels, "a", "b").where("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+    joined, joined_path = connected_components(met.distinct())
+    up = joined.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
+    moved = labels.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp"))
+    # a component of one node has no label yet
+    new = joined.join(labels, "node", "left_anti").select("node", "comp")
+    out, path = write_table(moved.unionByName(new), "labels")
+    return out, [joined_path, path]
 
 
 def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "doc_id",
@@ -305,30 +283,45 @@ def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "d
         shared.groupBy("rep").agg(
             (F.sum("n").cast("double") + F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) / (1 << 20)).alias("rank")), "degree")
     members, members_path = write_table(shared.select("key", "rep").join(degree, "rep"), "members")
-    leaders, leaders_path = write_table(members.groupBy("key").agg(F.max_by("rep", "rank").alias("leader")), "leaders")
+    leaders, leaders_path = write_table(
+        members.groupBy("key").agg(F.max_by("rep", "rank").alias("leader"), F.max("rank").alias("leader_rank")), "leaders")
     sizes = classes.select("rep", "n")
     dropped = [buckets_path, shared_path, degree_path, members_path, leaders_path]
 
-    tested, tested_path = write_table(
-        members.join(leaders, "key").where("rep <> leader")
-        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct(), "tested")
-    links, paths = _verify(docs, tested, sizes, p)
-    dropped += [tested_path, *paths]
-    for step in range(p.star_rounds + 1):
-        labels, labels_path = connected_components(links)
-        dropped.append(labels_path)
-        pairs, open_paths = _open_pairs(docs, members, leaders, labels, tested, p, every=step == p.star_rounds)
-        dropped += open_paths
-        if not pairs.limit(1).count():
-            if step == p.star_rounds:
-                break
-            continue
-        more, paths = _verify(docs, pairs, sizes, p)
-        links, tested = links.unionByName(more), tested.unionByName(pairs)
-        dropped += paths
-    else:
-        labels, labels_path = connected_components(links)
-        dropped.append(labels_path)
+    # a doc_id with several texts is one node: its classes are linked
+    own = linked.select("print", "doc_id").join(classes.select("print", "rep"), "print").groupBy("doc_id").agg(
+        F.min("rep").alias("a"), F.collect_set("rep").alias("reps")).where("size(reps) > 1")
+    own = own.select("a", F.explode("reps").alias("b")).where("a <> b")
+
+    met = members.join(leaders, "key").where("rep <> leader").select("rep", "leader", "leader_rank").distinct()
+    met, met_path = write_table(met, "met")
+    first, first_path = write_table(
+        met.groupBy("rep").agg(F.max_by("leader", "leader_rank").alias("leader"))
+        .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct(), "first-pairs")
+    links, paths = _verify(docs, first, sizes, p)
+    labels, labels_path = connected_components(links.unionByName(own).distinct())
+    dropped += [met_path, first_path, labels_path, *paths]
+
+    apart = _placed(met.select("rep", "leader"), labels, "rep", "leader").where("comp_rep <> comp_leader")
+    second, second_path = write_table(
+        apart.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+        .join(first, ["a", "b"], "left_anti"), "second-pairs")
+    links, paths = _verify(docs, second, sizes, p)
+    labels, label_paths = _fold(labels, links)
+    dropped += [second_path, *paths, *label_paths]
+
+    # buckets that still hold several components; a pair with the leader has been compared
+    placed, placed_path = write_table(_placed(members.select("key", "rep"), labels, "rep"), "placed")
+    several = placed.groupBy("key").agg(F.min("comp_rep").alias("low"), F.max("comp_rep").alias("high")).where("low <> high")
+    hubs, hubs_path = write_table(
+        placed.join(several.select("key"), "key").join(leaders.select("key", "leader"), "key").where("rep <> leader")
+        .select("leader", "rep", F.col("comp_rep").alias("comp")).distinct(), "hubs")
+    possible, possible_paths = _possible_pairs(docs, hubs, p)
+    third, third_path = write_table(
+        possible.join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "third-pairs")
+    links, paths = _verify(docs, third, sizes, p)
+    labels, label_paths = _fold(labels, links)
+    dropped += [placed_path, hubs_path, *possible_paths, third_path, *paths, *label_paths]
 
     homes, homes_path = write_table(
         classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
