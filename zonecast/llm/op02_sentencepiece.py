@@ -43,7 +43,7 @@ from zonecast.llm.chunks import StretchCoder, replace_rows, slices
 from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 
 SPACE_MARK = "▁"
-HEAD_WORDS = 1 << 19
+HEAD_WORDS = 1 << 17
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
 _FLUSH = 200_000
@@ -286,7 +286,7 @@ class TextCoder:
 
     def __init__(self, head: _Head, table: PieceTable):
         self.head, self.table = head.table(), table
-        self.coder = StretchCoder(self._learn, 400_000)
+        self.coder = StretchCoder(self._learn, 500_000)
 
     def _ids(self, words: list[str]) -> bytes:
         head = self.head

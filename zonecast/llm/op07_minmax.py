@@ -209,9 +209,10 @@ def _possible_pairs(docs: DataFrame, hubs: DataFrame, p: MinMax) -> tuple[DataFr
     """Pairs of members of one leader's buckets that can still be similar enough.
 
     Members a and b share at most min(|a & h|, |b & h|) shingles of their leader h,
-    and beyond those only what both have and h lacks.  A pair whose two numbers
-    cannot add up to the overlap it needs is no link, so only pairs that meet in
-    a shingle h lacks, or that could do without one, come out: an exact bound.
+    and beyond those only what both have and h lacks.  A link needs an overlap of ``percent`` of either
+    set, so a member whose overlap with h is short of that by m must share m of the shingles h lacks;
+    of two members that do, one of the first r - m + 1 of their r shared-by-anyone such shingles, in
+    rare-first order, is common (prefix filter).  Members with no shortage can also meet without any.  All bounds are exact.
     """
     need, need_path = write_table(
         hubs.select(F.explode(F.array("leader", "rep")).alias("doc_id")).distinct(), "hub-members")
@@ -222,16 +223,22 @@ def _possible_pairs(docs: DataFrame, hubs: DataFrame, p: MinMax) -> tuple[DataFr
         map_arrow(joined.select("leader", "rep", "comp", "set_m", "set_h"), _residuals,
                   "leader bigint, rep bigint, comp bigint, n bigint, both bigint, rest array<bigint>"), "residuals")
 
+    rests = rests.withColumn("short", F.ceil(F.col("n") * p.percent / F.lit(100)) - F.col("both"))
+
     def side(df: DataFrame, c: str) -> DataFrame:
-        names = {"rep": c, "comp": f"comp_{c}", "n": f"n_{c}", "both": f"both_{c}"}
+        names = {"rep": c, "comp": f"comp_{c}", "n": f"n_{c}", "both": f"both_{c}", "r": f"r_{c}"}
         return df.select("leader", *[F.col(k).alias(v) for k, v in names.items()], *[x for x in df.columns if x == "x"])
 
-    plain = rests.drop("rest")
-    single = rests.select("leader", "rep", "comp", "n", "both", F.explode("rest").alias("x"))
+    single = rests.select("leader", "rep", "comp", "n", "both", "short", F.explode("rest").alias("x"))
+    common = single.groupBy("leader", "x").agg(F.count("*").alias("c")).where("c > 1")
+    firsts = (single.join(common, ["leader", "x"]).groupBy("leader", "rep", "comp", "n", "both", "short")
+              .agg(F.array_sort(F.collect_list(F.struct("c", "x"))).alias("xs")).withColumn("r", F.size("xs")).where("r >= short")
+              .withColumn("x", F.explode(F.expr("slice(xs, 1, int(r - greatest(short, 1) + 1))"))).withColumn("x", F.col("x.x")))
     other = "a < b AND comp_a <> comp_b"
     enough = f"(least(both_a, both_b) + s) * {100 + p.percent} >= {p.percent} * (n_a + n_b)"
-    meeting = (side(single, "a").join(side(single, "b"), ["leader", "x"]).where(other)
-               .groupBy("leader", "a", "b", "n_a", "n_b", "both_a", "both_b").agg(F.count("*").alias("s")).where(enough))
+    meeting = (side(firsts, "a").join(side(firsts, "b"), ["leader", "x"])
+               .where(f"{other} AND {enough.replace('+ s', '+ least(r_a, r_b)')}"))
+    plain = rests.where("short <= 0").withColumn("r", F.lit(0))
     without = (side(plain, "a").join(side(plain, "b"), "leader").where(f"{other} AND {enough.replace(' + s', '')}"))
     pairs, path = write_table(meeting.select("a", "b").unionByName(without.select("a", "b")).distinct(), "possible")
     return pairs, [need_path, sets_path, rests_path, path]
