@@ -478,6 +478,23 @@ def test_top_k_of_repeated_ids(spark, monkeypatch):
     assert {q: sorted(x) for q, x in got.items()} == {q: sorted(x) for q, x in want.items()}
 
 
+@pytest.mark.parametrize("size", [1e5, 1e8, 1e16, 1e30])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(6)
+    rows = [(k, (rng.normal(size=5) * size).tolist()) for k in range(150)] + [(200 + k, [size * (k + 1), size, 0.0, 1.0, -size]) for k in range(60)]
+    rows += [(300, rows[0][1]), (350, rows[3][1])]
+    low, high = -(1 << 63), (1 << 63) - 1
+    ints = {k: [min(max(int(np.floor(256 * np.float64(c))), low), high) for c in v] for k, v in rows}
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in op09_topk.top_k(frame, k=5, every=50).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in [k for k, _ in rows if k % 50 == 0]:
+        scores = [(min(max(sum(a * b for a, b in zip(ints[q], ints[k])), low + 1), high), k) for k in ints if k != q]
+        want = [(n, k, s) for n, (s, k) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5], 1)]
+        assert sorted(got[q]) == want
+
+
 def test_top_k_of_empty_table(spark):
     assert op09_topk.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 

@@ -12,7 +12,8 @@ The current kth score is shared: an eighth of the shards is searched first, the
 kth scores found there go to the search of the others, which starts from them.
 Queries go out in blocks of at most ``BLOCK`` vectors, the only thing broadcast.
 
-Defined results: components become floor(256 * x); vectors that are null, or
+Defined results: components become floor(256 * x), held at the ends of a long; a score
+beyond a long is held at its ends (the lower one plus 1), where ties go by vec_id as anywhere; vectors that are null, or
 hold null or non-finite components, take no part; vectors of another length
 than the query's are no candidates; ties go to the smaller vec_id; a vec_id that
 occurs in several rows is a candidate in each, also for a query of that vec_id,
@@ -38,6 +39,8 @@ LEAF = 64
 SHARD_ROWS = 4096
 BLOCK = 4096
 FIRST_WAVE = 8
+#: An absent place, and the range of scores.
+ABSENT, LEAST, MOST = -(1 << 63), 1 - (1 << 63), (1 << 63) - 1
 
 
 class BallTree:
@@ -52,11 +55,11 @@ class BallTree:
         self.keys, self.ids, self.vectors = keys[self.order], ids[self.order], vectors[self.order]
 
     def _build(self, a: int, b: int) -> int:
-        rows = self.vectors[self.order[a:b]]
+        rows = self.vectors[self.order[a:b]].astype(float)
         centre = rows.mean(axis=0)
         away = np.sqrt(((rows - centre) ** 2).sum(axis=1))
-        # rounding of the centre and of the products is covered by a margin
-        radius = float(away.max()) * (1 + 1e-9) + 1e-6
+        # rounding of the centre and of the differences is covered by a margin of their own size
+        radius = float(away.max()) * (1 + 1e-9) + 1e-9 * float(np.sqrt((centre**2).sum())) + 1e-6
         at = len(self.nodes)
         self.nodes.append((a, b, centre, radius, int(self.ids[self.order[a:b]].min()), -1, -1))
         if b - a > LEAF and away.max() > 0:
@@ -75,21 +78,24 @@ class BallTree:
         """Best k (score, id) of every query, at least ``least`` in score; absent places keep the lowest score."""
         n = len(queries)
         # places are (score, -id) in falling order; an absent one is below everything
-        scores = np.full((n, k), np.iinfo(np.int64).min)
+        scores = np.full((n, k), ABSENT)
         found = np.full((n, k), np.iinfo(np.int64).max)
         norms = np.sqrt((queries.astype(float) ** 2).sum(axis=1))
         if not self.nodes or not n:
             return scores, found
-        # int64 products have no fast kernel; doubles are exact below 2^53
-        big = float(np.abs(self.vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * queries.shape[1]
+        as_float = queries.astype(float)
+        # int64 products have no fast kernel; doubles are exact below 2^53, Python integers always
+        big = float(np.abs(self.vectors.astype(float)).max(initial=0)) * float(np.abs(as_float).max(initial=0)) * queries.shape[1]
         exact = np.float64 if big < 2**53 else object
         left_q, rows = queries.astype(exact), self.vectors.astype(exact)
-        as_float = queries.astype(float)
 
         def bound(node: int, active: np.ndarray) -> np.ndarray:
             centre, radius = self.nodes[node][2:4]
-            top = as_float[active] @ centre + norms[active] * radius
-            return top + 1e-9 * np.abs(top) + 1e-6
+            far = norms[active] * radius
+            # the product's rounding is of the size of its factors, not of its value
+            margin = 1e-9 * (norms[active] * float(np.sqrt((centre**2).sum())) + far) + 1e-6
+            # a score below the least one is held there
+            return np.maximum(as_float[active] @ centre + far + margin, float(LEAST))
 
         def alive(node: int, active: np.ndarray, top: np.ndarray) -> np.ndarray:
             kth, kth_id = scores[active, -1], found[active, -1]
@@ -105,14 +111,17 @@ class BallTree:
                 continue
             a, b, _, _, _, left, right = self.nodes[node]
             if left < 0:
-                got = (left_q[active] @ rows[a:b].T).astype(np.int64)
+                got = left_q[active] @ rows[a:b].T
+                got = got.astype(np.int64) if exact is not object else np.array(
+                    [[min(max(x, LEAST), MOST) for x in line] for line in got.tolist()], np.int64).reshape(got.shape)
                 ids = np.broadcast_to(self.ids[a:b], got.shape)
                 out = self.keys[a:b] == query_keys[active][:, None]
-                got = np.where(out, np.iinfo(np.int64).min, got)
+                got = np.where(out, ABSENT, got)
                 ids = np.where(out, np.iinfo(np.int64).max, ids)
                 all_s = np.concatenate([scores[active], got], axis=1)
                 all_i = np.concatenate([found[active], ids], axis=1)
-                best = np.lexsort((all_i, -all_s.astype(float) if big < 2**53 else -all_s), axis=1)[:, :k]
+                # the complement falls as the score rises, without overflow
+                best = np.lexsort((all_i, ~all_s), axis=1)[:, :k]
                 scores[active] = np.take_along_axis(all_s, best, axis=1)
                 found[active] = np.take_along_axis(all_i, best, axis=1)
             else:
@@ -147,7 +156,7 @@ def _searcher(block, k: int):
             query_keys, query_ids, queries, least = mine
             scores, found = tree.search(query_keys, queries, k, least)
             row, q = np.repeat(query_keys, k), np.repeat(query_ids, k)
-            ok = scores.ravel() > np.iinfo(np.int64).min
+            ok = scores.ravel() > ABSENT
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row[ok]), pa.array(q[ok]), pa.array(found.ravel()[ok]), pa.array(scores.ravel()[ok])],
                 ["row", "query_id", "vec_id", "score"])
@@ -196,7 +205,7 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = 256)
             if best is not None:
                 kth = {r["row"]: r["score"] for r in best.where(F.col("rank") == k).select("row", "score").collect()}
             sent = {d: (np.array(r, np.int64), np.array(i, np.int64), np.array(v, np.int64).reshape(len(i), d),
-                        np.array([kth.get(x, np.iinfo(np.int64).min) for x in r], np.int64))
+                        np.array([kth.get(x, ABSENT) for x in r], np.int64))
                     for d, (r, i, v) in by_dim.items()}
             block = spark.sparkContext.broadcast(sent)
             part = dealt.where(wave).repartition(shards, "shard")
