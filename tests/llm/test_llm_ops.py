@@ -99,6 +99,15 @@ def test_sentencepiece_equals_library(spark):
     assert op02_sentencepiece.encode_and_decode(docs(spark, []), path).count() == 0
 
 
+def test_words_are_counted_whole(spark):
+    texts = [r[1] for r in AWKWARD] + ["a b\nc a", "a  b", " a", "a\n", "\n\nb", "x▁y a", "a b\nc a"]
+    got = collections.Counter()
+    for batch in op02_sentencepiece._count_words(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])):
+        got.update(dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())))
+    want = collections.Counter(w for t in texts for w in op02_sentencepiece.words_of(t))
+    assert got == want
+
+
 def test_lattice_folds(spark):
     table = op02_sentencepiece.load_pieces(tokenizer_file(PIECE_BPE))
     words = ["▁hello", "▁▁▁x", "aaaa", "中国", "\u0007", "▁internationalisation", "▁", "ab" * 30]

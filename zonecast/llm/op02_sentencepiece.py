@@ -43,7 +43,7 @@ from zonecast.llm.chunks import StretchCoder, replace_rows, slices
 from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 
 SPACE_MARK = "▁"
-HEAD_WORDS = 1 << 17
+HEAD_WORDS = 1 << 18
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
 _FLUSH = 200_000
@@ -232,13 +232,29 @@ def _viterbi(word: str, table: PieceTable) -> list[int]:
 
 # --- corpus ---------------------------------------------------------------------------
 
+#: Texts whose spaces and line feeds stand alone, without a space mark of their own, are cut at them.
+_ODD = f"^[ \\n]|[ \\n][ \\n]|[ \\n]$|{SPACE_MARK}"
+
+
+def _stretch_words(stretch: str) -> list[str]:
+    """Words of a stretch of a text that is not odd."""
+    return ["\n", stretch[1:]] if stretch[0] == "\n" else [SPACE_MARK + stretch]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(c: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], ["word", "n"])
     seen: Counter = Counter()
     for batch in batches:
-        for text in batch.column(0):
-            seen.update(words_of(text.as_py()))
+        for a, b in slices(batch.column(0), 2 << 20):
+            texts = pc.fill_null(batch.column(0).slice(a, b - a), "")
+            odd = pc.or_(pc.match_substring_regex(texts, _ODD), pc.equal(texts, ""))
+            for text in texts.filter(odd):
+                seen.update(words_of(text.as_py()))
+            cut = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ").flatten().value_counts()
+            for stretch, n in zip(cut.field("values").to_pylist(), cut.field("counts").to_pylist(), strict=True):
+                for w in _stretch_words(stretch):
+                    seen[w] += n
             if len(seen) > _FLUSH:
                 yield out(seen)
                 seen = Counter()
@@ -299,7 +315,7 @@ class TextCoder:
             if not body or len(s) - len(body) > 1 or SPACE_MARK in s:
                 out.append(None)
             else:
-                out.append(self._ids(["\n", body] if s[0] == "\n" else [SPACE_MARK + body]))
+                out.append(self._ids(_stretch_words(s)))
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
