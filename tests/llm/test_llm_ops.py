@@ -119,6 +119,11 @@ def test_lattice_folds(spark):
     for n in (1, 5, 40, 70, 3000):  # the fold of a task, at any length
         w = "".join(random.choice("thenationalé-1") for _ in range(n))
         assert op02_sentencepiece.encode_word("▁" + w, table) == lib.encode(w)
+    many = words[:-1] + ["▁" + "".join(random.choice("thenationalé-1中\u0007") for _ in range(random.randint(0, 39))) for _ in range(3000)]
+    for w, ids in zip(many, op02_sentencepiece.WordLattices(table).encode(many), strict=True):  # many words at once
+        want = op02_sentencepiece.encode_word(w, table)
+        assert np.frombuffer(ids, "<i4").tolist() == want if ids is not None else any(i in table.bytes_ for i in want)
+    assert op02_sentencepiece.WordLattices(table).encode([]) == []
     pieces = "a b c ab bc abc ca".split()
     uni = op02_sentencepiece.PieceTable({p: (k, k) for k, p in enumerate(pieces)},
                                         dict(zip(pieces, [-1.0, -2.0, -1.5, -2.5, -1.0, -5.0, -2.2])), [], "unigram", unknown=99)

@@ -16,8 +16,8 @@ The lattice of the frequent words (whole frequency classes, at most ``HEAD_WORDS
 ``HEAD_CHARS`` characters) is built and folded in Spark, with its ``aggregate``; their ids are
 broadcast, and the bound does not grow with the data.  The other words' ids would have to be
 joined back to texts that hold most of them once, which shuffles more than the texts' own size, so
-their lattices are built and folded by the same steps in the task that reads the text, at any length; texts
-are never shuffled.
+their lattices are built and folded by the same steps in the task that reads the text, at any length (those
+of up to ``WordLattices.CHARS`` characters many at once, as arrays); texts are never shuffled.
 
 Defined results: null or empty text has no pieces; characters without a piece
 become byte pieces; a U+2581 in a text is read as a space, so decoding gives the
@@ -46,7 +46,8 @@ SPACE_MARK = "▁"
 HEAD_WORDS = 1 << 18
 HEAD_CHARS = 32
 _CHUNK = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}\n]+|{SPACE_MARK}+|\n+")
-_FLUSH = 200_000
+#: Counted words that a task holds before it sums them and hands them on.
+_FLUSH = 400_000
 
 
 @dataclass
@@ -178,6 +179,84 @@ def _fill(word: str, kept: list[tuple[int, int, int]], table: PieceTable) -> lis
     return ids
 
 
+class WordLattices:
+    """Lattices of many words at once, held as arrays: the words stand behind one another in one text, so a
+    position names a word's place.  Beginnings of pieces are numbered, and a beginning and the next character
+    are looked up together in a sorted table."""
+
+    #: Words up to this length are folded together; longer ones would leave the others waiting.
+    CHARS = 40
+    #: Words of one pass, which bounds its arrays.
+    WORDS = 1 << 15
+
+    def __init__(self, table: PieceTable):
+        node = {s: k for k, s in enumerate(table.beginnings, 1)}
+        self.rank = np.full(len(node) + 1, -1, np.int64)
+        self.piece = np.full(len(node) + 1, -1, np.int32)
+        for s, found in table.beginnings.items():
+            if found is not None:
+                self.rank[node[s]], self.piece[node[s]] = found
+        self.first = np.zeros(0x110000, np.int32)
+        for s, k in node.items():
+            if len(s) == 1:
+                self.first[ord(s)] = k
+        steps = sorted((node[s[:-1]] << 21 | ord(s[-1]), k) for s, k in node.items() if len(s) > 1)
+        self.steps = np.array([x for x, _ in steps] or [-1], np.int64)
+        self.to = np.array([k for _, k in steps] or [0], np.int64)
+
+    def edges(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, node) of every substring of two or more characters that is a piece, per length by start.
+
+        ``ends`` says for every position where its word ends.
+        """
+        node, at = self.first[codes].astype(np.int64), np.arange(len(codes))
+        found, length = [], 1
+        while True:
+            live = (node > 0) & (at + length < ends[at])
+            at, node = at[live], node[live]
+            if not len(at):
+                break
+            key = node << 21 | codes[at + length]
+            place = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            node = np.where(self.steps[place] == key, self.to[place], 0)
+            length += 1
+            hit = self.rank[node] >= 0
+            found.append((at[hit], at[hit] + length, node[hit]))
+        if not found:
+            return at, at, at
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def encode(self, words: list[str]) -> list[bytes | None]:
+        """Ids of each word as 32-bit numbers; None where a character is outside all pieces."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        stops = np.cumsum(sizes)
+        word = np.repeat(np.arange(len(words)), sizes)
+        start, end, node = self.edges(codes, stops[word])
+        # equal ranks are one piece, whose edges stand by start already
+        order = np.argsort(word[start] * (int(self.rank.max()) + 1) + self.rank[node], kind="stable")
+        start, end, piece = start[order], end[order], self.piece[node[order]]
+        count = np.bincount(word[start], minlength=len(words))
+        first = np.cumsum(count) - count
+        longest_first = np.argsort(-count, kind="stable")
+        first, waiting = first[longest_first], np.searchsorted(-count[longest_first], -np.arange(count.max(initial=0)), "left")
+        # the merge fold: every word's next edge by rank, taken when it joins exactly two symbols
+        after = np.arange(1, len(codes) + 2)
+        ids = self.piece[self.first[codes]]
+        for k, n in enumerate(waiting.tolist()):
+            e = first[:n] + k
+            a, b = start[e], end[e]
+            mid = after[a]
+            taken = (mid > 0) & (mid < b) & (after[mid] == b)
+            a, b, mid = a[taken], b[taken], mid[taken]
+            after[a], after[mid], ids[a] = b, 0, piece[e[taken]]
+        symbol = after[:-1] > 0
+        kept = np.bincount(word[symbol], minlength=len(words))
+        whole = np.bincount(word[symbol & (ids < 0)], minlength=len(words)) == 0
+        raw, to = ids[symbol].astype("<i4").tobytes(), 4 * np.cumsum(kept)
+        return [raw[i:j] if ok else None for i, j, ok in zip((to - 4 * kept).tolist(), to.tolist(), whole.tolist())]
+
+
 def edges_of(word: str, table: PieceTable) -> list[tuple[int, int, int, int]]:
     """The word's lattice: (rank, start, end, id) of every substring that is a piece, by rank."""
     begins, n, out = table.beginnings, len(word), []
@@ -242,23 +321,33 @@ def _stretch_words(stretch: str) -> list[str]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out(c: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], ["word", "n"])
-    seen: Counter = Counter()
+    def out(parts: list[pa.Table]) -> list[pa.RecordBatch]:
+        summed = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+        return summed.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks().to_batches()
+
+    def counts(words: pa.Array, n: pa.Array) -> pa.Table:
+        return pa.table([words.cast(pa.string()), n.cast(pa.int64())], ["word", "n"])
+
+    held: list[pa.Table] = [counts(pa.array([], pa.string()), pa.array([], pa.int64()))]
     for batch in batches:
         for a, b in slices(batch.column(0), 2 << 20):
             texts = pc.fill_null(batch.column(0).slice(a, b - a), "")
             odd = pc.or_(pc.match_substring_regex(texts, _ODD), pc.equal(texts, ""))
-            for text in texts.filter(odd):
-                seen.update(words_of(text.as_py()))
+            seen = Counter(w for text in texts.filter(odd).to_pylist() for w in words_of(text))
+            held.append(counts(pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())))
             cut = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n"), " ").flatten().value_counts()
-            for stretch, n in zip(cut.field("values").to_pylist(), cut.field("counts").to_pylist(), strict=True):
-                for w in _stretch_words(stretch):
-                    seen[w] += n
-            if len(seen) > _FLUSH:
-                yield out(seen)
-                seen = Counter()
-    yield out(seen)
+            stretch, n = cut.field("values"), cut.field("counts")
+            # the words of such a stretch, as in _stretch_words
+            fed = pc.starts_with(stretch, "\n")
+            held.append(counts(pc.utf8_slice_codeunits(stretch.filter(fed), 1), n.filter(fed)))
+            rest = stretch.filter(pc.invert(fed))
+            held.append(counts(pc.binary_join_element_wise(pa.scalar(SPACE_MARK, rest.type), rest, pa.scalar("", rest.type)), n.filter(pc.invert(fed))))
+            held.append(counts(pa.array(["\n"]), pa.array([pc.sum(n.filter(fed)).as_py() or 0])))
+            if sum(map(len, held)) > _FLUSH:
+                yield from out(held)
+                held = []
+    if held:
+        yield from out(held)
 
 
 def head_vocabulary(texts: DataFrame) -> tuple[DataFrame, str]:
@@ -302,28 +391,44 @@ class TextCoder:
 
     def __init__(self, head: _Head, table: PieceTable):
         self.head, self.table = head.table(), table
+        self.lattices = WordLattices(table) if table.kind == "bpe" else None
         self.coder = StretchCoder(self._learn, 500_000)
 
-    def _ids(self, words: list[str]) -> bytes:
+    def _rare(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words outside the head."""
+        out: dict[str, bytes] = {}
+        if self.lattices is not None:
+            short = [w for w in words if len(w) <= WordLattices.CHARS]
+            for i in range(0, len(short), WordLattices.WORDS):
+                part = short[i:i + WordLattices.WORDS]
+                out.update((w, x) for w, x in zip(part, self.lattices.encode(part), strict=True) if x is not None)
+        for w in words:
+            if w not in out:
+                out[w] = np.array(encode_word(w, self.table), "<i4").tobytes()
+        return out
+
+    def _ids(self, lists: list[list[str]]) -> list[bytes]:
+        """Ids of each list of words."""
         head = self.head
-        return b"".join([head[w] if w in head else np.array(encode_word(w, self.table), "<i4").tobytes() for w in words])
+        rare = self._rare(list(dict.fromkeys(w for words in lists for w in words if w not in head)))
+        return [b"".join([head[w] if w in head else rare[w] for w in words]) for words in lists]
 
     def _learn(self, new: list[str]) -> list[bytes | None]:
-        out: list[bytes | None] = []
+        plain: dict[str, list[str]] = {}
         for s in new:
             body = s.lstrip("\n")
-            if not body or len(s) - len(body) > 1 or SPACE_MARK in s:
-                out.append(None)
-            else:
-                out.append(self._ids(_stretch_words(s)))
-        return out
+            if body and len(s) - len(body) <= 1 and SPACE_MARK not in s:
+                plain[s] = _stretch_words(s)
+        ids = dict(zip(plain, self._ids(list(plain.values())), strict=True))
+        return [ids.get(s) for s in new]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts and ids per text."""
         texts = pc.fill_null(texts, "")
         ids, sizes, wrong = self.coder.encode(pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " "))
         rows = np.flatnonzero(wrong)
-        return replace_rows(ids, sizes, rows, [np.frombuffer(self._ids(words_of(t)), "<u4") for t in texts.take(pa.array(rows)).to_pylist()])
+        odd = self._ids([words_of(t) for t in texts.take(pa.array(rows)).to_pylist()])
+        return replace_rows(ids, sizes, rows, [np.frombuffer(x, "<u4") for x in odd])
 
 
 _coders: dict[str, TextCoder] = {}
