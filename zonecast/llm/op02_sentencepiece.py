@@ -187,7 +187,7 @@ class WordLattices:
     #: Words up to this length are folded together; longer ones would leave the others waiting.
     CHARS = 40
     #: Words of one pass, which bounds its arrays.
-    WORDS = 1 << 15
+    WORDS = 1 << 13
 
     def __init__(self, table: PieceTable):
         node = {s: k for k, s in enumerate(table.beginnings, 1)}
@@ -392,7 +392,7 @@ class TextCoder:
     def __init__(self, head: _Head, table: PieceTable):
         self.head, self.table = head.table(), table
         self.lattices = WordLattices(table) if table.kind == "bpe" else None
-        self.coder = StretchCoder(self._learn, 500_000)
+        self.coder = StretchCoder(self._learn, 200_000)
 
     def _rare(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words outside the head."""
@@ -445,7 +445,7 @@ def _coder(head, pieces) -> TextCoder:
 def _encoder(head, pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1), 2 << 20):
+            for a, b in slices(batch.column(1), 1 << 20):
                 rows = batch.slice(a, b - a)
                 flat, sizes = _coder(head, pieces).encode(rows.column(1))
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
