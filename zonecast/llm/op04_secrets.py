@@ -13,7 +13,8 @@ secret's name is one, other candidates are not, and each true context is written
 again with values of either kind (other random codes; placeholders, joined words,
 repeated characters, paths), so that the forest learns value and context.
 The training sample is bounded (``max_rows``, chosen by hash); the dictionary is
-counted over all documents and scanning covers every text as a whole.
+counted over all documents and scanning covers every text as a whole.  Candidates are kept as digests,
+places and features: no value or context is written in clear.
 
 Defined results: null or empty text has no findings; repeated rows give their
 findings each; without findings of both classes a finding gets the share of
@@ -185,74 +186,82 @@ def _marked(text: str | None) -> Iterator[tuple[int, str, str, str, bool]]:
         yield start, value, before, after, bool(inner) or (not marked and i > 0 and reach[i - 1] > start)
 
 
-def _scan(dictionary: frozenset[str]):
+def weak_labels(value: str, before: str, after: str, f: list[float], dictionary: list[str]) -> Iterator[tuple[list[float], float]]:
+    """(features, label) of a candidate without a label, and of its context with other values where it is true."""
+    known = dict(zip(FEATURES, f, strict=True))
+    true = bool(known["name_before"] and known["assigned"] and known["entropy"] >= min(3, 0.8 * math.log2(len(value)))
+                and not known["reference"] and known["class_changes"] >= 0.2 and not known["example_near"]
+                and known["dictionary_share"] < 0.4)
+    yield f, float(true)
+    if not true:
+        return
+    digest = hashlib.sha256(value.encode("utf-8", "surrogatepass")).digest()
+    code = base64.urlsafe_b64encode(digest).decode().rstrip("=")
+    words, known_words = dictionary or ["value"], frozenset(dictionary)
+    joined = "_".join(words[b % len(words)] for b in digest[:4]) + "_1"
+    for other, label in ((code, 1.0), (digest.hex()[:32], 1.0), (code[:20].upper() + code[20:24], 1.0),
+                         (code[:6] + "!" + code[6:9] + "$", 1.0), (code[9:15] + "&" + code[15:17], 1.0),
+                         (words[digest[4] % len(words)], 0.0), ("${" + words[digest[5] % len(words)].upper() + "}", 0.0),
+                         ("get_" + words[digest[6] % len(words)] + "()", 0.0),
+                         (joined, 0.0), ("your_" + joined, 0.0), (chr(97 + digest[0] % 26) * 24, 0.0),
+                         ("1234567890" * 2, 0.0), (joined.replace("_", "/") + ".txt", 0.0)):
+        yield describe(other, before, after, known_words), label
+    # the same code where nothing speaks of a secret: a checksum in running text
+    yield describe(digest.hex()[:40], "commit of the file ", " was built", known_words), 0.0
+
+
+_FINDING = pa.struct([("f", pa.list_(pa.float64())), ("label", pa.float64())])
+
+
+def _scan(dictionary: frozenset[str], labelled: bool):
+    """Candidates of every text with their features, and the labelled findings they give if asked for.  Values
+    and their contexts stay in the task: only digests and features leave it."""
+    words = sorted(dictionary)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
+            at, rows = [], []
             for i, text in enumerate(batch.column(1)):
-                rows += [(i, *found) for found in _marked(text.as_py())]
-            at = pa.array([r[0] for r in rows], pa.int64())
+                for start, value, before, after, overlaps in _marked(text.as_py()):
+                    f = describe(value, before, after, dictionary)
+                    weak = ([{"f": g, "label": y} for g, y in weak_labels(value, before, after, f, words)]
+                            if labelled and not overlaps else [])
+                    at.append(i)
+                    rows.append((start, len(value), hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest(), f, weak))
+            places = pa.array(at, pa.int64())
+            types = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()), pa.list_(_FINDING))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(2).take(at),
-                 pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64()),
-                 *[pa.array([r[k] for r in rows], pa.string()) for k in (2, 3, 4)],
-                 pa.array([r[5] for r in rows], pa.bool_()),
-                 pa.array([describe(*r[2:5], dictionary) for r in rows], pa.list_(pa.float64()))],
-                ["doc_id", "text_key", "start", "length", "value", "before", "after", "overlaps", "f"])
+                [batch.column(0).take(places), batch.column(2).take(places),
+                 *[pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]],
+                ["doc_id", "text_key", "start", "length", "value_sha256", "f", "weak"])
     return run
 
 
-_FOUND = ("doc_id bigint, text_key bigint, start bigint, length bigint, value string, before string, after string, "
-          "overlaps boolean, f array<double>")
+_FOUND = ("doc_id bigint, text_key bigint, start bigint, length bigint, value_sha256 string, f array<double>, "
+          "weak array<struct<f:array<double>,label:double>>")
 
 
-def weak_findings(found: DataFrame, dictionary: frozenset[str]) -> DataFrame:
-    """(f, label) from candidates without labels, true contexts written again with other values."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = {name: k for k, name in enumerate(FEATURES)}
-        for batch in batches:
-            rows, labels = [], []
-            for r in batch.to_pylist():
-                f = r["f"]
-                true = (f[index["name_before"]] and f[index["assigned"]] and f[index["entropy"]] >= min(3, 0.8 * math.log2(len(r["value"])))
-                        and not f[index["reference"]] and f[index["class_changes"]] >= 0.2 and not f[index["example_near"]]
-                        and f[index["dictionary_share"]] < 0.4)
-                rows.append(f)
-                labels.append(float(bool(true)))
-                if not true:
-                    continue
-                digest = hashlib.sha256(r["value"].encode()).digest()
-                code = base64.urlsafe_b64encode(digest).decode().rstrip("=")
-                words = sorted(dictionary) or ["value"]
-                joined = "_".join(words[b % len(words)] for b in digest[:4]) + "_1"
-                for value, label in ((code, 1.0), (digest.hex()[:32], 1.0), (code[:20].upper() + code[20:24], 1.0),
-                                     (code[:6] + "!" + code[6:9] + "$", 1.0), (code[9:15] + "&" + code[15:17], 1.0),
-                                     (words[digest[4] % len(words)], 0.0), ("${" + words[digest[5] % len(words)].upper() + "}", 0.0),
-                                     ("get_" + words[digest[6] % len(words)] + "()", 0.0),
-                                     (joined, 0.0), ("your_" + joined, 0.0), (chr(97 + digest[0] % 26) * 24, 0.0),
-                                     ("1234567890" * 2, 0.0), (joined.replace("_", "/") + ".txt", 0.0)):
-                    rows.append(describe(value, r["before"], r["after"], dictionary))
-                    labels.append(label)
-                # the same code where nothing speaks of a secret: a checksum in running text
-                rows.append(describe(digest.hex()[:40], "commit of the file ", " was built", dictionary))
-                labels.append(0.0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.float64())), pa.array(labels, pa.float64())], ["f", "label"])
-    return map_arrow(found.select("value", "before", "after", "f"), run, "f array<double>, label double")
+def weak_findings(found: DataFrame) -> DataFrame:
+    """(f, label, key) of scanned candidates; the key depends on the finding's place, not on how files are laid out."""
+    return (found.select("doc_id", "text_key", "start", F.posexplode("weak").alias("pos", "w"))
+            .select("w.f", "w.label", F.xxhash64("doc_id", "text_key", "start", "pos").alias("key")))
 
 
 def train(findings: DataFrame, max_rows: int = 20_000, trees: int = 30, depth: int = 6, seed: int = 4
           ) -> RandomForestClassificationModel | float:
-    """Forest from labelled findings (f, label); the share of true ones where there is one class only."""
+    """Forest from labelled findings (f, label); the share of true ones where there is one class only.
+
+    The sample goes by the findings' ``key``, by their features where they have none.
+    """
     spark = findings.sparkSession
-    rows, path = write_table(findings.select("f", "label"), "findings")
+    key = F.col("key") if "key" in findings.columns else F.xxhash64("f")
+    rows, path = write_table(findings.select("f", "label", key.alias("key")), "findings")
     stats = rows.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).head()
     if not stats["n"] or stats["pos"] in (0, stats["n"]):
         drop_tables(spark, [path])
         return float((stats["pos"] or 0) / max(1, stats["n"]))
     share = min(1.0, max_rows / stats["n"])
-    # equal findings fall together: the hash is salted by a row number inside each file
-    spread = F.pmod(F.xxhash64("f", F.monotonically_increasing_id()), F.lit(1_000_000)) < int(share * 1_000_000)
+    spread = F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000)
     # a bounded table: one partition in a fixed order makes reruns agree
     sample = rows.where(spread).repartition(1).sortWithinPartitions("label", "f").select(
         array_to_vector("f").alias("features"), "label")
@@ -277,15 +286,15 @@ def find_secrets(documents: DataFrame, model: RandomForestClassificationModel |
     """
     docs = with_row_ids(documents, "doc_id", "text").withColumn("text_key", F.xxhash64("text"))
     words = dictionary_of(documents) if dictionary is None else dictionary
-    found, _ = write_table(map_arrow(docs, _scan(words), _FOUND), "secret-candidates")
+    found, _ = write_table(map_arrow(docs, _scan(words, model is None), _FOUND), "secret-candidates")
     if model is None:
-        model = train(weak_findings(found.where("NOT overlaps"), words))
+        model = train(weak_findings(found))
     if isinstance(model, float):
         scored = found.withColumn("p", F.lit(model))
     else:
-        scored = model.transform(found.withColumn("features", array_to_vector("f"))).withColumn(
+        scored = model.transform(found.drop("weak").withColumn("features", array_to_vector("f"))).withColumn(
             "p", vector_to_array("probability")[1])
-    return scored.select("doc_id", "text_key", "start", "length", F.sha2(F.col("value"), 256).alias("value_sha256"),
+    return scored.select("doc_id", "text_key", "start", "length", "value_sha256",
                          F.round("p", 6).alias("probability"), (F.col("p") >= 0.5).alias("is_secret"))
 
 
