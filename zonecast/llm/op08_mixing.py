@@ -28,6 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from zonecast.llm.common import SPACE, drop_tables, with_row_ids, write_table
+from zonecast.operators.joins import maybe_broadcast
 
 MAX_COPIES = 2
 #: Fixed value of the contract: weights of the sources in code-point order, repeating.
@@ -72,7 +73,7 @@ def _same(a: str, b: str) -> str:
 def _rates(cells: DataFrame, goals: DataFrame) -> DataFrame:
     """(source, size, n) -> with rate, by Newton steps on one lambda per source."""
     # z keeps exponents moderate: sizes in units of the source's mean
-    base = (cells.alias("c").join(F.broadcast(goals).alias("g"), F.expr(_same("c", "g")))
+    base = (cells.alias("c").join(maybe_broadcast(goals).alias("g"), F.expr(_same("c", "g")))
             .select("c.source", "c.size", "c.n", "g.target", "g.source_size", "g.docs")
             .withColumn("z", F.col("size") * F.col("docs") / F.greatest(F.col("source_size"), F.lit(1))))
     # a source's cells are its different sizes; Newton runs as a fold over nothing but their sums
@@ -81,7 +82,7 @@ def _rates(cells: DataFrame, goals: DataFrame) -> DataFrame:
     old: list[str] = []
     for step in range(NEWTON_STEPS):
         rate = 2 / (1 + F.exp(-F.least(F.greatest(F.col("lam") * F.col("z"), F.lit(-700.0)), F.lit(700.0))))
-        sums = (base.alias("b").join(F.broadcast(lam).alias("l"), F.expr(_same("b", "l")))
+        sums = (base.alias("b").join(maybe_broadcast(lam).alias("l"), F.expr(_same("b", "l")))
                 .select("b.*", "l.lam", "l.low", "l.high").withColumn("r", rate)
                 .groupBy("source", "target", "source_size", "lam", "low", "high")
                 .agg(F.sum(F.col("n") * F.col("size") * F.col("r")).alias("got"),
@@ -103,7 +104,7 @@ def _rates(cells: DataFrame, goals: DataFrame) -> DataFrame:
             break
     rate = 2 / (1 + F.exp(-F.least(F.greatest(F.col("lam") * F.col("z"), F.lit(-700.0)), F.lit(700.0))))
     out, path = write_table(
-        base.alias("b").join(F.broadcast(lam).alias("l"), F.expr(_same("b", "l"))).select("b.*", "l.lam")
+        base.alias("b").join(maybe_broadcast(lam).alias("l"), F.expr(_same("b", "l"))).select("b.*", "l.lam")
         .withColumn("rate", F.when(F.col("target") >= 2 * F.col("source_size"), F.lit(2.0)).otherwise(rate))
         .select("source", "size", "n", "target", "rate"), "rates")
     drop_tables(spark, old)
@@ -123,7 +124,7 @@ def _copies(cells: DataFrame) -> DataFrame:
     for step in range(EXCHANGE_STEPS):
         rest = state.groupBy("source").agg(
             (F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("rest"))
-        open_cells = (state.alias("s").join(F.broadcast(rest).alias("r"), F.expr(_same("s", "r"))).select("s.*", "r.rest")
+        open_cells = (state.alias("s").join(rest.alias("r"), F.expr(_same("s", "r"))).select("s.*", "r.rest")
                       .withColumn("room", F.when(F.col("rest") > 0, MAX_COPIES * F.col("n") - F.col("copies")).otherwise(F.col("copies"))))
         fits = open_cells.where("size > 0 AND room > 0 AND size <= abs(rest)")
         pick = fits.groupBy("source").agg(F.max("size").alias("pick"))
@@ -131,7 +132,7 @@ def _copies(cells: DataFrame) -> DataFrame:
             break
         change = F.least("room", F.floor(F.abs(F.col("rest")) / F.col("size"))) * F.signum("rest")
         new, new_path = write_table(
-            open_cells.alias("s").join(F.broadcast(pick).alias("k"), F.expr(_same("s", "k")), "left")
+            open_cells.alias("s").join(pick.alias("k"), F.expr(_same("s", "k")), "left")
             .select("s.*", F.when(F.expr("size = pick"), change).otherwise(0).cast("long").alias("change"))
             .select("source", "size", "n", "target", "rate", (F.col("copies") + F.col("change")).alias("copies")),
             f"copies{step}")
@@ -149,12 +150,12 @@ def words_in(text: str) -> Column:
 def mix(documents: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies and taken of every document.
 
-    Broadcast tables have one row per source (a corpus has few next to its documents).
+    Tables of one row per source are broadcast up to the size that ``maybe_broadcast`` checks, and shuffled beyond it.
     """
     spark = documents.sparkSession
     sized, sized_path = write_table(
-        with_row_ids(documents, "doc_id", "source", "text").select("doc_id", "source", words_in("text").alias("size"))
-        .withColumn("h", F.xxhash64("doc_id", F.lit("mix"))), "sized")
+        with_row_ids(documents, "doc_id", "source", "text").select("doc_id", "source", "text", words_in("text").alias("size"))
+        .withColumn("h", F.xxhash64("doc_id", "text", F.lit("mix"))).drop("text"), "sized")
     cells, cells_path = write_table(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs"))
     goals, _ = write_table(
@@ -167,7 +168,9 @@ def mix(documents: DataFrame, share: float = SHARE, weights: tuple[int, ...] = W
     dealt, _ = write_table(
         sized.alias("d").join(planned.alias("p"), F.expr(f"{_same('d', 'p')} AND d.size = p.size"))
         .select("d.*", "p.n", "p.target", "p.rate", F.col("p.copies").alias("cell_copies"),
-                F.pmod(F.xxhash64("h"), buckets).alias("bucket")), "dealt")
+                # rows without words take nothing wherever they rank, and may all be equal
+                F.pmod(F.when(F.col("d.size") > 0, F.xxhash64("h")).otherwise(F.monotonically_increasing_id()), buckets)
+                .alias("bucket")), "dealt")
     counts = dealt.groupBy("source", "size", "bucket").agg(F.count("*").alias("m"))
     offset = W.partitionBy("source", "size").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets, _ = write_table(counts.select(
@@ -179,7 +182,7 @@ def mix(documents: DataFrame, share: float = SHARE, weights: tuple[int, ...] = W
     copies = (F.floor(F.col("cell_copies") / F.col("n"))
               + (F.col("place") <= F.pmod("cell_copies", "n")).cast("long"))
     out = (ranked.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("int"))
-           .alias("r").join(F.broadcast(goals).alias("g"), F.expr(_same("r", "g")))
+           .alias("r").join(maybe_broadcast(goals).alias("g"), F.expr(_same("r", "g")))
            .select("r.doc_id", "r.source", "r.size", "g.source_size", "r.target", "r.rate", "r.copies",
                    (F.col("r.size") * F.col("r.copies")).alias("taken")))
     drop_tables(spark, [sized_path, cells_path, planned_path])
