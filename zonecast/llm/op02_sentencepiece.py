@@ -27,7 +27,6 @@ space back; repeated rows are encoded each; an empty table gives an empty result
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -370,7 +369,6 @@ class _Head:
     """Broadcast form of the head: words, and their ids in one array."""
 
     def __init__(self, words: list[str], ids: np.ndarray, sizes: np.ndarray):
-        self.key = uuid.uuid4().hex
         self.words = "\n".join(words)
         self.ids, self.sizes = ids.astype("<i4"), sizes
 
@@ -431,23 +429,15 @@ class TextCoder:
         return replace_rows(ids, sizes, rows, [np.frombuffer(x, "<u4") for x in odd])
 
 
-_coders: dict[str, TextCoder] = {}
-
-
-def _coder(head, pieces) -> TextCoder:
-    key = head.value.key
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = TextCoder(head.value, pieces.value)
-    return _coders[key]
-
-
 def _encoder(head, pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # held for the task, not the worker: what comes next in the worker needs the memory
+        coder: TextCoder | None = None
         for batch in batches:
+            coder = coder or TextCoder(head.value, pieces.value)
             for a, b in slices(batch.column(1), 1 << 20):
                 rows = batch.slice(a, b - a)
-                flat, sizes = _coder(head, pieces).encode(rows.column(1))
+                flat, sizes = coder.encode(rows.column(1))
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), ids], ["doc_id", "text", "ids"])
