@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.chunks import StretchCoder, replace_rows, slices
-from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
+from zonecast.llm.common import drop_tables, map_arrow, release_memory, with_row_ids, write_table
 
 SPACE_MARK = "▁"
 HEAD_WORDS = 1 << 18
@@ -441,6 +441,8 @@ def _encoder(head, pieces):
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), ids], ["doc_id", "text", "ids"])
+        del coder
+        release_memory()
     return run
 
 
