@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,16 +33,6 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def release_memory() -> None:
-    """Hand back what a finished task freed: workers live on and the next stage's need the room."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # a C library without it
-        pass
-
-
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -27,6 +27,7 @@ space back; repeated rows are encoded each; an empty table gives an empty result
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.chunks import StretchCoder, replace_rows, slices
-from zonecast.llm.common import drop_tables, map_arrow, release_memory, with_row_ids, write_table
+from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
 
 SPACE_MARK = "▁"
 HEAD_WORDS = 1 << 18
@@ -186,7 +187,7 @@ class WordLattices:
     #: Words up to this length are folded together; longer ones would leave the others waiting.
     CHARS = 40
     #: Words of one pass, which bounds its arrays.
-    WORDS = 1 << 13
+    WORDS = 1 << 15
 
     def __init__(self, table: PieceTable):
         node = {s: k for k, s in enumerate(table.beginnings, 1)}
@@ -369,6 +370,7 @@ class _Head:
     """Broadcast form of the head: words, and their ids in one array."""
 
     def __init__(self, words: list[str], ids: np.ndarray, sizes: np.ndarray):
+        self.key = uuid.uuid4().hex
         self.words = "\n".join(words)
         self.ids, self.sizes = ids.astype("<i4"), sizes
 
@@ -390,7 +392,7 @@ class TextCoder:
     def __init__(self, head: _Head, table: PieceTable):
         self.head, self.table = head.table(), table
         self.lattices = WordLattices(table) if table.kind == "bpe" else None
-        self.coder = StretchCoder(self._learn, 200_000)
+        self.coder = StretchCoder(self._learn, 500_000)
 
     def _rare(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words outside the head."""
@@ -429,20 +431,26 @@ class TextCoder:
         return replace_rows(ids, sizes, rows, [np.frombuffer(x, "<u4") for x in odd])
 
 
+_coders: dict[str, TextCoder] = {}
+
+
+def _coder(head, pieces) -> TextCoder:
+    key = head.value.key
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = TextCoder(head.value, pieces.value)
+    return _coders[key]
+
+
 def _encoder(head, pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # held for the task, not the worker: what comes next in the worker needs the memory
-        coder: TextCoder | None = None
         for batch in batches:
-            coder = coder or TextCoder(head.value, pieces.value)
-            for a, b in slices(batch.column(1), 1 << 20):
+            for a, b in slices(batch.column(1), 2 << 20):
                 rows = batch.slice(a, b - a)
-                flat, sizes = coder.encode(rows.column(1))
+                flat, sizes = _coder(head, pieces).encode(rows.column(1))
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), ids], ["doc_id", "text", "ids"])
-        del coder
-        release_memory()
     return run
 
 
