@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +36,45 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a module keeps in its worker between tasks, until a task of another module begins there."""
+    return _caches.setdefault(owner, {})
+
+
+def make_room(owner: str) -> None:
+    """Workers outlive their tasks: drop what other modules keep, and hand back what is free."""
+    others = [c for name, c in _caches.items() if name != owner and c]
+    for c in others:
+        c.clear()
+    if others:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def _with_room(run: Callable) -> Callable:
+    owner = run.__module__
+
+    def begin(batches):
+        make_room(owner)
+        return run(batches)
+    return begin
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_with_room(run), schema)
 
 
 def map_pandas(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(_with_room(run), schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.chunks import StretchCoder, replace_rows, slices
-from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
+from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, worker_cache, write_table
 
 SPACE_MARK = "▁"
 HEAD_WORDS = 1 << 18
@@ -431,7 +431,7 @@ class TextCoder:
         return replace_rows(ids, sizes, rows, [np.frombuffer(x, "<u4") for x in odd])
 
 
-_coders: dict[str, TextCoder] = {}
+_coders: dict[str, TextCoder] = worker_cache(__name__)
 
 
 def _coder(head, pieces) -> TextCoder:

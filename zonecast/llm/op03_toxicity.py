@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import drop_tables, map_arrow, map_pandas, with_row_ids, write_table
+from zonecast.llm.common import drop_tables, map_arrow, map_pandas, with_row_ids, worker_cache, write_table
 
 #: Words that report speech, and words that address a person, in the languages of the corpus.
 REPORTING = frozenset("said says called calls word words term quote quoted wrote spelled "
@@ -217,7 +217,7 @@ class Matcher:
                 float(misspelled > 0), quoted / hits]
 
 
-_matchers: dict[str, Matcher] = {}
+_matchers: dict[str, Matcher] = worker_cache(__name__)
 
 
 def _matcher(model: ToxicModel) -> Matcher:

@@ -35,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, write_table
+from zonecast.llm.common import drop_tables, map_arrow, with_row_ids, worker_cache, write_table
 from zonecast.llm.components import connected_components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xBF58476D1CE4E5B9)
 _WORD_CACHE_MAX = 150_000
-_word_cache: dict[bytes, int] = {}
+_word_cache: dict[bytes, int] = worker_cache(__name__)
 
 
 @dataclass(frozen=True)
