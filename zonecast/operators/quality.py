@@ -60,8 +60,8 @@ def table_facts(tables: dict[str, DataFrame]) -> dict[str, TableFacts]:
     """Rows, distinct rows and nulls per column of every table, from one scan each (A-13, A-14, A-15).
 
     Rows meet by a 128-bit print, so the exchange carries a few longs a row, not
-    the columns; the prints are written with their multiplicity and null masks, and every count comes
-    from them.  Only rows whose print repeats are then read again and compared in full: equal rows collapse
+    the columns; every count comes from the prints' multiplicity and null masks, and the same exchange gives the prints
+    that repeat, which are written.  Only rows whose print repeats are then read again and compared in full: equal rows collapse
     before that exchange, and what is left over are rows that differ under one print.
     """
     spark = next(iter(tables.values())).sparkSession
@@ -70,16 +70,21 @@ def table_facts(tables: dict[str, DataFrame]) -> dict[str, TableFacts]:
     prints = union_all([df.select(F.lit(i).alias("_t"), *_row_print(df), *_null_masks(df, width))
                         for i, df in enumerate(tables.values())])
     prints = prints.groupBy("_t", "_h1", "_h2", *masks).agg(F.count(F.lit(1)).alias("_m"))
-    prints = written(prints, "row-prints")
     most = max(len(df.columns) for df in tables.values())
     nulls = [F.sum(F.when(F.getbit(F.col(f"_z{j // _MASK_BITS}"), F.lit(j % _MASK_BITS)) == 1, F.col("_m")).otherwise(F.lit(0)))
              .alias(f"null_{j}") for j in range(most)]
-    got = {r["_t"]: r for r in prints.groupBy("_t").agg(
-        F.sum("_m").alias("rows"), F.count(F.lit(1)).alias("prints"), F.count_if(F.col("_m") > 1).alias("twice"), *nulls).collect()}
-    twice = prints.where(F.col("_m") > 1)
-    again = [_distinct_among(i, df, twice.where(F.col("_t") == i).select("_h1", "_h2"), got[i]["twice"])
-             for i, df in enumerate(tables.values()) if i in got and got[i]["twice"]]
-    exact = {r["_t"]: int(r["_d"]) for r in union_all(again).collect()} if again else {}
+    counts = prints.groupBy("_t").agg(F.sum("_m").alias("rows"), F.count(F.lit(1)).alias("prints"),
+                                      F.count_if(F.col("_m") > 1).alias("twice"), *nulls)
+    twice = prints.where(F.col("_m") > 1).select("_t", "_h1", "_h2")
+    # both sides read one exchange of the prints
+    facts_and_prints = written(counts.unionByName(twice, allowMissingColumns=True), "row-prints")
+    got = {r["_t"]: r for r in facts_and_prints.where("rows IS NOT NULL").collect()}
+    twice = facts_and_prints.where("rows IS NULL").select("_t", "_h1", "_h2")
+    again = [x for i, df in enumerate(tables.values()) if i in got and got[i]["twice"]
+             for x in _distinct_among(i, df, twice.where(F.col("_t") == i).select("_h1", "_h2"), got[i]["twice"])]
+    exact: dict[int, int] = {}
+    for r in union_all(again).collect() if again else []:
+        exact[r["_t"]] = exact.get(r["_t"], 0) + int(r["_d"])
     facts = {}
     for i, (name, df) in enumerate(tables.items()):
         r = got.get(i)  # an empty table has no print
@@ -88,12 +93,16 @@ def table_facts(tables: dict[str, DataFrame]) -> dict[str, TableFacts]:
     return facts
 
 
-def _distinct_among(i: int, df: DataFrame, prints: DataFrame, n: int) -> DataFrame:
-    """Distinct rows of ``df`` among those whose print is listed (one row: _t, _d); ``n`` prints, counted before."""
-    listed = F.broadcast(prints) if n <= BROADCAST_MAX_ROWS else prints
-    rows = df.select("*", *_row_print(df)).join(listed, ["_h1", "_h2"], "left_semi")
-    return (rows.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.lit(1).alias("_one"))
-            .agg(F.count(F.lit(1)).alias("_d")).select(F.lit(i).alias("_t"), "_d"))
+def _distinct_among(i: int, df: DataFrame, prints: DataFrame, n: int, most: int = BROADCAST_MAX_ROWS) -> list[DataFrame]:
+    """Distinct rows of ``df`` among those whose print is listed (one row each: _t, _d, to be added up); ``n`` prints, counted
+    before.  Each part of the prints is broadcast, so that only rows whose print repeats are dealt out."""
+    rounds, out = -(-n // most), []
+    for k in range(rounds):
+        part = prints.where(F.pmod("_h1", F.lit(rounds)) == k)
+        rows = df.select("*", *_row_print(df)).join(F.broadcast(part), ["_h1", "_h2"], "left_semi")
+        out.append(rows.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.lit(1).alias("_one"))
+                   .agg(F.count(F.lit(1)).alias("_d")).select(F.lit(i).alias("_t"), "_d"))
+    return out
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

@@ -120,6 +120,20 @@ def role_tables(cat: Catalog) -> dict[str, DataFrame]:
     return {n: cat[n] for n in names}
 
 
+def _trips_once(cat: Catalog) -> None:
+    """What reads the trips more than once reads a written copy of the rows behind them.  The suppliers are
+    looked up by broadcast where they fit, so that the wide lines are dealt out for orders and parts only."""
+    if not cat.given("trip_base", "trips", "trips_messy"):
+        supplier = cat["supplier"]
+        looked_up = {"supplier": F.broadcast(supplier)} if joins.fits_broadcast(supplier.select("s_suppkey")) else {}
+        cat.register("trip_base", written(cat.derive("trip_base", **looked_up), "trip-base", "zstd"))
+
+
+def duplicate_rows(cat: Catalog) -> DataFrame:
+    _trips_once(cat)
+    return quality.duplicate_rows(cat["trips_messy"])
+
+
 def dataset_profile(cat: Catalog) -> DataFrame:
     return quality.dataset_profile(role_tables(cat))
 

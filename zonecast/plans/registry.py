@@ -454,7 +454,7 @@ SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM trips_mes
 FROM trips_messy""")
 def _dups(cat):
     """A-13."""
-    return quality.duplicate_rows(cat["trips_messy"])
+    return PR.duplicate_rows(cat)
 
 
 # ============================================================== rankings

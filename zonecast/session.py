@@ -61,11 +61,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/zonecast-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written once as parquet to the shared scratch folder and read back: lineage
     ends there, scans are pruned, and a lost executor re-reads files."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -30,14 +30,22 @@ class Catalog:
             if name in R.BASE_TABLES:
                 self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             elif name in R.ROLES:
-                deps = {d: self.table(d) for d in R.role_deps(name)}
-                self._frames[name] = self.spark.sql(R.role_sql(name, R.SPARK), **deps)
+                self._frames[name] = self.derive(name)
             else:
                 raise KeyError(f"unknown table or role: {name}")
         return self._frames[name]
 
     __getitem__ = table
 
+    def derive(self, role: str, **frames: DataFrame) -> DataFrame:
+        """The role over this catalog's tables, ``frames`` in place of those named."""
+        deps = {d: frames.get(d) or self.table(d) for d in R.role_deps(role)}
+        return self.spark.sql(R.role_sql(role, R.SPARK), **deps)
+
+    def given(self, *names: str) -> bool:
+        """Whether any of the names has a frame already, derived or put in by hand."""
+        return not self._frames.keys().isdisjoint(names)
+
     def materialize(self, name: str, path: str) -> DataFrame:
         """Write ``name`` once as parquet at ``path`` (shared storage) and use
         the written copy from now on: a table several products read is then

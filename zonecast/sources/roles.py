@@ -33,6 +33,13 @@ class Dialect:
             return f"datediff({end}, {start})"
         return f"date_diff('day', {start}, {end})"
 
+    def orders_of_customers(self) -> str:
+        """Orders (o) and their customers (c), ready to join with l; Spark joins the two narrow tables first, before the wide l is dealt out."""
+        if self.name == "spark":
+            return """({orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey) ON l.l_orderkey = o.o_orderkey"""
+        return """{orders} o ON l.l_orderkey = o.o_orderkey
+JOIN {customer} c ON o.o_custkey = c.c_custkey"""
+
     def copies(self, twice: str) -> str:
         """One output row per copy: 1, or 1 and 2 when ``twice`` holds (a generator)."""
         if self.name == "spark":
@@ -120,8 +127,7 @@ SELECT concat_ws('-', CAST(l.l_orderkey AS STRING), CAST(l.l_linenumber AS STRIN
        CASE WHEN l.l_tax = 0 THEN NULL ELSE 5 - l.l_tax * 10 END AS rating,
        l.l_orderkey % 50 = 0 AS copied_twice
 FROM {{lineitem}} l
-JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
-JOIN {{customer}} c ON o.o_custkey = c.c_custkey
+JOIN {d.orders_of_customers()}
 JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey
 JOIN {{part}} p ON l.l_partkey = p.p_partkey
 """
