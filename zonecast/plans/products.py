@@ -135,6 +135,7 @@ def duplicate_rows(cat: Catalog) -> DataFrame:
 
 
 def dataset_profile(cat: Catalog) -> DataFrame:
+    _trips_once(cat)
     return quality.dataset_profile(role_tables(cat))
 
 
