@@ -330,12 +330,14 @@ def near_duplicates(documents: DataFrame, p: MinMax = MinMax(), id_col: str = "d
     labels, label_paths = _fold(labels, links)
     dropped += [placed_path, hubs_path, *possible_paths, third_path, *paths, *label_paths]
 
-    homes, homes_path = write_table(
-        classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("print", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("component_id")), "homes")
-    drop_tables(spark, [classes_path, *dropped])
-    return (signed.select("doc_id", "n_shingles", "print").join(homes, "print", "left")
-            .select("doc_id", "n_shingles",
-                    F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.coalesce("class_id", "doc_id").alias("class_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    homes = (classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+             .select("print", F.col("rep").alias("class_id"), F.coalesce("comp", "rep").alias("component_id")))
+    # written without bands and prints, most of what is kept of a document
+    found, _ = write_table(
+        signed.select("doc_id", "n_shingles", "print").join(homes, "print", "left")
+        .select("doc_id", "n_shingles",
+                F.coalesce("component_id", "doc_id").alias("component_id"),
+                F.coalesce("class_id", "doc_id").alias("class_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-duplicates")
+    drop_tables(spark, [signed_path, classes_path, *dropped])
+    return found
