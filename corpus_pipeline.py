@@ -7,6 +7,7 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,9 @@ def _keyed(docs: DataFrame, name: str) -> DataFrame:
     place = docs.metadataColumn("_metadata")
     # one row per file, of which the driver holds the listing already
     paths = sorted(r["_path"] for r in docs.select(place["file_path"].alias("_path")).distinct().collect())
-    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "_file bigint, _path string")
+    # as an Arrow table: rows of Python objects would pass through further Python workers of the executors
+    files = docs.sparkSession.createDataFrame(
+        pa.table([pa.array(range(len(paths)), pa.int64()), pa.array(paths, pa.string())], ["_file", "_path"]))
     placed = docs.select(*docs.columns, place["file_path"].alias("_path"), place["row_index"].alias("_row"))
     return placed.join(F.broadcast(files), "_path").select(
         *docs.columns, (F.shiftleft("_file", 40) + F.col("_row")).alias("_key"))

@@ -17,6 +17,11 @@ from zonecast.session import scratch_path
 
 #: What ends a word: the six ASCII white-space characters.
 SPACE = r"[\x20\x09-\x0D]"
+#: Bytes of rows that go to a Python worker at once (a longer row goes alone), unless the session has its own limit.
+#: By rows alone a batch is ten thousand texts or shingle sets, which the JVM holds in vectors of up to twice
+#: their size, and the worker again.
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 _shipped: set[str] = set()
@@ -51,6 +56,11 @@ def make_room(owner: str) -> None:
         c.clear()
     if others:
         gc.collect()
+    hand_back()
+
+
+def hand_back() -> None:
+    """Give the system the memory that the worker's allocators hold free."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -63,17 +73,27 @@ def _with_room(run: Callable) -> Callable:
 
     def begin(batches):
         make_room(owner)
-        return run(batches)
+        yield from run(batches)
+        # a worker may wait through stages that need no Python
+        hand_back()
     return begin
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Batches to Python workers are limited by bytes from now on; a limit that the session has stays."""
+    if spark.conf.get(_BATCH_LIMIT, None) is None:
+        spark.conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
+    _bound_batches(df.sparkSession)
     return df.mapInArrow(_with_room(run), schema)
 
 
 def map_pandas(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     ship_package(df.sparkSession)
+    _bound_batches(df.sparkSession)
     return df.mapInPandas(_with_room(run), schema)
 
 

@@ -109,9 +109,11 @@ def lattice(words: DataFrame, table: PieceTable) -> DataFrame:
     when ``words`` is distinct by word."""
     spark = words.sparkSession
     # the piece table has the size of the model's vocabulary
-    pieces = spark.createDataFrame(
-        [(p, i, r, float(table.scores[p])) for p, (i, r) in table.pieces.items()],
-        "piece string, id int, rank int, score double")
+    # as an Arrow table: rows of Python objects would pass through further Python workers of the executors
+    ids, ranks = zip(*table.pieces.values(), strict=True) if table.pieces else ((), ())
+    pieces = spark.createDataFrame(pa.table(
+        [pa.array(list(table.pieces), pa.string()), pa.array(ids, pa.int32()), pa.array(ranks, pa.int32()),
+         pa.array([table.scores[p] for p in table.pieces], pa.float64())], ["piece", "id", "rank", "score"]))
     # a word grows into hundreds of substrings: deal the words out before, whatever few files they come from
     subs = (words.repartition(4 * spark.sparkContext.defaultParallelism, "word").select("word", F.length("word").alias("n"))
             .select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
@@ -187,7 +189,7 @@ class WordLattices:
     #: Words up to this length are folded together; longer ones would leave the others waiting.
     CHARS = 40
     #: Words of one pass, which bounds its arrays.
-    WORDS = 1 << 15
+    WORDS = 1 << 13
 
     def __init__(self, table: PieceTable):
         node = {s: k for k, s in enumerate(table.beginnings, 1)}
@@ -367,18 +369,38 @@ def head_vocabulary(texts: DataFrame) -> tuple[DataFrame, str]:
 
 
 class _Head:
-    """Broadcast form of the head: words, and their ids in one array."""
+    """Broadcast form of the head: words, and their ids in one array.  Workers look words up in it as it is,
+    as a dict of a quarter million words takes some ten times its size in each of them."""
 
     def __init__(self, words: list[str], ids: np.ndarray, sizes: np.ndarray):
         self.key = uuid.uuid4().hex
-        self.words = "\n".join(words)
-        self.ids, self.sizes = ids.astype("<i4"), sizes
+        self.words = pa.array(words, pa.string())
+        self.ids = ids.astype("<i4")
+        self.offsets = np.concatenate([[0], 4 * np.cumsum(sizes, dtype=np.int64)])
+
+    def ids_of(self, words: list[str | None]) -> list[bytes | None]:
+        """Ids of each word; None where it is not of the head."""
+        at = pc.fill_null(pc.index_in(pa.array(words, pa.string()), self.words), -1).to_numpy(zero_copy_only=False)
+        out: list[bytes | None] = [None] * len(words)
+        found, raw = np.flatnonzero(at >= 0), self.ids.view(np.uint8)
+        for i, a, b in zip(found.tolist(), self.offsets[at[found]].tolist(), self.offsets[at[found] + 1].tolist()):
+            out[i] = raw[a:b].tobytes()
+        return out
+
+
+class _Stretches(StretchCoder):
+    """Stretches that stand for one word of the head are looked up there; only others are remembered."""
 
-    def table(self) -> dict[str, bytes]:
-        raw, ends = self.ids.tobytes(), 4 * np.cumsum(self.sizes)
-        starts = ends - 4 * self.sizes
-        words = self.words.split("\n") if len(self.sizes) else []
-        return {w: raw[a:b] for w, a, b in zip(words, starts.tolist(), ends.tolist(), strict=True)}
+    def __init__(self, head: _Head, learn, cache_max: int):
+        super().__init__(learn, cache_max)
+        self.head = head
+
+    def ids_of(self, values: list[str]) -> list[bytes | None]:
+        out = self.head.ids_of([SPACE_MARK + v if v and v[0] != "\n" and SPACE_MARK not in v else None for v in values])
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, super().ids_of([values[i] for i in rest]), strict=True):
+            out[i] = x
+        return out
 
 
 class TextCoder:
@@ -390,9 +412,9 @@ class TextCoder:
     """
 
     def __init__(self, head: _Head, table: PieceTable):
-        self.head, self.table = head.table(), table
+        self.head, self.table = head, table
         self.lattices = WordLattices(table) if table.kind == "bpe" else None
-        self.coder = StretchCoder(self._learn, 500_000)
+        self.coder = _Stretches(head, self._learn, 300_000)
 
     def _rare(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words outside the head."""
@@ -409,9 +431,10 @@ class TextCoder:
 
     def _ids(self, lists: list[list[str]]) -> list[bytes]:
         """Ids of each list of words."""
-        head = self.head
-        rare = self._rare(list(dict.fromkeys(w for words in lists for w in words if w not in head)))
-        return [b"".join([head[w] if w in head else rare[w] for w in words]) for words in lists]
+        words = list(dict.fromkeys(w for words in lists for w in words))
+        known = dict(zip(words, self.head.ids_of(words), strict=True)) if words else {}
+        known.update(self._rare([w for w, x in known.items() if x is None]))
+        return [b"".join([known[w] for w in words]) for words in lists]
 
     def _learn(self, new: list[str]) -> list[bytes | None]:
         plain: dict[str, list[str]] = {}
