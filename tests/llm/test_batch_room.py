@@ -1,12 +1,15 @@
-"""Batches to Python workers are limited by bytes, and a worker hands free memory back as its task ends."""
+"""Room of Python workers: batches are limited by bytes, free memory goes back as a task ends, the head is held once, and
+small tables take no workers of their own."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
 
-from zonecast.llm import common
+import corpus_pipeline
+from zonecast.llm import common, op02_sentencepiece
 
 LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -68,3 +71,26 @@ def test_a_task_hands_memory_back_as_it_begins_and_ends(monkeypatch):
             yield b
     assert list(common._with_room(run)(iter("ab"))) == ["a", "b"]
     assert told == ["back", "a", "b", "back"]
+
+
+def test_small_tables_need_no_python_workers(spark, tmp_path):
+    _texts(spark, 20, 30).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    table = op02_sentencepiece.PieceTable({"▁a": (1, 0), "b": (2, 1)}, {"▁a": -1.0, "b": -2.0}, [], "bpe")
+    for df in (corpus_pipeline._keyed(docs, "t"), op02_sentencepiece.lattice(docs.selectExpr("text AS word"), table)):
+        assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+
+
+def test_words_of_the_head_are_looked_up_and_not_remembered():
+    head = op02_sentencepiece._Head(["▁a", "\n", "▁é", "▁", "▁▁"], np.arange(1, 8), np.array([1, 2, 1, 1, 2], np.int32))
+    want = {"▁a": [1], "\n": [2, 3], "▁é": [4], "▁": [5], "▁▁": [6, 7]}
+    words = ["▁é", None, "▁x", "▁▁", "\n", "", "▁a", "▁"]
+    assert [x and np.frombuffer(x, "<i4").tolist() for x in head.ids_of(words)] == [want.get(w) for w in words]
+    assert op02_sentencepiece._Head([], np.zeros(0), np.zeros(0, np.int32)).ids_of(["▁a", None]) == [None, None]
+
+    asked = []
+    coder = op02_sentencepiece._Stretches(head, lambda new: asked.extend(new) or [None] * len(new), 100)
+    # no text, a line feed in front and an own space mark are not one word
+    got = coder.ids_of(["a", "", "\na", "▁", "é", "x"])
+    assert [x and np.frombuffer(x, "<i4").tolist() for x in got] == [[1], None, None, None, [4], None]
+    assert asked == ["", "\na", "▁", "x"] and set(coder.young) == set(asked)
